@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ratelake.operators.frames import (
     deduplicate,
     enforce_schema,
-    first_per_key_local,
+    first_per_sub_key,
     require_columns,
     run_timestamp,
 )
@@ -80,16 +80,16 @@ def silver_core(
 ) -> DataFrame:
     """Filter, name the pair, guard (date, pair) uniqueness and add LAG / return.
 
-    The explicit repartition on the pair gives the (pair, date) guard and the
-    LAG window a single shared exchange. Input is bronze, unique on
+    Every window here is partitioned by the pair alone, so the guard and the
+    LAG share a single exchange (and gold reuses it when chained). Input is bronze, unique on
     (date, base, target), so one pair holds at most one row per day per
     (base, target) spelling of the pair.
     """
     df = add_date_column(add_currency_pair(filter_valid_rates(bronze, min_rate, max_rate)))
-    df = df.repartition(PAIR)
-    df = first_per_key_local(
+    df = first_per_sub_key(
         df,
-        [PAIR, "date"],
+        [PAIR],
+        "date",
         [F.col("ingested_at").desc(), F.col("base_currency").desc(), F.col("target_currency").desc()],
     )
     return df.withColumn("prev_rate", prev_value("rate")).withColumn("daily_return", simple_return())
@@ -112,8 +112,8 @@ def gold_core(
     calendar_days: bool = False,
 ) -> DataFrame:
     """Rolling features and lifetime z-score on one exchange of the pair."""
-    df = silver.select("date", PAIR, "rate", "daily_return").repartition(PAIR)
-    df = first_per_key_local(df, [PAIR, "date"], [F.col("rate").desc(), F.col("daily_return").desc()])
+    df = silver.select("date", PAIR, "rate", "daily_return")
+    df = first_per_sub_key(df, [PAIR], "date", [F.col("rate").desc(), F.col("daily_return").desc()])
     df = df.select("*", *rolling_feature_columns(windows, volatility_window, calendar_days=calendar_days))
     return df.withColumn("rate_z_score", z_score_column("rate"))
 

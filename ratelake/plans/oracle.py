@@ -129,3 +129,391 @@ SELECT date, currency_pair, base_currency, target_currency, rate, prev_rate,
        {r8('daily_return')} AS daily_return FROM silver"""
 
 SQL["gold_rates"] = CHAIN_GOLD + f"SELECT {GOLD_COLS_R8} FROM gold"
+
+# ---- landing / sources ------------------------------------------------------
+
+SQL["explode_rates"] = """
+SELECT event_id, CAST(ts AS DATE) AS date, k AS target_currency,
+       TRY_CAST(json_extract_string(props, '$."' || k || '"') AS DOUBLE) AS rate
+FROM events, unnest(json_keys(props)) AS t(k)"""
+
+SQL["row_counts"] = with_(RATES, BRONZE, VALID, SILVER, GOLD) + """
+SELECT 'raw' AS layer, count(*) AS n_rows FROM rates
+UNION ALL SELECT 'bronze', count(*) FROM bronze
+UNION ALL SELECT 'silver', count(*) FROM silver
+UNION ALL SELECT 'gold', count(*) FROM gold"""
+
+EARLY = """
+early AS (
+  SELECT ingestion_date, base_currency, target_currency, rate
+  FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY ingestion_date, base_currency, target_currency
+      ORDER BY ingested_at DESC, record_id ASC) AS rn
+    FROM rates)
+  WHERE rn = 1 AND ingestion_date <= DATE '1999-12-31'
+)"""
+
+LATE = """
+late AS (SELECT ingestion_date, base_currency, target_currency, rate FROM bronze WHERE ingestion_date >= DATE '1999-07-01')"""
+
+SQL["upsert_insert_only"] = with_(RATES, BRONZE, EARLY, LATE) + """
+SELECT base_currency AS base, ingestion_date AS date, target_currency, rate FROM early
+UNION ALL
+SELECT base_currency, ingestion_date, target_currency, rate FROM late l
+WHERE NOT EXISTS (SELECT 1 FROM early e WHERE e.base_currency = l.base_currency AND e.ingestion_date = l.ingestion_date)"""
+
+SQL["upsert_force"] = with_(RATES, BRONZE, EARLY, LATE) + """
+SELECT base_currency AS base, ingestion_date AS date, target_currency, rate FROM late
+UNION ALL
+SELECT base_currency, ingestion_date, target_currency, rate FROM early e
+WHERE NOT EXISTS (SELECT 1 FROM late l WHERE e.base_currency = l.base_currency AND e.ingestion_date = l.ingestion_date)"""
+
+# ---- projections --------------------------------------------------------------
+
+SQL["enforce_schema"] = with_(RATES) + """
+SELECT ingestion_date, base_currency, target_currency, rate, source, ingested_at FROM rates"""
+
+SQL["currency_pair"] = with_(RATES) + """
+SELECT record_id, base_currency, target_currency, concat_ws('_', base_currency, target_currency) AS currency_pair
+FROM rates"""
+
+SQL["rename_date"] = CHAIN_BRONZE + """
+SELECT ingestion_date AS date, base_currency, target_currency, rate, source, ingested_at FROM bronze"""
+
+SQL["parse_dates"] = """
+SELECT o_orderkey AS record_id, CAST(o_orderdate AS DATE) AS ingestion_date,
+       CAST(o_orderdate AS TIMESTAMP) AS ingested_at
+FROM orders"""
+
+SQL["bronze_rates"] = CHAIN_BRONZE + "SELECT * FROM bronze"
+
+SQL["chart_returns"] = CHAIN_GOLD + f"""
+SELECT date, currency_pair, {r8('daily_return * 100.0')} AS daily_return_pct
+FROM gold WHERE daily_return IS NOT NULL"""
+
+# ---- filters ------------------------------------------------------------------------
+
+SQL["rejected_counts"] = CHAIN_BRONZE + f"""
+SELECT CASE WHEN rate IS NULL THEN 'null_rate'
+            WHEN isnan(rate) THEN 'nan_rate'
+            WHEN rate < {MIN_VALID_RATE!r} THEN 'below_min'
+            WHEN rate > {MAX_VALID_RATE!r} THEN 'above_max'
+            ELSE 'valid' END AS outcome,
+       count(*) AS n_rows
+FROM bronze GROUP BY 1"""
+
+SELECTED_PAIRS = ("1-URGENT_F", "3-MEDIUM_O", "5-LOW_P")
+_pairs_sql = ", ".join(f"'{p}'" for p in SELECTED_PAIRS)
+
+SQL["pair_selection"] = CHAIN_GOLD + f"SELECT {GOLD_COLS_R8} FROM gold WHERE currency_pair IN ({_pairs_sql})"
+
+SQL["nonnull_returns"] = CHAIN_SILVER + f"""
+SELECT date, currency_pair, rate, {r8('daily_return')} AS daily_return FROM silver WHERE daily_return IS NOT NULL"""
+
+SQL["outliers"] = CHAIN_GOLD + f"""
+SELECT date, currency_pair, rate, {r8('rate_z_score')} AS rate_z_score FROM gold WHERE abs(rate_z_score) > 2.0"""
+
+SQL["weekday_filter"] = CHAIN_BRONZE + """
+SELECT date, CAST(isodow(date) - 1 AS INTEGER) AS weekday
+FROM (SELECT DISTINCT ingestion_date AS date FROM bronze)
+WHERE isodow(date) <= 5"""
+
+EXPECTED_TARGETS = ("F", "O", "P")
+_expected_sql = ", ".join(f"('{t}')" for t in EXPECTED_TARGETS)
+
+SQL["missing_targets"] = CHAIN_BRONZE + f"""
+SELECT k.base, k.date, e.t AS missing_target
+FROM (SELECT DISTINCT base_currency AS base, ingestion_date AS date FROM bronze) k,
+     (VALUES {_expected_sql}) e(t)
+WHERE NOT EXISTS (SELECT 1 FROM bronze b WHERE b.base_currency = k.base AND b.ingestion_date = k.date
+                  AND b.target_currency = e.t)"""
+
+# ---- planning ---------------------------------------------------------------------
+
+SPINE = """
+spine AS (
+  SELECT CAST(unnest(generate_series(min(ingestion_date), max(ingestion_date), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM bronze
+)"""
+
+SQL["date_spine"] = with_(RATES, BRONZE, SPINE) + "SELECT date FROM spine"
+
+SQL["weekday_spine"] = with_(RATES, BRONZE, SPINE) + "SELECT date FROM spine WHERE isodow(date) <= 5"
+
+SQL["spine_summary"] = with_(RATES, BRONZE, SPINE) + """
+SELECT count(*) AS n_days, count(*) FILTER (WHERE isodow(date) <= 5) AS n_weekdays,
+       count(*) FILTER (WHERE isodow(date) > 5) AS n_skipped FROM spine"""
+
+SQL["dates_to_load"] = CHAIN_BRONZE + """
+, req AS (
+  SELECT base, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT base_currency AS base, min(ingestion_date) AS lo, max(ingestion_date) AS hi FROM bronze GROUP BY 1)
+)
+SELECT base, date FROM req r
+WHERE isodow(date) <= 5
+  AND NOT EXISTS (SELECT 1 FROM bronze b WHERE b.base_currency = r.base AND b.ingestion_date = r.date)"""
+
+SQL["fetch_label"] = CHAIN_BRONZE + f"""
+SELECT date, CASE WHEN date >= DATE '{RUN_DATE}' THEN 'latest' ELSE strftime(date, '%Y-%m-%d') END AS label
+FROM (SELECT DISTINCT ingestion_date AS date FROM bronze)"""
+
+# ---- joins ---------------------------------------------------------------------------
+
+LATEST_COLS_R8 = ", ".join(
+    ["currency_pair", "date", "rate"]
+    + [r8(c) + f" AS {c}" for c in ("ma_7", "ma_30", "ma_90", "volatility_30", "rate_z_score")]
+)
+
+SQL["latest_rates"] = CHAIN_GOLD + f"""
+SELECT {LATEST_COLS_R8} FROM gold WHERE date = (SELECT max(date) FROM gold)"""
+
+SQL["rate_z_score_join"] = CHAIN_SILVER + f"""
+SELECT s.date, s.currency_pair, s.rate,
+       {r8('(s.rate - st.m) / nullif(st.sd, 0)')} AS rate_z_score
+FROM silver s JOIN (SELECT currency_pair, avg(rate) AS m, stddev_samp(rate) AS sd FROM silver GROUP BY 1) st
+  USING (currency_pair)"""
+
+# ---- aggregates -------------------------------------------------------------------
+
+SQL["max_date"] = CHAIN_GOLD + "SELECT max(date) AS max_date FROM gold"
+
+SQL["return_stats"] = CHAIN_GOLD + """
+SELECT currency_pair,
+       round_even(avg(daily_return * 100.0), 4) AS mean_pct,
+       round_even(stddev_samp(daily_return * 100.0), 4) AS std_pct,
+       round_even(min(daily_return * 100.0), 4) AS min_pct,
+       round_even(max(daily_return * 100.0), 4) AS max_pct
+FROM gold WHERE daily_return IS NOT NULL GROUP BY 1"""
+
+SQL["avg_volatility"] = CHAIN_GOLD + f"""
+SELECT currency_pair, {r8('avg(volatility_30)')} AS avg_vol
+FROM gold WHERE volatility_30 IS NOT NULL GROUP BY 1"""
+
+DAILY = """
+daily AS (
+  SELECT CAST(ts AS DATE) AS date, event_type AS currency_pair, round(avg(value), 8) AS rate
+  FROM events GROUP BY 1, 2
+),
+daily_silver AS (
+  SELECT date, currency_pair, rate,
+         CASE WHEN lag(rate) OVER (PARTITION BY currency_pair ORDER BY date) <> 0
+              THEN rate / lag(rate) OVER (PARTITION BY currency_pair ORDER BY date) - 1.0 END AS daily_return
+  FROM daily
+)"""
+
+CHAIN_DAILY_GOLD = with_(DAILY, gold_cte(source="daily_silver", name="dgold"))
+
+DAILY_PAIRS = ("click", "error", "purchase", "signup", "view")
+HEATMAP_DATES = tuple(f"2024-01-{d:02d}" for d in range(1, 31))
+
+SQL["volatility_pivot"] = CHAIN_DAILY_GOLD + "SELECT date, " + ", ".join(
+    r8(f"avg(volatility_30) FILTER (WHERE currency_pair = '{p}')") + f' AS "{p}"' for p in DAILY_PAIRS
+) + " FROM dgold WHERE volatility_30 IS NOT NULL GROUP BY date"
+
+SQL["volatility_pivot_by_pair"] = CHAIN_DAILY_GOLD + "SELECT currency_pair, " + ", ".join(
+    r8(f"avg(volatility_30) FILTER (WHERE date = DATE '{d}')") + f' AS "{d}"' for d in HEATMAP_DATES
+) + " FROM dgold WHERE volatility_30 IS NOT NULL GROUP BY currency_pair"
+
+SQL["distinct_pairs"] = CHAIN_GOLD + "SELECT DISTINCT currency_pair FROM gold"
+
+SQL["latest_per_pair"] = CHAIN_GOLD + f"""
+SELECT {LATEST_COLS_R8} FROM (
+  SELECT *, row_number() OVER (PARTITION BY currency_pair ORDER BY date DESC) AS rn FROM gold)
+WHERE rn = 1"""
+
+SQL["training_counts"] = CHAIN_GOLD + """
+SELECT currency_pair, count(*) AS n_rows, count(rate) AS n_valid, min(date) AS first_date,
+       max(date) AS last_date, count(*) >= 30 AS eligible
+FROM gold GROUP BY 1"""
+
+# ---- windows -------------------------------------------------------------------
+
+SQL["prev_rate"] = CHAIN_SILVER + "SELECT date, currency_pair, rate, prev_rate FROM silver"
+
+SQL["moving_averages"] = CHAIN_GOLD + f"""
+SELECT date, currency_pair, {r8('ma_7')} AS ma_7, {r8('ma_30')} AS ma_30, {r8('ma_90')} AS ma_90 FROM gold"""
+
+SQL["volatility_30"] = CHAIN_GOLD + f"SELECT date, currency_pair, {r8('volatility_30')} AS volatility_30 FROM gold"
+
+SQL["rate_z_score"] = CHAIN_GOLD + f"SELECT date, currency_pair, rate, {r8('rate_z_score')} AS rate_z_score FROM gold"
+
+SQL["latest_change"] = CHAIN_GOLD + f"""
+, last2 AS (
+  SELECT currency_pair, date, rate,
+         row_number() OVER (PARTITION BY currency_pair ORDER BY date DESC) AS rn FROM gold)
+SELECT a.currency_pair, a.date AS latest_date, a.rate AS latest_rate,
+       {r8('(a.rate - coalesce(b.rate, a.rate)) / nullif(coalesce(b.rate, a.rate), 0) * 100.0')} AS change_pct
+FROM last2 a LEFT JOIN last2 b ON a.currency_pair = b.currency_pair AND b.rn = 2
+WHERE a.rn = 1"""
+
+SQL["tail_90"] = CHAIN_GOLD + """
+SELECT currency_pair, date, rate FROM (
+  SELECT *, row_number() OVER (PARTITION BY currency_pair ORDER BY date DESC) AS rn FROM gold)
+WHERE rn <= 90"""
+
+SQL["order_key"] = CHAIN_SILVER + """
+SELECT date, currency_pair, CAST(date_diff('day', DATE '1970-01-01', date) AS BIGINT) AS order_key FROM silver"""
+
+SQL["ma_calendar_days"] = CHAIN_SILVER + f"""
+SELECT date, currency_pair, rate,
+       {r8("avg(rate) OVER (PARTITION BY currency_pair ORDER BY date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)")} AS ma_30d,
+       {r8("stddev_samp(daily_return) OVER (PARTITION BY currency_pair ORDER BY date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)")} AS volatility_30d
+FROM silver"""
+
+# ---- sorts / sets -----------------------------------------------------------------
+
+SQL["training_set"] = CHAIN_GOLD + "SELECT currency_pair, date AS ds, rate AS y FROM gold WHERE rate IS NOT NULL"
+
+SQL["top_outliers"] = CHAIN_GOLD + f"""
+SELECT date, currency_pair, rate, {r8('rate_z_score')} AS rate_z_score FROM gold
+WHERE abs(rate_z_score) > 2.0
+ORDER BY abs(rate_z_score) DESC, date, currency_pair LIMIT 20"""
+
+SQL["table_preview"] = CHAIN_GOLD + f"SELECT {GOLD_COLS_R8} FROM gold ORDER BY date, currency_pair LIMIT 10"
+
+LINE_RATES = """
+line_rates AS (
+  SELECT CAST(l_shipdate AS DATE) AS ingestion_date, l_returnflag AS base_currency, l_linestatus AS target_currency,
+         l_extendedprice AS rate, 'lineitem' AS source, CAST(l_shipdate AS TIMESTAMP) AS ingested_at,
+         l_orderkey * 8 + l_linenumber AS record_id
+  FROM lineitem
+),
+line_bronze AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (
+      PARTITION BY ingestion_date, base_currency, target_currency
+      ORDER BY ingested_at DESC, record_id DESC) AS rn
+    FROM line_rates)
+  WHERE rn = 1
+)"""
+
+SQL["union_pairs"] = with_(RATES, BRONZE, LINE_RATES) + """
+SELECT ingestion_date AS date, concat_ws('_', base_currency, target_currency) AS currency_pair, rate, 'orders' AS series
+FROM bronze
+UNION ALL
+SELECT ingestion_date, concat_ws('_', base_currency, target_currency), rate, 'lineitem' FROM line_bronze"""
+
+# ---- forecast -------------------------------------------------------------------
+
+FC = CHAIN_GOLD + """
+, cnt AS (
+  SELECT currency_pair, count(*) AS n_rows, min(date) AS first_date, max(date) AS last_date
+  FROM gold GROUP BY 1 HAVING count(*) >= 30
+),
+pts AS (
+  SELECT g.currency_pair, g.rate, CAST(date_diff('day', c.first_date, g.date) AS DOUBLE) AS t,
+         isodow(g.date) - 1 AS wd
+  FROM gold g JOIN cnt c USING (currency_pair) WHERE g.rate IS NOT NULL
+),
+line AS (
+  SELECT currency_pair, regr_intercept(rate, t) AS a, regr_slope(rate, t) AS b FROM pts GROUP BY 1
+),
+resid AS (
+  SELECT p.currency_pair, p.wd, p.rate - (l.a + l.b * p.t) AS e0 FROM pts p JOIN line l USING (currency_pair)
+),
+prof AS (SELECT currency_pair, wd, avg(e0) AS s_w FROM resid GROUP BY 1, 2),
+sig AS (
+  SELECT r.currency_pair, stddev_samp(r.e0 - p.s_w) AS sigma
+  FROM resid r JOIN prof p USING (currency_pair, wd) GROUP BY 1
+),
+model AS (
+  SELECT * FROM cnt JOIN line USING (currency_pair) JOIN sig USING (currency_pair)
+  WHERE b IS NOT NULL AND sigma IS NOT NULL
+),
+days AS (
+  SELECT m.*, CAST(unnest(generate_series(last_date + 1, last_date + 30, INTERVAL 1 DAY)) AS DATE) AS forecast_date
+  FROM model m
+),
+fc AS (
+  SELECT d.currency_pair, d.forecast_date,
+         d.a + d.b * CAST(date_diff('day', d.first_date, d.forecast_date) AS DOUBLE) + coalesce(p.s_w, 0.0) AS yhat,
+         d.sigma, d.n_rows
+  FROM days d LEFT JOIN prof p ON p.currency_pair = d.currency_pair AND p.wd = isodow(d.forecast_date) - 1
+),
+fc2 AS (
+  SELECT currency_pair, forecast_date, yhat,
+         yhat - 1.959963984540054 * sigma AS yhat_lower,
+         yhat + 1.959963984540054 * sigma AS yhat_upper,
+         CAST(n_rows AS INTEGER) AS training_rows
+  FROM fc
+)
+"""
+
+SQL["forecast"] = FC + f"""
+SELECT currency_pair, forecast_date, {r6('yhat')} AS yhat, {r6('yhat_lower')} AS yhat_lower,
+       {r6('yhat_upper')} AS yhat_upper, training_rows FROM fc2"""
+
+SQL["forecast_model"] = FC + f"""
+SELECT currency_pair, n_rows, first_date, last_date, {r6('a')} AS a, {r6('b')} AS b, {r6('sigma')} AS sigma FROM model"""
+
+SQL["forecast_summary"] = FC + f"""
+SELECT currency_pair, forecast_date, {r6('yhat')} AS forecast_rate, {r6('yhat_lower')} AS lower_bound,
+       {r6('yhat_upper')} AS upper_bound, {r6('yhat_upper - yhat_lower')} AS uncertainty_range FROM fc2"""
+
+SQL["forecast_display"] = FC + """
+SELECT currency_pair, forecast_date AS "Date", round(yhat, 5) + 0.0 AS "Forecast",
+       round(yhat_lower, 5) + 0.0 AS "Lower (95%)", round(yhat_upper, 5) + 0.0 AS "Upper (95%)" FROM fc2"""
+
+SQL["history_and_forecast"] = FC + f"""
+SELECT currency_pair, date, 'history' AS kind, {r6('rate')} AS value, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper
+FROM (SELECT *, row_number() OVER (PARTITION BY currency_pair ORDER BY date DESC) AS rn FROM gold) WHERE rn <= 90
+UNION ALL
+SELECT currency_pair, forecast_date, 'forecast', {r6('yhat')}, {r6('yhat_lower')}, {r6('yhat_upper')} FROM fc2"""
+
+# ---- serving --------------------------------------------------------------------
+
+SQL["adhoc_sql"] = CHAIN_GOLD + """
+SELECT currency_pair, round(avg(volatility_30), 8) + 0.0 AS avg_vol
+FROM gold WHERE volatility_30 IS NOT NULL GROUP BY 1"""
+
+SQL["chart_rates"] = CHAIN_GOLD + "SELECT date, currency_pair, rate FROM gold"
+
+SQL["chart_rates_ma"] = CHAIN_GOLD + f"""
+SELECT date, currency_pair, rate, {r8('ma_7')} AS ma_7, {r8('ma_30')} AS ma_30, {r8('ma_90')} AS ma_90 FROM gold"""
+
+# ---- scalar functions ------------------------------------------------------------
+
+SQL["fn_string"] = with_(RATES) + """
+SELECT record_id,
+       concat_ws('_', base_currency, target_currency) AS currency_pair,
+       string_split(concat_ws('_', base_currency, target_currency), '_')[1] AS base_part,
+       string_split(concat_ws('_', base_currency, target_currency), '_')[2] AS target_part,
+       trim('  ' || base_currency || '  ') AS trimmed,
+       length(base_currency) AS base_len
+FROM rates"""
+
+SQL["fn_datetime"] = """
+SELECT o_orderkey AS record_id,
+       CAST(o_orderdate AS DATE) AS d,
+       CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS unix_day,
+       CAST(epoch(o_orderdate) AS BIGINT) AS unix_seconds,
+       strftime(o_orderdate, '%Y-%m-%d') AS iso_date,
+       CAST(o_orderdate AS DATE) + 30 AS plus_30,
+       CAST(isodow(o_orderdate) - 1 AS INTEGER) AS weekday,
+       CAST(o_orderdate AS DATE) >= DATE '2001-06-01' AS is_recent
+FROM orders"""
+
+SQL["fn_math"] = CHAIN_SILVER + f"""
+SELECT date, currency_pair,
+       {r8('rate / prev_rate - 1.0')} AS simple_return,
+       {r8('abs(daily_return) * 100.0')} AS abs_return_pct,
+       round(rate, 2) + 0.0 AS rate_2dp,
+       round_even(rate / 1000.0, 1) + 0.0 AS rate_k_even
+FROM silver"""
+
+SQL["fn_null"] = CHAIN_SILVER + """
+SELECT date, currency_pair,
+       coalesce(prev_rate, rate) AS prev_or_rate,
+       prev_rate IS NOT NULL AS has_prev,
+       rate BETWEEN 10000.0 AND 50000.0 AS mid_band,
+       CASE WHEN prev_rate IS NULL THEN 'first' WHEN rate <> prev_rate THEN 'moved' ELSE 'flat' END AS state,
+       nullif(target_currency, 'F') AS open_target
+FROM silver"""
+
+SQL["fn_json_map"] = """
+SELECT event_id,
+       CAST(json_array_length(json_keys(props)) AS INTEGER) AS n_keys,
+       json_keys(props)[1] AS first_key,
+       TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k_value
+FROM events"""

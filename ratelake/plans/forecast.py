@@ -10,9 +10,9 @@ Default model, Spark aggregates only (no per-group Python):
   ``yhat = a + b t + s_w`` and ``yhat -+ z sigma`` with ``z`` the normal
   quantile of the interval width.
 
-Every step is a ``groupBy`` (combined map-side) or a join of the per-row data
-with a per-pair table; AQE broadcasts that table when its measured size is
-small and otherwise keeps a shuffle join.
+The fit is one window and two aggregates, all keyed by the pair, and the
+prediction is a generator: on gold (already shuffled on the pair) the whole
+forecast adds no exchange.
 
 An optional grouped-map model (piecewise-linear trend + Fourier seasonality,
 ridge-fitted with numpy in ``applyInPandas``) follows the structure of
@@ -26,10 +26,9 @@ from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratelake.operators.aggregates import training_counts
 from ratelake.operators.frames import enforce_schema, run_timestamp
 from ratelake.operators.series import PAIR
 from ratelake.schemas import FORECAST_HORIZON_DAYS, FORECAST_SCHEMA, INTERVAL_WIDTH, MIN_TRAINING_ROWS
@@ -47,65 +46,94 @@ def training_set(gold: DataFrame) -> DataFrame:
     return gold.select(PAIR, F.col("date").alias("ds"), F.col("rate").alias("y")).filter(F.col("y").isNotNull())
 
 
-def fit_default_model(gold: DataFrame, min_rows: int = MIN_TRAINING_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Fit every eligible pair. Returns (model per pair, weekday profile, skipped pairs)."""
-    counts = training_counts(gold.select(PAIR, "date", "rate"), min_rows)
-    eligible = counts.filter("eligible").select(PAIR, "n_rows", "first_date", "last_date")
-    pts = (
-        gold.select(PAIR, "date", "rate")
-        .filter(F.col("rate").isNotNull())
-        .join(eligible.select(PAIR, "first_date"), PAIR)
-        .select(
+def fit_default_model(gold: DataFrame, min_rows: int = MIN_TRAINING_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Fit every eligible pair. Returns (model per pair, skipped pairs with a reason).
+
+    * per pair, over an unordered window on the pair: row count (NULL rates
+      included, as the gate counts them), first / last date and the
+      least-squares line on the day number;
+    * residual ``e0`` per row, aggregated per (pair, weekday) into count,
+      mean ``s_w`` and sum of squared deviations;
+    * per pair: sigma from the pooled within-weekday sum of squares (the
+      residual after the weekday profile has mean 0, so its sample variance
+      is that sum over ``n - 1``) and the profile as a 7-entry map.
+
+    Gold is one row per (pair, day), so a pair's window is bounded by the
+    days it covers. The window and both aggregates are keyed by the pair:
+    after gold's own shuffle on the pair, the fit adds no exchange.
+    """
+    w = Window.partitionBy(PAIR)
+    day = F.unix_date("date").cast("double")
+    rows = gold.select(PAIR, "date", "rate").select(
+        "*",
+        F.count(F.lit(1)).over(w).alias("n_rows"),
+        F.min("date").over(w).alias("first_date"),
+        F.max("date").over(w).alias("last_date"),
+        F.regr_intercept("rate", day).over(w).alias("a_day0"),
+        F.regr_slope("rate", day).over(w).alias("b"),
+    )
+    fit_rows = rows.filter((F.col("n_rows") >= F.lit(min_rows)) & F.col("b").isNotNull() & F.col("rate").isNotNull())
+    profile = (
+        fit_rows.select(
             PAIR,
-            F.col("rate"),
-            F.datediff("date", "first_date").cast("double").alias("t"),
             F.weekday("date").alias("wd"),
+            (F.col("rate") - (F.col("a_day0") + F.col("b") * day)).alias("e0"),
+            "n_rows",
+            "first_date",
+            "last_date",
+            "a_day0",
+            "b",
+        )
+        .groupBy(PAIR, "wd")
+        .agg(
+            F.count(F.lit(1)).alias("n_w"),
+            F.avg("e0").alias("s_w"),
+            (F.var_pop("e0") * F.count(F.lit(1))).alias("ss_w"),
+            F.first("n_rows").alias("n_rows"),
+            F.first("first_date").alias("first_date"),
+            F.first("last_date").alias("last_date"),
+            F.first("a_day0").alias("a_day0"),
+            F.first("b").alias("b"),
         )
     )
-    line = pts.groupBy(PAIR).agg(
-        F.regr_intercept("rate", "t").alias("a"),
-        F.regr_slope("rate", "t").alias("b"),
+    model = profile.groupBy(PAIR).agg(
+        F.first("n_rows").alias("n_rows"),
+        F.first("first_date").alias("first_date"),
+        F.first("last_date").alias("last_date"),
+        (F.first("a_day0") + F.first("b") * F.unix_date(F.first("first_date")).cast("double")).alias("a"),
+        F.first("b").alias("b"),
+        F.sqrt(F.sum("ss_w") / F.nullif(F.sum("n_w") - F.lit(1), F.lit(0))).alias("sigma"),
+        F.map_from_entries(F.collect_list(F.struct("wd", "s_w"))).alias("weekly"),
     )
-    resid = pts.join(line, PAIR).select(PAIR, "wd", (F.col("rate") - (F.col("a") + F.col("b") * F.col("t"))).alias("e0"))
-    profile = resid.groupBy(PAIR, "wd").agg(F.avg("e0").alias("s_w"))
-    sigma = resid.join(profile, [PAIR, "wd"]).groupBy(PAIR).agg(F.stddev_samp(F.col("e0") - F.col("s_w")).alias("sigma"))
-    model = eligible.join(line, PAIR).join(sigma, PAIR)
-    ok = F.col("b").isNotNull() & F.col("sigma").isNotNull()
-    skipped = counts.join(model.select(PAIR, "b", "sigma"), PAIR, "left").select(
+    stats = rows.groupBy(PAIR).agg(F.first("n_rows").alias("n_rows"), F.first("b").alias("b"))
+    skipped = stats.join(model.select(PAIR, "sigma"), PAIR, "left").select(
         PAIR,
         "n_rows",
-        F.when(~F.col("eligible"), F.lit("too_few_rows")).when(~F.coalesce(ok, F.lit(False)), F.lit("degenerate_fit")).alias(
-            "reason"
-        ),
+        F.when(F.col("n_rows") < F.lit(min_rows), F.lit("too_few_rows"))
+        .when(F.col("b").isNull() | F.col("sigma").isNull(), F.lit("degenerate_fit"))
+        .alias("reason"),
     ).filter(F.col("reason").isNotNull())
-    return model.filter(ok), profile, skipped
+    return model.filter(F.col("sigma").isNotNull()), skipped
 
 
 def predict_default_model(
     model: DataFrame,
-    profile: DataFrame,
     horizon: int = FORECAST_HORIZON_DAYS,
     interval_width: float = INTERVAL_WIDTH,
     run_ts: datetime | str | None = None,
 ) -> DataFrame:
-    """The next ``horizon`` calendar days after each pair's last date."""
+    """The next ``horizon`` calendar days after each pair's last date (a generator, no join)."""
     z = z_value(interval_width)
     days = model.select(
         "*",
         F.explode(F.sequence(F.date_add("last_date", 1), F.date_add("last_date", horizon))).alias("forecast_date"),
-    ).withColumn("wd", F.weekday("forecast_date"))
-    fc = days.join(profile, [PAIR, "wd"], "left").select(
-        PAIR,
-        "forecast_date",
-        (
-            F.col("a")
-            + F.col("b") * F.datediff("forecast_date", "first_date").cast("double")
-            + F.coalesce(F.col("s_w"), F.lit(0.0))
-        ).alias("yhat"),
-        F.col("sigma"),
-        F.col("n_rows").alias("training_rows"),
     )
-    out = fc.select(
+    yhat = (
+        F.col("a")
+        + F.col("b") * F.datediff("forecast_date", "first_date").cast("double")
+        + F.coalesce(F.element_at("weekly", F.weekday("forecast_date")), F.lit(0.0))
+    )
+    out = days.select(PAIR, "forecast_date", yhat.alias("yhat"), "sigma", F.col("n_rows").alias("training_rows")).select(
         PAIR,
         "forecast_date",
         "yhat",
@@ -124,8 +152,8 @@ def forecast(
     interval_width: float = INTERVAL_WIDTH,
     run_ts: datetime | str | None = None,
 ) -> DataFrame:
-    model, profile, _ = fit_default_model(gold, min_rows)
-    return predict_default_model(model, profile, horizon, interval_width, run_ts)
+    model, _ = fit_default_model(gold, min_rows)
+    return predict_default_model(model, horizon, interval_width, run_ts)
 
 
 def run_forecasting(

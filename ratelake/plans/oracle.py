@@ -388,6 +388,15 @@ line_bronze AS (
   WHERE rn = 1
 )"""
 
+LINE_CHAIN = with_(
+    LINE_RATES,
+    VALID.replace("valid AS", "line_valid AS").replace("FROM bronze", "FROM line_bronze"),
+    SILVER.replace("silver AS", "line_silver AS").replace("FROM valid", "FROM line_valid"),
+    gold_cte(source="line_silver", name="line_gold"),
+)
+
+SQL["line_gold_rates"] = LINE_CHAIN + f"SELECT {GOLD_COLS_R8} FROM line_gold"
+
 SQL["union_pairs"] = with_(RATES, BRONZE, LINE_RATES) + """
 SELECT ingestion_date AS date, concat_ws('_', base_currency, target_currency) AS currency_pair, rate, 'orders' AS series
 FROM bronze
@@ -480,7 +489,7 @@ SELECT record_id,
        string_split(concat_ws('_', base_currency, target_currency), '_')[1] AS base_part,
        string_split(concat_ws('_', base_currency, target_currency), '_')[2] AS target_part,
        trim('  ' || base_currency || '  ') AS trimmed,
-       length(base_currency) AS base_len
+       CAST(length(base_currency) AS INTEGER) AS base_len
 FROM rates"""
 
 SQL["fn_datetime"] = """

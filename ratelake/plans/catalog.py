@@ -430,6 +430,13 @@ def q_table_preview(spark, sf):
     return serving.table_preview(gold_view(spark, sf))
 
 
+@query("gold_rates_split")
+def q_gold_rates_split(spark, sf):
+    """Gold with every pair cut into 128-row chunks plus a lookback halo (the hot-key strategy)."""
+    g = layers.transform_to_gold(silver(spark, sf), run_ts=RUN_TS, split_chunk_rows=128)
+    return rounded(g.drop("created_at"), GOLD_FLOATS)
+
+
 @query("line_gold_rates")
 def q_line_gold_rates(spark, sf):
     """Gold over the lineitem-derived series (many copies per key: the dedup-heavy bench input)."""

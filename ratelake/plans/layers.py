@@ -30,7 +30,9 @@ from ratelake.operators.series import (
     PAIR,
     add_currency_pair,
     add_date_column,
+    add_rate_z_score_by_join,
     prev_value,
+    rolling_features_split,
     rolling_feature_columns,
     simple_return,
     z_score_column,
@@ -118,14 +120,35 @@ def gold_core(
     return df.withColumn("rate_z_score", z_score_column("rate"))
 
 
+def gold_core_split(
+    silver: DataFrame,
+    windows: Sequence[int] = DEFAULT_WINDOWS,
+    volatility_window: int = DEFAULT_VOLATILITY_WINDOW,
+    chunk_rows: int = 100_000,
+) -> DataFrame:
+    """Gold for series too long for one task: the pair is cut into row chunks with a
+    lookback halo, the lifetime z-score is an aggregate joined back on the pair,
+    and (pair, date) uniqueness is enforced with the map-side ``max_by`` dedup."""
+    df = deduplicate(silver.select("date", PAIR, "rate", "daily_return"), [PAIR, "date"], ["rate", "daily_return"])
+    df = rolling_features_split(df, windows, volatility_window, chunk_rows=chunk_rows)
+    return add_rate_z_score_by_join(df)
+
+
 def transform_to_gold(
     silver: DataFrame,
     windows: Sequence[int] = DEFAULT_WINDOWS,
     volatility_window: int = DEFAULT_VOLATILITY_WINDOW,
     run_ts: datetime | str | None = None,
     calendar_days: bool = False,
+    split_chunk_rows: int | None = None,
 ) -> DataFrame:
-    df = gold_core(silver, windows, volatility_window, calendar_days).withColumn("created_at", run_timestamp(run_ts))
+    """Gold layer. ``split_chunk_rows`` switches to :func:`gold_core_split` (for keys whose
+    series does not fit one task); the default keeps one window partition per pair."""
+    if split_chunk_rows:
+        core = gold_core_split(silver, windows, volatility_window, split_chunk_rows)
+    else:
+        core = gold_core(silver, windows, volatility_window, calendar_days)
+    df = core.withColumn("created_at", run_timestamp(run_ts))
     return enforce_schema(df, gold_schema(windows, volatility_window))
 
 

@@ -107,3 +107,17 @@ def test_latest_change_and_tail(spark):
     got = {r.currency_pair: r.change_pct for r in latest_change(df).collect()}
     assert got == {"P": 100.0, "Q": 0.0}
     assert tail_rows(df, 2).count() == 3
+
+
+def test_split_strategy_equals_plain_windows(spark):
+    s = sine_silver(spark, 50, (("USD_EUR", 0.92), ("USD_SEK", 10.45)))
+    plain = layers.transform_to_gold(s, windows=(3, 5), volatility_window=4, run_ts="2024-03-01 00:00:00")
+    split = layers.transform_to_gold(s, windows=(3, 5), volatility_window=4, run_ts="2024-03-01 00:00:00", split_chunk_rows=6)
+    a = {(r.date, r.currency_pair): r for r in plain.collect()}
+    b = {(r.date, r.currency_pair): r for r in split.collect()}
+    assert a.keys() == b.keys()
+    for k, r in a.items():
+        for c in ("ma_3", "ma_5", "volatility_4", "rate_z_score"):
+            assert (r[c] is None and b[k][c] is None) or r[c] == pytest.approx(b[k][c], abs=1e-12)
+    with pytest.raises(ValueError, match="chunk_rows"):
+        layers.transform_to_gold(s, split_chunk_rows=10)

@@ -168,6 +168,23 @@ def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), sing
     writer.parquet(path)
 
 
+class DatasetMissing(FileNotFoundError):
+    """A layer table that should exist has not been written yet."""
+
+
+def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
+    """Read a written layer (with its schema when given); a missing table raises ``DatasetMissing``."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    try:
+        df = reader.parquet(path)
+        df.inputFiles()
+    except Exception as exc:  # noqa: BLE001 - only a missing path is translated
+        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            raise DatasetMissing(f"No dataset at {path}; run the upstream layer first") from exc
+        raise
+    return df
+
+
 def run_bronze(spark: SparkSession, raw: DataFrame, bronze_path: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
     write_layer(transform_to_bronze(raw, tie_breakers), bronze_path)
     return spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path)

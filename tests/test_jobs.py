@@ -60,3 +60,22 @@ def test_bronze_skipped_without_landing_and_unknown_layer(spark, tmp_dir):
         assert "platinum" in str(exc)
     else:
         raise AssertionError("unknown layer accepted")
+
+
+def test_partitioned_layer_write_replaces_only_present_partitions(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from ratelake.plans.layers import DatasetMissing, read_layer, write_layer
+
+    out = f"{tmp_dir}/gold"
+    df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "currency_pair string, rate double")
+    write_layer(df, out, partition_by=["currency_pair"])
+    write_layer(df.filter("currency_pair = 'A'").withColumn("rate", F.lit(9.0)), out, partition_by=["currency_pair"])
+    got = {r.currency_pair: r.rate for r in read_layer(spark, out).collect()}
+    assert got == {"A": 9.0, "B": 2.0}
+    try:
+        read_layer(spark, f"{tmp_dir}/nothing")
+    except DatasetMissing:
+        pass
+    else:
+        raise AssertionError("missing dataset not reported")

@@ -67,7 +67,12 @@ def main() -> None:
     # (whole-stage codegen) for its plan shape, the second is the steady state.
     times: dict[str, float] = {}
     cold: dict[str, float] = {}
+    exchanges: dict[str, int] = {}
     for name in HEADLINE:
+        plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        exchanges[name] = plan.count("Exchange hashpartitioning") + plan.count("Exchange rangepartitioning") + plan.count(
+            "Exchange SinglePartition"
+        )
         cold[name] = timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)))
         times[name] = timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)))
 
@@ -90,6 +95,7 @@ def main() -> None:
                 "queries": times,
                 "cold_queries": cold,
                 "cold_total": round(sum(cold.values()), 3),
+                "shuffle_exchanges": exchanges,
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
             }

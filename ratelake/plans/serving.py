@@ -131,19 +131,21 @@ def register_table(spark: SparkSession, df: DataFrame, name: str, save_as_table:
         df.createOrReplaceTempView(name)
 
 
-def load_parquet_as_table(spark: SparkSession, name: str, path: str, recursive: bool = False) -> bool:
-    """Register a parquet file / directory (hive partitions discovered) as ``name``.
+def load_parquet_as_table(spark: SparkSession, name: str, path: str, recursive: bool = False) -> int:
+    """Register a parquet file, flat directory or hive-partitioned tree as ``name`` (replacing it).
 
-    Returns False when the path does not exist (nothing registered)."""
+    Returns the row count (answered from parquet footers), 0 when the path
+    does not exist (nothing registered). ``recursive`` reads nested folders
+    without partition discovery."""
     reader = spark.read.option("recursiveFileLookup", "true") if recursive else spark.read
     try:
         df = reader.parquet(path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return False
+            return 0
         raise
     df.createOrReplaceTempView(name)
-    return True
+    return df.count()
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -61,8 +61,8 @@ def test_pivots(spark):
 def test_views_registry_and_sql(spark, tmp_dir):
     g = gold(spark)
     g.write.mode("overwrite").parquet(f"{tmp_dir}/gold")
-    assert serving.load_parquet_as_table(spark, "gold_t", f"{tmp_dir}/gold")
-    assert not serving.load_parquet_as_table(spark, "fc_t", f"{tmp_dir}/missing")
+    assert serving.load_parquet_as_table(spark, "gold_t", f"{tmp_dir}/gold") == 19
+    assert serving.load_parquet_as_table(spark, "fc_t", f"{tmp_dir}/missing") == 0
     made = serving.create_views(spark, gold_table="gold_t", forecast_table="fc_t_absent")
     assert "v_forecast_summary" not in made and serving.table_exists(spark, "v_latest_rates")
     names = {r.table_name for r in serving.list_tables(spark).collect()}

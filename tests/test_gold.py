@@ -121,3 +121,20 @@ def test_split_strategy_equals_plain_windows(spark):
             assert (r[c] is None and b[k][c] is None) or r[c] == pytest.approx(b[k][c], abs=1e-12)
     with pytest.raises(ValueError, match="chunk_rows"):
         layers.transform_to_gold(s, split_chunk_rows=10)
+
+
+def test_row_positions_across_blocks_with_gaps(spark):
+    from ratelake.operators.series import row_positions
+
+    days = [0, 1, 2, 9, 10, 30, 31, 32, 33, 60]
+    rows = [(date(2024, 1, 1) + timedelta(days=d), p, "B", "T", 1.0, None, None, None) for d in days for p in ("P", "Q")]
+    df = spark.createDataFrame(rows, SILVER)
+    out = row_positions(df, block_days=7).collect()
+    for pair in ("P", "Q"):
+        got = sorted((r.date, r._pos) for r in out if r.currency_pair == pair)
+        assert [p for _, p in got] == list(range(len(days)))
+    split = layers.transform_to_gold(df, windows=(3,), volatility_window=2, split_chunk_rows=3)
+    plain = layers.transform_to_gold(df, windows=(3,), volatility_window=2)
+    assert sorted((r.date, r.currency_pair, r.ma_3) for r in split.collect()) == sorted(
+        (r.date, r.currency_pair, r.ma_3) for r in plain.collect()
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import block_naming, packing, sharding, tokenised
+from ratelake.llm import block_naming, byte_bpe, fingerprints, html_text, packing, sharding, tokenised
 from ratelake.llm.common import table
 
 
@@ -20,6 +20,22 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, pieces, 2048)
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.digests(byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prints = fingerprints.fingerprint_documents(spark, table(spark, sf_dir, "documents"))
+    return prints.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_duplicates(spark, table(spark, sf_dir, "documents"))
 
@@ -33,6 +49,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_byte_bpe": op3_byte_bpe,
+    "op7_html": op7_html,
+    "op8_fingerprints": op8_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }

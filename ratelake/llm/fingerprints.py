@@ -72,10 +72,10 @@ def features(buffer: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[n
         reach *= 2
     chosen = low[inside] & ((1 << 40) - 1)
     count = np.bincount(chosen, minlength=n)
-    # A text with few windows has few neighbourhoods; its lowest window counts anyway.
-    windows = np.maximum(size - WIDTH + 1, 0)
-    need = np.minimum(POPULARITY, (windows + 3) // 4)
     at = np.flatnonzero(count)
+    most = np.zeros(len(first), dtype=np.int64)
+    np.maximum.at(most, owner[at], count[at])
+    need = np.minimum(POPULARITY, most)  # the best window of a short text counts anyway
     at = at[count[at] >= need[owner[at]]]
     return owner[at], at
 

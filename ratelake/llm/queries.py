@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import block_naming, byte_bpe, fingerprints, html_text, packing, sharding, tokenised
-from ratelake.llm.common import table
+from ratelake.llm import block_naming, byte_bpe, fingerprints, html_text, packing, sharding, tokenised, toxicity, url_filter
+from ratelake.llm.common import crc_of_id, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,6 +27,27 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(spark, docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(crc_of_id() % 4 == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("__score").alias("score"), F.col("__predicted").alias("predicted"))
+
+
+# The rules of the query.
+URL_RULES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark, table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -50,6 +71,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_toxicity": op4_toxicity,
+    "op5_url_filter": op5_url_filter,
     "op7_html": op7_html,
     "op8_fingerprints": op8_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,

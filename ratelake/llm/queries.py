@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import block_naming, byte_bpe, fingerprints, html_text, packing, sharding, tokenised, toxicity, url_filter
+from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, packing, sharding, tokenised, toxicity, url_filter
 from ratelake.llm.common import crc_of_id, table
 
 
@@ -20,6 +20,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, pieces, 2048)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.jaccard_join(spark, table(spark, sf_dir, "documents"), n=5, threshold=0.8)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -70,6 +74,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import materialise, shuffle_partitions
+from ratelake.llm.common import join_groups, materialise, shuffle_partitions
 
 BINS = 128
 _M = np.uint64(0x9E3779B97F4A7C15)
@@ -329,7 +329,9 @@ def jaccard_join(
     roots = connect(spark, linked.where("root IS NOT NULL").select(F.col("rep").alias("a"), F.col("root").alias("b")))
     classes = sets.join(number, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     classes = classes.select("fp1", "fp2", "rep", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("class_id"))
-    return signed.join(classes, ["fp1", "fp2"]).select("doc_id", F.col("rep").alias("rep_id"), "class_id", "n_links", "n_copies")
+    classes = materialise(spark, classes, "classes")
+    rows = signed.select("doc_id", "fp1", "fp2")
+    return join_groups(rows, classes, ["fp1", "fp2"], "n_copies", signed.count()).select("doc_id", F.col("rep").alias("rep_id"), "class_id", "n_links", "n_copies")
 
 
 def keep_one_per_class(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:

@@ -54,3 +54,21 @@ def gapless_rank(df: DataFrame, keys: list[str], order: list[str], out: str, sal
         .withColumn(out, (F.col("__first") + F.col("__row") - 1).cast("long"))
         .drop("__salt", "__first", "__row")
     )
+
+
+def key_per_partition(spark: SparkSession, partitions: int) -> list[int]:
+    """For every partition number an int key that ``repartition(partitions, key)`` sends there: one key, one task."""
+    ids = spark.range(40 * partitions + 200).select(F.col("id").cast("int").alias("key"))
+    rows = ids.groupBy(F.pmod(F.hash("key"), F.lit(partitions)).alias("at")).agg(F.min("key").alias("key")).collect()
+    found = {r["at"]: r["key"] for r in rows}
+    return [found.get(k, 0) for k in range(partitions)]
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """``rows`` with the columns of their group. Groups of over a thousandth of ``total`` rows (under 1,000 of them) are
+    broadcast, so that no task gets the rows of a hot group; the others are joined by shuffle. Both inputs are read twice."""
+    hot = groups.where(F.col(size) * 1000 > total)
+    cold = groups.where(F.col(size) * 1000 <= total)
+    in_hot = rows.join(F.broadcast(hot), keys)
+    in_cold = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(cold, keys)
+    return in_hot.unionByName(in_cold)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, packing, sharding, tokenised, toxicity, url_filter
+from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, katz, packing, sharding, tokenised, toxicity, url_filter
 from ratelake.llm.common import crc_of_id, table
 
 
@@ -52,6 +52,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark, table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.train_and_score(spark, table(spark, sf_dir, "documents"), crc_of_id() % 10 == 0)
+
+
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_toxicity": op4_toxicity,
     "op5_url_filter": op5_url_filter,
+    "op6_lm_score": op6_lm_score,
     "op7_html": op7_html,
     "op8_fingerprints": op8_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,

@@ -75,7 +75,7 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(kind)))
 
 
-def _parts(batch: pa.RecordBatch, text_at: int, most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+def _parts(batch: pa.RecordBatch, text_at: int, most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
     """Slices of at most 8,000 rows and about ``most`` bytes of text."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
     lo, room = 0, 0
@@ -242,7 +242,7 @@ def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, pa
 
     def whole(shard: int, rows: list[tuple]) -> pa.RecordBatch:
         base, w, w_n, v, v_n, doc, cnt = zip(*rows, strict=True)
-        batch = np.repeat(np.arange(len(rows)), [len(d) for d in doc])
+        batch = np.repeat(np.arange(len(rows), dtype=np.int32), [len(d) for d in doc])
         v_n = np.concatenate(v_n)
         h = np.repeat(np.repeat(np.concatenate(w), np.concatenate(w_n)), v_n)
         v, doc, cnt = np.repeat(np.concatenate(v), v_n), np.concatenate(doc), np.concatenate(cnt)
@@ -316,13 +316,15 @@ def document_sums(pairs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for k in range(batch.num_rows):
                 bases, word_c, v, c, v_n, part, doc, cnt = _columns(batch, k)
-                times = np.abs(cnt)
-                at = part.astype(np.int64) << 13 | doc
-                used, at = np.unique(at, return_inverse=True)
-                sums = [
-                    np.bincount(at, weights=times * np.repeat(x, v_n), minlength=len(used))
-                    for x in (word_c > 0, model.base(word_c), model.pair(v, c, word_c))
-                ]
+                used, at = np.unique(part.astype(np.int64) << 13 | doc, return_inverse=True)
+                first = np.concatenate(([0], np.cumsum(v_n)))
+                sums = np.zeros((3, len(used)))
+                for lo in range(0, len(v), 100_000):  # bounded temporary arrays
+                    some = slice(lo, lo + 100_000)
+                    posted = slice(first[lo], first[min(lo + 100_000, len(v))])
+                    times, n, word = np.abs(cnt[posted]), v_n[some], word_c[some]
+                    for total, x in zip(sums, (word > 0, model.base(word), model.pair(v[some], c[some], word)), strict=True):
+                        total += np.bincount(at[posted], weights=times * np.repeat(x, n), minlength=len(used))
                 uid = bases[used >> 13] + (used & 8191)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(uid), pa.array(sums[0].astype(np.int32)), pa.array(sums[1]), pa.array(sums[2])],

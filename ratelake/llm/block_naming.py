@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import materialise
+from ratelake.llm.common import join_groups, materialise
 
 #: Every run of the six ASCII white-space characters that is not already one plain space.
 RUNS = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -103,7 +103,8 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, block_chars: int = 40
     # A struct orders by doc_id first; a NULL id sorts first in a struct, so it is put last explicitly.
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("uid").alias("uid"))
     groups = named.groupBy(*name).agg(F.min(order).alias("keep"), F.count(F.lit(1)).alias("group_size"))
-    return named.join(groups, name).select(
+    groups = materialise(spark, groups, "groups")
+    return join_groups(named, groups, name, "group_size", named.count()).select(
         "doc_id",
         F.col("keep.id").alias("keep_id"),
         "group_size",

@@ -2,39 +2,67 @@
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import filterfalse
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: ASCII white space: word tokenizers never join across it, so words can be encoded one by one.
-SPACES = str.maketrans("\t\n\x0b\x0c\r", "     ")
+
+
+def split_words(text: str | None) -> list[str]:
+    """Words between ASCII white space: word tokenizers never join across it, so words can be encoded one by one."""
+    text = text or ""
+    for space in "\n\t\r\x0b\x0c":
+        if space in text:
+            text = text.replace(space, " ")
+    return text.split(" ")
 
 
 class WordMemo:
     """Ids of words as little-endian 32-bit bytes; two generations of at most ``limit`` words each bound the memory."""
 
-    def __init__(self, tokenizer_path: str, limit: int = 250_000):
+    def __init__(self, tokenizer_path: str, limit: int = 500_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core; the tokenizer's own threads would only wait
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        special = [(k, t.content) for k, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special and not (t.lstrip or t.rstrip)]
+        self.mark_id, self.mark = special[0] if special else (None, None)
         self.limit, self.young, self.old = limit, {"": b""}, {}
 
     def learn(self, words: set[str]) -> dict[str, bytes]:
         """A dict that holds every word of ``words``."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {"": b""}
-        unknown = [w for w in words if w not in self.young]
-        known = [w for w in unknown if w in self.old]
-        for w in known:
-            self.young[w] = self.old[w]
-        unknown = [w for w in unknown if w not in self.old]
-        for lo in range(0, len(unknown), 20_000):
-            part = unknown[lo : lo + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.young[w] = pa.array(e.ids, pa.uint32()).buffers()[1].to_pybytes()[: 4 * len(e.ids)] if e.ids else b""
+        unknown = []
+        for w in list(filterfalse(self.young.__contains__, words)):
+            if w in self.old:
+                self.young[w] = self.old[w]
+            else:
+                unknown.append(w)
+        if self.mark is None:
+            coded = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
+            self.young.update(zip(unknown, coded, strict=True))
+            return self.young
+        plain = [w for w in unknown if self.mark not in w]
+        for lo in range(0, len(plain), 2000):
+            # One text of many words: no id crosses the special token between two words.
+            part = plain[lo : lo + 2000]
+            ids = np.array(self.tokenizer.encode(self.mark.join(part), add_special_tokens=False).ids, dtype="<u4")
+            raw, ends = ids.tobytes(), [*np.flatnonzero(ids == self.mark_id).tolist(), len(ids)]
+            begin = 0
+            for w, end in zip(part, ends, strict=True):
+                self.young[w] = raw[4 * begin : 4 * end]
+                begin = end + 1
+        for w in unknown:
+            if self.mark in w:
+                self.young[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
         return self.young
 
 
@@ -59,10 +87,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = memo_for(tokenizer_path)
         for whole in batches:
-            for lo in range(0, whole.num_rows, 500):
-                batch = whole.slice(lo, 500)
+            for lo in range(0, whole.num_rows, 1000):
+                batch = whole.slice(lo, 1000)
                 ids = batch.column(0).to_pylist()
-                words = [(t or "").translate(SPACES).split(" ") for t in batch.column(1).to_pylist()]
+                words = list(map(split_words, batch.column(1).to_pylist()))
                 code = memo.learn(set().union(*words))
                 out: list[tuple] = []
                 for doc_id, w in zip(ids, words, strict=True):

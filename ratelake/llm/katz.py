@@ -309,8 +309,8 @@ def context_sums(pairs: DataFrame, model: Model, contexts: int) -> np.ndarray:
     return out
 
 
-def document_sums(pairs: DataFrame, model: Model) -> DataFrame:
-    """(uid, n_known, base_score, score): parts of each text's sums, one per shard."""
+def shard_sums(pairs: DataFrame, model: Model) -> DataFrame:
+    """Per shard and input batch one row of arrays: texts (places in the batch) and the shard's part of their sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -325,14 +325,52 @@ def document_sums(pairs: DataFrame, model: Model) -> DataFrame:
                     times, n, word = np.abs(cnt[posted]), v_n[some], word_c[some]
                     for total, x in zip(sums, (word > 0, model.base(word), model.pair(v[some], c[some], word)), strict=True):
                         total += np.bincount(at[posted], weights=times * np.repeat(x, n), minlength=len(used))
-                uid = bases[used >> 13] + (used & 8191)
+                per = np.bincount(used >> 13, minlength=len(bases))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(uid), pa.array(sums[0].astype(np.int32)), pa.array(sums[1]), pa.array(sums[2])],
-                    names=["uid", "n_known", "base_score", "score"],
+                    [pa.array(bases), _lists(used & 8191, per, np.int16), _lists(sums[0], per, np.int32), *[_lists(x, per, float) for x in sums[1:]]],
+                    names=["base", "doc", "n_known", "base_score", "score"],
                 )
 
     picked = pairs.select("bases", "word_c", "v", "c", "v_n", "batch", "doc", "cnt")
-    return picked.mapInArrow(run, "uid long, n_known int, base_score double, score double")
+    return picked.mapInArrow(run, SUMS)
+
+
+SUMS = "base long, doc array<short>, n_known array<int>, base_score array<double>, score array<double>"
+TEXTS = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+
+
+def text_sums(sums: DataFrame, listed: DataFrame, parts: int) -> DataFrame:
+    """TEXTS rows: adds up the shards' parts batch by batch. listed: (base, ids, none, out, size) of every input batch."""
+    lists = {"ids": "array<long>", "none": "array<long>", "out": "array<int>", "size": "array<int>"}
+    left = sums.select("*", *[F.lit(None).cast(t).alias(c) for c, t in lists.items()])
+    empty = {"doc": "array<short>", "n_known": "array<int>", "base_score": "array<double>", "score": "array<double>"}
+    right = listed.select("base", *[F.lit(None).cast(t).alias(c) for c, t in empty.items()], *lists)
+    dealt = left.unionByName(right).repartition(parts, "base").sortWithinPartitions("base", F.desc_nulls_last("ids"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = none = out = size = totals = None
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ids, mask=none), pa.array(out), pa.array(size), pa.array(totals[0].astype(np.int64)), pa.array(totals[1]), pa.array(totals[2])],
+                names=[c.split()[0] for c in TEXTS.split(", ")],
+            )
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                if batch.column(5)[k].is_valid:  # a new input batch begins with the list of its texts
+                    if ids is not None:
+                        yield done()
+                    ids, none, out, size = (batch.column(i)[k].values.to_numpy() for i in range(5, 9))
+                    none, out, size, totals = none.astype(bool), out.astype(bool), size.astype(np.int64), np.zeros((3, len(ids)))
+                else:
+                    doc, *values = (batch.column(i)[k].values.to_numpy() for i in range(1, 5))
+                    for total, x in zip(totals, values, strict=True):
+                        total[doc] += x
+        if ids is not None:
+            yield done()
+
+    return dealt.mapInArrow(run, TEXTS)
 
 
 def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, histories: int = 65_536) -> DataFrame:
@@ -367,15 +405,8 @@ def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hist
     seen = sums[:, 1] > 0
     model.backoff = np.where(seen, left / np.maximum(sums[:, 1], 1) / np.maximum(1 - sums[:, 0], 1e-300), 1.0)
 
-    listed = table.where("shard < 0").select(F.col("bases")[0].alias("base"), F.posexplode(F.arrays_zip("word", "word_c", "v", "cnt")))
-    texts = listed.select(
-        (F.col("base") + F.col("pos")).alias("uid"),
-        F.when(F.col("col.word_c") == 0, F.col("col.word")).alias("doc_id"),
-        (F.col("col.v") == 1).alias("held_out"),
-        F.col("col.cnt").cast("long").alias("n_tokens"),
-    )
-    sums_ = [F.sum("n_known").cast("long").alias("n_known"), F.sum("base_score").alias("base_score"), F.sum("score").alias("score")]
-    scored = document_sums(pairs, model).groupBy("uid").agg(*sums_)
-    return texts.join(scored, "uid").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score"
+    listed = table.where("shard < 0").select(
+        F.col("bases")[0].alias("base"), F.col("word").alias("ids"), F.col("word_c").alias("none"), F.col("v").alias("out"), F.col("cnt").alias("size")
     )
+    scored = text_sums(shard_sums(pairs, model), listed, parts)
+    return scored.withColumn("train_tokens", F.lit(model.total).cast("long"))

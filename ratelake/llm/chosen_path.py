@@ -300,16 +300,21 @@ def jaccard_join(
         if len(group["rep"]) < 2:
             return []
         pairs = _candidates(group, threshold)
-        return [(group["key"][0], group["bi"][0], group["bj"][0], group["rep"][k]) for k in np.unique(pairs).tolist()]
+        at = (group["key"][0], group["bi"][0], group["bj"][0])
+        return [(*at, group["block"][k], group["rep"][k]) for k in np.unique(pairs).tolist()]
 
-    wanted = materialise(spark, _by_block(light, parts, mark, "key long, bi int, bj int, rep long"), "wanted")
+    wanted = materialise(spark, _by_block(light, parts, mark, "key long, bi int, bj int, block int, rep long"), "wanted")
 
-    # The sets of the marked rows, then the exact check.
-    heavy_reps = wanted.select("rep").distinct()
-    own = texts.join(heavy_reps, texts["doc_id"] == heavy_reps["rep"], "left_semi").dropDuplicates(["doc_id"])
-    tokens = _sets(own, n, lambda row, t: [(row[0], t.view(np.int64))], "rep long, tokens array<long>")
-    full = wanted.join(dealt, ["key", "bi", "bj", "rep"]).join(members, "rep").join(tokens, "rep")
-    full = full.select("key", "bi", "bj", "block", "rep", "size", "keys", "sketch", "tokens")
+    # The sets of the marked rows, then the exact check. The texts are joined by merge at any size: the marked rows grow
+    # with the input. Each text gives a row of tokens per block that wants it, so tokens are shuffled once.
+    wants = wanted.groupBy("rep").agg(F.collect_list(F.struct("key", "bi", "bj", "block")).alias("wants")).join(members, "rep")
+    own = texts.join(wants.hint("merge"), texts["doc_id"] == wants["rep"]).select("doc_id", "text", "wants", "size", "keys", "sketch")
+
+    def spread(row: tuple, tokens: np.ndarray) -> list[tuple]:
+        return [(w["key"], w["bi"], w["bj"], w["block"], row[0], row[3], row[4], row[5], tokens.view(np.int64)) for w in row[2]]
+
+    schema = "key long, bi int, bj int, block int, rep long, size long, keys array<long>, sketch binary, tokens array<long>"
+    full = _sets(own.dropDuplicates(["doc_id"]), n, spread, schema)
 
     def verify(group: dict) -> list[tuple]:
         if len(group["rep"]) < 2:

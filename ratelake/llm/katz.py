@@ -54,7 +54,7 @@ PAIR_NAMES = [c.split()[0] for c in PAIRS.split(", ")]
 class Hashes(dict):
     """word -> signed 64-bit hash; emptied beyond ``limit`` words."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 200_000):
         super().__init__()
         self.limit = limit
 
@@ -391,8 +391,8 @@ def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hist
     top = np.array(sorted(tuple(r) for r in top), dtype=np.int64).reshape(-1, 2)
     frequent, counts, contexts = top[:, 0].copy(), top[:, 1].copy(), len(top) + 2
 
-    keyed = keyed_pairs(docs, held_out, frequent, key_per_partition(spark, parts))
-    table = materialise(spark, counted_pairs(keyed, frequent, counts, parts), "pairs")
+    keyed = keyed_pairs(docs, held_out, frequent, key_per_partition(spark, 2 * parts))
+    table = materialise(spark, counted_pairs(keyed, frequent, counts, 2 * parts), "pairs")
     pairs = table.where("shard >= 0")
     sums = context_sums(pairs, model, contexts)
     n2 = np.concatenate(([0], sums[:, 2:].sum(0)))

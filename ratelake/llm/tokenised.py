@@ -6,7 +6,8 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
+from itertools import chain, filterfalse
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +16,24 @@ from pyspark.sql import DataFrame
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def split_words(text: str | None) -> list[str]:
-    """Words between ASCII white space: word tokenizers never join across it, so words can be encoded one by one."""
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def split_words(text: str | None, special: list[str] | None = None) -> list[str]:
+    """Words between ASCII white space: word tokenizers never join across it, so words can be encoded one by one.
+
+    With ``special`` (the special tokens of a tokenizer that lower-cases), Latin-1 texts are lower-cased first, which
+    there does the same, unless that would make a special token.
+    """
     text = text or ""
+    if special is not None and (text.isascii() or _is_latin(text)):
+        low = text.lower()
+        text = text if any(s in low for s in special) else low
     for space in "\n\t\r\x0b\x0c":
         if space in text:
             text = text.replace(space, " ")
@@ -27,29 +43,39 @@ def split_words(text: str | None) -> list[str]:
 class WordMemo:
     """Ids of words as little-endian 32-bit bytes; two generations of at most ``limit`` words each bound the memory."""
 
-    def __init__(self, tokenizer_path: str, limit: int = 500_000):
+    def __init__(self, tokenizer_path: str, limit: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the task has one core; the tokenizer's own threads would only wait
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         special = [(k, t.content) for k, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special and not (t.lstrip or t.rstrip)]
         self.mark_id, self.mark = special[0] if special else (None, None)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if "Lowercase" in repr(self.tokenizer.normalizer) else None
         self.limit, self.young, self.old = limit, {"": b""}, {}
 
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """A dict that holds every word of ``words``."""
+    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """A dict that holds every word of the texts."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {"": b""}
-        unknown = []
-        for w in list(filterfalse(self.young.__contains__, words)):
-            if w in self.old:
-                self.young[w] = self.old[w]
+        unknown, joined = set(), []
+        for w in set(filterfalse(self.young.__contains__, chain.from_iterable(texts))):
+            stem = w.rstrip(punctuation)
+            if stem != w and stem.isalpha():  # letters, then only symbols: the tokenizer splits there
+                joined.append((w, stem, w[len(stem) :]))
+                unknown.update(x for x in joined[-1][1:] if x not in self.young)
             else:
-                unknown.append(w)
+                unknown.add(w)
+        known = [w for w in unknown if w in self.old]
+        self.young.update((w, self.old[w]) for w in known)
+        self._encode(list(unknown.difference(known)))
+        self.young.update((w, self.young[a] + self.young[b]) for w, a, b in joined)
+        return self.young
+
+    def _encode(self, unknown: list[str]) -> None:
         if self.mark is None:
             coded = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
             self.young.update(zip(unknown, coded, strict=True))
-            return self.young
+            return
         plain = [w for w in unknown if self.mark not in w]
         for lo in range(0, len(plain), 2000):
             # One text of many words: no id crosses the special token between two words.
@@ -63,7 +89,6 @@ class WordMemo:
         for w in unknown:
             if self.mark in w:
                 self.young[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
-        return self.young
 
 
 _MEMOS: dict[str, WordMemo] = {}
@@ -90,8 +115,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
             for lo in range(0, whole.num_rows, 1000):
                 batch = whole.slice(lo, 1000)
                 ids = batch.column(0).to_pylist()
-                words = list(map(split_words, batch.column(1).to_pylist()))
-                code = memo.learn(set().union(*words))
+                words = [split_words(t, memo.special) for t in batch.column(1).to_pylist()]
+                code = memo.learn(words)
                 out: list[tuple] = []
                 for doc_id, w in zip(ids, words, strict=True):
                     coded = b"".join(map(code.__getitem__, w)) + end

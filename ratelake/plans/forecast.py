@@ -211,7 +211,7 @@ def make_pandas_model(
 
     Trend: line plus hinge terms at evenly spaced change points (in the first
     80% of the history), seasonality: Fourier terms (weekly order 3, yearly
-    order 10, yearly only with two years of data). Ridge penalties are the
+    order 10; the ridge keeps a short history well defined). Ridge penalties are the
     inverse squared prior scales. Interval: residual stddev times ``z``.
     """
     z = z_value(interval_width)
@@ -236,7 +236,7 @@ def make_pandas_model(
             seasons = []
             if weekly:
                 seasons.append((7.0 / span, 3))
-            if yearly and t[-1] >= 730:
+            if yearly:
                 seasons.append((365.25 / span, 10))
             X = _design(ts, knots, seasons)
             penalty = np.zeros(X.shape[1])

@@ -87,9 +87,8 @@ def run_layers(
         log.info("running layer %s", layer)
         if layer == "bronze":
             try:
-                good, quarantine = landing.split_landing(
-                    landing.read_landing(spark, paths.raw, params.raw_glob), params.run_ts
-                )
+                # Raises when no row is usable, before anything is overwritten.
+                good, quarantine = landing.load_raw_rates(spark, paths.raw, params.raw_glob, params.run_ts)
             except FileNotFoundError:
                 log.warning("no landing files in %s: bronze skipped", paths.raw)
                 result.skipped.append("bronze")

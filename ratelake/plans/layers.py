@@ -52,12 +52,12 @@ SILVER_KEY = ["date", PAIR]
 
 
 def parse_bronze_columns(df: DataFrame) -> DataFrame:
-    """Text ``ingestion_date`` / ``ingested_at`` to DATE / TIMESTAMP; typed input passes through."""
+    """Text ``ingestion_date`` / ``ingested_at`` to DATE / TIMESTAMP; typed input passes through, unparsable text becomes NULL."""
     out = df
     if dict(df.dtypes).get("ingestion_date") == "string":
-        out = out.withColumn("ingestion_date", F.to_date("ingestion_date"))
+        out = out.withColumn("ingestion_date", F.try_to_date("ingestion_date"))
     if dict(df.dtypes).get("ingested_at") == "string":
-        out = out.withColumn("ingested_at", F.to_timestamp("ingested_at"))
+        out = out.withColumn("ingested_at", F.try_to_timestamp("ingested_at"))
     return out
 
 
@@ -65,13 +65,13 @@ def transform_to_bronze(df: DataFrame, tie_breakers: Sequence[str] = ()) -> Data
     """Parse, enforce the bronze schema, keep the latest ingestion per key.
 
     ``tie_breakers`` are extra input columns ordering rows with equal
-    ``ingested_at`` (e.g. a record id) so that the kept row is deterministic.
+    ``ingested_at`` (e.g. a record id); source and rate end the order, so it is total.
     """
     parsed = parse_bronze_columns(df)
     extra = [c for c in tie_breakers if c not in BRONZE_SCHEMA.fieldNames()]
     require_columns(parsed, BRONZE_SCHEMA.fieldNames() + extra)
     typed = parsed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMA.fields], *extra)
-    latest = deduplicate(typed, BRONZE_KEY, ["ingested_at", *tie_breakers])
+    latest = deduplicate(typed, BRONZE_KEY, ["ingested_at", *tie_breakers, "source", "rate"])
     return enforce_schema(latest, BRONZE_SCHEMA)
 
 
@@ -157,12 +157,14 @@ def transform_to_gold(
 # --------------------------------------------------------------------------
 
 
-def write_layer(df: DataFrame, path: str, partition_by: Sequence[str] = (), single_file: bool = False) -> None:
-    """Overwrite a layer. With ``partition_by`` only the partitions present are replaced
-    (dynamic overwrite), so re-runs are idempotent. ``single_file`` mirrors a
-    one-file layer for small data; it funnels the last stage into one task."""
+def write_layer(
+    df: DataFrame, path: str, partition_by: Sequence[str] = (), single_file: bool = False, rebuild: bool = False
+) -> None:
+    """Overwrite a layer. With ``partition_by`` only the partitions present are replaced (dynamic overwrite), unless
+    it is a full ``rebuild`` (static overwrite: partitions that no longer have rows go too).
+    ``single_file`` mirrors a one-file layer for small data; it funnels the last stage into one task."""
     out = df.coalesce(1) if single_file else df
-    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static" if rebuild else "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -186,7 +188,7 @@ def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 
 def run_bronze(spark: SparkSession, raw: DataFrame, bronze_path: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
-    write_layer(transform_to_bronze(raw, tie_breakers), bronze_path)
+    write_layer(transform_to_bronze(raw, tie_breakers), bronze_path, rebuild=True)
     return spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path)
 
 
@@ -200,7 +202,7 @@ def run_silver(
 ) -> tuple[DataFrame, dict]:
     """Silver job; returns the written table and the validity counters of the same pass."""
     bronze, obs = observe_validity(spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path), min_rate, max_rate)
-    write_layer(transform_to_silver(bronze, min_rate, max_rate, run_ts), silver_path)
+    write_layer(transform_to_silver(bronze, min_rate, max_rate, run_ts), silver_path, rebuild=True)
     return spark.read.schema(SILVER_SCHEMA).parquet(silver_path), dict(obs.get)
 
 
@@ -214,5 +216,5 @@ def run_gold(
 ) -> DataFrame:
     silver = spark.read.schema(SILVER_SCHEMA).parquet(silver_path)
     schema = gold_schema(windows, volatility_window)
-    write_layer(transform_to_gold(silver, windows, volatility_window, run_ts), gold_path)
+    write_layer(transform_to_gold(silver, windows, volatility_window, run_ts), gold_path, rebuild=True)
     return spark.read.schema(schema).parquet(gold_path)

@@ -24,21 +24,26 @@ LATEST_VIEW = "v_latest_rates"
 LATEST_PER_PAIR_VIEW = "v_latest_per_pair"
 FORECAST_VIEW = "v_forecast_summary"
 
-LATEST_COLUMNS = ["currency_pair", "date", "rate", "ma_7", "ma_30", "ma_90", "volatility_30", "rate_z_score"]
 
+def latest_columns(gold: DataFrame) -> list[str]:
+    """Key, rate and every feature the gold table has, whatever its windows."""
+    features = [c for c in gold.columns if c.startswith(("ma_", "volatility_")) or c == "rate_z_score"]
+    return [PAIR, "date", "rate", *features]
 
-def latest_rates(gold: DataFrame, columns: Sequence[str] = LATEST_COLUMNS) -> DataFrame:
+
+def latest_rates(gold: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows on the global latest date (a semi-join with the one-row global max)."""
     last = gold.agg(F.max("date").alias("_max_date"))  # exactly one row: safe to broadcast
     return (
         gold.join(F.broadcast(last), F.col("date") == F.col("_max_date"), "left_semi")
-        .select(*columns)
+        .select(*(columns or latest_columns(gold)))
         .orderBy(PAIR)
     )
 
 
-def latest_per_pair(gold: DataFrame, columns: Sequence[str] = LATEST_COLUMNS) -> DataFrame:
+def latest_per_pair(gold: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Each pair's own latest row (pairs that stopped earlier are still shown)."""
+    columns = list(columns or latest_columns(gold))
     return latest_per_key(gold.select(*columns), PAIR, "date").select(*columns)
 
 
@@ -179,44 +184,35 @@ def run_sql(spark: SparkSession, text: str, args: dict | None = None) -> DataFra
     return spark.sql(text, args=args or None)
 
 
-# The example queries offered to users.
-EXAMPLE_QUERIES = {
-    "latest_rates": "SELECT * FROM v_latest_rates ORDER BY currency_pair",
-    "forecast_summary": "SELECT * FROM v_forecast_summary ORDER BY currency_pair, forecast_date LIMIT 30",
-    "most_volatile_pair": (
-        "SELECT currency_pair, AVG(volatility_30) AS avg_vol FROM gold_exchange_rates "
-        "WHERE volatility_30 IS NOT NULL GROUP BY 1 ORDER BY 2 DESC"
-    ),
-    "rate_z_score_outliers": (
-        "SELECT date, currency_pair, rate, rate_z_score FROM gold_exchange_rates "
-        "WHERE ABS(rate_z_score) > :threshold ORDER BY ABS(rate_z_score) DESC LIMIT 20"
-    ),
-    "preview": "SELECT * FROM gold_exchange_rates LIMIT 10",
-}
-
-
-def most_volatile(gold: DataFrame) -> DataFrame:
-    return avg_volatility(gold)
-
-
-def select_view(gold: DataFrame, pairs: Sequence[str] | None) -> DataFrame:
-    return select_pairs(gold, pairs)
+def example_queries(gold: DataFrame, top: int = 20) -> dict[str, str]:
+    """SQL texts over our tables and views, for the windows this gold table has; every order is total."""
+    spread = [c for c in gold.columns if c.startswith("volatility_")]
+    texts = {
+        "newest_day": f"SELECT * FROM {LATEST_VIEW} ORDER BY {PAIR}",
+        "newest_by_pair": f"SELECT * FROM {LATEST_PER_PAIR_VIEW} ORDER BY {PAIR}, date",
+        "days_by_pair": f"SELECT {PAIR}, count(*) AS days, min(date) AS first_day, max(date) AS last_day FROM {GOLD_TABLE} GROUP BY {PAIR} ORDER BY {PAIR}",
+        "widest_z_scores": f"SELECT {PAIR}, date, rate_z_score FROM {GOLD_TABLE} WHERE abs(rate_z_score) > :threshold "
+        f"ORDER BY abs(rate_z_score) DESC, {PAIR}, date LIMIT {top}",
+    }
+    for c in spread:
+        texts[f"mean_{c}"] = f"SELECT {PAIR}, avg({c}) AS mean_{c} FROM {GOLD_TABLE} GROUP BY {PAIR} ORDER BY mean_{c} DESC NULLS LAST, {PAIR}"
+    return texts
 
 
 __all__ = [
-    "EXAMPLE_QUERIES",
     "chart_rates",
     "chart_rates_ma",
     "chart_returns",
     "create_views",
+    "example_queries",
     "forecast_display",
     "forecast_summary",
     "history_and_forecast",
+    "latest_columns",
     "latest_per_pair",
     "latest_rates",
     "list_tables",
     "load_parquet_as_table",
-    "most_volatile",
     "register_table",
     "run_sql",
     "table_exists",

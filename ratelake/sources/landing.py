@@ -21,7 +21,9 @@ from ratelake.schemas import LANDING_SCHEMA
 
 CORRUPT = "_corrupt_record"
 RECORD_KEY = ["base", "date"]
-DEFAULT_GLOB = "rates_*.jsonl"
+#: Fetched files and the files `write_records` writes: one convention for readers and writers.
+DEFAULT_GLOB = "{rates_*.jsonl,part-*.json}"
+GLOB_TEXT = "rates_*.jsonl or part-*.json"
 
 LANDING_READ_SCHEMA = StructType([*LANDING_SCHEMA.fields, StructField(CORRUPT, StringType())])
 
@@ -43,11 +45,11 @@ def read_landing(spark: SparkSession, path: str, glob: str | None = DEFAULT_GLOB
         df = reader.json(path)
     except Exception as exc:  # noqa: BLE001 - missing path is reported as missing files
         if "PATH_NOT_FOUND" in str(exc):
-            msg = f"No {glob or 'landing'} files found in: {path}"
+            msg = f"No {GLOB_TEXT if glob == DEFAULT_GLOB else glob or 'landing'} files found in: {path}"
             raise FileNotFoundError(msg) from exc
         raise
     if not df.inputFiles():
-        msg = f"No {glob or 'landing'} files found in: {path}"
+        msg = f"No {GLOB_TEXT if glob == DEFAULT_GLOB else glob or 'landing'} files found in: {path}"
         raise FileNotFoundError(msg)
     return df
 
@@ -59,13 +61,14 @@ def record_problem() -> F.Column:
         .when(F.col("base").isNull() | (F.trim("base") == ""), F.lit("missing_base"))
         .when(F.col("date").isNull() | (F.trim("date") == ""), F.lit("missing_date"))
         .when(F.try_to_date(F.trim("date")).isNull(), F.lit("bad_date"))
+        .when((F.trim("fetched_at") != "") & F.try_to_timestamp(F.col("fetched_at")).isNull(), F.lit("bad_timestamp"))
     )
 
 
 def explode_rates(records: DataFrame, run_ts=None) -> DataFrame:
     """One row per (record, currency) with typed date, timestamp and rate.
 
-    Empty or missing ``rates`` give no rows. Defaults: ``fetched_at`` = run
+    Empty or missing ``rates`` give no rows. Defaults: an absent ``fetched_at`` = run
     time, ``source`` = ``unknown``. The rate is ``try_cast`` to double, so "0.93"
     and NaN survive; a NULL or non-numeric rate becomes NULL and is
     quarantined by :func:`split_landing`.
@@ -92,7 +95,7 @@ def split_landing(records: DataFrame, run_ts=None) -> tuple[DataFrame, DataFrame
     """(good rows in bronze-input shape, quarantined items with a reason).
 
     Quarantine holds whole records that cannot be used (malformed line,
-    missing base, missing / bad date) and single rates that are not numbers.
+    missing base, missing / bad date, unparsable ``fetched_at``) and single rates that are not numbers.
     """
     flagged = records.withColumn("_problem", record_problem())
     bad_records = flagged.filter(F.col("_problem").isNotNull()).select(
@@ -159,17 +162,16 @@ def normalise_responses(responses: DataFrame, source: str, run_ts=None) -> DataF
 def upsert_records(existing: DataFrame, incoming: DataFrame, force: bool = False, keys: Sequence[str] = RECORD_KEY) -> DataFrame:
     """Keyed upsert of landing records.
 
-    Within ``incoming`` the latest ``fetched_at`` wins per key. Insert-only
-    (default): keys already present keep their record (an anti-join adds only
-    new keys). ``force``: the incoming record replaces the present one.
+    One record per key: insert-only (default) prefers the present record,
+    ``force`` the incoming one; within a side the latest ``fetched_at`` wins,
+    then source and rates, so the order is total. Each side is read once and
+    one aggregate decides.
     """
-    keys = list(keys)
     cols = LANDING_SCHEMA.fieldNames()
-    new = deduplicate(incoming.select(*cols), keys, ["fetched_at", "source"])
-    old = existing.select(*cols)
-    if force:
-        return new.unionByName(old.join(new.select(*keys), keys, "left_anti"))
-    return old.unionByName(new.join(old.select(*keys), keys, "left_anti"))
+    old = existing.select(*cols, F.lit(0 if force else 1).alias("_side"))
+    new = incoming.select(*cols, F.lit(1 if force else 0).alias("_side"))
+    both = old.unionByName(new).withColumn("_rates", F.to_json("rates"))
+    return deduplicate(both, list(keys), ["_side", "fetched_at", "source", "_rates"]).select(*cols)
 
 
 def write_records(records: DataFrame, path: str) -> None:
@@ -192,14 +194,16 @@ def write_records(records: DataFrame, path: str) -> None:
 def save_records(spark: SparkSession, incoming: DataFrame, path: str, force: bool = False) -> DataFrame:
     """Upsert a batch of records into the landing directory ``path``.
 
-    Only the bases of the batch are read back (a semi-join the planner turns
-    into partition pruning). The merged result is checkpointed to the
+    Only the partitions of the batch's bases are read back (a literal filter;
+    their number is bounded by the bases of one batch). Unreadable present
+    lines are left out. The merged result is checkpointed to the
     cluster's checkpoint folder before the write, so a retried task never
     re-reads the files being replaced.
     """
     try:
-        present = read_landing(spark, path, glob=None).drop(CORRUPT)
-        present = present.join(incoming.select("base").distinct(), "base", "left_semi")
+        bases = [r["base"] for r in incoming.select("base").distinct().collect()]
+        present = read_landing(spark, path, glob=None).where(F.col("base").isin(bases))
+        present = present.where(record_problem().isNull()).drop(CORRUPT)
     except FileNotFoundError:
         present = spark.createDataFrame([], LANDING_SCHEMA)
     merged = upsert_records(present, incoming, force).checkpoint()

@@ -212,7 +212,11 @@ def _by_block(rows: DataFrame, parts: int, make, schema: str) -> DataFrame:
 
 
 def _candidates(group: dict, threshold: float) -> np.ndarray:
-    split = 0 if group["bi"][0] == group["bj"][0] else sum(b == group["bi"][0] for b in group["block"])
+    split = 0
+    if group["bi"][0] != group["bj"][0]:
+        split = sum(b == group["bi"][0] for b in group["block"])
+        if split in (0, len(group["rep"])):  # one of the two blocks is empty
+            return np.zeros((0, 2), dtype=np.int64)
     sketches = np.frombuffer(b"".join(bytes(s) for s in group["sketch"]), dtype=np.uint16).reshape(-1, BINS)
     return block_pairs(list(group["keys"]), group["key"][0], np.array(group["size"]), sketches, split, threshold)
 

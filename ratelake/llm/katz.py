@@ -376,6 +376,7 @@ def text_sums(sums: DataFrame, listed: DataFrame, parts: int) -> DataFrame:
 def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, histories: int = 65_536) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row; the model learns from the others."""
     parts = shuffle_partitions(spark)
+    shards = parts * 5 // 4 + 1
     held_out = F.coalesce(held_out, F.lit(False))
     unigrams = materialise(spark, unigram_counts(docs.where(~held_out)), "unigrams")
     sizes = unigrams.groupBy(F.least("c", F.lit(LOW + 1)).alias("r")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("t")).collect()
@@ -391,8 +392,8 @@ def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hist
     top = np.array(sorted(tuple(r) for r in top), dtype=np.int64).reshape(-1, 2)
     frequent, counts, contexts = top[:, 0].copy(), top[:, 1].copy(), len(top) + 2
 
-    keyed = keyed_pairs(docs, held_out, frequent, key_per_partition(spark, 2 * parts))
-    table = materialise(spark, counted_pairs(keyed, frequent, counts, 2 * parts), "pairs")
+    keyed = keyed_pairs(docs, held_out, frequent, key_per_partition(spark, shards))
+    table = materialise(spark, counted_pairs(keyed, frequent, counts, shards), "pairs")
     pairs = table.where("shard >= 0")
     sums = context_sums(pairs, model, contexts)
     n2 = np.concatenate(([0], sums[:, 2:].sum(0)))

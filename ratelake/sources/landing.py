@@ -203,7 +203,7 @@ def save_records(spark: SparkSession, incoming: DataFrame, path: str, force: boo
     try:
         bases = [r["base"] for r in incoming.select("base").distinct().collect()]
         present = read_landing(spark, path, glob=None).where(F.col("base").isin(bases))
-        present = present.where(record_problem().isNull()).drop(CORRUPT)
+        present = present.where(F.coalesce(record_problem(), F.lit("bad_timestamp")) == "bad_timestamp").drop(CORRUPT)
     except FileNotFoundError:
         present = spark.createDataFrame([], LANDING_SCHEMA)
     merged = upsert_records(present, incoming, force).checkpoint()

@@ -19,17 +19,20 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ratelake.plans import forecast as fc  # noqa: E402
 from ratelake.plans import layers  # noqa: E402
-from ratelake.plans.catalog import QUERIES  # noqa: E402
+from ratelake.plans.catalog import MAX_PRICE, QUERIES  # noqa: E402
 from ratelake.plans.oracle import RUN_TS  # noqa: E402
 from ratelake.session import local_session  # noqa: E402
 from ratelake.sources import tables  # noqa: E402
 
 HEADLINE = [
     "line_gold_rates",
+    "supplier_gold_rates",
     "gold_rates",
-    "bronze_rates",
+    "gold_rates_split",
+    "landing_bronze",
     "upsert_force",
     "forecast",
+    "forecast_split",
     "latest_rates",
     "latest_per_pair",
     "return_stats",
@@ -76,12 +79,12 @@ def main() -> None:
         cold[name] = timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)))
         times[name] = timed(lambda n=name: run_noop(QUERIES[n](spark, sf_dir)))
 
-    # Layer jobs over the lineitem series: one write per layer, read back.
+    # Layer jobs over the series per supplier (many keys): one write per layer, read back.
     scratch = tempfile.mkdtemp(prefix="ratelake-bench-")
     paths = {k: os.path.join(scratch, k) for k in ("bronze", "silver", "gold", "forecasts")}
-    raw = tables.line_rates(spark, sf_dir)
+    raw = tables.supplier_rates(spark, sf_dir)
     times["job_bronze"] = timed(lambda: layers.run_bronze(spark, raw, paths["bronze"], tie_breakers=["record_id"]))
-    times["job_silver"] = timed(lambda: layers.run_silver(spark, paths["bronze"], paths["silver"], run_ts=RUN_TS))
+    times["job_silver"] = timed(lambda: layers.run_silver(spark, paths["bronze"], paths["silver"], max_rate=MAX_PRICE, run_ts=RUN_TS))
     times["job_gold"] = timed(lambda: layers.run_gold(spark, paths["silver"], paths["gold"], run_ts=RUN_TS))
     times["job_forecast"] = timed(lambda: fc.run_forecasting(spark, paths["gold"], paths["forecasts"], run_ts=RUN_TS))
 

@@ -22,17 +22,3 @@ def iso_date(col: str | Column) -> Column:
 def weekday_number(col: str | Column) -> Column:
     """Monday = 0 ... Sunday = 6."""
     return F.weekday(_c(col))
-
-
-def to_pct(col: str | Column) -> Column:
-    return _c(col) * F.lit(100.0)
-
-
-def parse_rate(col: str | Column) -> Column:
-    """Text or number to double; NULL for anything that is not a number."""
-    return _c(col).try_cast("double")
-
-
-def safe_ratio(num: str | Column, den: str | Column) -> Column:
-    """``num / den``; NULL when ``den`` is NULL or 0 (no ANSI divide-by-zero)."""
-    return _c(num) / F.nullif(_c(den), F.lit(0.0))

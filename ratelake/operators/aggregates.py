@@ -56,20 +56,16 @@ def avg_volatility(df: DataFrame, vol_col: str = "volatility_30", key: str = PAI
     )
 
 
-def volatility_pivot(df: DataFrame, pairs: Sequence[str], vol_col: str = "volatility_30") -> DataFrame:
-    """date x pair matrix of volatility (mean per cell); the pair list is given, so no extra job runs."""
-    return df.filter(F.col(vol_col).isNotNull()).groupBy("date").pivot(PAIR, list(pairs)).agg(F.avg(vol_col))
+def volatility_pivot(df: DataFrame, pairs: Sequence[str] | None = None, vol_col: str = "volatility_30") -> DataFrame:
+    """date x pair matrix of volatility (mean per cell). Without ``pairs`` one distinct job finds them in the data."""
+    cells = df.filter(F.col(vol_col).isNotNull())
+    return cells.groupBy("date").pivot(PAIR, list(pairs) if pairs else None).agg(F.avg(vol_col))
 
 
-def volatility_pivot_by_pair(df: DataFrame, dates: Sequence[str], vol_col: str = "volatility_30") -> DataFrame:
-    """Transposed matrix: one row per pair, one column per requested date (ISO text)."""
-    return (
-        df.filter(F.col(vol_col).isNotNull())
-        .withColumn("_d", F.date_format("date", "yyyy-MM-dd"))
-        .groupBy(PAIR)
-        .pivot("_d", list(dates))
-        .agg(F.avg(vol_col))
-    )
+def volatility_pivot_by_pair(df: DataFrame, dates: Sequence[str] | None = None, vol_col: str = "volatility_30") -> DataFrame:
+    """Transposed matrix: one row per pair, one column per date (ISO text); all dates of the data unless given."""
+    cells = df.filter(F.col(vol_col).isNotNull()).withColumn("_d", F.date_format("date", "yyyy-MM-dd"))
+    return cells.groupBy(PAIR).pivot("_d", list(dates) if dates else None).agg(F.avg(vol_col))
 
 
 def distinct_keys(df: DataFrame, key: str = PAIR) -> DataFrame:

@@ -35,10 +35,6 @@ def run_timestamp(run_ts: datetime | str | None = None) -> Column:
     return F.lit(run_ts).cast("timestamp")
 
 
-def with_run_timestamp(df: DataFrame, name: str, run_ts: datetime | str | None = None) -> DataFrame:
-    return df.withColumn(name, run_timestamp(run_ts))
-
-
 def deduplicate(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """Keep, per key, the row with the greatest ``order_by`` tuple.
 

@@ -32,7 +32,7 @@ def rejection_reason(col: str = "rate", min_rate: float = MIN_VALID_RATE, max_ra
 
 def rejected_rates(df: DataFrame, min_rate: float = MIN_VALID_RATE, max_rate: float = MAX_VALID_RATE) -> DataFrame:
     """Rows the validity filter drops, each with its reason."""
-    return df.filter(~valid_rate("rate", min_rate, max_rate)).withColumn(
+    return df.filter(~F.coalesce(valid_rate("rate", min_rate, max_rate), F.lit(False))).withColumn(
         "reason", rejection_reason("rate", min_rate, max_rate)
     )
 

@@ -2,11 +2,14 @@
 
 Each reads the driver tables (through :mod:`ratelake.sources.tables`) and
 runs the library's operators over the whole of them. Float features are
-rounded at the very end, for comparison with the SQL oracle only.
+rounded at the very end, for comparison with the SQL oracle only: at 8
+decimals, averages of prices and forecasts at 6.
 """
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,14 +24,13 @@ from ratelake.operators.series import rolling_average
 from ratelake.plans import forecast as fc
 from ratelake.plans import layers, planning, serving
 from ratelake.plans.oracle import (
-    DAILY_PAIRS,
     EXPECTED_TARGETS,
-    HEATMAP_DATES,
     RUN_DATE,
     RUN_TS,
     SELECTED_PAIRS,
 )
 from ratelake.schemas import BRONZE_SCHEMA
+from ratelake.session import ensure_checkpoint_dir
 from ratelake.sources import landing, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,11 +55,25 @@ def r6(col: str | Column) -> Column:
     return F.round(c, 6) + F.lit(0.0)
 
 
+def mean6(col: str) -> Column:
+    """An average of prices (six digits before the point) at 6 decimals.
+
+    Averages of 32 or 64 cent amounts lie exactly between two such values;
+    the billionth moves them to the upper one, whatever the order of the sum.
+    """
+    return F.round(F.col(col) + F.lit(1e-9), 6)
+
+
 def rounded(df: DataFrame, cols: list[str], digits: int = 8) -> DataFrame:
     fn = r8 if digits == 8 else r6
-    return df.select(*[fn(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return df.select(*[(mean6 if c.startswith("ma_") else fn)(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+#: The series of this catalog are prices, so their valid range is wider than that of the default (exchange rates).
+MAX_PRICE = 1e9
+#: Prices have no |z| above 2; at this threshold there are more rows than the top-k keeps.
+PRICE_OUTLIER_Z = 1.5
+
 # ---- shared chains over the orders-derived series --------------------------
 
 
@@ -66,7 +82,7 @@ def bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf: str) -> DataFrame:
-    return layers.transform_to_silver(bronze(spark, sf), run_ts=RUN_TS)
+    return layers.transform_to_silver(bronze(spark, sf), max_rate=MAX_PRICE, run_ts=RUN_TS)
 
 
 def gold(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,7 +124,21 @@ def q_ma_7(spark, sf):
 
 @query("silver_rates")
 def q_silver_rates(spark, sf):
-    return rounded(silver(spark, sf).drop("processed_at"), ["daily_return"])
+    """Silver with the default validity bounds: prices above them are dropped."""
+    s = layers.transform_to_silver(bronze(spark, sf), run_ts=RUN_TS)
+    return rounded(s.drop("processed_at"), ["daily_return"])
+
+
+@query("silver_rates_split")
+def q_silver_rates_split(spark, sf):
+    """Silver of every price, each pair cut into 64-row chunks with a halo of one row."""
+    s = layers.transform_to_silver(bronze(spark, sf), max_rate=MAX_PRICE, run_ts=RUN_TS, split_chunk_rows=64)
+    return rounded(s.drop("processed_at"), ["daily_return"])
+
+
+@query("rejected_rates")
+def q_rejected_rates(spark, sf):
+    return quality.rejected_rates(bronze(spark, sf))
 
 
 @query("gold_rates")
@@ -217,6 +247,48 @@ def q_bronze_rates(spark, sf):
     return layers.transform_to_bronze(good)
 
 
+@query("dedup_ties")
+def q_dedup_ties(spark, sf):
+    """Bronze of lineitem without a record id: copies tie on time and source, the rate ends the order."""
+    return layers.transform_to_bronze(tables.line_rates(spark, sf))
+
+
+def _landed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Good and quarantined rows of landing files written from the whole orders table.
+
+    Next to the good records every order adds one unusable line, of a kind given by its priority.
+    """
+    good = landing.records_from_rows(bronze(spark, sf))
+    key = F.col("o_orderkey").cast("string")
+    rates = F.create_map(F.lit("F"), key)
+    kind = F.substring("o_orderpriority", 1, 1)
+    day = F.lit("2001-01-01").alias("date")
+    base = key.alias("base")
+    bad = tables.table(spark, sf, "orders").select(
+        F.when(kind == "1", F.concat(F.lit('{"base": "'), key))
+        .when(kind == "2", F.to_json(F.struct(day, rates.alias("rates"))))
+        .when(kind == "3", F.to_json(F.struct(base, F.lit("never").alias("date"), rates.alias("rates"))))
+        .when(kind == "4", F.to_json(F.struct(base, day, rates.alias("rates"), F.lit("garbage").alias("fetched_at"))))
+        .otherwise(F.to_json(F.struct(base, day, F.create_map(F.lit("F"), F.lit("n/a")).alias("rates"))))
+        .alias("line")
+    )
+    lines = good.select(F.to_json(F.struct(*landing.LANDING_SCHEMA.fieldNames())).alias("line")).unionByName(bad)
+    folder = os.path.join(ensure_checkpoint_dir(spark), f"landing-{uuid.uuid4().hex}")
+    lines.write.text(folder)
+    return landing.load_raw_rates(spark, folder, "part-*.txt", RUN_TS)
+
+
+@query("landing_bronze")
+def q_landing_bronze(spark, sf):
+    """Landing files with unusable lines, scanned, split and deduplicated."""
+    return layers.transform_to_bronze(_landed(spark, sf)[0])
+
+
+@query("quarantine_counts")
+def q_quarantine_counts(spark, sf):
+    return _landed(spark, sf)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 @query("chart_returns")
 def q_chart_returns(spark, sf):
     return rounded(serving.chart_returns(gold(spark, sf)), ["daily_return_pct"])
@@ -251,7 +323,14 @@ def q_nonnull_returns(spark, sf):
 
 @query("outliers")
 def q_outliers(spark, sf):
-    o = quality.outliers(gold(spark, sf))
+    o = quality.outliers(gold(spark, sf), PRICE_OUTLIER_Z)
+    return o.select("date", "currency_pair", "rate", r8("rate_z_score").alias("rate_z_score"))
+
+
+@query("daily_outliers")
+def q_daily_outliers(spark, sf):
+    """Outliers of the daily event series at the default threshold."""
+    o = quality.outliers(daily_gold(spark, sf))
     return o.select("date", "currency_pair", "rate", r8("rate_z_score").alias("rate_z_score"))
 
 
@@ -297,6 +376,15 @@ def q_dates_to_load(spark, sf):
     return planning.dates_to_load(requested, present, ["base", "date"]).select("base", "date")
 
 
+@query("recent_days")
+def q_recent_days(spark, sf):
+    """The 30 days up to each base's last date, without the days that have landed."""
+    present = _bronze_dates(spark, sf)
+    last = present.groupBy("base").agg(F.max("date").alias("_last"))
+    requested = last.select("base", F.explode(planning.last_n_days(F.col("_last"), 30)).alias("date"))
+    return planning.dates_to_load(requested, present, ["base", "date"])
+
+
 @query("fetch_label")
 def q_fetch_label(spark, sf):
     d = _bronze_dates(spark, sf).select("date").distinct()
@@ -311,6 +399,13 @@ def q_latest_rates(spark, sf):
     return rounded(serving.latest_rates(gold(spark, sf)), LATEST_FLOATS)
 
 
+@query("latest_rates_5_20")
+def q_latest_rates_5_20(spark, sf):
+    """Serving follows the windows of the gold table."""
+    g = layers.transform_to_gold(silver(spark, sf), windows=(5, 20), volatility_window=10, run_ts=RUN_TS)
+    return rounded(serving.latest_rates(g), ["ma_5", "ma_20", "volatility_10", "rate_z_score"])
+
+
 @query("rate_z_score_join")
 def q_rate_z_score_join(spark, sf):
     s = silver(spark, sf).select("date", "currency_pair", "rate")
@@ -342,12 +437,16 @@ def q_avg_volatility(spark, sf):
 
 @query("volatility_pivot")
 def q_volatility_pivot(spark, sf):
-    return rounded(agg.volatility_pivot(daily_gold(spark, sf), DAILY_PAIRS), list(DAILY_PAIRS))
+    """The date x pair matrix, one row per cell (empty cells too); its columns come from the data."""
+    wide = agg.volatility_pivot(daily_gold(spark, sf))
+    return rounded(wide.unpivot("date", wide.columns[1:], "currency_pair", "avg_vol"), ["avg_vol"])
 
 
 @query("volatility_pivot_by_pair")
 def q_volatility_pivot_by_pair(spark, sf):
-    return rounded(agg.volatility_pivot_by_pair(daily_gold(spark, sf), HEATMAP_DATES), list(HEATMAP_DATES))
+    """The pair x date matrix, one row per cell (empty cells too); its columns come from the data."""
+    wide = agg.volatility_pivot_by_pair(daily_gold(spark, sf))
+    return rounded(wide.unpivot("currency_pair", wide.columns[1:], "date", "avg_vol"), ["avg_vol"])
 
 
 @query("distinct_pairs")
@@ -412,6 +511,15 @@ def q_ma_calendar_days(spark, sf):
     return rounded(s.drop("daily_return"), ["ma_30d", "volatility_30d"])
 
 
+@query("ma_calendar_days_split")
+def q_ma_calendar_days_split(spark, sf):
+    """The same frames with every pair cut into 64-day blocks."""
+    s = silver(spark, sf).select("date", "currency_pair", "rate", "daily_return")
+    s = series.rolling_days_split(s, [30], 30, block_days=64)
+    s = s.withColumnsRenamed({"ma_30": "ma_30d", "volatility_30": "volatility_30d"})
+    return rounded(s.drop("daily_return"), ["ma_30d", "volatility_30d"])
+
+
 # ---- SRT / SET ------------------------------------------------------------------
 
 
@@ -422,7 +530,7 @@ def q_training_set(spark, sf):
 
 @query("top_outliers")
 def q_top_outliers(spark, sf):
-    return rounded(serving.top_outliers(gold(spark, sf)), ["rate_z_score"])
+    return rounded(serving.top_outliers(gold(spark, sf), threshold=PRICE_OUTLIER_Z), ["rate_z_score"])
 
 
 @query("table_preview")
@@ -441,7 +549,15 @@ def q_gold_rates_split(spark, sf):
 def q_line_gold_rates(spark, sf):
     """Gold over the lineitem-derived series (many copies per key: the dedup-heavy bench input)."""
     b = layers.transform_to_bronze(tables.line_rates(spark, sf), tie_breakers=["record_id"])
-    g = layers.transform_to_gold(layers.transform_to_silver(b, run_ts=RUN_TS), run_ts=RUN_TS)
+    g = layers.transform_to_gold(layers.transform_to_silver(b, max_rate=MAX_PRICE, run_ts=RUN_TS), run_ts=RUN_TS)
+    return rounded(g.drop("created_at"), GOLD_FLOATS)
+
+
+@query("supplier_gold_rates")
+def q_supplier_gold_rates(spark, sf):
+    """Gold over one series per supplier and line status: many keys."""
+    b = layers.transform_to_bronze(tables.supplier_rates(spark, sf), tie_breakers=["record_id"])
+    g = layers.transform_to_gold(layers.transform_to_silver(b, max_rate=MAX_PRICE, run_ts=RUN_TS), run_ts=RUN_TS)
     return rounded(g.drop("created_at"), GOLD_FLOATS)
 
 
@@ -464,6 +580,21 @@ def q_forecast(spark, sf):
     return rounded(forecasts(spark, sf).drop("model_trained_at"), ["yhat", "yhat_lower", "yhat_upper"], 6)
 
 
+@query("forecast_split")
+def q_forecast_split(spark, sf):
+    """The forecast fitted by aggregates only, over the split silver and gold."""
+    s = layers.transform_to_silver(bronze(spark, sf), max_rate=MAX_PRICE, run_ts=RUN_TS, split_chunk_rows=128)
+    g = layers.transform_to_gold(s, run_ts=RUN_TS, split_chunk_rows=128)
+    f = fc.forecast(g, run_ts=RUN_TS, split=True)
+    return rounded(f.drop("model_trained_at"), ["yhat", "yhat_lower", "yhat_upper"], 6)
+
+
+@query("forecast_skipped")
+def q_forecast_skipped(spark, sf):
+    """Daily event series that a gate of 31 rows leaves out, with the reason."""
+    return fc.fit_default_model(daily_gold(spark, sf), min_rows=31)[1]
+
+
 @query("forecast_model")
 def q_forecast_model(spark, sf):
     model, _ = fc.fit_default_model(gold(spark, sf))

@@ -10,9 +10,10 @@ Default model, Spark aggregates only (no per-group Python):
   ``yhat = a + b t + s_w`` and ``yhat -+ z sigma`` with ``z`` the normal
   quantile of the interval width.
 
-The fit is one window and two aggregates, all keyed by the pair, and the
+The plain fit is one window and two aggregates, all keyed by the pair, and the
 prediction is a generator: on gold (already shuffled on the pair) the whole
-forecast adds no exchange.
+forecast adds no exchange. The split fit, used by the job, has aggregates only:
+a pair of any length is combined map-side and no task holds one whole pair.
 
 An optional grouped-map model (piecewise-linear trend + Fourier seasonality,
 ridge-fitted with numpy in ``applyInPandas``) follows the structure of
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ratelake.operators.frames import enforce_schema, run_timestamp
 from ratelake.operators.series import PAIR
+from ratelake.plans.layers import read_layer
 from ratelake.schemas import FORECAST_HORIZON_DAYS, FORECAST_SCHEMA, INTERVAL_WIDTH, MIN_TRAINING_ROWS
 
 
@@ -46,10 +48,26 @@ def training_set(gold: DataFrame) -> DataFrame:
     return gold.select(PAIR, F.col("date").alias("ds"), F.col("rate").alias("y")).filter(F.col("y").isNotNull())
 
 
-def fit_default_model(gold: DataFrame, min_rows: int = MIN_TRAINING_ROWS) -> tuple[DataFrame, DataFrame]:
+def _with_lines(gold: DataFrame, split: bool) -> DataFrame:
+    """Gold rows with their pair's row count, date bounds and least-squares line."""
+    day = F.unix_date("date").cast("double")
+    stats = {
+        "n_rows": F.count(F.lit(1)),
+        "first_date": F.min("date"),
+        "last_date": F.max("date"),
+        "a_day0": F.regr_intercept("rate", day),
+        "b": F.regr_slope("rate", day),
+    }
+    rows = gold.select(PAIR, "date", "rate")
+    if split:
+        return rows.join(rows.groupBy(PAIR).agg(*[c.alias(k) for k, c in stats.items()]), PAIR)
+    return rows.select("*", *[c.over(Window.partitionBy(PAIR)).alias(k) for k, c in stats.items()])
+
+
+def fit_default_model(gold: DataFrame, min_rows: int = MIN_TRAINING_ROWS, split: bool = False) -> tuple[DataFrame, DataFrame]:
     """Fit every eligible pair. Returns (model per pair, skipped pairs with a reason).
 
-    * per pair, over an unordered window on the pair: row count (NULL rates
+    * per pair, over an unordered window on the pair (``split``: an aggregate joined back): row count (NULL rates
       included, as the gate counts them), first / last date and the
       least-squares line on the day number;
     * residual ``e0`` per row, aggregated per (pair, weekday) into count,
@@ -62,16 +80,8 @@ def fit_default_model(gold: DataFrame, min_rows: int = MIN_TRAINING_ROWS) -> tup
     days it covers. The window and both aggregates are keyed by the pair:
     after gold's own shuffle on the pair, the fit adds no exchange.
     """
-    w = Window.partitionBy(PAIR)
     day = F.unix_date("date").cast("double")
-    rows = gold.select(PAIR, "date", "rate").select(
-        "*",
-        F.count(F.lit(1)).over(w).alias("n_rows"),
-        F.min("date").over(w).alias("first_date"),
-        F.max("date").over(w).alias("last_date"),
-        F.regr_intercept("rate", day).over(w).alias("a_day0"),
-        F.regr_slope("rate", day).over(w).alias("b"),
-    )
+    rows = _with_lines(gold, split)
     fit_rows = rows.filter((F.col("n_rows") >= F.lit(min_rows)) & F.col("b").isNotNull() & F.col("rate").isNotNull())
     profile = (
         fit_rows.select(
@@ -111,9 +121,10 @@ def fit_default_model(gold: DataFrame, min_rows: int = MIN_TRAINING_ROWS) -> tup
         "n_rows",
         F.when(F.col("n_rows") < F.lit(min_rows), F.lit("too_few_rows"))
         .when(F.col("b").isNull() | F.col("sigma").isNull(), F.lit("degenerate_fit"))
+        .when(F.isnan("sigma") | F.isnan("b"), F.lit("non_finite_fit"))
         .alias("reason"),
     ).filter(F.col("reason").isNotNull())
-    return model.filter(F.col("sigma").isNotNull()), skipped
+    return model.filter(F.col("sigma").isNotNull() & ~F.isnan("sigma") & ~F.isnan("b")), skipped
 
 
 def predict_default_model(
@@ -151,8 +162,9 @@ def forecast(
     min_rows: int = MIN_TRAINING_ROWS,
     interval_width: float = INTERVAL_WIDTH,
     run_ts: datetime | str | None = None,
+    split: bool = False,
 ) -> DataFrame:
-    model, _ = fit_default_model(gold, min_rows)
+    model, _ = fit_default_model(gold, min_rows, split)
     return predict_default_model(model, horizon, interval_width, run_ts)
 
 
@@ -164,16 +176,32 @@ def run_forecasting(
     min_rows: int = MIN_TRAINING_ROWS,
     interval_width: float = INTERVAL_WIDTH,
     run_ts: datetime | str | None = None,
+    model: str = "default",
+    model_params: dict | None = None,
+    skipped_path: str | None = None,
 ) -> DataFrame | None:
     """Forecast every pair of a gold table and write the result.
 
+    ``model`` is ``default`` or ``grouped`` (the grouped-map model, which
+    takes ``model_params``). Pairs without a forecast are written to ``skipped_path`` with their reason.
     When no pair yields a forecast, the previous output stays in place and
     ``None`` is returned. The result is checkpointed to the cluster's
     checkpoint folder first, so the emptiness test and the write read the
     same rows without fitting twice.
     """
-    gold = spark.read.parquet(gold_path)
-    fc = forecast(gold, horizon, min_rows, interval_width, run_ts).checkpoint()
+    gold = read_layer(spark, gold_path)
+    if model == "default":
+        fitted, skipped = fit_default_model(gold, min_rows, split=True)
+        fc = predict_default_model(fitted, horizon, interval_width, run_ts).checkpoint()
+    elif model == "grouped":
+        params = {"horizon": horizon, "min_rows": min_rows, "interval_width": interval_width, **(model_params or {})}
+        rows = fit_predict_pandas(gold, **params).checkpoint()
+        fc, skipped = split_outcomes(rows, run_ts)
+    else:
+        msg = f"Unknown forecast model: {model}"
+        raise ValueError(msg)
+    if skipped_path:
+        skipped.write.mode("overwrite").parquet(skipped_path)
     if fc.isEmpty():
         return None
     fc.write.mode("overwrite").parquet(forecasts_path)
@@ -184,7 +212,7 @@ def run_forecasting(
 # Optional grouped-map model.
 # --------------------------------------------------------------------------
 
-PANDAS_OUT = "currency_pair string, forecast_date date, yhat double, yhat_lower double, yhat_upper double, training_rows int"
+PANDAS_OUT = "currency_pair string, forecast_date date, yhat double, yhat_lower double, yhat_upper double, training_rows int, reason string"
 
 
 def _design(t: np.ndarray, knots: np.ndarray, period_days: list[tuple[float, int]]) -> np.ndarray:
@@ -213,18 +241,25 @@ def make_pandas_model(
     80% of the history), seasonality: Fourier terms (weekly order 3, yearly
     order 10; the ridge keeps a short history well defined). Ridge penalties are the
     inverse squared prior scales. Interval: residual stddev times ``z``.
+    A pair that cannot be forecast gives one row that holds only its row count and the reason.
     """
     z = z_value(interval_width)
 
     def fit_predict(pdf: pd.DataFrame) -> pd.DataFrame:
         pair = pdf[PAIR].iloc[0]
         n_rows = len(pdf)
-        empty = pd.DataFrame(columns=["currency_pair", "forecast_date", "yhat", "yhat_lower", "yhat_upper", "training_rows"])
+
+        def skip(reason: str) -> pd.DataFrame:
+            row = (pair, None, None, None, None, n_rows, reason)
+            return pd.DataFrame([row], columns=["currency_pair", "forecast_date", "yhat", "yhat_lower", "yhat_upper", "training_rows", "reason"])
+
         if n_rows < min_rows:
-            return empty
-        d = pdf.dropna(subset=["rate"]).sort_values("date")
+            return skip("too_few_rows")
+        d = pdf.dropna(subset=["rate", "date"]).sort_values("date")
         if d["date"].nunique() < 2:
-            return empty
+            return skip("degenerate_fit")
+        if not np.isfinite(d["rate"]).all():
+            return skip("non_finite_fit")
         try:
             dates = pd.to_datetime(d["date"])
             t = ((dates - dates.iloc[0]).dt.days).to_numpy(dtype=float)
@@ -250,8 +285,8 @@ def make_pandas_model(
             fut = pd.date_range(last + pd.Timedelta(days=1), periods=horizon, freq="D")
             tf = ((fut - dates.iloc[0]).days.to_numpy(dtype=float)) / span
             yhat = (_design(tf, knots, seasons) @ coef) * y_scale
-        except Exception:  # noqa: BLE001 - one failing pair must not stop the others
-            return empty
+        except Exception as exc:  # noqa: BLE001 - one failing pair must not stop the others; its row says why
+            return skip(f"failed: {type(exc).__name__}")
         return pd.DataFrame(
             {
                 "currency_pair": pair,
@@ -260,18 +295,29 @@ def make_pandas_model(
                 "yhat_lower": yhat - z * sigma,
                 "yhat_upper": yhat + z * sigma,
                 "training_rows": n_rows,
+                "reason": None,
             }
         )
 
     return fit_predict
 
 
-def forecast_pandas(gold: DataFrame, run_ts: datetime | str | None = None, **params) -> DataFrame:
-    """Optional model: one grouped-map task per pair.
+def fit_predict_pandas(gold: DataFrame, **params) -> DataFrame:
+    """Optional model, one grouped-map task per pair: forecast rows, and one row with a reason per pair without a forecast.
 
     A pair's gold series holds at most one row per day, so a group is bounded
     by the calendar span of the data, not by the size of the raw input.
     """
-    fn = make_pandas_model(**params)
-    out = gold.select(PAIR, "date", "rate").groupBy(PAIR).applyInPandas(fn, PANDAS_OUT)
-    return enforce_schema(out.withColumn("model_trained_at", run_timestamp(run_ts)), FORECAST_SCHEMA)
+    return gold.select(PAIR, "date", "rate").groupBy(PAIR).applyInPandas(make_pandas_model(**params), PANDAS_OUT)
+
+
+def split_outcomes(rows: DataFrame, run_ts: datetime | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(forecasts, skipped pairs with a reason) of :func:`fit_predict_pandas`."""
+    done = rows.filter(F.col("reason").isNull()).withColumn("model_trained_at", run_timestamp(run_ts))
+    skipped = rows.filter(F.col("reason").isNotNull()).select(PAIR, F.col("training_rows").cast("long").alias("n_rows"), "reason")
+    return enforce_schema(done, FORECAST_SCHEMA), skipped
+
+
+def forecast_pandas(gold: DataFrame, run_ts: datetime | str | None = None, **params) -> DataFrame:
+    """Forecasts of the optional model."""
+    return split_outcomes(fit_predict_pandas(gold, **params), run_ts)[0]

@@ -43,9 +43,11 @@ class LakePaths:
     gold: str = ""
     forecasts: str = ""
     quarantine: str = ""
+    rejected: str = ""
+    skipped: str = ""
 
     def __post_init__(self) -> None:
-        for name in ("raw", "bronze", "silver", "gold", "forecasts", "quarantine"):
+        for name in ("raw", "bronze", "silver", "gold", "forecasts", "quarantine", "rejected", "skipped"):
             if not getattr(self, name):
                 setattr(self, name, os.path.join(self.root, name))
 
@@ -61,6 +63,14 @@ class JobParams:
     interval_width: float = INTERVAL_WIDTH
     raw_glob: str | None = landing.DEFAULT_GLOB
     run_ts: datetime | str | None = None
+    calendar_days: bool = False
+    split_chunk_rows: int | None = None  # spreads one pair over many tasks in silver and gold
+    partition_by: Sequence[str] = ()  # of silver and gold
+    max_records_per_file: int | None = None
+    model: str = "default"
+    model_params: dict | None = None
+    gold_table: str = serving.GOLD_TABLE
+    forecast_table: str = serving.FORECAST_TABLE
 
 
 @dataclass
@@ -83,6 +93,7 @@ def run_layers(
         msg = f"Unknown layers: {sorted(unknown)}"
         raise ValueError(msg)
     result = JobResult()
+    layout = {"partition_by": params.partition_by, "max_records_per_file": params.max_records_per_file}
     for layer in [x for x in LAYER_ORDER if x in layers_to_run]:
         log.info("running layer %s", layer)
         if layer == "bronze":
@@ -97,11 +108,29 @@ def run_layers(
             layers.run_bronze(spark, good, paths.bronze)
         elif layer == "silver":
             _, counters = layers.run_silver(
-                spark, paths.bronze, paths.silver, params.min_rate, params.max_rate, params.run_ts
+                spark,
+                paths.bronze,
+                paths.silver,
+                params.min_rate,
+                params.max_rate,
+                params.run_ts,
+                params.split_chunk_rows,
+                paths.rejected,
+                **layout,
             )
             result.metrics["silver"] = counters
         elif layer == "gold":
-            layers.run_gold(spark, paths.silver, paths.gold, params.windows, params.volatility_window, params.run_ts)
+            layers.run_gold(
+                spark,
+                paths.silver,
+                paths.gold,
+                params.windows,
+                params.volatility_window,
+                params.run_ts,
+                params.calendar_days,
+                params.split_chunk_rows,
+                **layout,
+            )
         elif layer == "forecast":
             out = fc.run_forecasting(
                 spark,
@@ -111,12 +140,15 @@ def run_layers(
                 params.min_training_rows,
                 params.interval_width,
                 params.run_ts,
+                params.model,
+                params.model_params,
+                paths.skipped,
             )
             if out is None:
                 log.warning("no pair produced a forecast; previous forecasts kept")
         elif layer == "serving":
-            serving.load_parquet_as_table(spark, serving.GOLD_TABLE, paths.gold)
-            serving.load_parquet_as_table(spark, serving.FORECAST_TABLE, paths.forecasts)
-            result.metrics["views"] = serving.create_views(spark)
+            serving.load_parquet_as_table(spark, params.gold_table, paths.gold)
+            serving.load_parquet_as_table(spark, params.forecast_table, paths.forecasts)
+            result.metrics["views"] = serving.create_views(spark, params.gold_table, params.forecast_table)
         result.layers_run.append(layer)
     return result

@@ -25,13 +25,15 @@ from ratelake.operators.frames import (
     require_columns,
     run_timestamp,
 )
-from ratelake.operators.quality import filter_valid_rates, observe_validity
+from ratelake.operators.quality import filter_valid_rates, observe_validity, rejected_rates
 from ratelake.operators.series import (
     PAIR,
     add_currency_pair,
     add_date_column,
     add_rate_z_score_by_join,
     prev_value,
+    prev_value_split,
+    rolling_days_split,
     rolling_features_split,
     rolling_feature_columns,
     simple_return,
@@ -97,13 +99,32 @@ def silver_core(
     return df.withColumn("prev_rate", prev_value("rate")).withColumn("daily_return", simple_return())
 
 
+def silver_core_split(
+    bronze: DataFrame,
+    min_rate: float = MIN_VALID_RATE,
+    max_rate: float = MAX_VALID_RATE,
+    chunk_rows: int = 100_000,
+) -> DataFrame:
+    """Silver for pairs too long for one task: copies are collapsed by a map-side
+    aggregate, the LAG runs in row chunks with a halo of one row."""
+    df = add_date_column(add_currency_pair(filter_valid_rates(bronze, min_rate, max_rate)))
+    df = deduplicate(df, SILVER_KEY, ["ingested_at", "base_currency", "target_currency"])
+    return prev_value_split(df, chunk_rows=chunk_rows).withColumn("daily_return", simple_return())
+
+
 def transform_to_silver(
     bronze: DataFrame,
     min_rate: float = MIN_VALID_RATE,
     max_rate: float = MAX_VALID_RATE,
     run_ts: datetime | str | None = None,
+    split_chunk_rows: int | None = None,
 ) -> DataFrame:
-    df = silver_core(bronze, min_rate, max_rate).withColumn("processed_at", run_timestamp(run_ts))
+    """Silver layer. ``split_chunk_rows`` spreads one pair over many tasks (:func:`silver_core_split`)."""
+    if split_chunk_rows:
+        core = silver_core_split(bronze, min_rate, max_rate, split_chunk_rows)
+    else:
+        core = silver_core(bronze, min_rate, max_rate)
+    df = core.withColumn("processed_at", run_timestamp(run_ts))
     return enforce_schema(df, SILVER_SCHEMA)
 
 
@@ -125,12 +146,16 @@ def gold_core_split(
     windows: Sequence[int] = DEFAULT_WINDOWS,
     volatility_window: int = DEFAULT_VOLATILITY_WINDOW,
     chunk_rows: int = 100_000,
+    calendar_days: bool = False,
 ) -> DataFrame:
-    """Gold for series too long for one task: the pair is cut into row chunks with a
-    lookback halo, the lifetime z-score is an aggregate joined back on the pair,
+    """Gold for series too long for one task: the pair is cut into row chunks (calendar
+    blocks for ``calendar_days``) with a lookback halo, the lifetime z-score is an aggregate joined back on the pair,
     and (pair, date) uniqueness is enforced with the map-side ``max_by`` dedup."""
     df = deduplicate(silver.select("date", PAIR, "rate", "daily_return"), [PAIR, "date"], ["rate", "daily_return"])
-    df = rolling_features_split(df, windows, volatility_window, chunk_rows=chunk_rows)
+    if calendar_days:
+        df = rolling_days_split(df, windows, volatility_window, block_days=chunk_rows)
+    else:
+        df = rolling_features_split(df, windows, volatility_window, chunk_rows=chunk_rows)
     return add_rate_z_score_by_join(df)
 
 
@@ -145,7 +170,7 @@ def transform_to_gold(
     """Gold layer. ``split_chunk_rows`` switches to :func:`gold_core_split` (for keys whose
     series does not fit one task); the default keeps one window partition per pair."""
     if split_chunk_rows:
-        core = gold_core_split(silver, windows, volatility_window, split_chunk_rows)
+        core = gold_core_split(silver, windows, volatility_window, split_chunk_rows, calendar_days)
     else:
         core = gold_core(silver, windows, volatility_window, calendar_days)
     df = core.withColumn("created_at", run_timestamp(run_ts))
@@ -158,15 +183,22 @@ def transform_to_gold(
 
 
 def write_layer(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), single_file: bool = False, rebuild: bool = False
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    single_file: bool = False,
+    rebuild: bool = False,
+    max_records_per_file: int | None = None,
 ) -> None:
     """Overwrite a layer. With ``partition_by`` only the partitions present are replaced (dynamic overwrite), unless
     it is a full ``rebuild`` (static overwrite: partitions that no longer have rows go too).
-    ``single_file`` mirrors a one-file layer for small data; it funnels the last stage into one task."""
+    ``max_records_per_file`` bounds the size of the files; ``single_file`` mirrors a one-file layer for small data; it funnels the last stage into one task."""
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static" if rebuild else "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if max_records_per_file:
+        writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.parquet(path)
 
 
@@ -179,17 +211,19 @@ def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
     reader = spark.read.schema(schema) if schema is not None else spark.read
     try:
         df = reader.parquet(path)
-        df.inputFiles()
     except Exception as exc:  # noqa: BLE001 - only a missing path is translated
         if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
             raise DatasetMissing(f"No dataset at {path}; run the upstream layer first") from exc
         raise
-    return df
+    return df.select(*schema.fieldNames()) if schema is not None else df
 
 
-def run_bronze(spark: SparkSession, raw: DataFrame, bronze_path: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
-    write_layer(transform_to_bronze(raw, tie_breakers), bronze_path, rebuild=True)
-    return spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path)
+def run_bronze(
+    spark: SparkSession, raw: DataFrame, bronze_path: str, tie_breakers: Sequence[str] = (), **layout
+) -> DataFrame:
+    """Bronze job; ``layout`` (partition_by, max_records_per_file) goes to :func:`write_layer`, as in the jobs below."""
+    write_layer(transform_to_bronze(raw, tie_breakers), bronze_path, rebuild=True, **layout)
+    return read_layer(spark, bronze_path, BRONZE_SCHEMA)
 
 
 def run_silver(
@@ -199,11 +233,20 @@ def run_silver(
     min_rate: float = MIN_VALID_RATE,
     max_rate: float = MAX_VALID_RATE,
     run_ts: datetime | str | None = None,
+    split_chunk_rows: int | None = None,
+    rejected_path: str | None = None,
+    **layout,
 ) -> tuple[DataFrame, dict]:
-    """Silver job; returns the written table and the validity counters of the same pass."""
-    bronze, obs = observe_validity(spark.read.schema(BRONZE_SCHEMA).parquet(bronze_path), min_rate, max_rate)
-    write_layer(transform_to_silver(bronze, min_rate, max_rate, run_ts), silver_path, rebuild=True)
-    return spark.read.schema(SILVER_SCHEMA).parquet(silver_path), dict(obs.get)
+    """Silver job; returns the written table and the validity counters of the same pass.
+
+    With ``rejected_path`` the rows the validity filter drops are written there, each with its reason.
+    """
+    source = read_layer(spark, bronze_path, BRONZE_SCHEMA)
+    bronze, obs = observe_validity(source, min_rate, max_rate)
+    write_layer(transform_to_silver(bronze, min_rate, max_rate, run_ts, split_chunk_rows), silver_path, rebuild=True, **layout)
+    if rejected_path:
+        write_layer(rejected_rates(source, min_rate, max_rate), rejected_path, rebuild=True)
+    return read_layer(spark, silver_path, SILVER_SCHEMA), dict(obs.get)
 
 
 def run_gold(
@@ -213,8 +256,11 @@ def run_gold(
     windows: Sequence[int] = DEFAULT_WINDOWS,
     volatility_window: int = DEFAULT_VOLATILITY_WINDOW,
     run_ts: datetime | str | None = None,
+    calendar_days: bool = False,
+    split_chunk_rows: int | None = None,
+    **layout,
 ) -> DataFrame:
-    silver = spark.read.schema(SILVER_SCHEMA).parquet(silver_path)
-    schema = gold_schema(windows, volatility_window)
-    write_layer(transform_to_gold(silver, windows, volatility_window, run_ts), gold_path, rebuild=True)
-    return spark.read.schema(schema).parquet(gold_path)
+    silver = read_layer(spark, silver_path, SILVER_SCHEMA)
+    gold = transform_to_gold(silver, windows, volatility_window, run_ts, calendar_days, split_chunk_rows)
+    write_layer(gold, gold_path, rebuild=True, **layout)
+    return read_layer(spark, gold_path, gold_schema(windows, volatility_window))

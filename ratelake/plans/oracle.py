@@ -2,14 +2,12 @@
 
 Written from the semantics, not from our Spark code: each string runs on the
 driver tables registered as views (``orders``, ``events``, ``lineitem``...).
-Float features are compared at 8 decimals (forecasts at 6); ``+ 0.0`` turns a
+Float features are compared at 8 decimals (averages of prices and forecasts at 6); ``+ 0.0`` turns a
 rounded -0.0 into 0.0 so both engines print the same value.
 """
 
 from __future__ import annotations
 
-from ratelake.schemas import MAX_VALID_RATE, MIN_VALID_RATE
-
 # Fixed values shared with the catalog.
 RUN_TS = "2026-01-01 00:00:00"
 RUN_DATE = "2001-06-01"
@@ -23,6 +21,11 @@ def r6(expr: str) -> str:
     return f"(round({expr}, 6) + 0.0)"
 
 
+def mean6(expr: str) -> str:
+    """Averages of cents at 6 decimals; exact ties (of 32 or 64 amounts) go up."""
+    return f"round({expr} + 0.000000001, 6)"
+
+
 RATES = """
 rates AS (
   SELECT CAST(o_orderdate AS DATE) AS ingestion_date,
@@ -46,10 +49,16 @@ bronze AS (
   WHERE rn = 1
 )"""
 
-VALID = f"""
+VALID = """
+valid AS (
+  SELECT * FROM bronze
+  WHERE rate IS NOT NULL AND rate BETWEEN 0.000001 AND 1000000000.0
+)"""
+
+VALID_DEFAULT = """
 valid AS (
   SELECT * FROM bronze
-  WHERE rate IS NOT NULL AND rate BETWEEN {MIN_VALID_RATE!r} AND {MAX_VALID_RATE!r}
+  WHERE rate IS NOT NULL AND rate BETWEEN 0.000001 AND 100000.0
 )"""
 
 SILVER = """
@@ -101,9 +110,9 @@ GOLD_COLS_R8 = ", ".join(
         "currency_pair",
         "rate",
         r8("daily_return") + " AS daily_return",
-        r8("ma_7") + " AS ma_7",
-        r8("ma_30") + " AS ma_30",
-        r8("ma_90") + " AS ma_90",
+        mean6("ma_7") + " AS ma_7",
+        mean6("ma_30") + " AS ma_30",
+        mean6("ma_90") + " AS ma_90",
         r8("volatility_30") + " AS volatility_30",
         r8("rate_z_score") + " AS rate_z_score",
     ]
@@ -114,24 +123,38 @@ SQL: dict[str, str] = {}
 
 SQL["dedup_latest"] = CHAIN_BRONZE + "SELECT * FROM bronze"
 
-SQL["filter_valid"] = with_(RATES, BRONZE, VALID) + "SELECT * FROM valid"
+SQL["filter_valid"] = with_(RATES, BRONZE, VALID_DEFAULT) + "SELECT * FROM valid"
 
 SQL["daily_return"] = CHAIN_SILVER + f"""
 SELECT date, currency_pair, rate, prev_rate, {r8('daily_return')} AS daily_return FROM silver"""
 
 SQL["ma_7"] = CHAIN_SILVER + f"""
 SELECT date, currency_pair, rate,
-       {r8('avg(rate) OVER (PARTITION BY currency_pair ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS ma_7
+       {mean6('avg(rate) OVER (PARTITION BY currency_pair ORDER BY date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)')} AS ma_7
 FROM silver"""
 
-SQL["silver_rates"] = CHAIN_SILVER + f"""
+SILVER_SELECT = f"""
 SELECT date, currency_pair, base_currency, target_currency, rate, prev_rate,
        {r8('daily_return')} AS daily_return FROM silver"""
 
+SQL["silver_rates"] = with_(RATES, BRONZE, VALID_DEFAULT, SILVER) + SILVER_SELECT
+
+SQL["silver_rates_split"] = CHAIN_SILVER + SILVER_SELECT
+
+SQL["rejected_rates"] = CHAIN_BRONZE + """
+SELECT *, CASE WHEN rate IS NULL THEN 'null_rate' WHEN isnan(rate) THEN 'nan_rate'
+               WHEN rate < 0.000001 THEN 'below_min' ELSE 'above_max' END AS reason
+FROM bronze WHERE rate IS NULL OR isnan(rate) OR rate < 0.000001 OR rate > 100000.0"""
+
 SQL["gold_rates"] = CHAIN_GOLD + f"SELECT {GOLD_COLS_R8} FROM gold"
 
 SQL["gold_rates_split"] = SQL["gold_rates"]
 
+SQL["dedup_ties"] = """
+SELECT CAST(l_shipdate AS DATE) AS ingestion_date, l_returnflag AS base_currency, l_linestatus AS target_currency,
+       max(l_extendedprice) AS rate, 'lineitem' AS source, CAST(max(l_shipdate) AS TIMESTAMP) AS ingested_at
+FROM lineitem GROUP BY ALL"""
+
 # ---- landing / sources ------------------------------------------------------
 
 SQL["explode_rates"] = """
@@ -190,6 +213,13 @@ FROM orders"""
 
 SQL["bronze_rates"] = CHAIN_BRONZE + "SELECT * FROM bronze"
 
+SQL["landing_bronze"] = SQL["bronze_rates"]
+
+SQL["quarantine_counts"] = """
+SELECT CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'malformed_json' WHEN '2' THEN 'missing_base' WHEN '3' THEN 'bad_date'
+            WHEN '4' THEN 'bad_timestamp' ELSE 'bad_rate' END AS reason, count(*) AS n_rows
+FROM orders GROUP BY 1"""
+
 SQL["chart_returns"] = CHAIN_GOLD + f"""
 SELECT date, currency_pair, {r8('daily_return * 100.0')} AS daily_return_pct
 FROM gold WHERE daily_return IS NOT NULL"""
@@ -199,8 +229,8 @@ FROM gold WHERE daily_return IS NOT NULL"""
 SQL["rejected_counts"] = CHAIN_BRONZE + f"""
 SELECT CASE WHEN rate IS NULL THEN 'null_rate'
             WHEN isnan(rate) THEN 'nan_rate'
-            WHEN rate < {MIN_VALID_RATE!r} THEN 'below_min'
-            WHEN rate > {MAX_VALID_RATE!r} THEN 'above_max'
+            WHEN rate < 0.000001 THEN 'below_min'
+            WHEN rate > 100000.0 THEN 'above_max'
             ELSE 'valid' END AS outcome,
        count(*) AS n_rows
 FROM bronze GROUP BY 1"""
@@ -214,7 +244,7 @@ SQL["nonnull_returns"] = CHAIN_SILVER + f"""
 SELECT date, currency_pair, rate, {r8('daily_return')} AS daily_return FROM silver WHERE daily_return IS NOT NULL"""
 
 SQL["outliers"] = CHAIN_GOLD + f"""
-SELECT date, currency_pair, rate, {r8('rate_z_score')} AS rate_z_score FROM gold WHERE abs(rate_z_score) > 2.0"""
+SELECT date, currency_pair, rate, {r8('rate_z_score')} AS rate_z_score FROM gold WHERE abs(rate_z_score) > 1.5"""
 
 SQL["weekday_filter"] = CHAIN_BRONZE + """
 SELECT date, CAST(isodow(date) - 1 AS INTEGER) AS weekday
@@ -256,6 +286,14 @@ SELECT base, date FROM req r
 WHERE isodow(date) <= 5
   AND NOT EXISTS (SELECT 1 FROM bronze b WHERE b.base_currency = r.base AND b.ingestion_date = r.date)"""
 
+SQL["recent_days"] = CHAIN_BRONZE + """
+, req AS (
+  SELECT base, CAST(unnest(generate_series(hi - INTERVAL 29 DAY, hi, INTERVAL 1 DAY)) AS DATE) AS date
+  FROM (SELECT base_currency AS base, max(ingestion_date) AS hi FROM bronze GROUP BY 1)
+)
+SELECT base, date FROM req r
+WHERE NOT EXISTS (SELECT 1 FROM bronze b WHERE b.base_currency = r.base AND b.ingestion_date = r.date)"""
+
 SQL["fetch_label"] = CHAIN_BRONZE + f"""
 SELECT date, CASE WHEN date >= DATE '{RUN_DATE}' THEN 'latest' ELSE strftime(date, '%Y-%m-%d') END AS label
 FROM (SELECT DISTINCT ingestion_date AS date FROM bronze)"""
@@ -264,12 +302,17 @@ FROM (SELECT DISTINCT ingestion_date AS date FROM bronze)"""
 
 LATEST_COLS_R8 = ", ".join(
     ["currency_pair", "date", "rate"]
-    + [r8(c) + f" AS {c}" for c in ("ma_7", "ma_30", "ma_90", "volatility_30", "rate_z_score")]
+    + [(mean6 if c.startswith("ma_") else r8)(c) + f" AS {c}" for c in ("ma_7", "ma_30", "ma_90", "volatility_30", "rate_z_score")]
 )
 
 SQL["latest_rates"] = CHAIN_GOLD + f"""
 SELECT {LATEST_COLS_R8} FROM gold WHERE date = (SELECT max(date) FROM gold)"""
 
+SQL["latest_rates_5_20"] = with_(RATES, BRONZE, VALID, SILVER, gold_cte((5, 20), 10)) + f"""
+SELECT currency_pair, date, rate, {mean6('ma_5')} AS ma_5, {mean6('ma_20')} AS ma_20,
+       {r8('volatility_10')} AS volatility_10, {r8('rate_z_score')} AS rate_z_score
+FROM gold WHERE date = (SELECT max(date) FROM gold)"""
+
 SQL["rate_z_score_join"] = CHAIN_SILVER + f"""
 SELECT s.date, s.currency_pair, s.rate,
        {r8('(s.rate - st.m) / nullif(st.sd, 0)')} AS rate_z_score
@@ -306,16 +349,21 @@ daily_silver AS (
 
 CHAIN_DAILY_GOLD = with_(DAILY, gold_cte(source="daily_silver", name="dgold"))
 
-DAILY_PAIRS = ("click", "error", "purchase", "signup", "view")
-HEATMAP_DATES = tuple(f"2024-01-{d:02d}" for d in range(1, 31))
+SQL["daily_outliers"] = CHAIN_DAILY_GOLD + f"""
+SELECT date, currency_pair, rate, {r8('rate_z_score')} AS rate_z_score FROM dgold WHERE abs(rate_z_score) > 2.0"""
+
 
-SQL["volatility_pivot"] = CHAIN_DAILY_GOLD + "SELECT date, " + ", ".join(
-    r8(f"avg(volatility_30) FILTER (WHERE currency_pair = '{p}')") + f' AS "{p}"' for p in DAILY_PAIRS
-) + " FROM dgold WHERE volatility_30 IS NOT NULL GROUP BY date"
+def _cells(date: str) -> str:
+    """Every (date, pair) cell of the volatility matrix, empty ones too."""
+    return CHAIN_DAILY_GOLD + f"""
+, cells AS (SELECT date, currency_pair, avg(volatility_30) AS v FROM dgold WHERE volatility_30 IS NOT NULL GROUP BY 1, 2)
+SELECT {date} AS date, p.currency_pair, {r8('c.v')} AS avg_vol
+FROM (SELECT DISTINCT date FROM cells) d CROSS JOIN (SELECT DISTINCT currency_pair FROM cells) p
+LEFT JOIN cells c ON c.date = d.date AND c.currency_pair = p.currency_pair"""
 
-SQL["volatility_pivot_by_pair"] = CHAIN_DAILY_GOLD + "SELECT currency_pair, " + ", ".join(
-    r8(f"avg(volatility_30) FILTER (WHERE date = DATE '{d}')") + f' AS "{d}"' for d in HEATMAP_DATES
-) + " FROM dgold WHERE volatility_30 IS NOT NULL GROUP BY currency_pair"
+
+SQL["volatility_pivot"] = _cells("d.date")
+SQL["volatility_pivot_by_pair"] = _cells("strftime(d.date, '%Y-%m-%d')")
 
 SQL["distinct_pairs"] = CHAIN_GOLD + "SELECT DISTINCT currency_pair FROM gold"
 
@@ -334,7 +382,7 @@ FROM gold GROUP BY 1"""
 SQL["prev_rate"] = CHAIN_SILVER + "SELECT date, currency_pair, rate, prev_rate FROM silver"
 
 SQL["moving_averages"] = CHAIN_GOLD + f"""
-SELECT date, currency_pair, {r8('ma_7')} AS ma_7, {r8('ma_30')} AS ma_30, {r8('ma_90')} AS ma_90 FROM gold"""
+SELECT date, currency_pair, {mean6('ma_7')} AS ma_7, {mean6('ma_30')} AS ma_30, {mean6('ma_90')} AS ma_90 FROM gold"""
 
 SQL["volatility_30"] = CHAIN_GOLD + f"SELECT date, currency_pair, {r8('volatility_30')} AS volatility_30 FROM gold"
 
@@ -359,17 +407,19 @@ SELECT date, currency_pair, CAST(date_diff('day', DATE '1970-01-01', date) AS BI
 
 SQL["ma_calendar_days"] = CHAIN_SILVER + f"""
 SELECT date, currency_pair, rate,
-       {r8("avg(rate) OVER (PARTITION BY currency_pair ORDER BY date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)")} AS ma_30d,
+       {mean6("avg(rate) OVER (PARTITION BY currency_pair ORDER BY date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)")} AS ma_30d,
        {r8("stddev_samp(daily_return) OVER (PARTITION BY currency_pair ORDER BY date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW)")} AS volatility_30d
 FROM silver"""
 
 # ---- sorts / sets -----------------------------------------------------------------
 
+SQL["ma_calendar_days_split"] = SQL["ma_calendar_days"]
+
 SQL["training_set"] = CHAIN_GOLD + "SELECT currency_pair, date AS ds, rate AS y FROM gold WHERE rate IS NOT NULL"
 
 SQL["top_outliers"] = CHAIN_GOLD + f"""
 SELECT date, currency_pair, rate, {r8('rate_z_score')} AS rate_z_score FROM gold
-WHERE abs(rate_z_score) > 2.0
+WHERE abs(rate_z_score) > 1.5
 ORDER BY abs(rate_z_score) DESC, date, currency_pair LIMIT 20"""
 
 SQL["table_preview"] = CHAIN_GOLD + f"SELECT {GOLD_COLS_R8} FROM gold ORDER BY date, currency_pair LIMIT 10"
@@ -399,6 +449,10 @@ LINE_CHAIN = with_(
 
 SQL["line_gold_rates"] = LINE_CHAIN + f"SELECT {GOLD_COLS_R8} FROM line_gold"
 
+SUPPLIER_RATES = LINE_RATES.replace("l_returnflag AS base_currency", "'S' || l_suppkey AS base_currency")
+
+SQL["supplier_gold_rates"] = LINE_CHAIN.replace(LINE_RATES, SUPPLIER_RATES) + f"SELECT {GOLD_COLS_R8} FROM line_gold"
+
 SQL["union_pairs"] = with_(RATES, BRONZE, LINE_RATES) + """
 SELECT ingestion_date AS date, concat_ws('_', base_currency, target_currency) AS currency_pair, rate, 'orders' AS series
 FROM bronze
@@ -455,6 +509,11 @@ SQL["forecast"] = FC + f"""
 SELECT currency_pair, forecast_date, {r6('yhat')} AS yhat, {r6('yhat_lower')} AS yhat_lower,
        {r6('yhat_upper')} AS yhat_upper, training_rows FROM fc2"""
 
+SQL["forecast_split"] = SQL["forecast"]
+
+SQL["forecast_skipped"] = CHAIN_DAILY_GOLD + """
+SELECT currency_pair, count(*) AS n_rows, 'too_few_rows' AS reason FROM dgold GROUP BY 1 HAVING count(*) < 31"""
+
 SQL["forecast_model"] = FC + f"""
 SELECT currency_pair, n_rows, first_date, last_date, {r6('a')} AS a, {r6('b')} AS b, {r6('sigma')} AS sigma FROM model"""
 
@@ -481,7 +540,7 @@ FROM gold WHERE volatility_30 IS NOT NULL GROUP BY 1"""
 SQL["chart_rates"] = CHAIN_GOLD + "SELECT date, currency_pair, rate FROM gold"
 
 SQL["chart_rates_ma"] = CHAIN_GOLD + f"""
-SELECT date, currency_pair, rate, {r8('ma_7')} AS ma_7, {r8('ma_30')} AS ma_30, {r8('ma_90')} AS ma_90 FROM gold"""
+SELECT date, currency_pair, rate, {mean6('ma_7')} AS ma_7, {mean6('ma_30')} AS ma_30, {mean6('ma_90')} AS ma_90 FROM gold"""
 
 # ---- scalar functions ------------------------------------------------------------
 

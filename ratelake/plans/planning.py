@@ -35,14 +35,14 @@ def spine_per_key(df: DataFrame, key: str | list[str], date_col: str = "date", w
     """Every calendar day between each key's first and last date (a generator per key, no cross join)."""
     keys = [key] if isinstance(key, str) else list(key)
     bounds = df.groupBy(*keys).agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi"))
-    out = bounds.select(*keys, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias(date_col))
+    out = bounds.select(*keys, F.explode(date_spine(F.col("_lo"), F.col("_hi"))).alias(date_col))
     return out.filter(is_weekday(date_col)) if weekdays else out
 
 
 def global_spine(df: DataFrame, date_col: str = "date", weekdays: bool = False) -> DataFrame:
     """Every calendar day between the table's first and last date."""
     out = df.agg(F.min(date_col).alias("_lo"), F.max(date_col).alias("_hi")).select(
-        F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 DAY"))).alias(date_col)
+        F.explode(date_spine(F.col("_lo"), F.col("_hi"))).alias(date_col)
     )
     return out.filter(is_weekday(date_col)) if weekdays else out
 

@@ -110,8 +110,10 @@ def chart_rates(gold: DataFrame, pairs: Sequence[str] | None = None) -> DataFram
     return select_pairs(gold, pairs).select("date", PAIR, "rate")
 
 
-def chart_rates_ma(gold: DataFrame, pairs: Sequence[str] | None = None, windows: Sequence[int] = (7, 30, 90)) -> DataFrame:
-    return select_pairs(gold, pairs).select("date", PAIR, "rate", *[f"ma_{n}" for n in windows])
+def chart_rates_ma(gold: DataFrame, pairs: Sequence[str] | None = None, windows: Sequence[int] | None = None) -> DataFrame:
+    """Rates with the given moving averages, by default all that the gold table has."""
+    names = [f"ma_{n}" for n in windows] if windows else [c for c in gold.columns if c.startswith("ma_")]
+    return select_pairs(gold, pairs).select("date", PAIR, "rate", *names)
 
 
 def chart_returns(gold: DataFrame, pairs: Sequence[str] | None = None) -> DataFrame:
@@ -184,18 +186,18 @@ def run_sql(spark: SparkSession, text: str, args: dict | None = None) -> DataFra
     return spark.sql(text, args=args or None)
 
 
-def example_queries(gold: DataFrame, top: int = 20) -> dict[str, str]:
+def example_queries(gold: DataFrame, top: int = 20, gold_table: str = GOLD_TABLE) -> dict[str, str]:
     """SQL texts over our tables and views, for the windows this gold table has; every order is total."""
     spread = [c for c in gold.columns if c.startswith("volatility_")]
     texts = {
         "newest_day": f"SELECT * FROM {LATEST_VIEW} ORDER BY {PAIR}",
         "newest_by_pair": f"SELECT * FROM {LATEST_PER_PAIR_VIEW} ORDER BY {PAIR}, date",
-        "days_by_pair": f"SELECT {PAIR}, count(*) AS days, min(date) AS first_day, max(date) AS last_day FROM {GOLD_TABLE} GROUP BY {PAIR} ORDER BY {PAIR}",
-        "widest_z_scores": f"SELECT {PAIR}, date, rate_z_score FROM {GOLD_TABLE} WHERE abs(rate_z_score) > :threshold "
+        "days_by_pair": f"SELECT {PAIR}, count(*) AS days, min(date) AS first_day, max(date) AS last_day FROM {gold_table} GROUP BY {PAIR} ORDER BY {PAIR}",
+        "widest_z_scores": f"SELECT {PAIR}, date, rate_z_score FROM {gold_table} WHERE abs(rate_z_score) > :threshold "
         f"ORDER BY abs(rate_z_score) DESC, {PAIR}, date LIMIT {top}",
     }
     for c in spread:
-        texts[f"mean_{c}"] = f"SELECT {PAIR}, avg({c}) AS mean_{c} FROM {GOLD_TABLE} GROUP BY {PAIR} ORDER BY mean_{c} DESC NULLS LAST, {PAIR}"
+        texts[f"mean_{c}"] = f"SELECT {PAIR}, avg({c}) AS mean_{c} FROM {gold_table} GROUP BY {PAIR} ORDER BY mean_{c} DESC NULLS LAST, {PAIR}"
     return texts
 
 

@@ -41,39 +41,40 @@ LANDING_SCHEMA = StructType(
     ]
 )
 
+# The layers' column names, types and order.
 BRONZE_SCHEMA = StructType(
     [
-        StructField("ingestion_date", DateType(), nullable=False),
-        StructField("base_currency", StringType(), nullable=False),
-        StructField("target_currency", StringType(), nullable=False),
-        StructField("rate", DoubleType(), nullable=False),
-        StructField("source", StringType(), nullable=False),
-        StructField("ingested_at", TimestampType(), nullable=False),
+        StructField("ingestion_date", DateType()),
+        StructField("base_currency", StringType()),
+        StructField("target_currency", StringType()),
+        StructField("rate", DoubleType()),
+        StructField("source", StringType()),
+        StructField("ingested_at", TimestampType()),
     ]
 )
 
 SILVER_SCHEMA = StructType(
     [
-        StructField("date", DateType(), nullable=False),
-        StructField("currency_pair", StringType(), nullable=False),
-        StructField("base_currency", StringType(), nullable=False),
-        StructField("target_currency", StringType(), nullable=False),
-        StructField("rate", DoubleType(), nullable=False),
-        StructField("prev_rate", DoubleType(), nullable=True),
-        StructField("daily_return", DoubleType(), nullable=True),
-        StructField("processed_at", TimestampType(), nullable=False),
+        StructField("date", DateType()),
+        StructField("currency_pair", StringType()),
+        StructField("base_currency", StringType()),
+        StructField("target_currency", StringType()),
+        StructField("rate", DoubleType()),
+        StructField("prev_rate", DoubleType()),
+        StructField("daily_return", DoubleType()),
+        StructField("processed_at", TimestampType()),
     ]
 )
 
 FORECAST_SCHEMA = StructType(
     [
-        StructField("currency_pair", StringType(), nullable=False),
-        StructField("forecast_date", DateType(), nullable=False),
-        StructField("yhat", DoubleType(), nullable=False),
-        StructField("yhat_lower", DoubleType(), nullable=False),
-        StructField("yhat_upper", DoubleType(), nullable=False),
-        StructField("model_trained_at", TimestampType(), nullable=False),
-        StructField("training_rows", IntegerType(), nullable=False),
+        StructField("currency_pair", StringType()),
+        StructField("forecast_date", DateType()),
+        StructField("yhat", DoubleType()),
+        StructField("yhat_lower", DoubleType()),
+        StructField("yhat_upper", DoubleType()),
+        StructField("model_trained_at", TimestampType()),
+        StructField("training_rows", IntegerType()),
     ]
 )
 
@@ -92,16 +93,16 @@ def gold_schema(
 ) -> StructType:
     """Gold schema for the given moving-average windows and volatility window."""
     fields = [
-        StructField("date", DateType(), nullable=False),
-        StructField("currency_pair", StringType(), nullable=False),
-        StructField("rate", DoubleType(), nullable=False),
-        StructField("daily_return", DoubleType(), nullable=True),
+        StructField("date", DateType()),
+        StructField("currency_pair", StringType()),
+        StructField("rate", DoubleType()),
+        StructField("daily_return", DoubleType()),
     ]
-    fields += [StructField(ma_name(n), DoubleType(), nullable=True) for n in windows]
+    fields += [StructField(ma_name(n), DoubleType()) for n in windows]
     fields += [
-        StructField(volatility_name(volatility_window), DoubleType(), nullable=True),
-        StructField("rate_z_score", DoubleType(), nullable=True),
-        StructField("created_at", TimestampType(), nullable=False),
+        StructField(volatility_name(volatility_window), DoubleType()),
+        StructField("rate_z_score", DoubleType()),
+        StructField("created_at", TimestampType()),
     ]
     return StructType(fields)
 

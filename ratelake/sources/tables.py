@@ -50,6 +50,20 @@ def line_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def supplier_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``lineitem`` with one series per supplier and line status: many keys, so every layer grows with the table."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_shipdate").cast("date").alias("ingestion_date"),
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("base_currency"),
+        F.col("l_linestatus").alias("target_currency"),
+        F.col("l_extendedprice").alias("rate"),
+        F.lit("lineitem").alias("source"),
+        F.col("l_shipdate").cast("timestamp").alias("ingested_at"),
+        (F.col("l_orderkey") * F.lit(8) + F.col("l_linenumber")).alias("record_id"),
+    )
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.groupBy(F.col("ts").cast("date").alias("date"), F.col("event_type").alias("currency_pair")).agg(

@@ -6,8 +6,8 @@ is merged into a bronze table partitioned by year of the rate date:
 1. quarantine: unusable records / rates are appended to the quarantine folder;
 2. the batch is reduced to the latest row per bronze key (a ``max_by``
    aggregate, combined map-side);
-3. only the years the batch touches are read back from bronze (a semi-join
-   on the partition column, pruned at planning time), unioned with the
+3. only the years the batch touches are read back from bronze (a literal
+   filter on the partition column, so the others are pruned), unioned with the
    batch, deduplicated again and written with dynamic partition overwrite.
 
 No watermark is used: a backfill of an old date is normal here and must not
@@ -32,6 +32,7 @@ from ratelake.schemas import BRONZE_SCHEMA
 from ratelake.sources import landing
 
 YEAR = "year"
+ORDER = ["ingested_at", "source", "rate"]  #: a total order of the rows of one key
 
 
 def landing_stream(spark: SparkSession, source_dir: str, glob: str | None = landing.DEFAULT_GLOB, max_files: int | None = None) -> DataFrame:
@@ -52,24 +53,29 @@ def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame:
     return spark.read.parquet(bronze_path).select(*BRONZE_SCHEMA.fieldNames())
 
 
+def touched_years(present: DataFrame, batch: DataFrame) -> DataFrame:
+    """The present rows of the batch's years; their list is bounded by the calendar, so it can be a literal filter."""
+    years = [r[YEAR] for r in batch.select(YEAR).distinct().collect()]
+    return present.where(F.col(YEAR).isin(years)).select(*BRONZE_SCHEMA.fieldNames(), YEAR)
+
+
 def merge_into_bronze(spark: SparkSession, rows: DataFrame, bronze_path: str) -> None:
     """Upsert bronze-shaped rows: the latest ``ingested_at`` per key wins, years not touched stay as they are."""
     cols = BRONZE_SCHEMA.fieldNames()
-    batch = deduplicate(rows.select(*cols), BRONZE_KEY, ["ingested_at", "source"]).withColumn(
+    batch = deduplicate(rows.select(*cols), BRONZE_KEY, ORDER).withColumn(
         YEAR, F.year("ingestion_date")
-    )
+    ).checkpoint()
     try:
         present = spark.read.parquet(bronze_path)
     except AnalysisException as exc:  # first batch: nothing to merge with
         if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
             raise
     else:
-        touched = present.join(batch.select(YEAR).distinct(), YEAR, "left_semi").select(*cols, YEAR)
-        batch = deduplicate(touched.unionByName(batch), BRONZE_KEY, ["ingested_at", "source"])
-    # Cut lineage before replacing the partitions this plan reads from.
-    merged = batch.checkpoint()
+        batch = deduplicate(touched_years(present, batch).unionByName(batch), BRONZE_KEY, ORDER)
+        # Cut lineage before replacing the partitions this plan reads from.
+        batch = batch.checkpoint()
     (
-        merged.write.mode("overwrite")
+        batch.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(YEAR)
         .parquet(bronze_path)
@@ -81,12 +87,15 @@ def start_landing_to_bronze(
     source_dir: str,
     bronze_path: str,
     quarantine_path: str,
-    checkpoint_location: str | None = None,
+    checkpoint_location: str,
     glob: str | None = landing.DEFAULT_GLOB,
     available_now: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
-    """Start the incremental bronze stream. ``available_now`` drains what has landed and stops."""
+    """Start the incremental bronze stream. ``available_now`` drains what has landed and stops.
+
+    ``checkpoint_location`` is a shared folder of this stream alone.
+    """
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.checkpoint()  # one read of the new files for both outputs
@@ -95,10 +104,8 @@ def start_landing_to_bronze(
         quarantine.write.mode("overwrite").json(os.path.join(quarantine_path, f"batch_id={batch_id}"))
         merge_into_bronze(spark, good, bronze_path)
 
-    ckpt = checkpoint_location or os.path.join(
-        spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "", "landing_to_bronze"
-    )
-    writer = landing_stream(spark, source_dir, glob).writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
+    writer = landing_stream(spark, source_dir, glob).writeStream.foreachBatch(per_batch)
+    writer = writer.option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif processing_time:

@@ -88,3 +88,42 @@ def test_pandas_model_contract(spark):
     assert len(out) == 14
     assert all(r.yhat_lower <= r.yhat <= r.yhat_upper for r in out)
     assert min(r.forecast_date for r in out) == date(2022, 1, 1) + timedelta(days=800)
+
+
+def test_split_fit_equals_plain_fit(spark):
+    g = gold(spark, [("A", date(2024, 1, 1), wiggle(60)), ("B", date(2024, 1, 5), wiggle(31, b=-0.2)), ("S", date(2024, 1, 1), wiggle(3))])
+    plain, split = (sorted(tuple(r) for r in fc.forecast(g, run_ts="2024-03-01 00:00:00", split=s).collect()) for s in (False, True))
+    assert [r[:2] for r in plain] == [r[:2] for r in split] and len(plain) == 60
+    for a, b in zip(plain, split, strict=True):
+        assert a[2:5] == pytest.approx(b[2:5])
+    assert [r.reason for r in fc.fit_default_model(g, split=True)[1].collect()] == ["too_few_rows"]
+
+
+def test_infinite_rates_are_skipped_with_a_reason(spark):
+    g = gold(spark, [("I", date(2024, 1, 1), [*wiggle(30), float("inf")]), ("A", date(2024, 1, 1), wiggle(30))])
+    assert {r.currency_pair for r in fc.forecast(g).collect()} == {"A"}
+    assert [(r.currency_pair, r.reason) for r in fc.fit_default_model(g)[1].collect()] == [("I", "non_finite_fit")]
+    done, skipped = fc.split_outcomes(fc.fit_predict_pandas(g, horizon=3))
+    assert {r.currency_pair for r in done.collect()} == {"A"}
+    assert [(r.currency_pair, r.n_rows, r.reason) for r in skipped.collect()] == [("I", 31, "non_finite_fit")]
+
+
+@pytest.mark.parametrize("n", [40, 729, 731])
+def test_yearly_terms_are_kept_at_every_length(spark, n):
+    g = gold(spark, [("A", date(2022, 1, 1), wiggle(n))])
+    a, b = (fc.forecast_pandas(g, horizon=2, yearly=y).orderBy("forecast_date").first().yhat for y in (True, False))
+    assert a != b
+
+
+def test_job_writes_forecasts_and_skipped_pairs(spark, tmp_dir):
+    g = gold(spark, [("A", date(2024, 1, 1), wiggle(40)), ("S", date(2024, 1, 1), wiggle(5))])
+    g.write.parquet(f"{tmp_dir}/gold")
+    for model in ("default", "grouped"):
+        out = fc.run_forecasting(spark, f"{tmp_dir}/gold", f"{tmp_dir}/fc", 5, model=model, skipped_path=f"{tmp_dir}/skipped")
+        assert out.count() == 5
+        assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/skipped").collect()] == [("S", 5, "too_few_rows")]
+    # No forecast: the file of the run before stays, the reasons are written.
+    assert fc.run_forecasting(spark, f"{tmp_dir}/gold", f"{tmp_dir}/fc", 5, min_rows=99, skipped_path=f"{tmp_dir}/skipped") is None
+    assert spark.read.parquet(f"{tmp_dir}/fc").count() == 5 and spark.read.parquet(f"{tmp_dir}/skipped").count() == 2
+    with pytest.raises(ValueError, match="Unknown forecast model"):
+        fc.run_forecasting(spark, f"{tmp_dir}/gold", f"{tmp_dir}/fc", model="none")

@@ -138,3 +138,25 @@ def test_row_positions_across_blocks_with_gaps(spark):
     assert sorted((r.date, r.currency_pair, r.ma_3) for r in split.collect()) == sorted(
         (r.date, r.currency_pair, r.ma_3) for r in plain.collect()
     )
+
+
+def test_split_forms_keep_rows_without_a_date(spark):
+    s = sine_silver(spark, 20).unionByName(spark.createDataFrame([(None, "USD_EUR", "USD", "EUR", 1.0, None, None, None)], SILVER))
+    for days in (False, True):
+        plain = layers.transform_to_gold(s, windows=(3,), volatility_window=2, calendar_days=days)
+        split = layers.transform_to_gold(s, windows=(3,), volatility_window=2, calendar_days=days, split_chunk_rows=4)
+        a, b = ({r.date: (r.ma_3, r.volatility_2) for r in x.collect()} for x in (plain, split))
+        assert len(a) == 21 and a.keys() == b.keys()
+        for k in a:
+            assert a[k] == pytest.approx(b[k], abs=1e-12)
+
+
+def test_silver_split_equals_plain(spark):
+    bronze = "ingestion_date date, base_currency string, target_currency string, rate double, source string, ingested_at timestamp"
+    rows = [(date(2024, 1, 1) + timedelta(days=3 * i), "USD", t, 1.0 + 0.1 * i, "s", None) for i in range(25) for t in ("EUR", "SEK")]
+    df = spark.createDataFrame([*rows, (None, "USD", "EUR", 2.0, "s", None), (date(2024, 1, 1), "USD", "SEK", -1.0, "s", None)], bronze)
+    a, b = (
+        sorted((tuple(r) for r in layers.transform_to_silver(df, run_ts="2024-03-01 00:00:00", split_chunk_rows=n).collect()), key=str)
+        for n in (None, 4)
+    )
+    assert a == b and len(a) == 51

@@ -79,3 +79,49 @@ def test_partitioned_layer_write_replaces_only_present_partitions(spark, tmp_dir
         pass
     else:
         raise AssertionError("missing dataset not reported")
+
+
+def test_job_with_other_windows_layout_and_names(spark, tmp_dir):
+    from ratelake.plans.serving import example_queries, run_sql
+
+    paths = LakePaths(root=tmp_dir)
+    n_records = landing_fixture(paths.raw)
+    params = JobParams(
+        windows=(5, 20), volatility_window=10, max_rate=5.0, split_chunk_rows=20, partition_by=["currency_pair"],
+        max_records_per_file=7, model="grouped", model_params={"yearly": False}, gold_table="g2", forecast_table="f2",
+    )
+    run_layers(spark, paths, params)
+    gold = spark.table("g2")
+    assert {"ma_5", "ma_20", "volatility_10"} <= set(gold.columns) and gold.count() == 2 * n_records
+    assert sorted(x for x in os.listdir(paths.gold) if "=" in x) == ["currency_pair=USD_EUR", "currency_pair=USD_GBP"]
+    files = [x for x in os.listdir(os.path.join(paths.gold, "currency_pair=USD_EUR")) if x.endswith(".parquet")]
+    assert len(files) >= n_records // 7
+    assert {r.reason for r in spark.read.parquet(paths.rejected).collect()} == {"above_max"}
+    assert spark.read.parquet(paths.rejected).count() == n_records
+    assert spark.table("f2").count() == 2 * 30 and spark.read.parquet(paths.skipped).count() == 0
+    for name, text in example_queries(gold, gold_table="g2").items():
+        args = {"threshold": 1.0} if ":threshold" in text else None
+        assert run_sql(spark, text, args).count() > 0, name
+
+
+def test_partition_without_rows_is_gone_after_a_rebuild(spark, tmp_dir):
+    from ratelake.plans.layers import read_layer, write_layer
+
+    df = spark.createDataFrame([("A", 1.0), ("B", 2.0)], "currency_pair string, rate double")
+    write_layer(df, f"{tmp_dir}/t", ["currency_pair"], rebuild=True)
+    write_layer(df.filter("currency_pair = 'A'"), f"{tmp_dir}/t", ["currency_pair"], rebuild=True)
+    assert [tuple(r) for r in read_layer(spark, f"{tmp_dir}/t", df.schema).collect()] == [("A", 1.0)]
+
+
+def test_tied_rows_give_one_result_in_any_order(spark, tmp_dir):
+    from ratelake.plans.layers import transform_to_bronze
+    from ratelake.streaming.landing_stream import merge_into_bronze, read_bronze
+
+    rows = [(date(2024, 1, 1), "USD", "EUR", r, "s", None) for r in (0.92, 0.93, 0.91)]
+    kind = "ingestion_date date, base_currency string, target_currency string, rate double, source string, ingested_at timestamp"
+    for k, order in enumerate((rows, rows[::-1])):
+        df = spark.createDataFrame(order, kind)
+        assert [r.rate for r in transform_to_bronze(df).collect()] == [0.93]
+        for row in order:  # one micro-batch per row
+            merge_into_bronze(spark, spark.createDataFrame([row], kind), f"{tmp_dir}/b{k}")
+        assert [r.rate for r in read_bronze(spark, f"{tmp_dir}/b{k}").collect()] == [0.93]

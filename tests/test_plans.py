@@ -43,3 +43,24 @@ def test_scan_reads_only_needed_columns_and_pushes_filters(spark):
 def test_latest_rates_broadcasts_only_the_one_row_max(spark):
     p = plan_of(catalog.QUERIES["latest_rates"](spark, SF))
     assert "BroadcastExchange" in p and "LeftSemi" in p
+
+
+def test_split_mode_has_no_window_on_the_whole_pair(spark):
+    s = layers.transform_to_silver(catalog.bronze(spark, SF), max_rate=catalog.MAX_PRICE, run_ts=RUN_TS, split_chunk_rows=128)
+    g = layers.transform_to_gold(s, run_ts=RUN_TS, split_chunk_rows=128)
+    specs = [x for x in plan_of(forecast.forecast(g, run_ts=RUN_TS, split=True)).splitlines() if "+- Window [" in x]
+    assert specs
+    # The only window over a whole pair sums the per-block row counts: one row per pair and year.
+    assert all("_chunk" in x or "_blk" in x for x in specs)
+
+
+def test_stream_merge_reads_only_the_touched_years(spark, tmp_dir):
+    from ratelake.streaming.landing_stream import merge_into_bronze, touched_years
+
+    rows = catalog.bronze(spark, SF)
+    merge_into_bronze(spark, rows, f"{tmp_dir}/bronze")
+    batch = rows.filter("ingestion_date < '1996-01-01'").withColumn("year", F.year("ingestion_date"))
+    p = plan_of(touched_years(spark.read.parquet(f"{tmp_dir}/bronze"), batch))
+    years = sorted({r.year for r in batch.select("year").collect()})
+    part = p[p.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert years and all(str(y) in part for y in years) and "1997" not in part

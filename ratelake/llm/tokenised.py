@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import chain, filterfalse
 from string import punctuation
 
 import numpy as np
@@ -40,6 +40,34 @@ def split_words(text: str | None, special: list[str] | None = None) -> list[str]
     return text.split(" ")
 
 
+def _lean_form(tokenizer) -> tuple[object, np.ndarray] | None:  # noqa: ANN001 - tokenizers.Tokenizer
+    """A tokenizer without normalizer and patterns, for lower-case Latin-1 words of letters only, and which ids end a word.
+
+    Such words are one pre-token and normal already where the tokenizer composes, collapses white space, lower-cases
+    and splits into runs of letters and other things. None for tokenizers of another kind.
+    """
+    spec = json.loads(tokenizer.to_str())
+    model, split = spec["model"], spec["pre_tokenizer"] or {}
+    steps = {x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])}
+    kinds = [(x["type"], x.get("behavior"), x.get("invert")) for x in split.get("pretokenizers", [])]
+    suffix = model.get("end_of_word_suffix")
+    if (
+        not suffix
+        or model.get("continuing_subword_prefix")
+        or steps != {"NFC", "Replace", "Lowercase"}
+        or kinds != [("Split", "Removed", True), ("ByteLevel", None, None)]
+        or "|[\\p{L}]+|" not in split["pretokenizers"][0]["pattern"].get("Regex", "")
+        or any(t["content"].isalpha() for t in spec["added_tokens"])
+    ):
+        return None
+    split["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+    spec |= {"normalizer": None, "post_processor": None, "added_tokens": []}
+    vocabulary = tokenizer.get_vocab()
+    ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+    return type(tokenizer).from_str(json.dumps(spec)), ends
+
+
 class WordMemo:
     """Ids of words as little-endian 32-bit bytes; two generations of at most ``limit`` words each bound the memory."""
 
@@ -51,27 +79,53 @@ class WordMemo:
         special = [(k, t.content) for k, t in sorted(self.tokenizer.get_added_tokens_decoder().items()) if t.special and not (t.lstrip or t.rstrip)]
         self.mark_id, self.mark = special[0] if special else (None, None)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if "Lowercase" in repr(self.tokenizer.normalizer) else None
+        self.lean = _lean_form(self.tokenizer) if self.special is not None else None
         self.limit, self.young, self.old = limit, {"": b""}, {}
 
-    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
-        """A dict that holds every word of the texts."""
+    def codes(self, texts: list[list[str]]) -> list[list[bytes]]:
+        """Every text's words as their ids; each word is looked up once, and only new ones again."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {"": b""}
-        unknown, joined = set(), []
-        for w in set(filterfalse(self.young.__contains__, chain.from_iterable(texts))):
+        found = [list(map(self.young.get, words)) for words in texts]
+        self._learn({w for words, known in zip(texts, found, strict=True) for w, ids in zip(words, known, strict=True) if ids is None})
+        young = self.young
+        return [
+            [young[w] if ids is None else ids for w, ids in zip(words, known, strict=True)] for words, known in zip(texts, found, strict=True)
+        ]
+
+    def _learn(self, words: set[str]) -> None:
+        young, unknown, joined = self.young, set(), []
+        for w in words:
             stem = w.rstrip(punctuation)
             if stem != w and stem.isalpha():  # letters, then only symbols: the tokenizer splits there
-                joined.append((w, stem, w[len(stem) :]))
-                unknown.update(x for x in joined[-1][1:] if x not in self.young)
+                symbols = w[len(stem) :]
+                joined.append((w, stem, symbols))
+                if stem not in young:
+                    unknown.add(stem)
+                if symbols not in young:
+                    unknown.add(symbols)
             else:
                 unknown.add(w)
         known = [w for w in unknown if w in self.old]
-        self.young.update((w, self.old[w]) for w in known)
+        young.update((w, self.old[w]) for w in known)
         self._encode(list(unknown.difference(known)))
-        self.young.update((w, self.young[a] + self.young[b]) for w, a, b in joined)
-        return self.young
+        young.update((w, young[a] + young[b]) for w, a, b in joined)
+
+    def _encode_letters(self, words: list[str]) -> None:
+        tokenizer, is_end = self.lean
+        for lo in range(0, len(words), 2000):
+            part = words[lo : lo + 2000]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            raw, begin = ids.tobytes(), 0
+            for w, end in zip(part, (np.flatnonzero(is_end[ids]) + 1).tolist(), strict=True):
+                self.young[w] = raw[4 * begin : 4 * end]
+                begin = end
 
     def _encode(self, unknown: list[str]) -> None:
+        if self.lean is not None:
+            letters = {w for w in unknown if w.isalpha() and _is_latin(w) and w == w.lower()}
+            self._encode_letters(list(letters))
+            unknown = [w for w in unknown if w not in letters]
         if self.mark is None:
             coded = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
             self.young.update(zip(unknown, coded, strict=True))
@@ -116,10 +170,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
                 batch = whole.slice(lo, 1000)
                 ids = batch.column(0).to_pylist()
                 words = [split_words(t, memo.special) for t in batch.column(1).to_pylist()]
-                code = memo.learn(words)
                 out: list[tuple] = []
-                for doc_id, w in zip(ids, words, strict=True):
-                    coded = b"".join(map(code.__getitem__, w)) + end
+                for doc_id, code in zip(ids, memo.codes(words), strict=True):
+                    coded = b"".join(code) + end
                     for k, at in enumerate(range(0, len(coded), width)):
                         part = coded[at : at + width]
                         out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -245,3 +245,16 @@ def test_pipeline_stages(spark):
     assert names == ["toxicity", "exact_dedup", "ngram_jaccard", "best_fit_packing"]
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and {"doc_id", "sequence_id", "offset", "length"} <= set(rows[0].asDict())
+
+
+def test_words_of_letters_get_the_ids_of_the_whole_tokenizer():
+    memo = tokenised.WordMemo(queries.tokenizer_path("word_bpe_49k.json"))
+    assert memo.lean is not None
+    words = ["house", "straße", "über", "Über", "ªº", "µ", "ÿ", "ñandú", "e\u0301t", "don't", "a1b2", "x", "ελλάδα", "中文", "zz.", "ab***", "é" * 300, "<|endoftext|>", "ǅa"]
+    memo.limit = 5  # the second call begins a new generation
+    for _ in range(2):
+        code, other = memo.codes([words, ["house", "", "house."]])
+        for w, ids in zip(words, code, strict=True):
+            plain = memo.tokenizer.encode(w, add_special_tokens=False).ids
+            assert np.frombuffer(ids, dtype="<u4").tolist() == plain, w
+        assert other[0] == code[0] and other[1] == b"" and other[2].startswith(code[0])

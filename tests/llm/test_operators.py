@@ -96,6 +96,21 @@ def test_packing(spark, docs, empty):
     assert packing.pack(spark, tokenised.token_pieces(empty, path), 2048).count() == 0
 
 
+def test_packing_solves_the_configuration_lp():
+    rng = np.random.default_rng(0)
+    few = dict(zip(rng.choice(np.arange(100, 1500), 12, False).tolist(), rng.integers(100, 5000, 12).tolist(), strict=True))
+    for pieces, optimum in (({1500: 1000, 128: 4000}, 1000), ({1000: 3000, 700: 3000, 400: 1000}, 3000), (few, None), ({k: 50 for k in range(1030, 2000, 10)}, 4850)):
+        hist = np.zeros(2049, dtype=np.int64)
+        for size, n in pieces.items():
+            hist[size] = n
+        configs, bound = packing.solve(hist)
+        assert (sum(n * c for c, n in configs) == hist).all()
+        assert all(c @ np.arange(2049) <= 2048 for c, _ in configs)
+        used = sum(n for _, n in configs)
+        assert bound - 1e-6 <= used <= max(math.ceil(bound - 1e-6) + 1, 1.001 * bound)
+        assert optimum is None or used == optimum
+
+
 def test_jaccard_join(spark, docs, empty):
     rng = np.random.default_rng(5)
     texts = {}

@@ -11,17 +11,16 @@ discounted counts that backs off to Good-Turing discounted unigrams:
 
 ``a(v)`` is computed exactly, so that p(. | v) sums to one over the known words
 and the unknown type. Counts up to 5 get Katz's discounts, larger ones lose 0.5,
-so every context leaves some mass. The history v is the word itself if it has
-at least one in ``histories`` of the training tokens (so there are at most
-``histories`` such words at any corpus size), the start mark, or the pool of
-all rarer words; w is any word.
+so every context leaves some mass. The history v is any word or the start mark,
+w any word; a history that no training text has leaves all to p(w).
 
 Tables, all in the shared checkpoint folder: ``unigrams`` (word hash, count),
 ``pairs`` (by word shard: word count, history, pair count, and the texts that
-hold the pair) and ``contexts`` (per history: mass and backoff weight).
-Words are keyed by 64-bit hashes, and a pair lives in its word's shard.
-Frequent words are spread over all shards by their history, so no shard
-grows with one word.
+hold the pair) and the histories (tokens after it and backoff weight), which
+are added up in partitions by history hash and sent back to the shards that
+hold pairs of them. Words are keyed by 64-bit hashes, and a pair lives in its
+word's shard. Frequent words are spread over all shards by their history, so no
+shard grows with one word.
 
 Defined results: NULL text is the one token "end"; no training text: every
 token is unknown with probability one; texts of any length are read whole;
@@ -47,7 +46,8 @@ from ratelake.llm.common import key_per_partition, materialise, shuffle_partitio
 LOW = 5  #: counts up to this get Good-Turing discounts
 TAIL = 0.5  #: what larger counts lose
 END = b""
-PAIRS = "shard int, base long, w array<long>, w_n array<int>, v array<int>, v_n array<int>, doc array<short>, cnt array<int>"
+START = b" "  #: no token holds white space
+PAIRS = "shard int, base long, w array<long>, w_n array<int>, v array<long>, v_n array<int>, doc array<short>, cnt array<int>"
 PAIR_NAMES = [c.split()[0] for c in PAIRS.split(", ")]
 
 
@@ -133,8 +133,6 @@ class Model:
     d1: np.ndarray
     unknown: float
     d2: np.ndarray | None = None
-    context_total: np.ndarray | None = None
-    backoff: np.ndarray | None = None
 
     def unigram(self, c: np.ndarray) -> np.ndarray:
         return np.where(c > 0, held(c, self.d1) / max(self.total, 1), self.unknown)
@@ -142,10 +140,9 @@ class Model:
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.total + 0.1 * (self.types + 1)))
 
-    def pair(self, v: np.ndarray, c: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 p(w | v): ``c`` counts of the pairs, ``word`` counts of their words."""
-        seen = held(c, self.d2) / np.maximum(self.context_total[v], 1)
-        return np.log10(np.where(c > 0, seen, self.backoff[v] * self.unigram(word)))
+    def pair(self, total: np.ndarray, backoff: np.ndarray, c: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 p(w | v): ``total`` and ``backoff`` of the histories, ``c`` counts of the pairs, ``word`` counts of their words."""
+        return np.log10(np.where(c > 0, held(c, self.d2) / np.maximum(total, 1), backoff * self.unigram(word)))
 
 
 def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards: list[int]) -> DataFrame:
@@ -155,7 +152,7 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
     Rows with a negative shard list the batch's texts: w has the ids, v the
     held-out flags, cnt the numbers of tokens, doc whether the id is NULL.
     """
-    start, keys = len(frequent) + 1, np.array(shards, dtype=np.int32)
+    keys = np.array(shards, dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, task = Hashes(), TaskContext.get().partitionId()
@@ -173,15 +170,15 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                 at = np.searchsorted(frequent, h)
                 often = at < len(frequent)
                 often[often] = frequent[at[often]] == h[often]
-                history = np.where(often, at + 1, 0)
-                v = np.concatenate(([start], history[w[:-1]]))
-                v[np.cumsum(size)[:-1]] = start
-                key = (w << 18 | v) << 13 | np.repeat(np.arange(len(rows)), size)
+                history = np.append(h, hashes[START])  # of local words, and of the start mark
+                v = np.concatenate(([len(h)], w[:-1]))
+                v[np.cumsum(size)[:-1]] = len(h)
+                key = (w << 25 | v) << 13 | np.repeat(np.arange(len(rows)), size)
                 key.sort()
                 first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
                 cnt = np.diff(np.append(first, len(key)))
                 key = key[first]
-                doc, v, w = key & 8191, key >> 13 & (1 << 18) - 1, key >> 31
+                doc, v, w = key & 8191, history[key >> 13 & (1 << 25) - 1], key >> 38
                 spread = np.where(often[w], h[w] ^ (v * 0x9E3779B1), h[w])
                 shard = (spread ^ spread >> 29) % len(keys)
                 order = np.argsort(shard, kind="stable")
@@ -202,7 +199,7 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                         pa.array(np.full(len(names), base)),
                         _lists(h[w[words]], per(words), np.int64),
                         _lists(np.diff(np.append(np.cumsum(new_v)[words] - 1, len(pairs))), per(words), np.int32),
-                        _lists(v[pairs], per(pairs), np.int32),
+                        _lists(v[pairs], per(pairs), np.int64),
                         _lists(np.diff(np.append(pairs, len(w))), per(pairs), np.int32),
                         _lists(doc, per(every), np.int16),
                         _lists(cnt, per(every), np.int32),
@@ -212,7 +209,7 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                 one = np.array([len(rows)])
                 none = np.array(ids.is_null().to_numpy(zero_copy_only=False), dtype=np.int16)
                 plain = pc.fill_null(ids, 0).to_numpy().astype(np.int64)
-                flat = [(plain, np.int64), (size * 0, np.int32), (out, np.int32), (size * 0, np.int32), (none, np.int16), (size, np.int32)]
+                flat = [(plain, np.int64), (size * 0, np.int32), (out, np.int64), (size * 0, np.int32), (none, np.int16), (size, np.int32)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([-1 - task], pa.int32()), pa.array([base]), *[_lists(x, one, k) for x, k in flat]], names=PAIR_NAMES
                 )
@@ -222,7 +219,7 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
 
 
 TABLE = (
-    "shard int, bases array<long>, word array<long>, word_c array<long>, v array<int>, c array<long>, v_n array<int>,"
+    "shard int, bases array<long>, word array<long>, word_c array<long>, v array<long>, c array<long>, v_n array<int>,"
     " batch array<int>, doc array<short>, cnt array<int>"
 )
 
@@ -231,7 +228,7 @@ def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, pa
     """One row per shard: per pair the word's hash and training count, its history and count; per posting batch, text and count."""
     kind = pa.schema([
         ("shard", pa.int32()), ("bases", pa.list_(pa.int64())), ("word", pa.list_(pa.int64())), ("word_c", pa.list_(pa.int64())),
-        ("v", pa.list_(pa.int32())), ("c", pa.list_(pa.int64())), ("v_n", pa.list_(pa.int32())), ("batch", pa.list_(pa.int32())),
+        ("v", pa.list_(pa.int64())), ("c", pa.list_(pa.int64())), ("v_n", pa.list_(pa.int32())), ("batch", pa.list_(pa.int32())),
         ("doc", pa.list_(pa.int16())), ("cnt", pa.list_(pa.int32())),
     ])
 
@@ -284,38 +281,92 @@ def _columns(batch: pa.RecordBatch, k: int) -> list[np.ndarray]:
     return [c[k].values.to_numpy() for c in batch.columns]
 
 
-def context_sums(pairs: DataFrame, model: Model, contexts: int) -> np.ndarray:
-    """Per history: unigram mass of the words seen after it, number of seen tokens, and pairs seen 1..LOW or more times."""
+def counts_of_counts(pairs: DataFrame) -> np.ndarray:
+    """How many pairs were seen 1..LOW + 1 times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((contexts, 3 + LOW))
+        n = np.zeros(LOW + 3, dtype=np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
-                word_c, v, c = _columns(batch, k)
-                on = c > 0
-                word_c, v, c = word_c[on], v[on], c[on]
-                sums[:, 0] += np.bincount(v, weights=model.unigram(word_c), minlength=contexts)
-                sums[:, 1] += np.bincount(v, weights=c, minlength=contexts)
-                for r in range(1, LOW + 2):
-                    sums[:, 1 + r] += np.bincount(v[np.minimum(c, LOW + 1) == r], minlength=contexts)
-        used = np.flatnonzero(sums[:, 1])
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *[pa.array(x) for x in sums[used].T]], names=names)
-
-    names = ["v", *[f"s{k}" for k in range(3 + LOW)]]
-    found = pairs.select("word_c", "v", "c").mapInArrow(run, "v int, " + ", ".join(f"{x} double" for x in names[1:]))
-    out = np.zeros((contexts, 3 + LOW))
-    for row in found.groupBy("v").agg(*[F.sum(x).alias(x) for x in names[1:]]).collect():  # at most `contexts` rows
-        out[row[0]] = row[1:]
+                n += np.bincount(np.minimum(_columns(batch, k)[0], LOW + 2), minlength=LOW + 3)
+        yield pa.RecordBatch.from_arrays([pa.array(range(LOW + 3), pa.int32()), pa.array(n)], names=["r", "n"])
+
+    out = np.zeros(LOW + 2)
+    for r, n in pairs.select("c").mapInArrow(run, "r int, n long").groupBy("r").agg(F.sum("n")).collect():
+        if 0 < r < LOW + 2:
+            out[r] = n
     return out
 
 
-def shard_sums(pairs: DataFrame, model: Model) -> DataFrame:
+PARTS = "part int, shard int, v array<long>, mass array<double>, total array<double>, left array<double>"
+HISTORIES = "shard int, history array<long>, total array<double>, backoff array<double>"
+
+
+def history_table(pairs: DataFrame, model: Model, parts: list[int]) -> DataFrame:
+    """HISTORIES rows: for every shard the histories of its pairs with the tokens seen after them and their backoff weights.
+
+    Each shard sends its sums per history (unigram mass of the words seen after it, seen tokens, what the discounts left) to
+    the history's partition; that adds them up and answers every shard. ``parts``: a key per partition.
+    """
+    keys = np.array(parts, dtype=np.int32)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                word_c, v, c = (x[k].values.to_numpy() for x in batch.columns[1:])
+                names, at = np.unique(v, return_inverse=True)
+                given = (model.unigram(word_c) * (c > 0), c, c - held(c, model.d2))
+                sums = [np.bincount(at, weights=x, minlength=len(names)) for x in given]
+                part = (names ^ names >> 31) % len(keys)
+                order = np.argsort(part, kind="stable")
+                per = np.bincount(part, minlength=len(keys))
+                some = np.flatnonzero(per)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[some]), pa.array(np.full(len(some), batch.column(0)[k].as_py(), dtype=np.int32))]
+                    + [_lists(x[order], per[some], kind) for x, kind in zip((names, *sums), (np.int64, float, float, float), strict=True)],
+                    names=["part", "shard", "v", "mass", "total", "left"],
+                )
+
+    def whole(rows: list[list]) -> Iterator[pa.RecordBatch]:
+        sizes = np.array([len(x[1]) for x in rows])
+        names, at = np.unique(np.concatenate([x[1] for x in rows]), return_inverse=True)
+        mass, total, left = (np.bincount(at, weights=np.concatenate([x[i] for x in rows])) for i in (2, 3, 4))
+        backoff = np.where(total > 0, left / np.maximum(total, 1) / np.maximum(1 - mass, 1e-300), 1.0)
+        for (shard, v, *_), mine in zip(rows, np.split(at, np.cumsum(sizes)[:-1]), strict=True):
+            one = np.array([len(v)])
+            columns = [_lists(v, one, np.int64), _lists(total[mine], one, float), _lists(backoff[mine], one, float)]
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *columns], names=["shard", "history", "total", "backoff"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, rows = None, []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                if rows and batch.column(0)[k].as_py() != part:
+                    yield from whole(rows)
+                    rows = []
+                part = batch.column(0)[k].as_py()
+                rows.append([batch.column(1)[k].as_py(), *(c[k].values.to_numpy() for c in batch.columns[2:])])
+        if rows:
+            yield from whole(rows)
+
+    asked = pairs.select("shard", "word_c", "v", "c").mapInArrow(ask, PARTS)
+    return asked.repartition(len(parts), "part").sortWithinPartitions("part").mapInArrow(answer, HISTORIES)
+
+
+def shard_sums(pairs: DataFrame, histories: DataFrame, model: Model, shards: int) -> DataFrame:
     """Per shard and input batch one row of arrays: texts (places in the batch) and the shard's part of their sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: list[list[np.ndarray]] = []  # of the shard whose pairs come next
         for batch in batches:
             for k in range(batch.num_rows):
-                bases, word_c, v, c, v_n, part, doc, cnt = _columns(batch, k)
+                if batch.column(9)[k].is_valid:
+                    known.append([c[k].values.to_numpy() for c in batch.columns[9:]])
+                    continue
+                bases, word_c, v, c, v_n, part, doc, cnt = (x[k].values.to_numpy() for x in batch.columns[1:9])
+                names, after, backoff = (np.concatenate(x) for x in zip(*known, strict=True))
+                order = np.argsort(names)
+                names, after, backoff, known = names[order], after[order], backoff[order], []
                 used, at = np.unique(part.astype(np.int64) << 13 | doc, return_inverse=True)
                 first = np.concatenate(([0], np.cumsum(v_n)))
                 sums = np.zeros((3, len(used)))
@@ -323,7 +374,8 @@ def shard_sums(pairs: DataFrame, model: Model) -> DataFrame:
                     some = slice(lo, lo + 100_000)
                     posted = slice(first[lo], first[min(lo + 100_000, len(v))])
                     times, n, word = np.abs(cnt[posted]), v_n[some], word_c[some]
-                    for total, x in zip(sums, (word > 0, model.base(word), model.pair(v[some], c[some], word)), strict=True):
+                    own = np.searchsorted(names, v[some])
+                    for total, x in zip(sums, (word > 0, model.base(word), model.pair(after[own], backoff[own], c[some], word)), strict=True):
                         total += np.bincount(at[posted], weights=times * np.repeat(x, n), minlength=len(used))
                 per = np.bincount(used >> 13, minlength=len(bases))
                 yield pa.RecordBatch.from_arrays(
@@ -331,8 +383,11 @@ def shard_sums(pairs: DataFrame, model: Model) -> DataFrame:
                     names=["base", "doc", "n_known", "base_score", "score"],
                 )
 
-    picked = pairs.select("bases", "word_c", "v", "c", "v_n", "batch", "doc", "cnt")
-    return picked.mapInArrow(run, SUMS)
+    picked = pairs.select("shard", "bases", "word_c", "v", "c", "v_n", "batch", "doc", "cnt")
+    left = picked.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in HISTORIES.split(", ")[1:])])
+    right = histories.select("shard", *[F.lit(None).cast(t).alias(c) for c, t in picked.dtypes[1:]], *histories.columns[1:])
+    dealt = left.unionByName(right).repartition(shards, "shard").sortWithinPartitions("shard", F.col("history").isNull())
+    return dealt.mapInArrow(run, SUMS)
 
 
 SUMS = "base long, doc array<short>, n_known array<int>, base_score array<double>, score array<double>"
@@ -341,7 +396,7 @@ TEXTS = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score
 
 def text_sums(sums: DataFrame, listed: DataFrame, parts: int) -> DataFrame:
     """TEXTS rows: adds up the shards' parts batch by batch. listed: (base, ids, none, out, size) of every input batch."""
-    lists = {"ids": "array<long>", "none": "array<long>", "out": "array<int>", "size": "array<int>"}
+    lists = {"ids": "array<long>", "none": "array<long>", "out": "array<long>", "size": "array<int>"}
     left = sums.select("*", *[F.lit(None).cast(t).alias(c) for c, t in lists.items()])
     empty = {"doc": "array<short>", "n_known": "array<int>", "base_score": "array<double>", "score": "array<double>"}
     right = listed.select("base", *[F.lit(None).cast(t).alias(c) for c, t in empty.items()], *lists)
@@ -373,8 +428,12 @@ def text_sums(sums: DataFrame, listed: DataFrame, parts: int) -> DataFrame:
     return dealt.mapInArrow(run, TEXTS)
 
 
-def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, histories: int = 65_536) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row; the model learns from the others."""
+def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hot: int = 65_536) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row; the model learns from the others.
+
+    Words with at least one in ``hot`` of the training tokens (so at most ``hot``) are spread over the shards; scores do not
+    depend on it.
+    """
     parts = shuffle_partitions(spark)
     shards = parts * 5 // 4 + 1
     held_out = F.coalesce(held_out, F.lit(False))
@@ -388,26 +447,18 @@ def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hist
     d1 = discounts(exact)
     unknown = float(sum((1 - d1[r]) * r * n[r] for r in range(1, LOW + 1)) + TAIL * n[LOW + 1]) / total if total else 1.0
     model = Model(int(total), int(n.sum()), d1, unknown)
-    top = unigrams.where(F.col("c") * histories >= total).collect()  # at most `histories` rows
+    top = unigrams.where(F.col("c") * hot >= total).collect()  # at most `hot` rows
     top = np.array(sorted(tuple(r) for r in top), dtype=np.int64).reshape(-1, 2)
-    frequent, counts, contexts = top[:, 0].copy(), top[:, 1].copy(), len(top) + 2
+    frequent, counts = top[:, 0].copy(), top[:, 1].copy()
 
     keyed = keyed_pairs(docs, held_out, frequent, key_per_partition(spark, shards))
     table = materialise(spark, counted_pairs(keyed, frequent, counts, shards), "pairs")
     pairs = table.where("shard >= 0")
-    sums = context_sums(pairs, model, contexts)
-    n2 = np.concatenate(([0], sums[:, 2:].sum(0)))
-    exact = n2.copy()
-    found = pairs.select(F.sum(F.size(F.filter("c", lambda x: x == LOW + 1))).alias("n")).first()["n"]
-    exact[LOW + 1] = found or 0
-    model.d2 = discounts(exact)
-    left = sum((1 - model.d2[r]) * r * sums[:, 1 + r] for r in range(1, LOW + 1)) + TAIL * sums[:, 2 + LOW]
-    model.context_total = sums[:, 1]
-    seen = sums[:, 1] > 0
-    model.backoff = np.where(seen, left / np.maximum(sums[:, 1], 1) / np.maximum(1 - sums[:, 0], 1e-300), 1.0)
+    model.d2 = discounts(counts_of_counts(pairs))
+    histories = history_table(pairs, model, key_per_partition(spark, parts))
 
     listed = table.where("shard < 0").select(
         F.col("bases")[0].alias("base"), F.col("word").alias("ids"), F.col("word_c").alias("none"), F.col("v").alias("out"), F.col("cnt").alias("size")
     )
-    scored = text_sums(shard_sums(pairs, model), listed, parts)
+    scored = text_sums(shard_sums(pairs, histories, model, shards), listed, parts)
     return scored.withColumn("train_tokens", F.lit(model.total).cast("long"))

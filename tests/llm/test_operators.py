@@ -216,6 +216,47 @@ def test_katz(spark, docs, empty):
     assert katz.train_and_score(spark, empty, out).count() == 0
 
 
+def test_katz_keeps_every_word_as_a_history(spark):
+    rng = np.random.default_rng(11)
+    words = [f"w{k}" for k in range(40)]
+    texts = {k: " ".join(words[min(int(x), 39)] for x in rng.zipf(1.4, 30)) + (" unseen again" if k % 3 == 0 else "") for k in range(60)}
+    out = crc_of_id() % 3 == 0
+    train = [katz.words_of(t) + [b""] for k, t in texts.items() if zlib.crc32(str(k).encode()) % 3]
+    uni = Counter(w for t in train for w in t)
+    pair = Counter(p for t in train for p in zip([None, *t[:-1]], t, strict=True))
+
+    def discounted(counts):
+        n = Counter(counts.values())
+        total = 6 * n[6] / n[1] if n[1] else 1.0
+        d = {}
+        for r in range(1, 6):
+            good = (r + 1) * n[r + 1] / (r * n[r]) if n[r] else 0.0
+            d[r] = (good - total) / (1 - total) if total < 1 else 0.0
+            d[r] = d[r] if 0 < d[r] < 1 else 1 - 0.5 / r
+        return {k: c * d[c] if c <= 5 else c - 0.5 for k, c in counts.items()}
+
+    held1, held2, total = discounted(uni), discounted(pair), sum(uni.values())
+    p1 = {w: x / total for w, x in held1.items()}
+    unknown = 1 - sum(p1.values())
+
+    def p(w, v):
+        after = {x: held2[v, x] for y, x in pair if y == v}
+        n = sum(pair[v, x] for x in after)
+        if w in after:
+            return after[w] / n
+        weight = (1 - sum(after.values()) / n) / (1 - sum(p1[x] for x in after)) if after else 1.0
+        return weight * p1.get(w, unknown)
+
+    for v in [None, *uni, b"never"]:
+        assert math.isclose(sum(p(w, v) for w in [*uni, b"never"]), 1, rel_tol=1e-9)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    for hot in (4, 65_536):
+        for r in katz.train_and_score(spark, df, out, hot).collect():
+            t = katz.words_of(texts[r.doc_id]) + [b""]
+            want = sum(math.log10(p(w, v)) for v, w in zip([None, *t[:-1]], t, strict=True))
+            assert math.isclose(r.score, want, rel_tol=1e-9)
+
+
 def test_html():
     page = (
         "<html><head><title>T</title><script>var a='</p>';</script></head><body><nav><a href=x>Home</a></nav>"

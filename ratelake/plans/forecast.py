@@ -60,7 +60,8 @@ def _with_lines(gold: DataFrame, split: bool) -> DataFrame:
     }
     rows = gold.select(PAIR, "date", "rate")
     if split:
-        return rows.join(rows.groupBy(PAIR).agg(*[c.alias(k) for k, c in stats.items()]), PAIR)
+        lines = rows.groupBy(F.col(PAIR).alias("_pair")).agg(*[c.alias(k) for k, c in stats.items()])
+        return rows.join(lines, F.col(PAIR).eqNullSafe(F.col("_pair"))).drop("_pair")  # a NULL pair too, as in the window
     return rows.select("*", *[c.over(Window.partitionBy(PAIR)).alias(k) for k, c in stats.items()])
 
 
@@ -116,7 +117,8 @@ def fit_default_model(gold: DataFrame, min_rows: int = MIN_TRAINING_ROWS, split:
         F.map_from_entries(F.collect_list(F.struct("wd", "s_w"))).alias("weekly"),
     )
     stats = rows.groupBy(PAIR).agg(F.first("n_rows").alias("n_rows"), F.first("b").alias("b"))
-    skipped = stats.join(model.select(PAIR, "sigma"), PAIR, "left").select(
+    sigmas = model.select(F.col(PAIR).alias("_pair"), "sigma")
+    skipped = stats.join(sigmas, F.col(PAIR).eqNullSafe(F.col("_pair")), "left").select(
         PAIR,
         "n_rows",
         F.when(F.col("n_rows") < F.lit(min_rows), F.lit("too_few_rows"))

@@ -127,3 +127,12 @@ def test_job_writes_forecasts_and_skipped_pairs(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/fc").count() == 5 and spark.read.parquet(f"{tmp_dir}/skipped").count() == 2
     with pytest.raises(ValueError, match="Unknown forecast model"):
         fc.run_forecasting(spark, f"{tmp_dir}/gold", f"{tmp_dir}/fc", model="none")
+
+
+def test_split_fit_keeps_a_null_pair(spark):
+    g = gold(spark, [(None, date(2024, 1, 1), wiggle(40)), ("B", date(2024, 1, 1), wiggle(35))])
+    plain, split = ({(r.currency_pair, r.last_date, r.n_rows, round(r.sigma, 9)) for r in fc.fit_default_model(g, split=s)[0].collect()} for s in (False, True))
+    assert plain == split and {r[0] for r in split} == {None, "B"}
+    for g, names in ((g, []), (gold(spark, [(None, date(2024, 1, 1), wiggle(5))]), [(None, "too_few_rows")])):
+        for s in (False, True):
+            assert [(r.currency_pair, r.reason) for r in fc.fit_default_model(g, split=s)[1].collect()] == names

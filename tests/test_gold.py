@@ -8,7 +8,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from ratelake.operators.series import add_rate_z_score_by_join, latest_change, rolling_average, tail_rows
+from ratelake.operators.series import add_rate_z_score_by_join, latest_change, rolling_average, tail_rows, z_score_column
 from ratelake.plans import layers
 from ratelake.schemas import gold_schema
 
@@ -160,3 +160,11 @@ def test_silver_split_equals_plain(spark):
         for n in (None, 4)
     )
     assert a == b and len(a) == 51
+
+
+def test_z_score_by_join_keeps_a_null_key(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), (None, 4.0), ("A", 3.0), ("A", 5.0)], "currency_pair string, rate double")
+    plain = df.withColumn("rate_z_score", z_score_column()).collect()
+    split = add_rate_z_score_by_join(df).collect()
+    key = lambda rows: sorted((str(r.currency_pair), r.rate, round(r.rate_z_score, 9)) for r in rows)
+    assert split[0].__fields__ == plain[0].__fields__ and key(split) == key(plain)

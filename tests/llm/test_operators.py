@@ -201,6 +201,40 @@ def test_url_filter(spark):
     assert url_filter.judge(spark, df.where("1 = 0"), queries.URL_RULES).count() == 0
 
 
+def test_url_filter_scores_and_threshold(spark):
+    from pyspark.sql import functions as F
+
+    urls = [f"http://site{k % 9}.{('com', 'net', 'org')[k % 3]}/{('en', 'es', 'fr')[k % 4 % 3]}/p{k * 7 % 31}" for k in range(90)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r for r in url_filter.judge(spark, df, queries.URL_RULES).collect()}
+    string = {k: r.host + r.path for k, r in got.items()}
+    names = spark.createDataFrame(list(string.items()), "page_id long, s string")
+    check = {r.page_id: r.c for r in names.select("page_id", (F.pmod(F.xxhash64("s"), F.lit(5)) == 0).alias("c")).collect()}
+    ruled = {k: r.verdict if r.rule else None for k, r in got.items()}
+    grams = {k: [m[i : i + 5] for i in range(len(m) - 4)] for k, m in ((k, "\x02" * 4 + t + "\x03") for k, t in string.items())}
+    letters = len({g[-1] for x in grams.values() for g in x})
+    counts = {kind: Counter(g[4 - n :] for k, x in grams.items() if ruled[k] == kind and not check[k] for g in x for n in range(5)) for kind in ("allow", "block")}
+
+    def p(kind, gram):  # Witten and Bell, from the shortest context on
+        value, n = 1 / letters, counts[kind]
+        for size in range(5):
+            after = [c for g, c in n.items() if len(g) == size + 1 and g[:-1] == gram[4 - size : 4]]
+            if after:
+                value = (n[gram[4 - size :]] + len(after) * value) / (sum(after) + len(after))
+        return value
+
+    ratio = {g: math.log(p("allow", g) / p("block", g)) for x in grams.values() for g in x}
+    score = {k: sum(ratio[g] for g in x) / len(x) for k, x in grams.items()}
+    assert all(math.isclose(got[k].score, score[k], rel_tol=1e-9, abs_tol=1e-9) for k in got)
+    kinds = {kind: [math.floor((min(max(score[k], -4), 4) + 4) / 8 * 4000) for k in got if ruled[k] == kind and check[k]] for kind in ("allow", "block")}
+    assert all(kinds.values())
+    share = {c: sum(x >= c for x in kinds["allow"]) / len(kinds["allow"]) - sum(x >= c for x in kinds["block"]) / len(kinds["block"]) for c in sorted({*kinds["allow"], *kinds["block"]})}
+    best = max(share.values())
+    least = max(c for c, gain in share.items() if gain == best) / 4000 * 8 - 4 if best > 0 else 0.0
+    free = [k for k in got if ruled[k] is None]
+    assert free and all(got[k].verdict == ("allow" if score[k] >= least else "block") for k in free)
+
+
 def test_katz(spark, docs, empty):
     out = crc_of_id() % 3 == 0
     got = katz.train_and_score(spark, docs, out).collect()

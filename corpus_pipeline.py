@@ -42,7 +42,8 @@ STAGES = [
     ("best_fit_packing", best_fit_packing),
 ]
 
-#: The classifier, the recall-driven join and the packing are not expressible in SQL; tests hold them against brute force.
+#: The classifier, the recall-driven join and the packing are not expressible in SQL; a test holds the stages after the
+#: classifier against brute force (the classifier's own scores have no brute-force version).
 ORACLE_SQL = None
 
 

@@ -337,6 +337,45 @@ def test_pipeline_stages(spark):
     assert rows and {"doc_id", "sequence_id", "offset", "length"} <= set(rows[0].asDict())
 
 
+def test_pipeline_rows_after_toxicity_against_brute_force(spark):
+    from tokenizers import Tokenizer
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.toxicity_filter(spark, docs, SF).collect()}
+    first = {}
+    for i in sorted(kept):
+        first.setdefault(norm(kept[i]), i)
+    sets = {}
+    for i in sorted(first.values()):
+        w = (kept[i] or "").lower().split()
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))) if w else frozenset()
+    stay, todo = [], sorted(sets)
+    while todo:  # the least id of each component stays
+        group, near = {todo[0]}, [todo[0]]
+        while near:
+            a = sets[near.pop()]
+            more = {j for j in todo if j not in group and (a == sets[j] or len(a & sets[j]) >= 0.8 * len(a | sets[j]))}
+            group |= more
+            near += more
+        stay.append(todo[0])
+        todo = [j for j in todo if j not in group]
+    tok = Tokenizer.from_file(queries.tokenizer_path("word_bpe_49k.json"))
+    want = Counter()
+    for i in stay:
+        ids = [*tok.encode(kept[i] or "", add_special_tokens=False).ids, 0]
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = np.array(ids[at : at + 2048], dtype="<u4").tobytes()
+            want[(i, k, at, len(part) // 4, zlib.crc32(part))] += 1
+    rows = corpus_pipeline.run(spark, SF).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == want
+    bins = {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for items in bins.values():
+        ends = [0, *(a + n for a, n in sorted(items))]
+        assert [a for a, _ in sorted(items)] == ends[:-1] and ends[-1] <= 2048
+
+
 def test_words_of_letters_get_the_ids_of_the_whole_tokenizer():
     memo = tokenised.WordMemo(queries.tokenizer_path("word_bpe_49k.json"))
     assert memo.lean is not None

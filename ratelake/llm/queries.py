@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, katz, packing, sharding, tokenised, toxicity, url_filter
+from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, hyperminhash, katz, packing, sharding, tokenised, toxicity, url_filter, whitening
 from ratelake.llm.common import crc_of_id, table
 
 
@@ -76,6 +76,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_duplicates(spark, table(spark, sf_dir, "documents"), n=2, threshold=0.8)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"), components=32, scale=64.0, shift=1_000_000)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -87,6 +95,8 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op11_minhash": op11_minhash,
+    "op12_whitening": op12_whitening,
 }
 
 SQL = {
@@ -99,4 +109,23 @@ SQL = {
         SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, sha256(t.norm) AS text_sha256
         FROM t JOIN g ON t.norm = g.norm
     """,
+    "op11_minhash": r"""
+        WITH RECURSIVE t AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+          FROM documents
+        ), s AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN [[x] for x in w] ELSE [[w[k], w[k + 1]] for k in range(1, len(w))] END) AS g FROM t
+        ), n AS (
+          SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), common AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), link AS (
+          SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+        ), reach(doc_id, other) AS (
+          SELECT doc_id, doc_id FROM t UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.other = link.a
+        ), least AS (
+          SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN n USING (doc_id)
+    """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, hyperminhash, katz, packing, sharding, tokenised, toxicity, url_filter, whitening
+from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, hyperminhash, katz, lexical, packing, sharding, tokenised, toxicity, url_filter, whitening
 from ratelake.llm.common import crc_of_id, table
 
 
@@ -84,6 +84,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark, table(spark, sf_dir, "embeddings"), components=32, scale=64.0, shift=1_000_000)
 
 
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_jaccard_join": op2_jaccard_join,
@@ -97,6 +101,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_minhash": op11_minhash,
     "op12_whitening": op12_whitening,
+    "op13_search": op13_search,
 }
 
 SQL = {
@@ -128,4 +133,30 @@ SQL = {
         )
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM least LEFT JOIN n USING (doc_id)
     """,
+    "op13_search": r"""
+        WITH terms AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM documents
+        ), asked AS (
+          SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+          FROM benchmark
+        ), lengths AS (
+          SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+        ), corpus AS (
+          SELECT count(*)::BIGINT AS d, sum(n)::BIGINT AS l FROM lengths
+        ), factors AS (
+          SELECT doc_id, 75 + (25 * n * d) // l AS m FROM lengths, corpus
+        ), tfs AS (
+          SELECT term, doc_id, count(*) AS tf FROM terms GROUP BY term, doc_id
+        ), weights AS (
+          SELECT term, floor(1000 * ln((2 * d + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tfs, corpus GROUP BY term, d
+        ), scores AS (
+          SELECT item_id, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+          FROM (SELECT item_id, term, count(*) AS repeats FROM asked GROUP BY ALL)
+          JOIN tfs USING (term) JOIN weights USING (term) JOIN factors USING (doc_id) GROUP BY item_id, doc_id
+        ), ranked AS (
+          SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score FROM scores WHERE score > 0
+        )
+        SELECT * FROM ranked WHERE rank <= 20
+    """,
 }

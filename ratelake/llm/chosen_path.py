@@ -4,24 +4,28 @@ A text's set holds the hashes of its runs of ``n`` words (lower case, split at
 white space; a text of fewer words is one run). Two sets are linked if their
 Jaccard similarity is ``threshold`` or more.
 
-Equal sets are first folded into one representative. Each of several runs
+Equal sets are first folded into one, which has a number of its own: ids play no part in the join. Each of several runs
 sends a set to one bucket per token that the run's hash samples with
 probability 1 / (threshold * size); similar sets meet in a bucket with
 probability 1 - 1/e at least, and runs are repeated until the target recall.
-A bucket of more than ``limit`` sets is split again on further sampled
-tokens of its sets, up to ``depth`` times. Buckets are then compared by brute
-force, the large ones block by block, each pair in the smallest bucket key it
-shares only: sizes and a one-permutation minhash sketch rule out most pairs
-(a pair at the threshold is lost with probability under 1e-6), the exact
-Jaccard similarity of the sets decides the rest.
 
-No pair leaves a task: a block gives the number of links of each set and a
-spanning forest of its links, both linear in the block. Components come from
-the forests by label propagation over joins.
+**Classes.** Buckets of at most ``limit`` sets are compared by brute force on registers (a pair at the threshold is lost
+with probability under 1e-6) and give their candidates between different classes, or a spanning forest of them, for the
+exact check on whole sets, in rounds until none is open. A larger bucket is compared with a pivot first, which makes one
+class of near copies; what then is still open is split again on further sampled tokens of its sets (the chosen path), up
+to ``depth`` times. So a group of near copies gives edges in proportion to its sets.
+
+**Links.** All links of a set are in its class, so they are counted there, each pair once at most. Of a class, every set is
+kept as its difference D to the class's first set. With p percent, sets are linked if and only if
+g(A) + g(B) <= 2 (100 + p) |D(A) & D(B)|, where g = (100 + p) |D| - (100 - p) size. Sorted by g, a class is cut into
+blocks of bounded bytes; most pairs of blocks are decided by their least and greatest g alone, the others are compared as
+whole blocks (one row per block, not per set). Counting the links of one class of m sets that are all near the threshold
+remains m * m / 2 comparisons, spread over the cluster by block.
 
 Defined results: texts without a word have the empty set, which is linked to
 nothing but is one class with the other empty sets (they are copies); NULL
-text counts as empty; rows with NULL ids take part with their text; repeated rows are
+text counts as empty; rows with NULL ids take part with their text, and a class of such rows only has the class_id NULL;
+rows that repeat an id with different texts each have the links of their own text; repeated rows are
 copies of each other; extra columns are not read; no rows give no rows.
 """
 
@@ -31,15 +35,14 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import join_groups, materialise, shuffle_partitions
+from ratelake.llm.hyperminhash import components, fold_sets, per_text, registers, texts_of, whole_sets
 
-BINS = 128
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,7 +58,7 @@ class WordHashes(dict):
         return value
 
 
-def shingle_set(text: str | None, n: int, memo: WordHashes) -> np.ndarray:
+def shingle_set(text: str | None, n: int, memo: dict) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's runs of n words."""
     words = (text or "").lower().split()
     if not words:
@@ -68,15 +71,6 @@ def shingle_set(text: str | None, n: int, memo: WordHashes) -> np.ndarray:
     return np.unique(out)
 
 
-def sketch(tokens: np.ndarray) -> bytes:
-    """One-permutation minhash: per bin (top bits) 16 bits of the least token's hash, 0 for an empty bin."""
-    out = np.zeros(BINS, dtype=np.uint16)
-    at = (tokens >> np.uint64(64 - int(math.log2(BINS)))).astype(np.int64)
-    bins, first = np.unique(at, return_index=True)  # tokens are sorted
-    out[bins] = (mix(tokens[first], 99) >> np.uint64(48)).astype(np.uint16) | np.uint16(1)
-    return out.tobytes()
-
-
 def sampled(tokens: np.ndarray, key: int, rate: float) -> np.ndarray:
     """Bucket keys of the tokens that the hash of ``key`` samples at ``rate``."""
     drawn = tokens[mix(tokens, key) < np.uint64(min(1.0, rate) * (2.0**64 - 2048))]
@@ -88,263 +82,169 @@ def runs_for(recall: float) -> int:
     return math.ceil(-math.log(1 - recall))
 
 
-def _sets(docs: DataFrame, n: int, make, schema: str) -> DataFrame:
-    """Per row of (doc_id, text, ...): make(doc row as tuple, its token set) -> list of output tuples."""
-    names = [f.split()[0] for f in schema.split(", ")]
+def split_paths(threshold: float):
+    """Large buckets split on sampled tokens of their sets: four tokens a path, so that a pair survives the level with
+    probability 1 - exp(-4) per path it shares."""
+    schema = "node long, key long, band int, level int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordHashes()
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 500):
-                if len(memo) > 300_000:
-                    memo.clear()
-                rows = []
-                for row in zip(*(c.to_pylist() for c in whole.slice(lo, 500).columns), strict=True):
-                    rows += make(row, shingle_set(row[1], n, memo))
-                if rows:
-                    yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=names), schema=arrow, preserve_index=False)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
-    return docs.mapInArrow(run, schema)
-
-
-def block_pairs(keys: list[np.ndarray], own: int, size: np.ndarray, sketches: np.ndarray, split: int, threshold: float) -> np.ndarray:
-    """Pairs (i, j) of a block to be verified: rows [0, split) against [split, n), or all pairs if split is 0."""
-    n = len(size)
-    flat = np.concatenate(keys)
-    row = np.repeat(np.arange(n), [len(k) for k in keys])
-    smaller = flat < own
-    names, at = np.unique(flat[smaller], return_inverse=True)
-    meets = np.zeros((n, len(names)), dtype=np.float32)
-    meets[row[smaller], at] = 1
-    left = np.arange(split) if split else np.arange(n)
-    right = np.arange(split, n) if split else np.arange(n)
-    ok = (meets[left] @ meets[right].T) == 0  # not met in a smaller key already
-    a, b = size[left][:, None], size[right][None, :]
-    ok &= np.minimum(a, b) >= threshold * np.maximum(a, b)
-    if not split:
-        ok &= left[:, None] < right[None, :]
-    i, j = np.nonzero(ok)
-    out = []
-    for lo in range(0, len(i), 200_000):
-        x, y = sketches[left[i[lo : lo + 200_000]]], sketches[right[j[lo : lo + 200_000]]]
-        held = ((x > 0) | (y > 0)).sum(1)
-        same = ((x == y) & (x > 0)).sum(1)
-        # five standard deviations below the threshold
-        least = threshold - 5 * np.sqrt(threshold * (1 - threshold) / np.maximum(held, 1))
-        out.append(np.flatnonzero(same >= least * held) + lo)
-    keep = np.concatenate(out) if out else np.zeros(0, dtype=np.int64)
-    return np.stack((left[i[keep]], right[j[keep]]), axis=1)
-
-
-def jaccard(tokens: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
-    """Exact Jaccard similarity of the pairs: sparse products over the tokens that more than one set of the block holds."""
-    used = np.unique(pairs)
-    place = np.full(len(tokens), -1, dtype=np.int64)
-    place[used] = np.arange(len(used))
-    flat = np.concatenate([tokens[k] for k in used])
-    row = np.repeat(np.arange(len(used)), [len(tokens[k]) for k in used])
-    order = np.argsort(flat, kind="stable")
-    flat, row = flat[order], row[order]
-    new = np.concatenate(([True], flat[1:] != flat[:-1]))
-    col = np.cumsum(new) - 1
-    often = np.bincount(col) > 1
-    col, row = (np.cumsum(often) - 1)[col[often[col]]], row[often[col]]
-    common = np.zeros((len(used), len(used)), dtype=np.float32)
-    total = int(often.sum())
-    for lo in range(0, total, 4096):
-        part = (col >= lo) & (col < lo + 4096) if total > 4096 else slice(None)
-        dense = np.zeros((len(used), min(4096, total - lo)), dtype=np.float32)
-        dense[row[part], col[part] - lo] = 1
-        common += dense @ dense.T
-    size = np.array([len(tokens[k]) for k in used])
-    x, y = place[pairs[:, 0]], place[pairs[:, 1]]
-    c = common[x, y].astype(np.int64)
-    return c / (size[x] + size[y] - c)
-
-
-def forest(pairs: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Edges from every linked row to the first row of its component."""
-    root = np.arange(n)
-    while True:
-        low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
-        new = root.copy()
-        np.minimum.at(new, root[pairs[:, 0]], low)
-        np.minimum.at(new, root[pairs[:, 1]], low)
-        new = new[new]
-        if (new == root).all():
-            return [(k, int(r)) for k, r in enumerate(root) if k != r]
-        root = new
-
-
-def _by_block(rows: DataFrame, parts: int, make, schema: str) -> DataFrame:
-    """Apply ``make`` to the rows of each (key, bi, bj), streaming over sorted partitions."""
-    names = rows.columns
-    out_names = [f.split()[0] for f in schema.split(", ")]
-    dealt = rows.repartition(parts, "key", "bi", "bj").sortWithinPartitions("key", "bi", "bj", "block", "rep")
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    arrow = to_arrow_schema(_parse_datatype_string(schema))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        out: list[tuple] = []
         for batch in batches:
-            cols = [c.to_pylist() if not pa.types.is_list(c.type) else [v.values.to_numpy() for v in c] for c in batch.columns]
-            for row in zip(*cols, strict=True):
-                if held and held[-1][:3] != row[:3]:
-                    out += make(dict(zip(names, zip(*held, strict=True), strict=True)))
-                    held = []
-                held.append(row)
-            if len(out) > 20_000:
-                yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=out_names), schema=arrow, preserve_index=False)
-                out = []
-        if held:
-            out += make(dict(zip(names, zip(*held, strict=True), strict=True)))
-        if out:
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=out_names), schema=arrow, preserve_index=False)
-
-    return dealt.mapInArrow(run, schema)
-
-
-def _candidates(group: dict, threshold: float) -> np.ndarray:
-    split = 0
-    if group["bi"][0] != group["bj"][0]:
-        split = sum(b == group["bi"][0] for b in group["block"])
-        if split in (0, len(group["rep"])):  # one of the two blocks is empty
-            return np.zeros((0, 2), dtype=np.int64)
-    sketches = np.frombuffer(b"".join(bytes(s) for s in group["sketch"]), dtype=np.uint16).reshape(-1, BINS)
-    return block_pairs(list(group["keys"]), group["key"][0], np.array(group["size"]), sketches, split, threshold)
-
-
-def connect(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """(node, root): the least node of each component, by minimum-label propagation with pointer jumping."""
-    edges = materialise(spark, edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialise(spark, edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root")).select(F.col("a").alias("node"), "root"), "labels")
-    while True:
-        near = edges.join(labels, edges["b"] == labels["node"]).groupBy("a").agg(F.min("root").alias("near"))
-        step = labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("root").alias("old"), F.least("root", "near").alias("root"))
-        jump = labels.select(F.col("node").alias("via"), F.col("root").alias("far"))
-        step = step.join(jump, step["root"] == jump["via"], "left").select("node", "old", F.least("root", "far").alias("root"))
-        step = materialise(spark, step, "labels")
-        labels = step.select("node", "root")
-        if step.where("root < old").isEmpty():
-            return labels
-
-
-def jaccard_join(
-    spark: SparkSession, docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, limit: int = 1000, depth: int = 6, block: int = 512
-) -> DataFrame:
-    """One row per input row: doc_id, rep_id (its copies' least id), class_id, n_links (of its set, to different sets), n_copies."""
-    parts, runs = shuffle_partitions(spark), runs_for(recall)
-    texts = docs.select("doc_id", "text")
-
-    def signature(row: tuple, tokens: np.ndarray) -> list[tuple]:
-        whole = tokens.tobytes()
+            for node, tokens, keys, bands, level in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = np.frombuffer(tokens, dtype=np.uint64)
+                rate = 4 / (threshold * len(own))
+                parts = [sampled(own, key, rate) for key in keys]
+                key, first = np.unique(np.concatenate(parts), return_index=True)
+                band = np.repeat(np.array(bands, dtype=np.int32), [len(p) for p in parts])[first]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), node)), pa.array(key), pa.array(band), pa.array(np.full(len(key), level + 1, dtype=np.int32))], names=["node", "key", "band", "level"])
+
+    def further(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
+        paths = rows.groupBy("node", "level").agg(F.collect_list("key").alias("keys"), F.collect_list(F.col("band").cast("int")).alias("bands"))
+        own = paths.join(whole.hint("merge"), "node").select("node", "tokens", "keys", "bands", "level")
+        return own.mapInArrow(run, schema).select("key", "node", "band", "level")
+
+    return further
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """|x & y| for every x of a and y of b: products of their incidence in the tokens that both sides hold."""
+    out = np.zeros((len(a), len(b)), dtype=np.int64)
+    left, right = (np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in (a, b))
+    names = np.intersect1d(left, right)
+
+    def places(sets: list[np.ndarray], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(names, flat), max(len(names) - 1, 0))
+        held = names[at] == flat if len(names) else np.zeros(len(flat), dtype=bool)
+        order = np.argsort(at[held], kind="stable")
+        return row[held][order], at[held][order]
+
+    (ra, ca), (rb, cb) = places(a, left), places(b, right)
+    for lo in range(0, len(names), 2048):
+        width = min(2048, len(names) - lo)
+        sides = []
+        for row, col, n in ((ra, ca, len(a)), (rb, cb, len(b))):
+            first, last = np.searchsorted(col, (lo, lo + width))
+            dense = np.zeros((n, width), dtype=np.float32)
+            dense[row[first:last], col[first:last] - lo] = 1
+            sides.append(dense)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    return out
+
+
+def link_counts(spark: SparkSession, comps: DataFrame, whole: DataFrame, percent: int, weight: int = 100_000) -> DataFrame:
+    """(node, n_links) of every set of ``comps`` (node, comp); ``whole`` has their (node, tokens). A block holds about
+    ``weight`` tokens of differences (a set counts as 50 more)."""
+    parts = shuffle_partitions(spark)
+    up, down = 100 + percent, 100 - percent
+    own = materialise(spark, comps.join(whole.hint("merge"), "node"), "classes")
+    firsts = materialise(spark, own.where("node = comp").select("comp", F.col("tokens").alias("first")), "firsts")
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            diff, g = [], []
+            for tokens, first in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                a = np.frombuffer(tokens, dtype=np.uint64)
+                d = np.setxor1d(a, np.frombuffer(first, dtype=np.uint64), assume_unique=True)
+                diff.append(d.tobytes())
+                g.append(up * len(d) - down * len(a))
+            d_size = [len(d) // 8 for d in diff]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(diff, pa.binary()), pa.array(g, pa.int64()), pa.array(d_size, pa.int64())], names=["comp", "node", "diff", "g", "d"])
+
+    diffs = own.join(firsts.hint("merge"), "comp").select("comp", "node", "tokens", "first").mapInArrow(differ, "comp long, node long, diff binary, g long, d long")
+    diffs = materialise(spark, diffs, "differences")
+    # blocks in the order of g: the weights of a class before each value of g, from a small aggregate
+    values = diffs.groupBy("comp", "g").agg(F.sum(F.col("d") + 50).alias("own"))
+    before = Window.partitionBy("comp").orderBy("g").rowsBetween(Window.unboundedPreceding, -1)
+    values = materialise(spark, values.withColumn("before", F.coalesce(F.sum("own").over(before), F.lit(0))), "values")
+    block = F.floor((F.col("before") + F.pmod(F.xxhash64("node"), F.col("own"))) / weight).alias("block")
+    placed = diffs.join(values, ["comp", "g"]).select("comp", block, "g", "d", F.struct("node", "g", "diff").alias("member"))
+    packed = placed.groupBy("comp", "block").agg(
+        F.collect_list("member").alias("members"), F.min("g").alias("g_min"), F.max("g").alias("g_max"), F.max("d").alias("d_max"), F.count(F.lit(1)).alias("n")
+    )
+    packed = materialise(spark, packed, "blocks")
+    heads = packed.select("comp", "block", "g_min", "g_max", "d_max", "n")
+    other = heads.select("comp", *(F.col(c).alias(f"o_{c}") for c in ("block", "g_min", "g_max", "d_max", "n")))
+    pairs = heads.join(other, "comp")
+    same = F.col("block") == F.col("o_block")
+    all_linked = F.col("g_max") + F.col("o_g_max") <= 0
+    none_linked = F.col("g_min") + F.col("o_g_min") > 2 * up * F.least("d_max", "o_d_max")
+    sure = F.sum(F.when(all_linked & ~same, F.col("o_n")).otherwise(0))
+    known = pairs.groupBy("comp", "block").agg(sure.alias("sure"))
+    todo = pairs.where(same | ~(all_linked | none_linked)).select("comp", F.col("block").alias("own"), F.col("o_block").alias("block"))
+    known = todo.join(known.withColumnRenamed("block", "own"), ["comp", "own"])
+    rows = materialise(spark, known, "pairs").join(packed.select("comp", "block", "members"), ["comp", "block"])
+    rows = rows.select("comp", "own", "block", "sure", "members").repartition(parts, "comp", "own")
+    rows = rows.sortWithinPartitions("comp", "own", F.col("own") != F.col("block"))  # a block's own row comes first
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, nodes, sets, g, links = None, [], [], np.zeros(0), np.zeros(0)
+        for batch in batches:
+            for k in range(batch.num_rows):
+                comp, own, block, sure, members = (c[k].as_py() for c in batch.columns)
+                theirs = [np.frombuffer(m["diff"], dtype=np.uint64) for m in members]
+                their_g = np.array([m["g"] for m in members], dtype=np.int64)
+                if own == block:
+                    if at is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(links)], names=["node", "n_links"])
+                    at, nodes, sets, g = (comp, own), [m["node"] for m in members], theirs, their_g
+                    links = np.full(len(nodes), sure, dtype=np.int64) - 1  # a set is found linked to itself
+                assert at == (comp, own)
+                links += (g[:, None] + their_g[None, :] <= 2 * up * common_counts(sets, theirs)).sum(axis=1)
+        if at is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(links)], names=["node", "n_links"])
+
+    return rows.mapInArrow(count, "node long, n_links long")
+
+
+def _classes(spark: SparkSession, docs: DataFrame, n: int, threshold: float, recall: float, limit: int, depth: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Signatures per row, sets, (node, comp) of linked sets and (node, tokens) of at least these."""
+    runs = runs_for(recall)
+    texts = texts_of(docs)
+
+    def own_text(make, schema: str):
+        def tokens(value: bytes, memo: dict) -> np.ndarray:
+            return shingle_set(value.decode(), n, memo)
+
+        return per_text(make, schema, tokens)
+
+    def sign(row: tuple, tokens: np.ndarray) -> tuple:
+        regs = registers(tokens).tobytes() if len(tokens) else b""
+        return row[1], row[2], xxhash.xxh3_128_digest(tokens.tobytes()), len(tokens), regs, paths(tokens)
+
+    def paths(tokens: np.ndarray) -> list[dict]:
         rate = 1 / (threshold * max(len(tokens), 1))
-        keys = np.concatenate([sampled(tokens, 1000 + r, rate) for r in range(runs)])
-        keys = np.unique(keys)
-        a, b = (xxhash.xxh3_128_intdigest(whole) >> s & (1 << 64) - 1 for s in (0, 64))
-        return [(row[0], a - (1 << 63), b - (1 << 63), len(tokens), keys, sketch(tokens) if len(tokens) else b"")]
-
-    schema = "doc_id long, fp1 long, fp2 long, size long, keys array<long>, sketch binary"
-    signed = materialise(spark, _sets(texts, n, signature, schema), "signatures")
-    sets = signed.groupBy("fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n_copies"))
-    sets = materialise(spark, sets, "sets")
-    # One row of signatures per set: the representative's (repeated ids give equal rows).
-    reps = signed.join(sets.where("rep IS NOT NULL"), ["fp1", "fp2"]).where("doc_id = rep AND size > 0")
-    reps = materialise(spark, reps.dropDuplicates(["fp1", "fp2"]).select("rep", "size", "keys", "sketch"), "reps")
-
-    # Buckets: those with one set go, those with many are split again.
-    open_ = reps.select("rep", F.explode("keys").alias("key"))
-    final = None
-    for level in range(depth + 1):
-        counts = open_.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = materialise(spark, open_.join(counts, "key"), f"met{level}")
-        small = met if level == depth else met.where(F.col("n") <= limit)
-        final = small if final is None else final.unionByName(small)
-        large = met.where(F.col("n") > limit)
-        if level == depth or large.isEmpty():
-            break
-        wide = large.groupBy("rep").agg(F.collect_list("key").alias("paths"), F.collect_list("n").alias("sizes"))
-
-        def split(row: tuple, tokens: np.ndarray) -> list[tuple]:
-            # four tokens a path, so that a pair survives the level with probability 1 - exp(-4) per path it shares
-            rate = 4 / (threshold * max(len(tokens), 1))
-            keys = [k for path in row[2] for k in sampled(tokens, path, rate).tolist()]
-            return [(row[3], k) for k in sorted(set(keys))]
-
-        own = texts.join(materialise(spark, wide, f"wide{level}"), texts["doc_id"] == F.col("rep")).select("doc_id", "text", "paths", "rep")
-        own = own.dropDuplicates(["doc_id"])
-        children = materialise(spark, _sets(own, n, split, "rep long, key long"), f"children{level}")
-        # A path that splitting does not make smaller (near copies of one another) is compared as it is.
-        kept = children.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        widest = large.agg(F.max("n")).first()[0]
-        if kept > 0.8 * widest:
-            final = final.unionByName(large)
-            break
-        open_ = children
-    final = materialise(spark, final.select("key", "rep", "n"), "buckets")
-
-    # Blocks: a bucket of n sets has ceil(n / block) blocks, and each pair of blocks is a unit of work.
-    keys = final.groupBy("rep").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    blocks = F.ceil(F.col("n") / block).cast("int")
-    placed = final.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = placed.select("key", "rep", "block", other)
-    dealt = dealt.select("key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "rep")
-    members = reps.select("rep", "size", "sketch").join(keys, "rep")
-    light = dealt.join(members, "rep").select("key", "bi", "bj", "block", "rep", "size", "keys", "sketch")
-
-    def mark(group: dict) -> list[tuple]:
-        if len(group["rep"]) < 2:
-            return []
-        pairs = _candidates(group, threshold)
-        at = (group["key"][0], group["bi"][0], group["bj"][0])
-        return [(*at, group["block"][k], group["rep"][k]) for k in np.unique(pairs).tolist()]
-
-    wanted = materialise(spark, _by_block(light, parts, mark, "key long, bi int, bj int, block int, rep long"), "wanted")
-
-    # The sets of the marked rows, then the exact check. The texts are joined by merge at any size: the marked rows grow
-    # with the input. Each text gives a row of tokens per block that wants it, so tokens are shuffled once.
-    wants = wanted.groupBy("rep").agg(F.collect_list(F.struct("key", "bi", "bj", "block")).alias("wants")).join(members, "rep")
-    own = texts.join(wants.hint("merge"), texts["doc_id"] == wants["rep"]).select("doc_id", "text", "wants", "size", "keys", "sketch")
-
-    def spread(row: tuple, tokens: np.ndarray) -> list[tuple]:
-        return [(w["key"], w["bi"], w["bj"], w["block"], row[0], row[3], row[4], row[5], tokens.view(np.int64)) for w in row[2]]
-
-    schema = "key long, bi int, bj int, block int, rep long, size long, keys array<long>, sketch binary, tokens array<long>"
-    full = _sets(own.dropDuplicates(["doc_id"]), n, spread, schema)
-
-    def verify(group: dict) -> list[tuple]:
-        if len(group["rep"]) < 2:
-            return []
-        pairs = _candidates(group, threshold)
-        if not len(pairs):
-            return []
-        found = jaccard([t.view(np.uint64) for t in group["tokens"]], pairs)
-        pairs = pairs[found >= threshold]
-        rep = group["rep"]
-        links = np.bincount(pairs.ravel(), minlength=len(rep))
-        edges = dict(forest(pairs, len(rep)))
-        return [(rep[k], int(c), rep[edges[k]] if k in edges else None) for k, c in enumerate(links.tolist()) if c]
-
-    linked = materialise(spark, _by_block(full, parts, verify, "rep long, links long, root long"), "links")
-    number = linked.groupBy("rep").agg(F.sum("links").alias("n_links"))
-    roots = connect(spark, linked.where("root IS NOT NULL").select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    classes = sets.join(number, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    classes = classes.select("fp1", "fp2", "rep", "n_copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "rep").alias("class_id"))
-    classes = materialise(spark, classes, "classes")
-    rows = signed.select("doc_id", "fp1", "fp2")
-    return join_groups(rows, classes, ["fp1", "fp2"], "n_copies", signed.count()).select("doc_id", F.col("rep").alias("rep_id"), "class_id", "n_links", "n_copies")
-
-
-def keep_one_per_class(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose id is the least of its class; all columns. Rows with NULL ids stay."""
-    found = jaccard_join(spark, docs, **options)
-    drop = found.where("doc_id <> class_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(drop, docs["doc_id"] == drop["__gone"], "left_anti").dropDuplicates(["doc_id", "text"])
+        return [{"band": r, "key": k} for r in range(runs) for k in sampled(tokens, 1000 + r, rate).tolist()]
+
+    schema = "id long, digest binary, print binary, size long, regs binary, paths array<struct<band int, key long>>"
+    signed = materialise(spark, texts.mapInArrow(own_text(sign, schema), schema), "signatures")
+    sets = fold_sets(spark, signed)
+    buckets = sets.where("size > 0").select("node", F.explode("paths").alias("path")).select("path.key", "node", "path.band").distinct()
+    fetch = lambda wanted: whole_sets(texts, wanted, own_text)
+    comps, whole = components(spark, sets, buckets, split_paths(threshold), fetch, threshold, limit, depth, first=2)
+    return signed, sets, comps, whole
+
+
+def jaccard_join(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, limit: int = 1000, depth: int = 6, weight: int = 100_000) -> DataFrame:
+    """One row per input row: doc_id, rep_id (its copies' least id), class_id, n_links (of its set, to different sets), n_copies."""
+    signed, sets, comps, whole = _classes(spark, docs, n, threshold, recall, limit, depth)
+    links = link_counts(spark, comps, whole, round(100 * threshold), weight)
+    own = sets.select("print", "node", F.col("id").alias("rep"), "copies").join(comps, "node", "left").join(links, "node", "left")
+    own = materialise(spark, own.withColumn("comp", F.coalesce("comp", "node")), "own")
+    least = materialise(spark, own.groupBy("comp").agg(F.min("rep").alias("class_id")), "least")
+    classes = own.join(least, "comp").select("print", "rep", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), "class_id")
+    classes = materialise(spark, classes, "found")
+    rows = join_groups(signed.select(F.col("id").alias("doc_id"), "print"), classes, ["print"], "copies", signed.count())
+    return rows.select("doc_id", F.col("rep").alias("rep_id"), "class_id", "n_links", F.col("copies").alias("n_copies"))
+
+
+def keep_one_per_class(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, limit: int = 1000, depth: int = 6) -> DataFrame:
+    """One row of ``docs`` per class, with all columns: the one with the least id (NULL ids last; of one id the least
+    text digest). Repeated rows are one."""
+    signed, sets, comps, _ = _classes(spark, docs, n, threshold, recall, limit, depth)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first")
+    of_set = signed.groupBy("print").agg(first).join(sets.select("print", "node"), "print").join(comps, "node", "left")
+    kept = of_set.groupBy(F.coalesce("comp", "node")).agg(F.min("first").alias("first"))
+    kept = materialise(spark, kept.select(F.col("first.id").alias("__kept_id"), F.col("first.digest").alias("__kept_digest")), "kept")
+    marked = docs.withColumn("__text_digest", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    stay = (F.col("__text_digest") == F.col("__kept_digest")) & F.col("doc_id").eqNullSafe(F.col("__kept_id"))
+    return marked.join(kept, stay, "left_semi").dropDuplicates(["doc_id", "__text_digest"]).drop("__text_digest")

@@ -13,7 +13,8 @@ words is one run). Two sets are linked if 100 * |a & b| >= 100 * threshold * |a
   are one node. In each round a bucket gives its candidates between different components that have not failed before, or,
   if they are many, a spanning forest of them and the best of the others; they are verified on the whole sets and
   components join. A bucket is done when it has given all its candidates, so none is left open. The number of edges that
-  a bucket may give beside its forest grows fourfold with each round, so rounds are few.
+  a bucket may give beside its forest grows fourfold with each round, so rounds are few. The first round takes only the
+  first bands: most copies of a large group are one component then, and the other bands give no pairs for them.
 * **Large buckets** (over ``limit`` sets) are never gathered in one task. First all their sets are compared with one
   pivot, which makes near copies one component. Sets outside the bucket's largest component are then compared with blocks
   of the bucket; if there are more than ``limit`` of them, too, the bucket is first split by the further bands that its
@@ -88,7 +89,7 @@ def registers(tokens: np.ndarray) -> np.ndarray:
 
 
 def bands(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band: its four registers and its number."""
+    """One 64-bit key per set and band: its four registers and its number."""
     packed = np.ascontiguousarray(regs).view(np.uint64)
     return mix(mix(packed) + np.arange(BANDS, dtype=np.uint64) * _M).view(np.int64)
 
@@ -162,31 +163,35 @@ def candidates(regs: np.ndarray, size: np.ndarray, comp: np.ndarray, failed: set
     return out, len(out) == len(pairs)
 
 
-def bucket_pairs(rows: DataFrame, parts: int, threshold: float, extra: int) -> DataFrame:
-    """(unit, a, b) from rows (unit, node, comp, size, regs, failed) of units of bounded size: candidates to verify, and a
-    row without a and b for each unit that has more of them than it gave."""
-    schema = "unit long, a string, b string"
+def bucket_pairs(rows: DataFrame, parts: int, threshold: float, turn: int) -> DataFrame:
+    """(unit, a, b) from rows (unit, node, comp, size, regs, failed, give) of units of bounded size: candidates to verify,
+    and a row without a and b for each unit that has more of them than it gave. A unit that is not to give pairs yet names
+    the nodes of its candidates in rows without unit and b."""
+    schema = "unit long, a long, b long"
     names = [f.split()[0] for f in schema.split(", ")]
-    kinds = [pa.int64(), pa.string(), pa.string()]
-    dealt = rows.select("unit", "node", "comp", "size", "regs", "failed").repartition(parts, "unit").sortWithinPartitions("unit", "node")
+    dealt = rows.select("unit", "node", "comp", "size", "regs", "failed", "give").repartition(parts, "unit").sortWithinPartitions("unit", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         out: list[tuple] = []
 
         def finish() -> None:
-            units, nodes, comp, size, regs, failed = zip(*held, strict=True)
+            units, nodes, comp, size, regs, failed, give = zip(*held, strict=True)
             place = {node: k for k, node in enumerate(nodes)}
             gone = {tuple(sorted((k, place[o]))) for k, others in enumerate(failed) for o in others or () if o in place}
             regs = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(-1, BUCKETS)
-            pairs, all_given = candidates(regs, np.array(size), np.array(comp), gone, threshold, extra * len(nodes))
-            out.extend((units[0], nodes[a], nodes[b]) for a, b in pairs)
-            if not all_given:
+            extra = 30 * 4**turn + (4**turn - 1) * len(nodes)
+            pairs, all_given = candidates(regs, np.array(size), np.array(comp), gone, threshold, extra)
+            if give[0]:
+                out.extend((units[0], nodes[a], nodes[b]) for a, b in pairs)
+            else:  # the forest reaches every node of a candidate
+                out.extend((None, nodes[k], None) for k in {x for p in pairs for x in p})
+            if give[0] and not all_given:
                 out.append((units[0], None, None))
             held.clear()
 
         def batch_of() -> pa.RecordBatch:
-            made = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+            made = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=names)
             out.clear()
             return made
 
@@ -220,7 +225,7 @@ def sift(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good))
 
     near = pairs.join(a.hint("merge"), "a").join(b.hint("merge"), "b")
-    return near.select("a", "b", "size_a", "regs_a", "size_b", "regs_b").mapInArrow(run, "a string, b string")
+    return near.select("a", "b", "size_a", "regs_a", "size_b", "regs_b").mapInArrow(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
@@ -235,7 +240,7 @@ def verify(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
             ok = [linked(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent) for x, y in sides]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["a", "b", "ok"])
 
-    return both.mapInArrow(run, "a string, b string, ok boolean")
+    return both.mapInArrow(run, "a long, b long, ok boolean")
 
 
 def connect(spark: SparkSession, edges: DataFrame) -> DataFrame:
@@ -255,8 +260,8 @@ def connect(spark: SparkSession, edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _per_text(make, n: int, schema: str):
-    """mapInArrow function over rows (text binary, ...): ``make(row, shingles)`` gives one output row, or None."""
+def per_text(make, schema: str, tokens_of):
+    """mapInArrow function over rows (text binary, ...): ``make(row, tokens_of(text, memo))`` gives the output row."""
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,29 +270,45 @@ def _per_text(make, n: int, schema: str):
             for lo in range(0, whole.num_rows, 250):
                 if len(memo) > 300_000:
                     memo.clear()
-                out = [make(row, shingles(row[0], n, memo)) for row in zip(*(c.to_pylist() for c in whole.slice(lo, 250).columns), strict=True)]
+                out = [make(row, tokens_of(row[0], memo)) for row in zip(*(c.to_pylist() for c in whole.slice(lo, 250).columns), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
 
     return run
 
 
-def signatures(docs: DataFrame, n: int) -> DataFrame:
-    """(id, digest, node, size, regs, keys) per row of (text, id, digest); node names the set, digest the text."""
+def fold_sets(spark: SparkSession, signed: DataFrame) -> DataFrame:
+    """One row per different set of (id, digest, print, size, regs): a number (node), its least id and how many rows have it."""
+    same = [F.first(c).alias(c) for c in signed.columns if c not in ("id", "digest", "print")]
+    sets = signed.groupBy("print").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("digest").alias("digest"), *same)
+    return materialise(spark, sets.withColumn("node", F.monotonically_increasing_id()), "sets")
 
-    def make(row: tuple, tokens: np.ndarray) -> tuple:
-        node = xxhash.xxh3_128_hexdigest(tokens.tobytes())
-        regs = registers(tokens) if len(tokens) else np.zeros(0, dtype=np.uint16)
-        return row[1], row[2], node, len(tokens), regs.tobytes(), bands(regs).tolist() if len(tokens) else []
 
-    schema = "id long, digest string, node string, size long, regs binary, keys array<long>"
-    return docs.mapInArrow(_per_text(make, n, schema), schema)
+def texts_of(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(text binary, id, digest); the digest finds the text of a set again, whatever the ids are."""
+    texts = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), F.col(id_column).cast("long").alias("id"))
+    return texts.withColumn("digest", F.unhex(F.md5("text")))
+
+
+def band_rows(sets: DataFrame) -> DataFrame:
+    """(node, band, key) of sets that are not empty."""
+    number = np.arange(BANDS, dtype=np.int32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1000):
+                batch = whole.slice(lo, 1000)
+                regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
+                node = batch.column(0).take(pa.array(np.repeat(np.arange(len(regs)), BANDS)))
+                yield pa.RecordBatch.from_arrays([node, pa.array(np.tile(number, len(regs))), pa.array(bands(regs).ravel())], names=["node", "band", "key"])
+
+    return sets.where("size > 0").select("node", "regs").mapInArrow(run, "node long, band int, key long")
 
 
-def whole_sets(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(node, tokens) of the wanted (node, digest)."""
+def whole_sets(docs: DataFrame, wanted: DataFrame, per_text) -> DataFrame:
+    """(node, tokens) of the wanted (node, digest); ``per_text`` makes a mapInArrow function over (text, ...)."""
     own = docs.join(wanted.hint("merge"), "digest").select("text", "node")
-    sets = own.mapInArrow(_per_text(lambda row, tokens: (row[1], tokens.tobytes()), n, "node string, tokens binary"), "node string, tokens binary")
-    return sets.dropDuplicates(["node"])
+    schema = "node long, tokens binary"
+    return own.mapInArrow(per_text(lambda row, tokens: (row[1], tokens.tobytes()), schema), schema).dropDuplicates(["node"])
 
 
 def _with_comps(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
@@ -302,8 +323,8 @@ def _open(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(keys, key, "left_semi")
 
 
-def _split_large(spark: SparkSession, large: DataFrame, comps: DataFrame | None, sets: DataFrame, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
-    """After their pivot: open large buckets (key, node, band, level) as units of bounded size, and as buckets of a further band."""
+def _split_large(spark: SparkSession, large: DataFrame, comps: DataFrame, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """After their pivot: open large buckets (key, node, band, level) as units of bounded size, and the rows to split further."""
     rows = materialise(spark, _open(_with_comps(large, comps), "key"), "open")
     per_comp = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = per_comp.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
@@ -316,53 +337,74 @@ def _split_large(spark: SparkSession, large: DataFrame, comps: DataFrame | None,
     rare = rows.where(fits & (F.col("comp") != F.col("main"))).withColumn("b", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumn("g", own_group)
     both = dealt.select("key", "g", "b", "node").unionByName(rare.select("key", "g", "b", "node"))
     units = both.select(F.xxhash64("key", "g", "b").alias("unit"), "node").distinct()
-    further = rows.where(~fits).join(sets.select("node", "keys"), "node").select("key", "node", "band", "level", F.posexplode("keys").alias("next", "other"))
-    further = further.where("next > band").select(F.xxhash64("key", "other").alias("key"), "node", F.col("next").alias("band"), (F.col("level") + 1).alias("level"))
-    return units, further
+    return units, rows.where(~fits).select("key", "node", "band", "level")
+
+
+def further_bands(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
+    """Buckets split by each later band of their sets."""
+    others = band_rows(sets.join(rows.select("node").distinct(), "node")).toDF("node", "next", "other").where("next > 0")
+    split = rows.join(others, "node").where("next > band")
+    return split.select(F.xxhash64("key", "other").alias("key"), "node", F.col("next").alias("band"), (F.col("level") + 1).alias("level"))
 
 
 def components(
-    spark: SparkSession, docs: DataFrame, sets: DataFrame, n: int, threshold: float, limit: int, depth: int
-) -> DataFrame | None:
-    """(node, comp) of the linked sets of ``sets`` (node, digest, size, regs, keys); None if there is no link."""
+    spark: SparkSession, sets: DataFrame, buckets: DataFrame, further, fetch, threshold: float, limit: int, depth: int, first: int = 4
+) -> tuple[DataFrame, DataFrame]:
+    """(node, comp) of the linked sets of ``sets`` (node, digest, size, regs), and (node, tokens) of at least these.
+    ``buckets`` (key, node, band) hold the sets to compare; the first round gives the pairs of the ``first`` bands.
+    ``further(rows, sets, whole)`` splits large buckets, ``fetch(nodes)`` gives the whole sets of (node, digest)."""
     parts, percent = shuffle_partitions(spark), round(100 * threshold)
-    placed = sets.where("size > 0").select("node", F.posexplode("keys").alias("band", "key")).withColumn("level", F.lit(0))
 
     def by_size(buckets: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
         buckets = materialise(spark, buckets.join(counts, "key"), name)
-        return buckets.where(F.col("sets") <= limit).select(F.col("key").alias("unit"), "node"), buckets.where(F.col("sets") > limit).drop("sets")
+        return buckets.where(F.col("sets") <= limit).select(F.col("key").alias("unit"), "node", "band"), buckets.where(F.col("sets") > limit).drop("sets")
 
-    small, large = by_size(placed, "buckets")
+    small, large = by_size(buckets.withColumn("level", F.lit(0)), "buckets")
     whole = comps = links = failed = None
     for turn in range(1_000):
-        lists = failed.groupBy("a").agg(F.collect_list("b").alias("failed")).withColumnRenamed("a", "node") if failed is not None else None
         rows = _open(_with_comps(small, comps), "unit").join(sets.select("node", "size", "regs"), "node")
-        rows = rows.join(lists, "node", "left") if lists is not None else rows.withColumn("failed", F.lit(None).cast("array<string>"))
-        given = materialise(spark, bucket_pairs(rows, parts, threshold, 3 * 4**turn), "given")
-        pivots = large.groupBy("key").agg(F.min_by("node", F.xxhash64("node", "key")).alias("pivot"))
-        starred = large.join(pivots, "key").where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        pairs = given.where("a IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = materialise(spark, sift(pairs.unionByName(starred).distinct(), sets, threshold), "pairs")
+        rows = rows.withColumn("give", F.col("band") < first if turn == 0 else F.lit(True))
+        if failed is None:
+            rows = rows.withColumn("failed", F.lit(None).cast("array<long>"))
+        else:
+            rows = rows.join(failed.groupBy("a").agg(F.collect_list("b").alias("failed")).withColumnRenamed("a", "node"), "node", "left")
+        given = materialise(spark, bucket_pairs(rows, parts, threshold, turn).distinct(), "given")
+        # the same pivot in all bands that hold it
+        starred = large.where(F.col("band") < first) if turn == 0 else large
+        pivots = starred.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("pivot"))
+        starred = starred.join(pivots, "key").where("node <> pivot").select("key", "node", "pivot")
+        if comps is not None:
+            of_pivot = comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
+            starred = _with_comps(starred, comps).join(of_pivot, "pivot", "left").where(F.col("comp") != F.coalesce("pivot_comp", "pivot"))
+        starred = starred.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+        pairs = given.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = pairs.unionByName(starred).distinct()
+        if failed is not None:
+            pairs = pairs.join(failed, ["a", "b"], "left_anti")
+        pairs = materialise(spark, sift(pairs, sets, threshold), "pairs")
         truncated = given.where("a IS NULL").select("unit")
         if whole is None:
-            nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(large.select("node"))
-            nodes = nodes.unionByName(small.join(truncated, "unit", "left_semi").select("node")).distinct()
-            whole = materialise(spark, whole_sets(docs, sets.select("node", "digest").join(nodes, "node"), n), "sets")
+            nodes = given.where("a IS NOT NULL AND b IS NULL").select(F.col("a").alias("node")).unionByName(large.select("node"))
+            nodes = nodes.unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).unionByName(small.join(truncated, "unit", "left_semi").select("node"))
+            whole = materialise(spark, fetch(sets.select("node", "digest").join(nodes.distinct(), "node")), "whole")
         checked = materialise(spark, verify(pairs, whole, percent), "checked")
         good, bad = checked.where("ok").select("a", "b"), checked.where("NOT ok").select("a", "b")
         links = good if links is None else links.unionByName(good)
         failed = bad if failed is None else failed.unionByName(bad)
-        comps = connect(spark, links)
+        if comps is None or not good.isEmpty():
+            comps = connect(spark, links)
+        if turn == 0:
+            continue
         small = materialise(spark, small.join(truncated, "unit", "left_semi"), "small")
         more = False
         if not large.isEmpty():
-            units, further = _split_large(spark, large, comps, sets, limit, depth)
-            parted, large = by_size(further, "further")
-            small = materialise(spark, small.unionByName(units).unionByName(parted), "small")
+            units, rows = _split_large(spark, large, comps, limit, depth)
+            parted, large = by_size(further(rows, sets, whole), "further")
+            small = materialise(spark, small.unionByName(units.withColumn("band", F.lit(0))).unionByName(parted), "small")
             more = not large.isEmpty()
         if not more and small.isEmpty():
-            return comps
+            return comps, whole
     msg = "buckets did not come to an end"
     raise RuntimeError(msg)
 
@@ -371,19 +413,25 @@ def near_duplicates(
     spark: SparkSession, docs: DataFrame, n: int = 2, threshold: float = 0.8, limit: int = 1000, depth: int = 3, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """One row per row of ``docs``: the id, n_shingles, component_id (least id of its component), kept."""
-    texts = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), F.col(id_column).cast("long").alias("id"))
-    texts = texts.withColumn("digest", F.md5("text"))
-    signed = materialise(spark, signatures(texts, n), "signatures")
-    same = [F.first(c).alias(c) for c in ("size", "regs", "keys")]
-    sets = signed.groupBy("node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("digest").alias("digest"), *same)
-    sets = materialise(spark, sets, "sets")
-    comps = components(spark, texts, sets, n, threshold, limit, depth)
-    own = sets.select("node", "id", "size", "copies").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    texts = texts_of(docs, id_column, text)
+
+    def own_text(make, schema: str):
+        return per_text(make, schema, lambda value, memo: shingles(value, n, memo))
+
+    def sign(row: tuple, tokens: np.ndarray) -> tuple:
+        return row[1], row[2], xxhash.xxh3_128_digest(tokens.tobytes()), len(tokens), registers(tokens).tobytes() if len(tokens) else b""
+
+    schema = "id long, digest binary, print binary, size long, regs binary"
+    signed = materialise(spark, texts.mapInArrow(own_text(sign, schema), schema), "signatures")
+    sets = fold_sets(spark, signed)
+    fetch = lambda wanted: whole_sets(texts, wanted, own_text)
+    comps, _ = components(spark, sets, band_rows(sets), further_bands, fetch, threshold, limit, depth)
+    own = sets.select("print", "node", "id", "size", "copies").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     own = materialise(spark, own, "own")
     least = materialise(spark, own.groupBy("comp").agg(F.min("id").alias("component_id")), "least")
-    classes = materialise(spark, own.join(least, "comp").select("node", "size", "copies", "component_id"), "classes")
+    classes = materialise(spark, own.join(least, "comp").select("print", "size", "copies", "component_id"), "classes")
+    found = join_groups(signed.select("id", "print"), classes, ["print"], "copies", signed.count())
     # rows without a word are linked to nothing, not to each other either
-    found = join_groups(signed.select("id", "node"), classes, ["node"], "copies", signed.count())
     component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id"))
     found = found.select(F.col("id").alias(id_column), F.col("size").alias("n_shingles"), component.alias("component_id"))
     return found.withColumn("kept", F.col(id_column).eqNullSafe(F.col("component_id")))

@@ -136,8 +136,8 @@ def test_jaccard_join(spark, docs, empty):
                 todo.append(j)
         return min(seen)
 
-    for limit in (1000, 3):  # 3: nearly every bucket is split, and compared in blocks of two
-        got = chosen_path.jaccard_join(spark, df, limit=limit, block=512 if limit > 3 else 2)
+    for limit in (1000, 3):  # 3: nearly every bucket is split, and compared in blocks of a few sets
+        got = chosen_path.jaccard_join(spark, df, limit=limit, weight=100_000 if limit > 3 else 300)
         for r in got.collect():
             rep = reps[sets[r.doc_id]]
             assert (r.rep_id, r.class_id, r.n_links) == (rep, least(rep), len(link[rep]))

@@ -65,7 +65,7 @@ def test_near_duplicates_against_all_pairs(spark, limit):
     rng = np.random.default_rng(3)
     rows = mutated(rng, 12, 90, 9) + [(i + 500, t) for i, t in mutated(rng, 12, 6, 2)]
     rows += [(900, None), (901, ""), (902, "  \n"), (903, "One"), (904, "one"), (None, rows[0][1]), (None, "a text of its own"), (905, LONG), (906, LONG + "tail"), (905, LONG), (7, "an id that two texts share"), (907, "ÄÖ x ÄÖ"), (908, "äö x äö")]
-    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, node string, comp long").repartition(3)
+    df = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, print string, comp long").repartition(3)
     got = hyperminhash.near_duplicates(spark, df, limit=limit).collect()
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == components_of(rows)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)

@@ -3,14 +3,22 @@
 The page is cut into blocks at block-level tags. Pass one classifies each
 block on its own by its length, its density of stop words and its density of
 link text, and by what it stands in (navigation, footers, forms, adverts,
-comments and the like are boilerplate). Pass two: blocks too short to decide
+comments and the like are boilerplate). Stop words are those of four languages;
+blocks in another script than the Latin one are judged by their number of
+letters instead. Pass two: blocks too short to decide
 inherit the label of their nearest decided neighbours; inside an article or
-main element only neighbours in that element count, elsewhere a block between
+main element only neighbours in that element count, and of these only the ones that
+their own text decided, elsewhere a block between
 a good and a bad neighbour stays out unless it is a heading before good text.
 
+Class and id names of a wrapper that tell its layout (has-sidebar, with-comments)
+do not make it boilerplate, nor do names of headers inside an article; a main element
+is never boilerplate by the names around it.
+
 Defined results: NULL or empty html gives the empty text; a page without any
-good block gives the empty text; unclosed tags are tolerated; text of any
-length is kept whole; extra columns are not read; repeated rows are ordinary.
+good block gives the empty text; unclosed elements are tolerated; a tag that the page's
+end cuts off is dropped; tags are read in time proportional to their length; text of any
+length is kept whole; extra columns are not read; repeated rows are ordinary; no rows give no rows.
 """
 
 from __future__ import annotations
@@ -58,9 +66,11 @@ BOILERPLATE_NAMES = re.compile(
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*+)(?:>|\Z)", re.DOTALL
 )
-ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+ATTRIBUTE = re.compile(r"""(?<![^\s=/"'>])([^\s=/"'>]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]++))""")
+LAYOUT_NAMES = re.compile(r"(?<!\S)(?:has|with|without|no|show|hide)[-_]\S*", re.IGNORECASE)
+HEADER_NAMES = re.compile(r"(?<!\S)[\w-]*header[\w-]*(?!\S)", re.IGNORECASE)
 WORD = re.compile(r"\w+")
 
 GOOD, SHORT, BAD = 1, 0, -1
@@ -87,7 +97,10 @@ def _is_boilerplate(tag: str, attributes: str, content: int) -> bool:
         return True
     if tag in CONTENT_TAGS or tag in {"body", "html"}:
         return False
-    return bool(BOILERPLATE_NAMES.search(found.get("class", "")) or BOILERPLATE_NAMES.search(found.get("id", "")))
+    names = [LAYOUT_NAMES.sub("", found.get(key, "")) for key in ("class", "id")]
+    if content:
+        names = [HEADER_NAMES.sub("", n) for n in names]
+    return any(BOILERPLATE_NAMES.search(n) for n in names)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -158,7 +171,8 @@ def blocks_of(page: str) -> list[Block]:
                 contents += 1
             inside = stack[-1] if stack else ("", False, 0, False)
             number = inside[2] or (contents if tag in CONTENT_TAGS else 0)
-            stack.append((tag, inside[1] or _is_boilerplate(tag, m[3], inside[2]), number, inside[3] or tag in DROPPED_TAGS))
+            around = inside[1] and tag != "main"
+            stack.append((tag, around or _is_boilerplate(tag, m[3], inside[2]), number, inside[3] or tag in DROPPED_TAGS))
             if tag in RAW_TAGS:
                 skip_raw = tag
         _, boilerplate, content, dropped = stack[-1] if stack else ("", False, 0, False)
@@ -173,6 +187,9 @@ def classify(block: Block, min_words: int, stop_density: float, link_density: fl
     size = sum(map(len, block.parts))
     if size and block.linked / size > link_density:
         return BAD
+    letters = [] if block.text.isascii() else [c for c in block.text if c.isalpha()]
+    if letters and 2 * sum(ord(c) > 0x24F for c in letters) > len(letters):  # not the Latin script: no stop words are known
+        return GOOD if len(letters) >= 3 * min_words else SHORT
     words = WORD.findall(block.text.lower())
     if len(words) < min_words:
         return SHORT
@@ -191,12 +208,12 @@ def main_text(page: str | None, min_words: int = 10, stop_density: float = 0.1,
     before, last = [], {}
     for b, label in zip(blocks, labels, strict=True):  # nearest decided neighbour before, in the same content element
         before.append(last.get(b.content))
-        if label:
+        if label and not (b.content and b.boilerplate):
             last[b.content] = label
     after, last = [], {}
     for b, label in zip(reversed(blocks), reversed(labels), strict=True):
         after.append(last.get(b.content))
-        if label:
+        if label and not (b.content and b.boilerplate):
             last[b.content] = label
     keep = []
     for b, x, y in zip(blocks, before, reversed(after), strict=True):

@@ -303,6 +303,37 @@ def test_html():
     assert html_text.main_text(None) == html_text.main_text("") == html_text.main_text("<nav>x</nav>") == ""
 
 
+def test_html_wrappers_headers_and_short_blocks():
+    good = "The first block of the article is long enough to be decided by itself and so it is."
+    for wrapper in ("layout has-sidebar", "with-comments", "no-nav wide"):
+        assert html_text.main_text(f"<div class='{wrapper}'><article><p>{good}</article></div>") == good
+    assert html_text.main_text(f"<div class=sidebar><main><p>{good}</main></div>") == good
+    assert html_text.main_text(f"<section id=comments><article><p>{good}</article></section>") == ""
+    assert html_text.main_text(f"<article><div class='article-header'><h1>Title</h1></div><p>{good}</article>") == f"Title\n{good}"
+    ad, aside = "<div class=advert>Buy now and save the most of all on it</div>", "<aside>More of this</aside>"
+    assert html_text.main_text(f"<article>{ad}<p>Short one.<p>Another.{aside}</article>") == "Short one.\nAnother."
+    assert html_text.main_text(f"<article><p>{good}{ad}<p>Short one.{aside}</article>") == f"{good}\nShort one."
+    chinese = "这是一个没有文章元素的段落，它足够长，可以由它自己的长度来决定，因为停用词只有四种语言。"
+    assert html_text.main_text(f"<body><div><p>{chinese}</p></div><nav>首页</nav></body>") == chinese
+    assert html_text.main_text(f"<p>{good}</p><a href='x") == good
+
+
+def test_html_broken_tags_take_linear_time():
+    import time
+
+    for broken in ("<a " + '"x" ' * 100_000, "<a " * 100_000, "<a " + "\"'" * 50_000, "<div " + "x" * 200_000 + ">", "<div " + "x " * 100_000 + "=>", "<!-" * 100_000, "<div class='" + "a-" * 100_000 + "'>"):
+        began = time.time()
+        html_text.main_text("<p>text</p>" + broken)
+        assert time.time() - began < 5
+
+
+def test_html_empty_and_odd_tables(spark):
+    pages = spark.createDataFrame([(1, "u", None, "x"), (1, "u", "", "x"), (None, None, "<main>one</main>", "y")], "page_id long, url string, html string, text string")
+    got = sorted((r.page_id or 0, r.text, r.n_chars) for r in html_text.extract(pages).collect())
+    assert got == [(0, "one", 3), (1, "", 0), (1, "", 0)]
+    assert html_text.extract(pages.where("1 = 0")).count() == 0
+
+
 def test_fingerprints(spark, docs, empty):
     got = fingerprints.fingerprint_documents(spark, docs).collect()
     assert len(got) == len(ROWS)

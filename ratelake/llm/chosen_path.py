@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import join_groups, materialise, shuffle_partitions
-from ratelake.llm.hyperminhash import components, fold_sets, per_text, registers, texts_of, whole_sets
+from ratelake.llm.hyperminhash import common_counts, components, fold_sets, per_text, registers, texts_of, whole_sets
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -52,12 +52,6 @@ def mix(h: np.ndarray, seed: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: str) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 def shingle_set(text: str | None, n: int, memo: dict) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the text's runs of n words."""
     words = (text or "").lower().split()
@@ -105,32 +99,6 @@ def split_paths(threshold: float):
     return further
 
 
-def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
-    """|x & y| for every x of a and y of b: products of their incidence in the tokens that both sides hold."""
-    out = np.zeros((len(a), len(b)), dtype=np.int64)
-    left, right = (np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in (a, b))
-    names = np.intersect1d(left, right)
-
-    def places(sets: list[np.ndarray], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-        at = np.minimum(np.searchsorted(names, flat), max(len(names) - 1, 0))
-        held = names[at] == flat if len(names) else np.zeros(len(flat), dtype=bool)
-        order = np.argsort(at[held], kind="stable")
-        return row[held][order], at[held][order]
-
-    (ra, ca), (rb, cb) = places(a, left), places(b, right)
-    for lo in range(0, len(names), 2048):
-        width = min(2048, len(names) - lo)
-        sides = []
-        for row, col, n in ((ra, ca, len(a)), (rb, cb, len(b))):
-            first, last = np.searchsorted(col, (lo, lo + width))
-            dense = np.zeros((n, width), dtype=np.float32)
-            dense[row[first:last], col[first:last] - lo] = 1
-            sides.append(dense)
-        out += (sides[0] @ sides[1].T).astype(np.int64)
-    return out
-
-
 def link_counts(spark: SparkSession, comps: DataFrame, whole: DataFrame, percent: int, weight: int = 100_000) -> DataFrame:
     """(node, n_links) of every set of ``comps`` (node, comp); ``whole`` has their (node, tokens). A block holds about
     ``weight`` tokens of differences (a set counts as 50 more)."""

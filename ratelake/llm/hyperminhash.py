@@ -12,9 +12,9 @@ words is one run). Two sets are linked if 100 * |a & b| >= 100 * threshold * |a
 * **Verification in rounds.** Only components are asked for, so a bucket need not verify each of its pairs. Equal sets
   are one node. In each round a bucket gives its candidates between different components that have not failed before, or,
   if they are many, a spanning forest of them and the best of the others; they are verified on the whole sets and
-  components join. A bucket is done when it has given all its candidates, so none is left open. The number of edges that
-  a bucket may give beside its forest grows fourfold with each round, so rounds are few. The first round takes only the
-  first bands: most copies of a large group are one component then, and the other bands give no pairs for them.
+  components join. The first round takes only the first bands: most copies of a large group are one component then, and
+  the other bands give no pairs for them in the second round. A bucket that has given all its candidates is done; the
+  whole sets of the others are gathered in the third round, which checks all their open pairs in place. No pair is left.
 * **Large buckets** (over ``limit`` sets) are never gathered in one task. First all their sets are compared with one
   pivot, which makes near copies one component. Sets outside the bucket's largest component are then compared with blocks
   of the bucket; if there are more than ``limit`` of them, too, the bucket is first split by the further bands that its
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
@@ -122,9 +122,9 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def candidates(regs: np.ndarray, size: np.ndarray, comp: np.ndarray, failed: set[tuple[int, int]], threshold: float, extra: int) -> tuple[list[tuple[int, int]], bool]:
-    """Candidate pairs of a bucket between different components, best estimates first; and whether they are all.
-    If there are more than ``extra`` pairs, those are given that a spanning forest needs and the best ``extra`` others."""
+def candidates(regs: np.ndarray, size: np.ndarray, comp: np.ndarray, failed: np.ndarray, threshold: float) -> np.ndarray:
+    """Pairs (i < j) of a bucket between different components that may be linked, best estimates first. ``failed`` pairs
+    i * n + j are left out."""
     n, least = len(size), least_estimate(threshold)
     found = []
     step = max(1, 4_000_000 // (n * BUCKETS))
@@ -139,11 +139,74 @@ def candidates(regs: np.ndarray, size: np.ndarray, comp: np.ndarray, failed: set
         found.append((i[good], j[good], e[good]))
     i, j, e = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.argsort(-e, kind="stable")
-    pairs = [p for p in zip(i[order].tolist(), j[order].tolist(), strict=True) if p not in failed]
-    if len(pairs) <= extra:
-        return pairs, True
+    i, j = i[order], j[order]
+    new = ~np.isin(i * n + j, failed)
+    return np.stack((i[new], j[new]), axis=1)
+
+
+def chosen_pairs(pairs: np.ndarray, comp: np.ndarray, extra: int) -> np.ndarray:
+    """Which of many candidate pairs (best first) to verify: a spanning forest over the components, found as every
+    component's best pair again and again, and the best ``extra`` pairs."""
+    out = np.arange(len(pairs)) < extra
+    label = np.unique(comp, return_inverse=True)[1]
+    while True:
+        a, b = label[pairs[:, 0]], label[pairs[:, 1]]
+        cross = np.flatnonzero(a != b)
+        if not len(cross):
+            return out
+        ends = np.stack((a[cross], b[cross]), axis=1).ravel()
+        best = cross[np.unique(np.unique(ends, return_index=True)[1] // 2)]
+        out[best] = True
+        parent = {}
+
+        def find(x: int, parent=parent) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        for x, y in zip(a[best].tolist(), b[best].tolist(), strict=True):
+            if (u := find(x)) != (v := find(y)):
+                parent[max(u, v)] = min(u, v)
+        label = np.array([find(x) for x in range(label.max() + 1)])[label]
+
+
+def common_counts(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """|x & y| for every x of a and y of b: products of their incidence in the tokens that both sides hold."""
+    out = np.zeros((len(a), len(b)), dtype=np.int64)
+    left, right = (np.concatenate(x) if x else np.zeros(0, dtype=np.uint64) for x in (a, b))
+    names = np.intersect1d(left, right)
+
+    def places(sets: list[np.ndarray], flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        at = np.minimum(np.searchsorted(names, flat), max(len(names) - 1, 0))
+        held = names[at] == flat if len(names) else np.zeros(len(flat), dtype=bool)
+        order = np.argsort(at[held], kind="stable")
+        return row[held][order], at[held][order]
+
+    (ra, ca), (rb, cb) = places(a, left), places(b, right)
+    for lo in range(0, len(names), 2048):
+        width = min(2048, len(names) - lo)
+        sides = []
+        for row, col, n in ((ra, ca, len(a)), (rb, cb, len(b))):
+            first, last = np.searchsorted(col, (lo, lo + width))
+            dense = np.zeros((n, width), dtype=np.float32)
+            dense[row[first:last], col[first:last] - lo] = 1
+            sides.append(dense)
+        out += (sides[0] @ sides[1].T).astype(np.int64)
+    return out
+
+
+def linked_forest(pairs: np.ndarray, comp: np.ndarray, tokens: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Linked pairs that join the bucket's components. Few pairs are checked one by one, as far as they still join two
+    components; many by one product of all sets."""
+    if len(pairs) > 20 * len(tokens):
+        size = np.array([len(t) for t in tokens])
+        both = common_counts(tokens, tokens)[pairs[:, 0], pairs[:, 1]]
+        pairs = pairs[100 * both >= percent * (size[pairs[:, 0]] + size[pairs[:, 1]] - both)]
+        return [tuple(p) for p in pairs[chosen_pairs(pairs, comp, 0)].tolist()]
     root = np.unique(comp, return_inverse=True)[1].tolist()
-    parent = list(range(max(root) + 1))
+    parent = list(range(len(root)))
+    out = []
 
     def find(x: int) -> int:
         while parent[x] != x:
@@ -151,43 +214,46 @@ def candidates(regs: np.ndarray, size: np.ndarray, comp: np.ndarray, failed: set
             x = parent[x]
         return x
 
-    out = []
-    for x, y in pairs:
-        a, b = find(root[x]), find(root[y])
-        if a != b:
+    for i, j in pairs.tolist():
+        a, b = find(root[i]), find(root[j])
+        if a != b and linked(tokens[i], tokens[j], percent):
             parent[b] = a
-            out.append((x, y))
-        elif extra:
-            extra -= 1
-            out.append((x, y))
-    return out, len(out) == len(pairs)
+            out.append((i, j))
+    return out
 
 
 def bucket_pairs(rows: DataFrame, parts: int, threshold: float, turn: int) -> DataFrame:
     """(unit, a, b) from rows (unit, node, comp, size, regs, failed, give) of units of bounded size: candidates to verify,
     and a row without a and b for each unit that has more of them than it gave. A unit that is not to give pairs yet names
-    the nodes of its candidates in rows without unit and b."""
+    the nodes of its candidates in rows without unit and b. If there is a column tokens, the pairs are linked ones that
+    join all components of the unit that can be joined."""
+    percent = round(100 * threshold)
+    rows = rows if "tokens" in rows.columns else rows.withColumn("tokens", F.lit(None).cast("binary"))
     schema = "unit long, a long, b long"
     names = [f.split()[0] for f in schema.split(", ")]
-    dealt = rows.select("unit", "node", "comp", "size", "regs", "failed", "give").repartition(parts, "unit").sortWithinPartitions("unit", "node")
+    dealt = rows.select("unit", "node", "comp", "size", "regs", "failed", "give", "tokens").repartition(parts, "unit").sortWithinPartitions("unit", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         out: list[tuple] = []
 
         def finish() -> None:
-            units, nodes, comp, size, regs, failed, give = zip(*held, strict=True)
+            units, nodes, comp, size, regs, failed, give, tokens = zip(*held, strict=True)
             place = {node: k for k, node in enumerate(nodes)}
-            gone = {tuple(sorted((k, place[o]))) for k, others in enumerate(failed) for o in others or () if o in place}
+            gone = [min(k, place[o]) * len(nodes) + max(k, place[o]) for k, others in enumerate(failed) for o in others or () if o in place]
             regs = np.frombuffer(b"".join(regs), dtype=np.uint16).reshape(-1, BUCKETS)
-            extra = 30 * 4**turn + (4**turn - 1) * len(nodes)
-            pairs, all_given = candidates(regs, np.array(size), np.array(comp), gone, threshold, extra)
-            if give[0]:
-                out.extend((units[0], nodes[a], nodes[b]) for a, b in pairs)
-            else:  # the forest reaches every node of a candidate
-                out.extend((None, nodes[k], None) for k in {x for p in pairs for x in p})
-            if give[0] and not all_given:
-                out.append((units[0], None, None))
+            comp = np.array(comp)
+            pairs = candidates(regs, np.array(size), comp, np.array(gone, dtype=np.int64), threshold)
+            if tokens[0] is not None:
+                joined = linked_forest(pairs, comp, [np.frombuffer(t, dtype=np.uint64) for t in tokens], percent)
+                out.extend((units[0], nodes[a], nodes[b]) for a, b in joined)
+            elif not give[0]:
+                out.extend((None, nodes[k], None) for k in np.unique(pairs).tolist())
+            else:
+                chosen = chosen_pairs(pairs, comp, 30 * 4**turn + (4**turn - 1) * len(nodes))
+                out.extend((units[0], nodes[a], nodes[b]) for a, b in pairs[chosen].tolist())
+                if not chosen.all():
+                    out.append((units[0], None, None))
             held.clear()
 
         def batch_of() -> pa.RecordBatch:
@@ -318,11 +384,18 @@ def _with_comps(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 
 def _open(rows: DataFrame, key: str) -> DataFrame:
-    """The rows (key, node, comp, ...) whose key has more than one component."""
+    """The rows (key, node, comp, ...) whose key has more than one component; for keys of any number of rows."""
     keys = rows.groupBy(key).agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select(key)
     return rows.join(keys, key, "left_semi")
 
 
+def _open_units(rows: DataFrame) -> DataFrame:
+    """The same for units, which are bounded."""
+    whole = Window.partitionBy("unit")
+    marked = rows.withColumn("least", F.min("comp").over(whole)).withColumn("most", F.max("comp").over(whole))
+    return marked.where("least < most").drop("least", "most")
+
+
 def _split_large(spark: SparkSession, large: DataFrame, comps: DataFrame, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
     """After their pivot: open large buckets (key, node, band, level) as units of bounded size, and the rows to split further."""
     rows = materialise(spark, _open(_with_comps(large, comps), "key"), "open")
@@ -363,12 +436,14 @@ def components(
     small, large = by_size(buckets.withColumn("level", F.lit(0)), "buckets")
     whole = comps = links = failed = None
     for turn in range(1_000):
-        rows = _open(_with_comps(small, comps), "unit").join(sets.select("node", "size", "regs"), "node")
+        rows = _open_units(_with_comps(small, comps)).join(sets.select("node", "size", "regs"), "node")
         rows = rows.withColumn("give", F.col("band") < first if turn == 0 else F.lit(True))
         if failed is None:
             rows = rows.withColumn("failed", F.lit(None).cast("array<long>"))
         else:
             rows = rows.join(failed.groupBy("a").agg(F.collect_list("b").alias("failed")).withColumnRenamed("a", "node"), "node", "left")
+        if turn > 1:
+            rows = rows.join(whole.hint("merge"), "node")
         given = materialise(spark, bucket_pairs(rows, parts, threshold, turn).distinct(), "given")
         # the same pivot in all bands that hold it
         starred = large.where(F.col("band") < first) if turn == 0 else large
@@ -378,8 +453,8 @@ def components(
             of_pivot = comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
             starred = _with_comps(starred, comps).join(of_pivot, "pivot", "left").where(F.col("comp") != F.coalesce("pivot_comp", "pivot"))
         starred = starred.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        pairs = given.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = pairs.unionByName(starred).distinct()
+        found = given.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        pairs = (found.unionByName(starred) if turn < 2 else starred).distinct()
         if failed is not None:
             pairs = pairs.join(failed, ["a", "b"], "left_anti")
         pairs = materialise(spark, sift(pairs, sets, threshold), "pairs")
@@ -390,6 +465,7 @@ def components(
             whole = materialise(spark, fetch(sets.select("node", "digest").join(nodes.distinct(), "node")), "whole")
         checked = materialise(spark, verify(pairs, whole, percent), "checked")
         good, bad = checked.where("ok").select("a", "b"), checked.where("NOT ok").select("a", "b")
+        good = good if turn < 2 else good.unionByName(found)
         links = good if links is None else links.unionByName(good)
         failed = bad if failed is None else failed.unionByName(bad)
         if comps is None or not good.isEmpty():

@@ -22,6 +22,7 @@ from ratelake.operators.frames import enforce_schema
 from ratelake.operators.quality import filter_valid_rates
 from ratelake.operators.series import rolling_average
 from ratelake.plans import forecast as fc
+from ratelake.plans import seasonal
 from ratelake.plans import layers, planning, serving
 from ratelake.plans.oracle import (
     EXPECTED_TARGETS,
@@ -589,6 +590,14 @@ def q_forecast_split(spark, sf):
     return rounded(f.drop("model_trained_at"), ["yhat", "yhat_lower", "yhat_upper"], 6)
 
 
+@query("forecast_seasonal")
+def q_forecast_seasonal(spark, sf):
+    """Change points, weekly and yearly terms by normal equations; intervals that grow with the lead."""
+    f, _ = seasonal.forecast_seasonal(gold(spark, sf), run_ts=RUN_TS)
+    values = [(F.round(c, 4) + F.lit(0.0)).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")]
+    return f.select("currency_pair", "forecast_date", *values, "training_rows")
+
+
 @query("forecast_skipped")
 def q_forecast_skipped(spark, sf):
     """Daily event series that a gate of 31 rows leaves out, with the reason."""

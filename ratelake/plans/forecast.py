@@ -184,8 +184,8 @@ def run_forecasting(
 ) -> DataFrame | None:
     """Forecast every pair of a gold table and write the result.
 
-    ``model`` is ``default`` or ``grouped`` (the grouped-map model, which
-    takes ``model_params``). Pairs without a forecast are written to ``skipped_path`` with their reason.
+    ``model`` is ``default``, ``seasonal`` (change points, weekly and yearly terms by normal equations, see
+    ``plans.seasonal``) or ``grouped`` (the grouped-map model); the last two take ``model_params``. Pairs without a forecast are written to ``skipped_path`` with their reason.
     When no pair yields a forecast, the previous output stays in place and
     ``None`` is returned. The result is checkpointed to the cluster's
     checkpoint folder first, so the emptiness test and the write read the
@@ -195,6 +195,11 @@ def run_forecasting(
     if model == "default":
         fitted, skipped = fit_default_model(gold, min_rows, split=True)
         fc = predict_default_model(fitted, horizon, interval_width, run_ts).checkpoint()
+    elif model == "seasonal":
+        from ratelake.plans.seasonal import forecast_seasonal  # it imports this module
+
+        fc, skipped = forecast_seasonal(gold, horizon, min_rows, interval_width, run_ts, **(model_params or {}))
+        fc = fc.checkpoint()
     elif model == "grouped":
         params = {"horizon": horizon, "min_rows": min_rows, "interval_width": interval_width, **(model_params or {})}
         rows = fit_predict_pandas(gold, **params).checkpoint()

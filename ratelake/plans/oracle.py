@@ -511,6 +511,69 @@ SELECT currency_pair, forecast_date, {r6('yhat')} AS yhat, {r6('yhat_lower')} AS
 
 SQL["forecast_split"] = SQL["forecast"]
 
+#: Normal equations of 16 columns (level, slope, 4 hinges, 6 weekdays, 2 harmonics), solved by Gauss-Jordan steps.
+SEASONAL_COLUMNS = """[1.0, t, greatest(t - 0.2, 0), greatest(t - 0.4, 0), greatest(t - 0.6, 0), greatest(t - 0.8, 0),
+    (wd = 1)::DOUBLE, (wd = 2)::DOUBLE, (wd = 3)::DOUBLE, (wd = 4)::DOUBLE, (wd = 5)::DOUBLE, (wd = 6)::DOUBLE,
+    sin(d * (2 * pi() / 365.25)), cos(d * (2 * pi() / 365.25)), sin(d * (4 * pi() / 365.25)), cos(d * (4 * pi() / 365.25))]"""
+
+SEASONAL = CHAIN_GOLD.replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+, bounds AS (
+  SELECT min(date) AS lo, greatest(max(date) - min(date), 1) AS span FROM gold WHERE rate IS NOT NULL
+),
+sized AS (
+  SELECT currency_pair, count(*) AS n_rows, count(rate) AS n_fit, max(date) AS last_date FROM gold GROUP BY 1
+  HAVING count(*) >= 30 AND min(date) FILTER (rate IS NOT NULL) < max(date) FILTER (rate IS NOT NULL)
+),
+timed AS (
+  SELECT currency_pair, rate, (date - lo)::DOUBLE / span AS t, (date - DATE '1970-01-01')::DOUBLE AS d, isodow(date) - 1 AS wd
+  FROM gold, bounds WHERE rate IS NOT NULL
+),
+x AS (SELECT currency_pair, list_append({SEASONAL_COLUMNS}, rate) AS x FROM timed),
+prod AS (
+  SELECT currency_pair, i, j, sum(x[i] * x[j]) AS m
+  FROM x, range(1, 18) a(i), range(1, 18) b(j) GROUP BY ALL
+),
+cells AS (
+  SELECT currency_pair, i, j, m + CASE WHEN i <> j OR i <= 2 OR i > 16 THEN 0.0 WHEN i <= 6 THEN 1.0 ELSE 0.1 END AS v FROM prod WHERE i <= 16
+  UNION ALL
+  SELECT currency_pair, i, 17 + k, (i = k)::DOUBLE FROM (SELECT DISTINCT currency_pair FROM prod), range(1, 17) a(i), range(1, 17) b(k)
+),
+gauss(currency_pair, k, a) AS (
+  SELECT currency_pair, 0, list(v ORDER BY i, j) FROM cells GROUP BY 1
+  UNION ALL
+  SELECT currency_pair, k + 1, list_transform(range(0, 528), lambda e: CASE
+      WHEN e // 33 = k THEN a[e + 1] / a[k * 33 + k + 1]
+      ELSE a[e + 1] - a[(e // 33) * 33 + k + 1] * (a[k * 33 + e % 33 + 1] / a[k * 33 + k + 1]) END)
+  FROM gauss WHERE k < 16
+),
+solved AS (
+  SELECT s.*, a, list_transform(range(0, 16), lambda i: a[i * 33 + 17]) AS beta FROM gauss JOIN sized s USING (currency_pair) WHERE k = 16
+),
+xy AS (
+  SELECT currency_pair, list(m ORDER BY i) FILTER (i <= 16) AS xy, max(m) FILTER (i = 17) AS yy FROM prod WHERE j = 17 GROUP BY 1
+),
+smodel AS (
+  SELECT solved.*, sqrt(greatest(yy - list_dot_product(beta, xy), 0) / greatest(n_fit - 6, 1)) AS sigma FROM solved JOIN xy USING (currency_pair)
+),
+ahead AS (
+  SELECT m.*, CAST(unnest(generate_series(last_date + 1, last_date + 30, INTERVAL 1 DAY)) AS DATE) AS forecast_date FROM smodel m
+),
+atimed AS (
+  SELECT ahead.*, (forecast_date - lo)::DOUBLE / span AS t, (forecast_date - DATE '1970-01-01')::DOUBLE AS d, isodow(forecast_date) - 1 AS wd
+  FROM ahead, bounds
+),
+ax AS (SELECT *, {SEASONAL_COLUMNS} AS x FROM atimed),
+sfc AS (
+  SELECT currency_pair, forecast_date, list_dot_product(beta, x) AS yhat, n_rows,
+         1.959963984540054 * sigma * sqrt(1 + list_sum(list_transform(range(0, 36), lambda c: a[(c // 6) * 33 + 18 + c % 6] * x[c // 6 + 1] * x[c % 6 + 1]))) AS w
+  FROM ax
+)
+"""
+
+SQL["forecast_seasonal"] = SEASONAL + """
+SELECT currency_pair, forecast_date, round(yhat, 4) + 0.0 AS yhat, round(yhat - w, 4) + 0.0 AS yhat_lower,
+       round(yhat + w, 4) + 0.0 AS yhat_upper, CAST(n_rows AS INTEGER) AS training_rows FROM sfc"""
+
 SQL["forecast_skipped"] = CHAIN_DAILY_GOLD + """
 SELECT currency_pair, count(*) AS n_rows, 'too_few_rows' AS reason FROM dgold GROUP BY 1 HAVING count(*) < 31"""
 

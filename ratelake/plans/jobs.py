@@ -19,6 +19,7 @@ from pyspark.sql import SparkSession
 from ratelake.plans import forecast as fc
 from ratelake.plans import layers, serving
 from ratelake.schemas import (
+    BRONZE_SCHEMA,
     DEFAULT_VOLATILITY_WINDOW,
     DEFAULT_WINDOWS,
     FORECAST_HORIZON_DAYS,
@@ -67,6 +68,7 @@ class JobParams:
     split_chunk_rows: int | None = None  # spreads one pair over many tasks in silver and gold
     partition_by: Sequence[str] = ()  # of silver and gold
     max_records_per_file: int | None = None
+    rebalance: bool = False
     model: str = "default"
     model_params: dict | None = None
     gold_table: str = serving.GOLD_TABLE
@@ -93,7 +95,9 @@ def run_layers(
         msg = f"Unknown layers: {sorted(unknown)}"
         raise ValueError(msg)
     result = JobResult()
-    layout = {"partition_by": params.partition_by, "max_records_per_file": params.max_records_per_file}
+    layout = {"partition_by": params.partition_by, "max_records_per_file": params.max_records_per_file, "rebalance": params.rebalance}
+    # bronze has no pair yet: it takes the partition columns that it has
+    in_bronze = [c for c in params.partition_by if c in BRONZE_SCHEMA.fieldNames()]
     for layer in [x for x in LAYER_ORDER if x in layers_to_run]:
         log.info("running layer %s", layer)
         if layer == "bronze":
@@ -105,7 +109,7 @@ def run_layers(
                 result.skipped.append("bronze")
                 continue
             quarantine.write.mode("overwrite").json(paths.quarantine)
-            layers.run_bronze(spark, good, paths.bronze)
+            layers.run_bronze(spark, good, paths.bronze, **{**layout, "partition_by": in_bronze})
         elif layer == "silver":
             _, counters = layers.run_silver(
                 spark,

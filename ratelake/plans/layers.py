@@ -189,11 +189,15 @@ def write_layer(
     single_file: bool = False,
     rebuild: bool = False,
     max_records_per_file: int | None = None,
+    rebalance: bool = False,
 ) -> None:
     """Overwrite a layer. With ``partition_by`` only the partitions present are replaced (dynamic overwrite), unless
     it is a full ``rebuild`` (static overwrite: partitions that no longer have rows go too).
+    ``rebalance`` shapes the files: rows are dealt by ``partition_by``, and AQE cuts partitions over, and joins ones under,
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, so a hot value gives several files and rare ones share a task.
     ``max_records_per_file`` bounds the size of the files; ``single_file`` mirrors a one-file layer for small data; it funnels the last stage into one task."""
-    out = df.coalesce(1) if single_file else df
+    out = df.hint("rebalance", *partition_by) if rebalance and not single_file else df
+    out = out.coalesce(1) if single_file else out
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static" if rebuild else "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

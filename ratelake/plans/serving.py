@@ -31,14 +31,16 @@ def latest_columns(gold: DataFrame) -> list[str]:
     return [PAIR, "date", "rate", *features]
 
 
-def latest_rates(gold: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Rows on the global latest date (a semi-join with the one-row global max)."""
-    last = gold.agg(F.max("date").alias("_max_date"))  # exactly one row: safe to broadcast
-    return (
-        gold.join(F.broadcast(last), F.col("date") == F.col("_max_date"), "left_semi")
-        .select(*(columns or latest_columns(gold)))
-        .orderBy(PAIR)
-    )
+def latest_rates(gold: DataFrame, columns: Sequence[str] | None = None, stored: bool = False) -> DataFrame:
+    """Rows on the global latest date (a semi-join with the one-row global max). For a ``stored`` table a scalar subquery
+    finds the date first: of one partitioned by the date only that partition is read, of others only the row groups that
+    may hold it."""
+    if stored:
+        rows = gold.where(F.col("date") == gold.agg(F.max("date")).scalar())
+    else:
+        last = gold.agg(F.max("date").alias("_max_date"))  # exactly one row: safe to broadcast
+        rows = gold.join(F.broadcast(last), F.col("date") == F.col("_max_date"), "left_semi")
+    return rows.select(*(columns or latest_columns(gold))).orderBy(PAIR)
 
 
 def latest_per_pair(gold: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -166,7 +168,7 @@ def create_views(
 ) -> list[str]:
     """Create the serving views over the named tables; the forecast view only when forecasts exist."""
     gold = spark.table(gold_table)
-    latest_rates(gold).createOrReplaceTempView(LATEST_VIEW)
+    latest_rates(gold, stored=True).createOrReplaceTempView(LATEST_VIEW)
     latest_per_pair(gold).createOrReplaceTempView(LATEST_PER_PAIR_VIEW)
     made = [LATEST_VIEW, LATEST_PER_PAIR_VIEW]
     if table_exists(spark, forecast_table):

@@ -29,7 +29,8 @@ def test_rebalance_cuts_a_hot_partition(spark, tmp_dir):
         spark.conf.set(size, old)
     hot = files(f"{tmp_dir}/t/currency_pair=HOT")
     assert len(hot) >= 4 and max(map(os.path.getsize, hot)) < 1_000_000
-    assert all(len(files(f"{tmp_dir}/t/currency_pair=P{k}")) == 1 for k in range(7))
+    # rare values that share the hot value's partition lie in some of its pieces, never in more
+    assert all(1 <= len(files(f"{tmp_dir}/t/currency_pair=P{k}")) <= len(hot) for k in range(7))
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 200_000
 
 

@@ -12,8 +12,9 @@ probability 1 - 1/e at least, and runs are repeated until the target recall.
 **Classes.** Buckets of at most ``limit`` sets are compared by brute force on registers (a pair at the threshold is lost
 with probability under 1e-6) and give their candidates between different classes, or a spanning forest of them, for the
 exact check on whole sets, in rounds until none is open. A larger bucket is compared with a pivot first, which makes one
-class of near copies; what then is still open is split again on further sampled tokens of its sets (the chosen path), up
-to ``depth`` times. So a group of near copies gives edges in proportion to its sets.
+class of near copies; what then is still open is split again on four further sampled tokens of its sets at once (the
+registers), 32 times, so that a pair at the threshold meets again but with probability 5e-8. So a group of near copies
+gives edges in proportion to its sets.
 
 **Links.** All links of a set are in its class, so they are counted there, each pair once at most. Of a class, every set is
 kept as its difference D to the class's first set. With p percent, sets are linked if and only if
@@ -41,7 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import join_groups, materialise, shuffle_partitions
-from ratelake.llm.hyperminhash import common_counts, components, fold_sets, per_text, registers, texts_of, whole_sets
+from ratelake.llm.hyperminhash import band_rows, common_counts, components, fold_sets, per_text, registers, texts_of, whole_sets
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,27 +77,12 @@ def runs_for(recall: float) -> int:
     return math.ceil(-math.log(1 - recall))
 
 
-def split_paths(threshold: float):
-    """Large buckets split on sampled tokens of their sets: four tokens a path, so that a pair survives the level with
-    probability 1 - exp(-4) per path it shares."""
-    schema = "node long, key long, band int, level int"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for node, tokens, keys, bands, level in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                own = np.frombuffer(tokens, dtype=np.uint64)
-                rate = 4 / (threshold * len(own))
-                parts = [sampled(own, key, rate) for key in keys]
-                key, first = np.unique(np.concatenate(parts), return_index=True)
-                band = np.repeat(np.array(bands, dtype=np.int32), [len(p) for p in parts])[first]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), node)), pa.array(key), pa.array(band), pa.array(np.full(len(key), level + 1, dtype=np.int32))], names=["node", "key", "band", "level"])
-
-    def further(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
-        paths = rows.groupBy("node", "level").agg(F.collect_list("key").alias("keys"), F.collect_list(F.col("band").cast("int")).alias("bands"))
-        own = paths.join(whole.hint("merge"), "node").select("node", "tokens", "keys", "bands", "level")
-        return own.mapInArrow(run, schema).select("key", "node", "band", "level")
-
-    return further
+def resample(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
+    """Large buckets that are still open, split on four sampled tokens at once: a set's 128 registers are its least hashed
+    tokens, and sets that share the four registers of a band meet again. (Longer paths do not help there: sets with a long
+    passage in common choose the same tokens of it, so every longer path keeps them together.)"""
+    nodes = rows.select("node").distinct()
+    return band_rows(sets.join(nodes, "node")).select("key", "node", "band", F.lit(1).alias("level"))
 
 
 def link_counts(spark: SparkSession, comps: DataFrame, whole: DataFrame, percent: int, weight: int = 100_000) -> DataFrame:
@@ -164,7 +150,7 @@ def link_counts(spark: SparkSession, comps: DataFrame, whole: DataFrame, percent
     return rows.mapInArrow(count, "node long, n_links long")
 
 
-def _classes(spark: SparkSession, docs: DataFrame, n: int, threshold: float, recall: float, limit: int, depth: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def _classes(spark: SparkSession, docs: DataFrame, n: int, threshold: float, recall: float, limit: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Signatures per row, sets, (node, comp) of linked sets and (node, tokens) of at least these."""
     runs = runs_for(recall)
     texts = texts_of(docs)
@@ -188,13 +174,13 @@ def _classes(spark: SparkSession, docs: DataFrame, n: int, threshold: float, rec
     sets = fold_sets(spark, signed)
     buckets = sets.where("size > 0").select("node", F.explode("paths").alias("path")).select("path.key", "node", "path.band").distinct()
     fetch = lambda wanted: whole_sets(texts, wanted, own_text)
-    comps, whole = components(spark, sets, buckets, split_paths(threshold), fetch, threshold, limit, depth, first=2)
+    comps, whole = components(spark, sets, buckets, resample, fetch, threshold, limit, 1, first=2)
     return signed, sets, comps, whole
 
 
-def jaccard_join(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, limit: int = 1000, depth: int = 6, weight: int = 100_000) -> DataFrame:
+def jaccard_join(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, limit: int = 1000, weight: int = 100_000) -> DataFrame:
     """One row per input row: doc_id, rep_id (its copies' least id), class_id, n_links (of its set, to different sets), n_copies."""
-    signed, sets, comps, whole = _classes(spark, docs, n, threshold, recall, limit, depth)
+    signed, sets, comps, whole = _classes(spark, docs, n, threshold, recall, limit)
     links = link_counts(spark, comps, whole, round(100 * threshold), weight)
     own = sets.select("print", "node", F.col("id").alias("rep"), "copies").join(comps, "node", "left").join(links, "node", "left")
     own = materialise(spark, own.withColumn("comp", F.coalesce("comp", "node")), "own")
@@ -205,10 +191,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: fl
     return rows.select("doc_id", F.col("rep").alias("rep_id"), "class_id", "n_links", F.col("copies").alias("n_copies"))
 
 
-def keep_one_per_class(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, limit: int = 1000, depth: int = 6) -> DataFrame:
+def keep_one_per_class(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, limit: int = 1000) -> DataFrame:
     """One row of ``docs`` per class, with all columns: the one with the least id (NULL ids last; of one id the least
     text digest). Repeated rows are one."""
-    signed, sets, comps, _ = _classes(spark, docs, n, threshold, recall, limit, depth)
+    signed, sets, comps, _ = _classes(spark, docs, n, threshold, recall, limit)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("first")
     of_set = signed.groupBy("print").agg(first).join(sets.select("print", "node"), "print").join(comps, "node", "left")
     kept = of_set.groupBy(F.coalesce("comp", "node")).agg(F.min("first").alias("first"))

@@ -10,7 +10,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from ratelake.llm import hyperminhash, lexical, queries, whitening
+from ratelake.llm import chosen_path, hyperminhash, lexical, queries, whitening
 
 SF = "/root/testdata/sf0.001"
 UPPER = {c: c + 32 for c in range(65, 91)}
@@ -194,7 +194,7 @@ def test_ranked_search_against_all_scores(spark, monkeypatch, size):
     assert lexical.rank_documents(spark, df, asked.where("1 = 0")).count() == 0
 
 
-def test_search_unpacks_few_blocks_of_common_terms():
+def test_search_unpacks_few_blocks_of_common_terms(spark):
     """Block maxima and bounds reject documents before their blocks are unpacked."""
     import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -220,3 +220,14 @@ def test_search_matches_sql(spark):
     want = con.execute(queries.SQL["op13_search"]).fetchall()
     got = queries.op13_search(spark, SF).select("item_id", "rank", "doc_id", "score").collect()
     assert sorted(tuple(r) for r in got) == sorted(want)
+
+
+def test_jaccard_join_links_null_and_repeated_ids(spark):
+    words = [f"w{k}" for k in range(100)]
+    text = lambda k, mark="n": " ".join([*words[:k], f"{mark}{k}", *words[k + 1 :]])
+    other = " ".join(f"v{k}" for k in range(100))
+    rows = [(None, text(3)), (None, text(50)), (3, text(90)), (3, other), (4, other + " more"), (5, None), (6, "")]
+    got = chosen_path.jaccard_join(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == Counter([(None, 3, 2), (None, 3, 2), (3, 3, 2), (3, 3, 1), (4, 3, 1), (5, 5, 0), (6, 5, 0)])
+    kept = chosen_path.keep_one_per_class(spark, spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, node string"))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter([3, 3, 5]) and kept.columns == ["doc_id", "text", "node"]

@@ -501,7 +501,7 @@ def q_tail_90(spark, sf):
 @query("order_key")
 def q_order_key(spark, sf):
     s = silver(spark, sf)
-    return s.select("date", "currency_pair", series.order_key(s, "date").alias("order_key"))
+    return s.select("date", "currency_pair", series.day_number("date").cast("bigint").alias("order_key"))
 
 
 @query("ma_calendar_days")
@@ -629,9 +629,9 @@ def q_adhoc_sql(spark, sf):
     serving.register_table(spark, gold(spark, sf), serving.GOLD_TABLE)
     return serving.run_sql(
         spark,
-        "SELECT currency_pair, ROUND(AVG(volatility_30), :digits) + 0.0 AS avg_vol "
-        "FROM gold_exchange_rates WHERE volatility_30 IS NOT NULL GROUP BY currency_pair",
-        {"digits": 8},
+        "SELECT currency_pair, year(date) AS year, count(*) AS days, count_if(abs(daily_return) > :move) AS large_moves "
+        "FROM gold_exchange_rates GROUP BY currency_pair, year(date)",
+        {"move": 0.5},
     )
 
 

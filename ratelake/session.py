@@ -7,6 +7,7 @@ helpers are for tests, the bench and the command line only.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,11 +51,15 @@ def local_session(
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when it is unset (local tests) is a private scratch folder set.
+    Only when it is unset in a local session (tests) is a private scratch folder set; elsewhere that is an error, as
+    executors do not see each other's folders.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not fallback and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        msg = "spark.checkpoint.dir is not set: name a folder that the driver and all executors share"
+        raise RuntimeError(msg)
     path = fallback or os.path.join(tempfile.mkdtemp(prefix="ratelake-ckpt-"), "ckpt")
     spark.sparkContext.setCheckpointDir(path)
     spark.conf.set("spark.checkpoint.dir", path)

@@ -57,3 +57,26 @@ def test_latest_rates_reads_one_partition(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(date" in plan and "Subquery" in plan and "BroadcastExchange" not in plan
     empty = serving.latest_rates(spark.createDataFrame([], "date date, currency_pair string, rate double"), stored=True)
     assert empty.count() == 0
+
+
+def test_no_silent_local_checkpoint_folder_on_a_cluster():
+    import pytest
+
+    from ratelake.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        ensure_checkpoint_dir(Session())

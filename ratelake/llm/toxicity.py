@@ -14,12 +14,13 @@ sparse linear classifier over hashed words and votes is trained on the
 posterior labels of the sample and calibrated on the sample's true labels.
 
 Only labels of rows whose crc32(doc_id) mod 4 is not 2 are read. The label
-sample holds at most ``sample_rows`` rows (the smallest hashes of doc_id) and
-at most ``max_stems`` stems are mined; the moments cover all documents.
-Scores depend on the text alone.
+sample holds at most ``sample_rows`` rows (the smallest hashes of doc_id, one
+text per id); every stem that passes the rule's count and precision in it is a
+voter; the moments cover all documents. Scores depend on the text alone.
 
 Defined results: NULL text scores as the empty text; texts of any length are
-scored whole; repeated rows score alike; without labels the prior is
+scored whole; repeated rows score alike; of an id with several texts the least one
+is in the sample; without labels the prior is
 ``default_prior``, there are no stems, and calibration is left out; extra
 columns are kept by ``score_documents`` and never read.
 """
@@ -176,14 +177,20 @@ def buckets_of(words: set[str]) -> np.ndarray:
 
 
 def label_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
-    """(doc_id, text, toxic) of at most ``rows`` labelled rows outside the held-out quarter."""
+    """(doc_id, text, toxic) of at most ``rows`` labelled ids outside the held-out quarter, one row per id: repeats of an id
+    are pre-aggregated to its least text, so that they neither weigh more nor widen the sample."""
     open_ = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(crc_of_id() % 4 != 2)
     open_ = open_.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(open_), "doc_id").select("doc_id", "text", "toxic")  # at most `rows` ids
+    found = docs.select("doc_id", "text").join(F.broadcast(open_), "doc_id")  # at most `rows` ids
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("doc_id", "text", "toxic")
 
 
-def mine_stems(sample: DataFrame, max_stems: int, least: int = 4, precision: float = 0.9) -> list[str]:
-    """Word beginnings that occur almost only in texts marked toxic, the most frequent first."""
+def mine_stems(sample: DataFrame, least: int = 4, precision: float = 0.9) -> list[str]:
+    """Word beginnings that occur almost only in texts marked toxic, the most frequent first.
+
+    All that occur in ``least`` toxic texts with ``precision`` stay, but for those of the lexicon's words and those that
+    begin, or are begun by, a better one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count: dict[str, list[int]] = {}
@@ -199,13 +206,15 @@ def mine_stems(sample: DataFrame, max_stems: int, least: int = 4, precision: flo
     counts = sample.select("text", "toxic").mapInArrow(run, "stem string, clean long, toxic long")
     counts = counts.groupBy("stem").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     good = counts.where((F.col("toxic") >= least) & (F.col("toxic") >= precision * (F.col("toxic") + 3 * F.col("clean"))))
-    best = good.orderBy(F.desc(F.col("toxic") - 3 * F.col("clean")), F.desc(F.length("stem")), "stem").limit(20 * max_stems).collect()
-    chosen: list[str] = []
+    best = good.orderBy(F.desc(F.col("toxic") - 3 * F.col("clean")), F.desc(F.length("stem")), "stem").collect()  # stems of the sample
+    covered = {w[:k] for w in LEXICON for k in STEM_LENGTHS}  # beginnings of words that vote already
+    chosen: dict[str, None] = {}
     for r in best:
         s = r["stem"]
-        if len(chosen) < max_stems and not any(w.startswith(s) for w in LEXICON) and not any(s.startswith(c) or c.startswith(s) for c in chosen):
-            chosen.append(s)
-    return chosen
+        if s not in covered and not any(s[:k] in chosen for k in STEM_LENGTHS):
+            chosen[s] = None
+            covered.update(s[:k] for k in STEM_LENGTHS)
+    return list(chosen)
 
 
 def sample_features(sample: DataFrame, voters: Voters) -> list:
@@ -290,10 +299,10 @@ class ToxicityModel:
 
 
 def fit(
-    spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, max_stems: int = 64, default_prior: float = 0.1
+    spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, default_prior: float = 0.1
 ) -> ToxicityModel:
     sample = label_sample(docs, labels, sample_rows)
-    voters = Voters(mine_stems(sample, max_stems))
+    voters = Voters(mine_stems(sample))
     rows = sample_features(sample, voters)
     label = np.array([r["toxic"] for r in rows], dtype=float)
     prior = float(np.clip(label.mean(), 0.01, 0.5)) if len(label) else default_prior

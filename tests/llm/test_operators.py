@@ -178,6 +178,28 @@ def test_toxicity(spark):
     assert toxicity.score_documents(spark, df, labels.where("1 = 0")).count() == len(got)
 
 
+def test_toxicity_stems_and_sample(spark):
+    """Every stem that passes is kept (here 150), as plain Python finds them; an id's repeated rows count once."""
+    made = [f"{a}{b}{c}o" for a in "bcdfg" for b in "aeiou" for c in "klmnrs"]
+    rows = [(k, f"{made[k % 150]}x{k % 3} word{k % 40} said", 1) for k in range(900)]
+    rows += [(1000 + k, f"word{k % 40} said {made[k % 5]}" if k < 20 else f"word{k % 40} said", 0) for k in range(900)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(3, "zzz")] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] * 2, "doc_id long, toxic int")
+    sample = toxicity.label_sample(df, labels, 5000)
+    got = sample.collect()
+    kept = {i: (t, y) for i, t, y in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert Counter(tuple(r) for r in got) == Counter((i, t, y) for i, (t, y) in kept.items())
+    assert toxicity.label_sample(df, labels, 7).count() == 7
+    count = Counter()
+    for t, y in kept.values():
+        count.update((s, y) for s in {w[:k] for w in t.split() for k in (4, 5, 6) if len(w) >= k})
+    good = {s for s, _ in count if count[s, 1] >= 4 and count[s, 1] >= 0.9 * (count[s, 1] + 3 * count[s, 0])}
+    stems = toxicity.mine_stems(sample)
+    assert set(stems) <= good and len(stems) > 64
+    assert all(any(s.startswith(c) or c.startswith(s) for c in stems) for s in good)
+    assert not any(a != b and a.startswith(b) for a in stems for b in stems)
+
+
 def test_url_filter(spark):
     urls = [
         ("http://A.Example.com/en/1", "block", "example.com/en/"),

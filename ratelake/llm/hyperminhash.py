@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
@@ -309,21 +309,43 @@ def verify(pairs: DataFrame, whole: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long, ok boolean")
 
 
-def connect(spark: SparkSession, edges: DataFrame) -> DataFrame:
-    """(node, comp): the least node of each component of ``edges`` (a, b). Labels go along the edges, then jump to their
-    label's label. A label's many followers are rows on the large side of a join, which AQE splits."""
-    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = materialise(spark, both, "edges")
-    labels = materialise(spark, both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("comp")), "labels")
-    while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
-        step = labels.join(near, labels["node"] == near["a"]).select("node", F.col("comp").alias("old"), F.least("comp", "near").alias("comp"))
-        jump = labels.select(F.col("node").alias("via"), F.col("comp").alias("far"))
-        step = step.join(jump, step["comp"] == jump["via"], "left").select("node", "old", F.least("comp", "far").alias("comp"))
-        step = materialise(spark, step, "labels")
-        labels = step.select("node", "comp")
-        if step.where("comp < old").isEmpty():
-            return labels
+def _between(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """The edges (a < b) between the different labels of the edges' ends; a node without a label is its own."""
+    for end in ("a", "b"):
+        of_end = labels.select(F.col("node").alias(end), F.col("comp").alias("to"))
+        edges = edges.join(of_end, end, "left").withColumn(end, F.coalesce("to", end)).drop("to")
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
+
+
+def connect(spark: SparkSession, edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(node, comp): one node of each component of ``edges`` (a, b) and of the components that ``labels`` gives.
+
+    Every node moves to its neighbour (or itself) with the least hash, and on to where that one moved; the edges between
+    what is left are the next round's. At most half of the nodes stay on average, whatever the graph's shape, so rounds
+    shrink and no edge is walked again once its ends are one. A label's many followers are rows on the large side of a
+    join, which AQE splits.
+    """
+
+    def ordered(name: str) -> Column:
+        return F.struct(F.xxhash64(name).alias("h"), F.col(name).alias("node"))
+
+    labels = spark.createDataFrame([], "node long, comp long") if labels is None else labels
+    graph = materialise(spark, _between(edges.select("a", "b"), labels), "edges")
+    steps: list[DataFrame] = []
+    while not graph.isEmpty():
+        both = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = both.groupBy("a").agg(F.min(ordered("b")).alias("near"))
+        step = near.select(F.col("a").alias("node"), F.least("near", ordered("a"))["node"].alias("comp"))
+        after = step.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
+        steps.append(materialise(spark, step.join(after, "comp").select("node", F.col("far").alias("comp")), "step"))
+        graph = materialise(spark, _between(graph, steps[-1]), "edges")
+    if steps:
+        new = steps[0].join(labels, "node", "left_anti").select("node", F.col("node").alias("comp"))
+        labels = labels.unionByName(new)
+        for step in steps:
+            labels = labels.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("far")), "comp", "left")
+            labels = labels.select("node", F.coalesce("far", "comp").alias("comp"))
+    return materialise(spark, labels, "labels")
 
 
 def per_text(make, schema: str, tokens_of):
@@ -434,7 +456,7 @@ def components(
         return buckets.where(F.col("sets") <= limit).select(F.col("key").alias("unit"), "node", "band"), buckets.where(F.col("sets") > limit).drop("sets")
 
     small, large = by_size(buckets.withColumn("level", F.lit(0)), "buckets")
-    whole = comps = links = failed = None
+    whole = comps = failed = None
     for turn in range(1_000):
         rows = _open_units(_with_comps(small, comps)).join(sets.select("node", "size", "regs"), "node")
         rows = rows.withColumn("give", F.col("band") < first if turn == 0 else F.lit(True))
@@ -466,10 +488,9 @@ def components(
         checked = materialise(spark, verify(pairs, whole, percent), "checked")
         good, bad = checked.where("ok").select("a", "b"), checked.where("NOT ok").select("a", "b")
         good = good if turn < 2 else good.unionByName(found)
-        links = good if links is None else links.unionByName(good)
         failed = bad if failed is None else failed.unionByName(bad)
         if comps is None or not good.isEmpty():
-            comps = connect(spark, links)
+            comps = connect(spark, good, comps)
         if turn == 0:
             continue
         small = materialise(spark, small.join(truncated, "unit", "left_semi"), "small")

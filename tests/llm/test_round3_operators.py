@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -85,6 +86,43 @@ def test_near_duplicates_of_one_large_group(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == components_of(rows)
 
 
+def test_connect_contracts_chains_stars_and_earlier_components(spark):
+    """Components of a long chain, a star, random edges, loops and repeats; a second call adds edges to the first one's."""
+    rng = random.Random(4)
+    chain = [(k, k + 1) for k in range(300)]
+    star = [(1000, 1001 + k) for k in range(200)] * 2
+    loose = [(2000 + rng.randrange(150), 2000 + rng.randrange(150)) for _ in range(70)]
+    later = [(150, 1100), (5000, 5001), (5001, 2000), (7, 9)]
+
+    def least(edges):
+        root = {x: x for e in edges for x in e if e[0] != e[1]}
+        for _ in root:
+            before = dict(root)
+            for a, b in edges:
+                if a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+            if root == before:
+                break
+        return root
+
+    def frame(edges):
+        return spark.createDataFrame(edges, "a long, b long")
+
+    def classes(pairs):
+        found = {}
+        for node, comp in pairs:
+            found.setdefault(comp, set()).add(node)
+        return sorted(map(sorted, found.values()))
+
+    first = hyperminhash.connect(spark, frame(chain + star + loose))
+    got = [tuple(r) for r in first.collect()]
+    assert classes(got) == classes(least(chain + star + loose).items())
+    assert len(got) == len({n for n, _ in got}) and all((c, c) in set(got) for _, c in got)
+    assert classes(tuple(r) for r in hyperminhash.connect(spark, frame(later), first).collect()) == classes(least(chain + star + loose + later).items())
+    assert sorted(map(tuple, hyperminhash.connect(spark, frame([]), first).collect())) == sorted(got)
+    assert hyperminhash.connect(spark, frame([])).count() == 0
+
+
 def test_near_duplicates_matches_sql_and_empty(spark):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")

@@ -32,10 +32,10 @@ from ratelake.operators.series import (
     add_date_column,
     add_rate_z_score_by_join,
     prev_value,
-    prev_value_split,
+    prev_value_blocks,
     rolling_days_split,
-    rolling_features_split,
     rolling_feature_columns,
+    rolling_features_blocks,
     simple_return,
     z_score_column,
 )
@@ -106,10 +106,10 @@ def silver_core_split(
     chunk_rows: int = 100_000,
 ) -> DataFrame:
     """Silver for pairs too long for one task: copies are collapsed by a map-side
-    aggregate, the LAG runs in row chunks with a halo of one row."""
+    aggregate, the LAG runs in blocks of ``chunk_rows`` days (one row a day at most) with a halo of one row."""
     df = add_date_column(add_currency_pair(filter_valid_rates(bronze, min_rate, max_rate)))
     df = deduplicate(df, SILVER_KEY, ["ingested_at", "base_currency", "target_currency"])
-    return prev_value_split(df, chunk_rows=chunk_rows).withColumn("daily_return", simple_return())
+    return prev_value_blocks(df, block_days=chunk_rows).withColumn("daily_return", simple_return())
 
 
 def transform_to_silver(
@@ -148,15 +148,13 @@ def gold_core_split(
     chunk_rows: int = 100_000,
     calendar_days: bool = False,
 ) -> DataFrame:
-    """Gold for series too long for one task: the pair is cut into row chunks (calendar
-    blocks for ``calendar_days``) with a lookback halo, the lifetime z-score is an aggregate joined back on the pair,
-    and (pair, date) uniqueness is enforced with the map-side ``max_by`` dedup."""
+    """Gold for series too long for one task: the pair is cut into blocks of ``chunk_rows`` days with a lookback halo, a scan
+    over one short row per block gives halos and lifetime moments, and (pair, date) uniqueness is enforced with the
+    map-side ``max_by`` dedup. Frames over ``calendar_days`` copy their days forward and join the z-score's aggregate."""
     df = deduplicate(silver.select("date", PAIR, "rate", "daily_return"), [PAIR, "date"], ["rate", "daily_return"])
     if calendar_days:
-        df = rolling_days_split(df, windows, volatility_window, block_days=chunk_rows)
-    else:
-        df = rolling_features_split(df, windows, volatility_window, chunk_rows=chunk_rows)
-    return add_rate_z_score_by_join(df)
+        return add_rate_z_score_by_join(rolling_days_split(df, windows, volatility_window, block_days=chunk_rows))
+    return rolling_features_blocks(df, windows, volatility_window, block_days=chunk_rows)
 
 
 def transform_to_gold(

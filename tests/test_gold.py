@@ -168,3 +168,28 @@ def test_z_score_by_join_keeps_a_null_key(spark):
     split = add_rate_z_score_by_join(df).collect()
     key = lambda rows: sorted((str(r.currency_pair), r.rate, round(r.rate_z_score, 9)) for r in rows)
     assert split[0].__fields__ == plain[0].__fields__ and key(split) == key(plain)
+
+
+def test_blocks_equal_plain_windows_on_sparse_null_and_constant_series(spark):
+    import random
+    from datetime import date, timedelta
+
+    draw = random.Random(5)
+    rows = []
+    for pair, step in (("DENSE", 1), ("SPARSE", 40), (None, 7), ("FLAT", 3)):
+        day = date(2001, 1, 1)
+        for k in range(60):
+            rate = 0.1 if pair == "FLAT" else round(draw.uniform(1, 2), 6)
+            rows.append((day, pair, None if k % 11 == 5 and pair != "FLAT" else rate, None if k == 0 else draw.uniform(-0.1, 0.1)))
+            day += timedelta(days=draw.randint(1, step))
+    rows += [(None, "DENSE", 1.5, 0.0), (date(2001, 1, 1), "ONE", 2.0, None), (date(2001, 1, 1), "NO", None, None)]
+    silver = spark.createDataFrame(rows, "date date, currency_pair string, rate double, daily_return double")
+
+    def table(split):
+        g = layers.transform_to_gold(silver, windows=(3, 7), volatility_window=5, run_ts="2024-03-01 00:00:00", split_chunk_rows=split)
+        return {(r.currency_pair, r.date): [None if r[c] is None else round(r[c], 9) for c in ("rate", "daily_return", "ma_3", "ma_7", "volatility_5", "rate_z_score")] for r in g.collect()}
+
+    plain = table(None)
+    assert len(plain) == len(rows)
+    assert table(6) == plain and table(50) == plain
+    assert all(v[-1] is None for (pair, _), v in plain.items() if pair in ("FLAT", "ONE", "NO"))

@@ -54,6 +54,20 @@ def test_split_mode_has_no_window_on_the_whole_pair(spark):
     assert all("_chunk" in x or "_blk" in x for x in specs)
 
 
+def test_split_gold_reads_its_input_once(spark, tmp_dir):
+    layers.transform_to_silver(catalog.bronze(spark, SF), run_ts=RUN_TS).write.parquet(f"{tmp_dir}/silver")
+    silver = spark.read.parquet(f"{tmp_dir}/silver")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that the plan shows the reuse before it runs
+    try:
+        p = plan_of(layers.transform_to_gold(silver, run_ts=RUN_TS, split_chunk_rows=366))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert p.count("FileScan") == 1 and p.count("ReusedExchange") == 1
+    # dedup, blocks, scan of the blocks' short rows, and those rows back to their blocks (broadcast or shuffled);
+    # the line of the reused exchange names it again
+    assert p.count("Exchange hashpartitioning") - 1 + p.count("BroadcastExchange") <= 4
+
+
 def test_stream_merge_reads_only_the_touched_years(spark, tmp_dir):
     from ratelake.streaming.landing_stream import merge_into_bronze, touched_years
 

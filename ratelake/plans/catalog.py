@@ -33,6 +33,7 @@ from ratelake.plans.oracle import (
 from ratelake.schemas import BRONZE_SCHEMA
 from ratelake.session import ensure_checkpoint_dir
 from ratelake.sources import landing, tables
+from ratelake.streaming.latest_stream import read_latest, start_landing_to_latest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -254,8 +255,8 @@ def q_dedup_ties(spark, sf):
     return layers.transform_to_bronze(tables.line_rates(spark, sf))
 
 
-def _landed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Good and quarantined rows of landing files written from the whole orders table.
+def _land_files(spark: SparkSession, sf: str) -> str:
+    """Folder of landing files written from the whole orders table.
 
     Next to the good records every order adds one unusable line, of a kind given by its priority.
     """
@@ -275,8 +276,14 @@ def _landed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
     lines = good.select(F.to_json(F.struct(*landing.LANDING_SCHEMA.fieldNames())).alias("line")).unionByName(bad)
     folder = os.path.join(ensure_checkpoint_dir(spark), f"landing-{uuid.uuid4().hex}")
-    lines.write.text(folder)
-    return landing.load_raw_rates(spark, folder, "part-*.txt", RUN_TS)
+    lines.write.text(os.path.join(folder, "raw"))
+    return folder
+
+
+def _landed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Good and quarantined rows of the landing files, scanned once."""
+    folder = _land_files(spark, sf)
+    return landing.load_raw_rates(spark, os.path.join(folder, "raw"), "part-*.txt", RUN_TS, os.path.join(folder, "staged"))
 
 
 @query("landing_bronze")
@@ -290,6 +297,15 @@ def q_quarantine_counts(spark, sf):
     return _landed(spark, sf)[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+@query("latest_stream")
+def q_latest_stream(spark, sf):
+    """The landing files as a stream of micro-batches; the latest rate of every pair kept as state and merged into a table."""
+    folder = _land_files(spark, sf)
+    source, table, state = (os.path.join(folder, x) for x in ("raw", "latest", "state"))
+    start_landing_to_latest(spark, source, table, state, "part-*.txt", max_files=2, run_ts=RUN_TS, max_rate=MAX_PRICE).awaitTermination()
+    return read_latest(spark, table)
+
+
 @query("chart_returns")
 def q_chart_returns(spark, sf):
     return rounded(serving.chart_returns(gold(spark, sf)), ["daily_return_pct"])

@@ -44,11 +44,12 @@ class LakePaths:
     gold: str = ""
     forecasts: str = ""
     quarantine: str = ""
+    staged: str = ""
     rejected: str = ""
     skipped: str = ""
 
     def __post_init__(self) -> None:
-        for name in ("raw", "bronze", "silver", "gold", "forecasts", "quarantine", "rejected", "skipped"):
+        for name in ("raw", "bronze", "silver", "gold", "forecasts", "quarantine", "staged", "rejected", "skipped"):
             if not getattr(self, name):
                 setattr(self, name, os.path.join(self.root, name))
 
@@ -103,7 +104,7 @@ def run_layers(
         if layer == "bronze":
             try:
                 # Raises when no row is usable, before anything is overwritten.
-                good, quarantine = landing.load_raw_rates(spark, paths.raw, params.raw_glob, params.run_ts)
+                good, quarantine = landing.load_raw_rates(spark, paths.raw, params.raw_glob, params.run_ts, paths.staged)
             except FileNotFoundError:
                 log.warning("no landing files in %s: bronze skipped", paths.raw)
                 result.skipped.append("bronze")

@@ -215,6 +215,12 @@ SQL["bronze_rates"] = CHAIN_BRONZE + "SELECT * FROM bronze"
 
 SQL["landing_bronze"] = SQL["bronze_rates"]
 
+SQL["latest_stream"] = CHAIN_BRONZE + """
+SELECT base_currency || '_' || target_currency AS currency_pair, base_currency, target_currency, ingestion_date AS date, rate, source, ingested_at,
+       rate BETWEEN 0.000001 AND 1e9 AS valid
+FROM (SELECT *, row_number() OVER (PARTITION BY base_currency, target_currency ORDER BY ingestion_date DESC) AS rn FROM bronze)
+WHERE rn = 1"""
+
 SQL["quarantine_counts"] = """
 SELECT CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'malformed_json' WHEN '2' THEN 'missing_base' WHEN '3' THEN 'bad_date'
             WHEN '4' THEN 'bad_timestamp' ELSE 'bad_rate' END AS reason, count(*) AS n_rows

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -25,6 +25,9 @@ RECORD_KEY = ["base", "date"]
 DEFAULT_GLOB = "{rates_*.jsonl,part-*.json}"
 GLOB_TEXT = "rates_*.jsonl or part-*.json"
 
+#: What a usable rate gives to bronze.
+GOOD_COLUMNS = ["ingestion_date", "base_currency", "target_currency", "rate", "source", "ingested_at"]
+
 LANDING_READ_SCHEMA = StructType([*LANDING_SCHEMA.fields, StructField(CORRUPT, StringType())])
 
 
@@ -65,6 +68,18 @@ def record_problem() -> F.Column:
     )
 
 
+def _rate_columns(target: Column, raw: Column, run_ts=None) -> list[Column]:
+    return [
+        F.try_to_date(F.trim("date")).alias("ingestion_date"),
+        F.trim("base").alias("base_currency"),
+        target.alias("target_currency"),
+        raw.try_cast("double").alias("rate"),
+        raw.alias("rate_raw"),
+        F.coalesce(F.col("source"), F.lit("unknown")).alias("source"),
+        F.coalesce(F.try_to_timestamp(F.col("fetched_at")), run_timestamp(run_ts)).alias("ingested_at"),
+    ]
+
+
 def explode_rates(records: DataFrame, run_ts=None) -> DataFrame:
     """One row per (record, currency) with typed date, timestamp and rate.
 
@@ -73,49 +88,59 @@ def explode_rates(records: DataFrame, run_ts=None) -> DataFrame:
     and NaN survive; a NULL or non-numeric rate becomes NULL and is
     quarantined by :func:`split_landing`.
     """
-    exploded = records.select(
-        F.trim("base").alias("base_currency"),
-        F.try_to_date(F.trim("date")).alias("ingestion_date"),
-        F.coalesce(F.try_to_timestamp(F.col("fetched_at")), run_timestamp(run_ts)).alias("ingested_at"),
-        F.coalesce(F.col("source"), F.lit("unknown")).alias("source"),
-        F.explode("rates").alias("target_currency", "rate_raw"),
-    )
-    return exploded.select(
-        "ingestion_date",
-        "base_currency",
-        "target_currency",
-        F.col("rate_raw").try_cast("double").alias("rate"),
-        "rate_raw",
-        "source",
-        "ingested_at",
-    )
+    exploded = records.select("base", "date", "fetched_at", "source", F.explode("rates").alias("_target", "_raw"))
+    return exploded.select(*_rate_columns(F.col("_target"), F.col("_raw"), run_ts))
+
+
+def tag_landing(records: DataFrame, run_ts=None) -> DataFrame:
+    """Every item of the landing records in one pass: bronze-input columns, ``reason`` and ``payload`` of what cannot be used, and
+    ``outcome`` (``good`` or ``quarantine``).
+
+    A record that cannot be used (malformed line, missing base, missing / bad date, unparsable ``fetched_at``) is one item
+    with its whole text, else each of its rates is one; rates that are not numbers are quarantined singly.
+    """
+    problem = record_problem()
+    nothing = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("string").alias("value")))
+    items = F.when(problem.isNull(), F.map_entries("rates")).otherwise(nothing)
+    record = F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*LANDING_SCHEMA.fieldNames())))
+    exploded = records.select(*LANDING_SCHEMA.fieldNames(), problem.alias("_problem"), F.when(problem.isNotNull(), record).alias("_record"), F.explode(items).alias("_item"))
+    rows = exploded.select(*_rate_columns(F.col("_item.key"), F.col("_item.value"), run_ts), "_problem", "_record")
+    reason = F.coalesce("_problem", F.when(F.col("rate").isNull(), F.lit("bad_rate")))
+    rate = F.to_json(F.struct("base_currency", F.col("ingestion_date").cast("string").alias("date"), "target_currency", "rate_raw"))
+    rows = rows.withColumn("reason", reason)
+    payload = F.when(F.col("reason").isNotNull(), F.coalesce("_record", rate))
+    outcome = F.when(F.col("reason").isNull(), F.lit("good")).otherwise(F.lit("quarantine"))
+    return rows.select(*GOOD_COLUMNS, "reason", payload.alias("payload"), outcome.alias("outcome"))
+
+
+def _by_outcome(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good = tagged.where("outcome = 'good'").select(*GOOD_COLUMNS)
+    return good, tagged.where("outcome = 'quarantine'").select("reason", "payload")
 
 
 def split_landing(records: DataFrame, run_ts=None) -> tuple[DataFrame, DataFrame]:
-    """(good rows in bronze-input shape, quarantined items with a reason).
+    """(good rows in bronze-input shape, quarantined items with a reason and their text), see :func:`tag_landing`."""
+    return _by_outcome(tag_landing(records, run_ts))
 
-    Quarantine holds whole records that cannot be used (malformed line,
-    missing base, missing / bad date, unparsable ``fetched_at``) and single rates that are not numbers.
+
+def stage_landing(spark: SparkSession, tagged: DataFrame, staged_path: str) -> tuple[DataFrame, DataFrame]:
+    """Write the tagged items once, partitioned by outcome, and return (good, quarantine) as reads of one partition each.
+
+    So the text files are scanned and parsed once, whatever reads the outputs afterwards; the folder is replaced by the next run.
     """
-    flagged = records.withColumn("_problem", record_problem())
-    bad_records = flagged.filter(F.col("_problem").isNotNull()).select(
-        F.col("_problem").alias("reason"),
-        F.coalesce(F.col(CORRUPT), F.to_json(F.struct(*[c for c in LANDING_SCHEMA.fieldNames()]))).alias("payload"),
-    )
-    rows = explode_rates(flagged.filter(F.col("_problem").isNull()).drop("_problem"), run_ts)
-    bad_rates = rows.filter(F.col("rate").isNull()).select(
-        F.lit("bad_rate").alias("reason"),
-        F.to_json(F.struct("base_currency", F.col("ingestion_date").cast("string").alias("date"), "target_currency", "rate_raw")).alias(
-            "payload"
-        ),
-    )
-    good = rows.filter(F.col("rate").isNotNull()).drop("rate_raw")
-    return good, bad_records.unionByName(bad_rates)
+    tagged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("outcome").parquet(staged_path)
+    return _by_outcome(spark.read.schema(tagged.schema).parquet(staged_path))
+
 
+def load_raw_rates(
+    spark: SparkSession, path: str, glob: str | None = DEFAULT_GLOB, run_ts=None, staged_path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Scan + split. Raises ``ValueError`` when the files hold no usable row.
 
-def load_raw_rates(spark: SparkSession, path: str, glob: str | None = DEFAULT_GLOB, run_ts=None) -> tuple[DataFrame, DataFrame]:
-    """Scan + split. Raises ``ValueError`` when the files hold no usable row."""
-    good, quarantine = split_landing(read_landing(spark, path, glob), run_ts)
+    With ``staged_path`` the files are scanned once (:func:`stage_landing`); without it every output scans them itself.
+    """
+    tagged = tag_landing(read_landing(spark, path, glob), run_ts)
+    good, quarantine = stage_landing(spark, tagged, staged_path) if staged_path else _by_outcome(tagged)
     if good.isEmpty():
         msg = f"No rows parsed from landing files in {path}"
         raise ValueError(msg)

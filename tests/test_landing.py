@@ -149,3 +149,27 @@ def test_fetch_label_and_dates_to_load(spark):
     assert planning.dates_to_load(req, present, ["base", "date"], force=True).count() == 5
     summary = planning.spine_summary(planning.global_spine(present)).first()
     assert (summary.n_days, summary.n_weekdays, summary.n_skipped) == (7, 5, 2)
+
+
+def test_staged_landing_is_scanned_once(spark, tmp_dir):
+    import json
+    import os
+
+    from ratelake.sources import landing
+
+    os.makedirs(f"{tmp_dir}/raw")
+    lines = [json.dumps({"base": "USD", "date": f"2024-01-{d:02d}", "rates": {"EUR": 0.9, "GBP": "n/a"}, "fetched_at": "2024-02-01T00:00:00"}) for d in range(1, 6)]
+    with open(f"{tmp_dir}/raw/rates_1.jsonl", "w") as f:
+        f.write("\n".join([*lines, "broken", json.dumps({"date": "2024-01-01", "rates": {"EUR": 1}})]) + "\n")
+    lazy = landing.load_raw_rates(spark, f"{tmp_dir}/raw", run_ts="2024-03-01 00:00:00")
+    staged = landing.load_raw_rates(spark, f"{tmp_dir}/raw", run_ts="2024-03-01 00:00:00", staged_path=f"{tmp_dir}/staged")
+    for a, b in zip(lazy, staged, strict=True):
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+        plan = b._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan json" not in plan and "PartitionFilters: [isnotnull(outcome" in plan
+    assert staged[0].count() == 5 and {r.reason for r in staged[1].collect()} == {"bad_rate", "malformed_json", "missing_base"}
+    # the next run replaces the folder
+    with open(f"{tmp_dir}/raw/rates_1.jsonl", "w") as f:
+        f.write(lines[0].replace('"n/a"', "0.8") + "\n")
+    good, quarantine = landing.load_raw_rates(spark, f"{tmp_dir}/raw", staged_path=f"{tmp_dir}/staged")
+    assert good.count() == 2 and quarantine.count() == 0

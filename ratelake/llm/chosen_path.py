@@ -183,10 +183,11 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, n: int = 5, threshold: fl
     signed, sets, comps, whole = _classes(spark, docs, n, threshold, recall, limit)
     links = link_counts(spark, comps, whole, round(100 * threshold), weight)
     own = sets.select("print", "node", F.col("id").alias("rep"), "copies").join(comps, "node", "left").join(links, "node", "left")
-    own = materialise(spark, own.withColumn("comp", F.coalesce("comp", "node")), "own")
-    least = materialise(spark, own.groupBy("comp").agg(F.min("rep").alias("class_id")), "least")
+    n_sets = sets.count()
+    own = materialise(spark, own.withColumn("comp", F.coalesce("comp", "node")), "own", n_sets)
+    least = materialise(spark, own.groupBy("comp").agg(F.min("rep").alias("class_id")), "least", n_sets)
     classes = own.join(least, "comp").select("print", "rep", "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"), "class_id")
-    classes = materialise(spark, classes, "found")
+    classes = materialise(spark, classes, "found", n_sets)
     rows = join_groups(signed.select(F.col("id").alias("doc_id"), "print"), classes, ["print"], "copies", signed.count())
     return rows.select("doc_id", F.col("rep").alias("rep_id"), "class_id", "n_links", F.col("copies").alias("n_copies"))
 

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from ratelake.llm.common import join_groups, materialise, shuffle_partitions
+from ratelake.llm.common import bounded, join_groups, materialise, shuffle_partitions
 
 BUCKET_BITS, MANTISSA_BITS, ROWS = 7, 10, 4
 BUCKETS = 1 << BUCKET_BITS
@@ -323,29 +323,32 @@ def connect(spark: SparkSession, edges: DataFrame, labels: DataFrame | None = No
     Every node moves to its neighbour (or itself) with the least hash, and on to where that one moved; the edges between
     what is left are the next round's. At most half of the nodes stay on average, whatever the graph's shape, so rounds
     shrink and no edge is walked again once its ends are one. A label's many followers are rows on the large side of a
-    join, which AQE splits.
+    join, which AQE splits. Labels of a bounded number of nodes are broadcast.
     """
 
     def ordered(name: str) -> Column:
         return F.struct(F.xxhash64(name).alias("h"), F.col(name).alias("node"))
 
-    labels = spark.createDataFrame([], "node long, comp long") if labels is None else labels
-    graph = materialise(spark, _between(edges.select("a", "b"), labels), "edges")
+    known = spark.createDataFrame([], "node long, comp long") if labels is None else bounded(labels)
+    labels = known if labels is None else labels
+    most = 2 * edges.count()
+    graph = materialise(spark, _between(edges.select("a", "b"), known), "edges", most)
     steps: list[DataFrame] = []
-    while not graph.isEmpty():
+    while n := graph.count():
         both = graph.unionByName(graph.select(F.col("b").alias("a"), F.col("a").alias("b")))
         near = both.groupBy("a").agg(F.min(ordered("b")).alias("near"))
-        step = near.select(F.col("a").alias("node"), F.least("near", ordered("a"))["node"].alias("comp"))
-        after = step.select(F.col("node").alias("comp"), F.col("comp").alias("far"))
-        steps.append(materialise(spark, step.join(after, "comp").select("node", F.col("far").alias("comp")), "step"))
-        graph = materialise(spark, _between(graph, steps[-1]), "edges")
+        step = materialise(spark, near.select(F.col("a").alias("node"), F.least("near", ordered("a"))["node"].alias("comp")), "near", 2 * n)
+        after = bounded(step).select(F.col("node").alias("comp"), F.col("comp").alias("far"))
+        steps.append(bounded(materialise(spark, step.join(after, "comp").select("node", F.col("far").alias("comp")), "step", 2 * n)))
+        graph = materialise(spark, _between(graph, steps[-1]), "edges", n)
     if steps:
-        new = steps[0].join(labels, "node", "left_anti").select("node", F.col("node").alias("comp"))
+        most += known.count()
+        new = steps[0].join(known, "node", "left_anti").select("node", F.col("node").alias("comp"))
         labels = labels.unionByName(new)
         for step in steps:
             labels = labels.join(step.select(F.col("node").alias("comp"), F.col("comp").alias("far")), "comp", "left")
             labels = labels.select("node", F.coalesce("far", "comp").alias("comp"))
-    return materialise(spark, labels, "labels")
+    return materialise(spark, labels, "labels", most)
 
 
 def per_text(make, schema: str, tokens_of):
@@ -368,7 +371,7 @@ def fold_sets(spark: SparkSession, signed: DataFrame) -> DataFrame:
     """One row per different set of (id, digest, print, size, regs): a number (node), its least id and how many rows have it."""
     same = [F.first(c).alias(c) for c in signed.columns if c not in ("id", "digest", "print")]
     sets = signed.groupBy("print").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min("digest").alias("digest"), *same)
-    return materialise(spark, sets.withColumn("node", F.monotonically_increasing_id()), "sets")
+    return materialise(spark, sets.withColumn("node", F.monotonically_increasing_id()), "sets", signed.count(), 5_000)
 
 
 def texts_of(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -420,11 +423,12 @@ def _open_units(rows: DataFrame) -> DataFrame:
 
 def _split_large(spark: SparkSession, large: DataFrame, comps: DataFrame, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
     """After their pivot: open large buckets (key, node, band, level) as units of bounded size, and the rows to split further."""
-    rows = materialise(spark, _open(_with_comps(large, comps), "key"), "open")
+    most = large.count()
+    rows = materialise(spark, _open(_with_comps(large, bounded(comps)), "key"), "open", most)
     per_comp = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = per_comp.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
     main = main.select("key", "n", F.col("main.comp").alias("main"), (F.col("n") - F.col("main.n")).alias("others"))
-    rows = materialise(spark, rows.join(main, "key"), "counted")
+    rows = materialise(spark, rows.join(main, "key"), "counted", most)
     fits = (F.col("others") <= limit) | (F.col("level") >= depth)
     groups, blocks = F.ceil(F.col("others") / limit).cast("int"), F.ceil(F.col("n") / limit).cast("int")
     own_block, own_group = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.pmod(F.xxhash64("node", F.lit(1)), groups).cast("int")
@@ -449,16 +453,22 @@ def components(
     ``buckets`` (key, node, band) hold the sets to compare; the first round gives the pairs of the ``first`` bands.
     ``further(rows, sets, whole)`` splits large buckets, ``fetch(nodes)`` gives the whole sets of (node, digest)."""
     parts, percent = shuffle_partitions(spark), round(100 * threshold)
+    n_sets = sets.count()
+    most = BANDS * n_sets  # about the rows of all buckets
 
     def by_size(buckets: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-        buckets = materialise(spark, buckets.join(counts, "key"), name)
+        buckets = materialise(spark, buckets.join(counts, "key"), name, most)
         return buckets.where(F.col("sets") <= limit).select(F.col("key").alias("unit"), "node", "band"), buckets.where(F.col("sets") > limit).drop("sets")
 
     small, large = by_size(buckets.withColumn("level", F.lit(0)), "buckets")
     whole = comps = failed = None
     for turn in range(1_000):
-        rows = _open_units(_with_comps(small, comps)).join(sets.select("node", "size", "regs"), "node")
+        near_comps = comps if comps is None else bounded(comps)
+        near_failed = failed if failed is None else bounded(failed)
+        # in the first round every set is a component of its own, so every unit is open
+        rows = _with_comps(small, comps) if comps is None else _open_units(_with_comps(small, near_comps))
+        rows = rows.join(sets.select("node", "size", "regs"), "node")
         rows = rows.withColumn("give", F.col("band") < first if turn == 0 else F.lit(True))
         if failed is None:
             rows = rows.withColumn("failed", F.lit(None).cast("array<long>"))
@@ -466,26 +476,26 @@ def components(
             rows = rows.join(failed.groupBy("a").agg(F.collect_list("b").alias("failed")).withColumnRenamed("a", "node"), "node", "left")
         if turn > 1:
             rows = rows.join(whole.hint("merge"), "node")
-        given = materialise(spark, bucket_pairs(rows, parts, threshold, turn).distinct(), "given")
+        given = materialise(spark, bucket_pairs(rows, parts, threshold, turn).distinct(), "given", most)
         # the same pivot in all bands that hold it
         starred = large.where(F.col("band") < first) if turn == 0 else large
         pivots = starred.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("pivot"))
         starred = starred.join(pivots, "key").where("node <> pivot").select("key", "node", "pivot")
         if comps is not None:
-            of_pivot = comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
-            starred = _with_comps(starred, comps).join(of_pivot, "pivot", "left").where(F.col("comp") != F.coalesce("pivot_comp", "pivot"))
+            of_pivot = near_comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
+            starred = _with_comps(starred, near_comps).join(of_pivot, "pivot", "left").where(F.col("comp") != F.coalesce("pivot_comp", "pivot"))
         starred = starred.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         found = given.where("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = (found.unionByName(starred) if turn < 2 else starred).distinct()
         if failed is not None:
-            pairs = pairs.join(failed, ["a", "b"], "left_anti")
-        pairs = materialise(spark, sift(pairs, sets, threshold), "pairs")
+            pairs = pairs.join(near_failed, ["a", "b"], "left_anti")
+        pairs = materialise(spark, sift(pairs, sets, threshold), "pairs", most, 20_000)
         truncated = given.where("a IS NULL").select("unit")
         if whole is None:
             nodes = given.where("a IS NOT NULL AND b IS NULL").select(F.col("a").alias("node")).unionByName(large.select("node"))
             nodes = nodes.unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).unionByName(small.join(truncated, "unit", "left_semi").select("node"))
-            whole = materialise(spark, fetch(sets.select("node", "digest").join(nodes.distinct(), "node")), "whole")
-        checked = materialise(spark, verify(pairs, whole, percent), "checked")
+            whole = materialise(spark, fetch(sets.select("node", "digest").join(nodes.distinct(), "node")), "whole", n_sets, 2_000)
+        checked = materialise(spark, verify(pairs, whole, percent), "checked", pairs.count(), 2_000)
         good, bad = checked.where("ok").select("a", "b"), checked.where("NOT ok").select("a", "b")
         good = good if turn < 2 else good.unionByName(found)
         failed = bad if failed is None else failed.unionByName(bad)
@@ -493,12 +503,12 @@ def components(
             comps = connect(spark, good, comps)
         if turn == 0:
             continue
-        small = materialise(spark, small.join(truncated, "unit", "left_semi"), "small")
+        small = materialise(spark, small.join(truncated, "unit", "left_semi"), "small", most)
         more = False
         if not large.isEmpty():
             units, rows = _split_large(spark, large, comps, limit, depth)
             parted, large = by_size(further(rows, sets, whole), "further")
-            small = materialise(spark, small.unionByName(units.withColumn("band", F.lit(0))).unionByName(parted), "small")
+            small = materialise(spark, small.unionByName(units.withColumn("band", F.lit(0))).unionByName(parted), "small", most)
             more = not large.isEmpty()
         if not more and small.isEmpty():
             return comps, whole
@@ -524,9 +534,10 @@ def near_duplicates(
     fetch = lambda wanted: whole_sets(texts, wanted, own_text)
     comps, _ = components(spark, sets, band_rows(sets), further_bands, fetch, threshold, limit, depth)
     own = sets.select("print", "node", "id", "size", "copies").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    own = materialise(spark, own, "own")
-    least = materialise(spark, own.groupBy("comp").agg(F.min("id").alias("component_id")), "least")
-    classes = materialise(spark, own.join(least, "comp").select("print", "size", "copies", "component_id"), "classes")
+    n_sets = sets.count()
+    own = materialise(spark, own, "own", n_sets)
+    least = materialise(spark, own.groupBy("comp").agg(F.min("id").alias("component_id")), "least", n_sets)
+    classes = materialise(spark, own.join(least, "comp").select("print", "size", "copies", "component_id"), "classes", n_sets)
     found = join_groups(signed.select("id", "print"), classes, ["print"], "copies", signed.count())
     # rows without a word are linked to nothing, not to each other either
     component = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("id"))

@@ -12,8 +12,9 @@ probability 1 - 1/e at least, and runs are repeated until the target recall.
 **Classes.** Buckets of at most ``limit`` sets are compared by brute force on registers (a pair at the threshold is lost
 with probability under 1e-6) and give their candidates between different classes, or a spanning forest of them, for the
 exact check on whole sets, in rounds until none is open. A larger bucket is compared with a pivot first, which makes one
-class of near copies; what then is still open is split again on four further sampled tokens of its sets at once (the
-registers), 32 times, so that a pair at the threshold meets again but with probability 5e-8. So a group of near copies
+class of near copies; what then is still open is cut by the sets' sizes, which parts no linked pair, and where that is
+not enough split again on two further sampled tokens of its sets at once (the registers), 17 times, so that a pair at the
+threshold meets again but with probability 3e-8. So a group of near copies
 gives edges in proportion to its sets.
 
 **Links.** All links of a set are in its class, so they are counted there, each pair once at most. Of a class, every set is
@@ -77,12 +78,27 @@ def runs_for(recall: float) -> int:
     return math.ceil(-math.log(1 - recall))
 
 
-def resample(rows: DataFrame, sets: DataFrame, whole: DataFrame) -> DataFrame:
-    """Large buckets that are still open, split on four sampled tokens at once: a set's 128 registers are its least hashed
-    tokens, and sets that share the four registers of a band meet again. (Longer paths do not help there: sets with a long
-    passage in common choose the same tokens of it, so every longer path keeps them together.)"""
-    nodes = rows.select("node").distinct()
-    return band_rows(sets.join(nodes, "node")).select("key", "node", "band", F.lit(1).alias("level"))
+def resample(rows: DataFrame, sets: DataFrame, threshold: float, limit: int) -> DataFrame:
+    """Large buckets (key, node, ...) that are still open, as (key, node, band, level) of smaller ones.
+
+    Linked sets differ in size by the factor 1 / threshold at most, so a bucket is first cut into classes of sizes, each
+    held together with the next one; no pair is lost. Sets of what is still larger than ``limit`` are split on two sampled
+    tokens at once: a set's 128 registers are its least hashed tokens, and sets that share the two registers of a band meet
+    again. (Longer paths do not help there: sets with a long passage in common choose the same tokens of it, so every longer
+    path keeps them together.) A set has 17 rows then, whatever the number and size of its buckets. Both splits are written,
+    as they are counted first and then dealt.
+    """
+    spark, level = rows.sparkSession, F.lit(1).alias("level")
+    width = math.log((1 + 1e-6) / threshold)  # a little more, so that rounding parts no pair
+    sizes = rows.select("key", "node").join(sets.select("node", F.floor(F.log(F.col("size").cast("double")) / width).alias("class")), "node")
+    sizes = sizes.select("key", "node", F.explode(F.array("class", F.col("class") - 1)).alias("class"))
+    classes = materialise(spark, sizes.select(F.xxhash64("key", "class").alias("key"), "node"), "sizes")
+    counts = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counted = materialise(spark, classes.join(counts, "key"), "classes")
+    fitting = counted.where(F.col("n") <= limit).select("key", "node", F.lit(0).alias("band"), level)
+    nodes = counted.where(F.col("n") > limit).select("node").distinct()
+    split = band_rows(sets.join(nodes, "node"), 2, 17)
+    return fitting.unionByName(materialise(spark, split.select("key", "node", "band", level), "split"))
 
 
 def link_counts(spark: SparkSession, comps: DataFrame, whole: DataFrame, percent: int, weight: int = 100_000) -> DataFrame:
@@ -174,7 +190,8 @@ def _classes(spark: SparkSession, docs: DataFrame, n: int, threshold: float, rec
     sets = fold_sets(spark, signed)
     buckets = sets.where("size > 0").select("node", F.explode("paths").alias("path")).select("path.key", "node", "path.band").distinct()
     fetch = lambda wanted: whole_sets(texts, wanted, own_text)
-    comps, whole = components(spark, sets, buckets, resample, fetch, threshold, limit, 1, first=2)
+    further = lambda rows, sets, whole: resample(rows, sets, threshold, limit)
+    comps, whole = components(spark, sets, buckets, further, fetch, threshold, limit, 1, first=2)
     return signed, sets, comps, whole
 
 

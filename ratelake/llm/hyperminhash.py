@@ -88,10 +88,12 @@ def registers(tokens: np.ndarray) -> np.ndarray:
     return out[_ORDER[np.arange(BUCKETS), full[_ORDER].argmax(axis=1)]]
 
 
-def bands(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per set and band: its four registers and its number."""
-    packed = np.ascontiguousarray(regs).view(np.uint64)
-    return mix(mix(packed) + np.arange(BANDS, dtype=np.uint64) * _M).view(np.int64)
+def bands(regs: np.ndarray, rows: int = ROWS, number: int = BANDS) -> np.ndarray:
+    """One 64-bit key per set and band: its registers (``rows``, at most four) and its number."""
+    four = np.zeros((len(regs), number, 4), dtype=np.uint16)
+    four[:, :, :rows] = regs[:, : number * rows].reshape(-1, number, rows)
+    packed = four.reshape(-1, number * 4).view(np.uint64)
+    return mix(mix(packed) + np.arange(number, dtype=np.uint64) * _M).view(np.int64)
 
 
 def _register_odds() -> np.ndarray:
@@ -380,17 +382,18 @@ def texts_of(docs: DataFrame, id_column: str = "doc_id", text: str = "text") ->
     return texts.withColumn("digest", F.unhex(F.md5("text")))
 
 
-def band_rows(sets: DataFrame) -> DataFrame:
-    """(node, band, key) of sets that are not empty."""
-    number = np.arange(BANDS, dtype=np.int32)
+def band_rows(sets: DataFrame, rows: int = ROWS, number: int = BANDS) -> DataFrame:
+    """(node, band, key) of sets that are not empty: ``number`` bands of ``rows`` registers."""
+    names = np.arange(number, dtype=np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, whole.num_rows, 1000):
                 batch = whole.slice(lo, 1000)
                 regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint16).reshape(-1, BUCKETS)
-                node = batch.column(0).take(pa.array(np.repeat(np.arange(len(regs)), BANDS)))
-                yield pa.RecordBatch.from_arrays([node, pa.array(np.tile(number, len(regs))), pa.array(bands(regs).ravel())], names=["node", "band", "key"])
+                node = batch.column(0).take(pa.array(np.repeat(np.arange(len(regs)), number)))
+                keys = pa.array(bands(regs, rows, number).ravel())
+                yield pa.RecordBatch.from_arrays([node, pa.array(np.tile(names, len(regs))), keys], names=["node", "band", "key"])
 
     return sets.where("size > 0").select("node", "regs").mapInArrow(run, "node long, band int, key long")
 

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ratelake.llm import chosen_path, hyperminhash, lexical, queries, whitening
 
@@ -269,3 +270,27 @@ def test_jaccard_join_links_null_and_repeated_ids(spark):
     assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == Counter([(None, 3, 2), (None, 3, 2), (3, 3, 2), (3, 3, 1), (4, 3, 1), (5, 5, 0), (6, 5, 0)])
     kept = chosen_path.keep_one_per_class(spark, spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, node string"))
     assert Counter(r.doc_id for r in kept.collect()) == Counter([3, 3, 5]) and kept.columns == ["doc_id", "text", "node"]
+
+
+def test_large_buckets_are_split_by_size_before_bands(spark):
+    rng = np.random.default_rng(11)
+    sizes = [*range(1, 61), *rng.integers(300, 310, 40).tolist()]
+    tokens = [np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in sizes]
+    rows = [(k, len(t), bytearray(hyperminhash.registers(t).tobytes())) for k, t in enumerate(tokens)]
+    sets = spark.createDataFrame(rows, "node long, size long, regs binary")
+    bucket = sets.selectExpr("7L AS key", "node", "0 AS band", "0 AS level")
+    for limit in (30, 1000):
+        split = chosen_path.resample(bucket.unionByName(bucket.withColumn("key", F.lit(8).cast("long"))), sets, 0.8, limit)
+        assert "MapInArrow" not in split._jdf.queryExecution().toString()  # the bands are made once, not at each reading
+        got = split.collect()
+        assert {r.level for r in got} == {1}
+        together = {}
+        for r in got:
+            together.setdefault(r.key, set()).add(r.node)
+        large = {r.node for r in got if r.band > 0}
+        assert bool(large) == (limit == 30) and max(Counter(r.node for r in got).values()) <= 17 + 4
+        assert not large & set(range(20))  # the small sets are few of their sizes
+        met = {(a, b) for nodes in together.values() for a in nodes for b in nodes if a < b}
+        for a in range(60):  # sets of sizes that let them be linked are together, to the very threshold
+            for b in range(a + 1, 60):
+                assert (a, b) in met or sizes[a] < 0.8 * sizes[b] or {a, b} <= large

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -70,31 +71,41 @@ class PerfectHash:
 
 def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Byte-pair merges of one pre-token: lowest rank first, leftmost first among equal ranks."""
-    n = len(piece)
-    after, before, end = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-    alive = [True] * n
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+    n, get = len(piece), ranks.get
+    bits = n.bit_length()
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    pair = [(get(piece[i : i + 2], -1) << bits) + i for i in range(n)]  # rank and place of the pair that begins at a part
+    pair[n - 1 :] = [-1]
+    heap = [p for p in pair if p >= 0]
     heapq.heapify(heap)
     while heap:
-        _, i, stop = heapq.heappop(heap)
-        if not alive[i]:
-            continue
-        j = after[i]
-        if j >= n or end[j] != stop:
+        p = heapq.heappop(heap)
+        i = p & (1 << bits) - 1
+        if pair[i] != p:
             continue  # one of the two parts has grown since
-        alive[j], end[i], after[i] = False, stop, after[j]
-        if after[i] < n:
-            before[after[i]] = i
-            k = after[i]
-            if (r := ranks.get(piece[i : end[k]])) is not None:
-                heapq.heappush(heap, (r, i, end[k]))
-        if (h := before[i]) >= 0 and (r := ranks.get(piece[h:stop])) is not None:
-            heapq.heappush(heap, (r, h, stop))
-    return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
+        j = after[i]
+        k = after[i] = after[j]
+        pair[i] = pair[j] = -1
+        if k < n:
+            before[k] = i
+            if (r := get(piece[i : after[k]])) is not None:
+                pair[i] = r << bits | i
+                heapq.heappush(heap, pair[i])
+        if (h := before[i]) >= 0:
+            pair[h] = -1
+            if (r := get(piece[h:k])) is not None:
+                pair[h] = r << bits | h
+                heapq.heappush(heap, pair[h])
+    out, i = [], 0
+    while i < n:
+        out.append(ranks[piece[i : after[i]]])
+        i = after[i]
+    return out
 
 
 class Encoder:
-    """Encodes texts; resolved pre-tokens are kept in a memo of at most ``limit`` entries."""
+    """Encodes texts; resolved pre-tokens are kept in a memo of at most ``limit`` entries (or one batch's), and the memo before
+    it, so that a pre-token that comes again and again is merged once."""
 
     def __init__(self, rank_path: str, pattern: str, limit: int = 200_000):
         import regex
@@ -109,20 +120,23 @@ class Encoder:
         self.keys: list[bytes] = [b""] * len(tokens)
         for token, k in zip(tokens, at, strict=True):
             self.keys[k] = token
-        self.limit, self.memo = limit, {}
+        self.limit, self.memo, self.earlier = limit, {}, {}
 
     def _learn(self, pieces: set[str]) -> dict[str, bytes]:
         """The memo (ids as little-endian 32-bit bytes), with every piece of ``pieces`` in it."""
         if len(self.memo) + len(pieces) > self.limit:
-            self.memo = {}
-        new = [p for p in pieces if p not in self.memo]
+            self.earlier, self.memo = self.memo, {}
+        new = pieces.difference(self.memo)
+        known = [p for p in new if p in self.earlier]
+        self.memo.update(zip(known, map(self.earlier.__getitem__, known), strict=True))
+        new = list(new.difference(known))
         raw = [p.encode("utf-8", "surrogatepass") for p in new]
         slots = self.place(np.fromiter(map(self.hash, raw), np.uint64, len(raw))).tolist()
         for p, b, k in zip(new, raw, slots, strict=True):
             if k >= 0 and self.keys[k] == b:
                 self.memo[p] = self.ranks[b].to_bytes(4, "little")
             else:
-                self.memo[p] = np.array(merge_bytes(b, self.ranks), dtype="<u4").tobytes()
+                self.memo[p] = struct.pack(f"<{len(ids := merge_bytes(b, self.ranks))}I", *ids)
         return self.memo
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:

@@ -165,6 +165,26 @@ def test_byte_bpe(spark, docs, empty):
     assert byte_bpe.merge_bytes(word.encode(), ranks) == own.encode_ordinary(word)
 
 
+def test_byte_bpe_merges_a_returning_piece_once(monkeypatch):
+    import public_tokenizers as P
+    import tiktoken
+
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    ranks = byte_bpe.read_ranks(path)
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    merged = Counter()
+    plain = byte_bpe.merge_bytes
+    monkeypatch.setattr(byte_bpe, "merge_bytes", lambda piece, ranks: merged.update([piece]) or plain(piece, ranks))
+    encoder = byte_bpe.Encoder(path, P.PATTERN, limit=8)
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        texts = ["qzxvkj", "".join(map(chr, rng.integers(97, 123, 9))) + " äöü" + "".join(map(chr, rng.integers(97, 100, 60))), None, ""]
+        got = [np.frombuffer(ids, dtype="<u4").tolist() for ids in encoder.encode_batch(texts)]
+        assert got == [own.encode_ordinary(t or "") for t in texts]
+        assert len(encoder.memo) <= 8
+    assert merged[b"qzxvkj"] == 1
+
+
 def test_toxicity(spark):
     clean = [(k, f"plain words number {k % 7} about weather and music", 0) for k in range(300)]
     bad = [(1000 + k, f"you are an idiot and a moron said number {k % 7} zzqrabble{k % 5}", 1) for k in range(40)]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,6 +31,22 @@ def materialise(spark: SparkSession, df: DataFrame, name: str, rows: int | None
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A setting for the jobs started inside; the session's own one is set again after them."""
+    before = spark.conf.get(name)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def shuffles_dropped(spark: SparkSession):
+    """The shuffle files of a write inside go when it ends, not only when the driver collects its garbage."""
+    return session_setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def bounded(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """A written table of short rows, marked for broadcast if it has at most ``rows`` of them (counted from the files' footers);
     else as it is, and a join with it shuffles."""

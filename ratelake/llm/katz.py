@@ -14,13 +14,16 @@ and the unknown type. Counts up to 5 get Katz's discounts, larger ones lose 0.5,
 so every context leaves some mass. The history v is any word or the start mark,
 w any word; a history that no training text has leaves all to p(w).
 
-Tables, all in the shared checkpoint folder: ``unigrams`` (word hash, count),
+Tables, all in the shared checkpoint folder: ``unigrams`` (word hash, count) and
 ``pairs`` (by word shard: word count, history, pair count, and the texts that
-hold the pair) and the histories (tokens after it and backoff weight), which
-are added up in partitions by history hash and sent back to the shards that
-hold pairs of them. Words are keyed by 64-bit hashes, and a pair lives in its
-word's shard. Frequent words are spread over all shards by their history, so no
-shard grows with one word.
+hold the pair). A text's histories are its words and the start mark, and c(v) is
+the word's own training count (the start mark's: the end's). So what a text loses
+by the c(v) is added up word by word where ``pairs`` lies, and only pairs that no
+training text has need their history: the histories (tokens after it and backoff
+weight) are added up in partitions by history hash and sent back to the shards
+that hold such pairs, and those pairs' postings alone are dealt again. Words are
+keyed by 64-bit hashes, and a pair lives in its word's shard. Frequent words are
+spread over all shards by their history, so no shard grows with one word.
 
 Defined results: NULL text is the one token "end"; no training text: every
 token is unknown with probability one; texts of any length are read whole;
@@ -41,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import key_per_partition, materialise, shuffle_partitions
+from ratelake.llm.common import key_per_partition, materialise, session_setting, shuffle_partitions, shuffles_dropped
 
 LOW = 5  #: counts up to this get Good-Turing discounts
 TAIL = 0.5  #: what larger counts lose
@@ -140,9 +143,15 @@ class Model:
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.total + 0.1 * (self.types + 1)))
 
-    def pair(self, total: np.ndarray, backoff: np.ndarray, c: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 p(w | v): ``total`` and ``backoff`` of the histories, ``c`` counts of the pairs, ``word`` counts of their words."""
-        return np.log10(np.where(c > 0, held(c, self.d2) / np.maximum(total, 1), backoff * self.unigram(word)))
+    def pair(self, c: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 of what the pair (``c`` times) and its word (``word`` times) give to a text; the word is the history of the
+        token after it, and the end mark stands for the start mark. Pairs of no training text lack ``unseen``."""
+        return np.log10(np.where(c > 0, held(c, self.d2), self.unigram(word))) - np.log10(np.maximum(word, 1))
+
+
+def unseen(total: np.ndarray, backoff: np.ndarray) -> np.ndarray:
+    """log10 of what a history (``total`` tokens after it) gives to a pair that no training text has, its count taken back."""
+    return np.log10(backoff) + np.log10(np.maximum(total, 1))
 
 
 def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards: list[int]) -> DataFrame:
@@ -224,8 +233,9 @@ TABLE = (
 )
 
 
-def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, parts: int) -> DataFrame:
-    """One row per shard: per pair the word's hash and training count, its history and count; per posting batch, text and count."""
+def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, parts: int, room: int = 1 << 18) -> DataFrame:
+    """Rows of a shard, with about ``room`` postings each: per pair the word's training count, its history and count; per
+    posting batch, text and count."""
     kind = pa.schema([
         ("shard", pa.int32()), ("bases", pa.list_(pa.int64())), ("word", pa.list_(pa.int64())), ("word_c", pa.list_(pa.int64())),
         ("v", pa.list_(pa.int64())), ("c", pa.list_(pa.int64())), ("v_n", pa.list_(pa.int32())), ("batch", pa.list_(pa.int32())),
@@ -237,7 +247,7 @@ def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, pa
         lists = [_lists(np.asarray(x), np.array([len(x)]), k) for x, k in zip(cols, kinds, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *lists], schema=kind)
 
-    def whole(shard: int, rows: list[tuple]) -> pa.RecordBatch:
+    def whole(shard: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         base, w, w_n, v, v_n, doc, cnt = zip(*rows, strict=True)
         batch = np.repeat(np.arange(len(rows), dtype=np.int32), [len(d) for d in doc])
         v_n = np.concatenate(v_n)
@@ -254,8 +264,13 @@ def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, pa
         if len(frequent):  # spread over shards: their counts come from the unigrams
             at = np.minimum(np.searchsorted(frequent, word), len(frequent) - 1)
             total = np.where(frequent[at] == word, counts[at], total)
-        n = np.diff(np.append(first, len(h)))
-        return row_of(shard, [base, word, total, v[first], c, n, batch, doc, cnt])
+        v, last = v[first], np.append(first[1:], len(h))
+        cuts = np.flatnonzero(np.diff(last // room, prepend=0, append=-1))  # the last pair of each row
+        for lo, hi in zip([0, *(cuts[:-1] + 1)], cuts + 1, strict=True):
+            hi = min(hi, len(v))
+            if lo < hi:
+                some, posted = slice(lo, hi), slice(first[lo], last[hi - 1])
+                yield row_of(shard, [base, [], total[some], v[some], c[some], (last - first)[some], batch[posted], doc[posted], cnt[posted]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, rows = None, []
@@ -267,12 +282,12 @@ def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, pa
                     yield row_of(row[0].as_py(), [[row[1].as_py()], ids, none, out, [], [], [], [], size])
                     continue
                 if rows and row[0].as_py() != shard:
-                    yield whole(shard, rows)
+                    yield from whole(shard, rows)
                     rows = []
                 shard = row[0].as_py()
                 rows.append((row[1].as_py(), *[x.values.to_numpy() for x in row[2:]]))
         if rows:
-            yield whole(shard, rows)
+            yield from whole(shard, rows)
 
     return keyed.repartition(parts, "shard").sortWithinPartitions("shard", "base").mapInArrow(run, TABLE)
 
@@ -298,15 +313,16 @@ def counts_of_counts(pairs: DataFrame) -> np.ndarray:
     return out
 
 
-PARTS = "part int, shard int, v array<long>, mass array<double>, total array<double>, left array<double>"
+PARTS = "part int, shard int, v array<long>, mass array<double>, total array<double>, left array<double>, asked array<short>"
 HISTORIES = "shard int, history array<long>, total array<double>, backoff array<double>"
 
 
 def history_table(pairs: DataFrame, model: Model, parts: list[int]) -> DataFrame:
-    """HISTORIES rows: for every shard the histories of its pairs with the tokens seen after them and their backoff weights.
+    """HISTORIES rows: for every shard the histories of its pairs that no training text has, with the tokens seen after them
+    and their backoff weights.
 
     Each shard sends its sums per history (unigram mass of the words seen after it, seen tokens, what the discounts left) to
-    the history's partition; that adds them up and answers every shard. ``parts``: a key per partition.
+    the history's partition; that adds them up and answers the shards that asked. ``parts``: a key per partition.
     """
     keys = np.array(parts, dtype=np.int32)
 
@@ -316,15 +332,16 @@ def history_table(pairs: DataFrame, model: Model, parts: list[int]) -> DataFrame
                 word_c, v, c = (x[k].values.to_numpy() for x in batch.columns[1:])
                 names, at = np.unique(v, return_inverse=True)
                 given = (model.unigram(word_c) * (c > 0), c, c - held(c, model.d2))
-                sums = [np.bincount(at, weights=x, minlength=len(names)) for x in given]
+                sums = [np.bincount(at, weights=x, minlength=len(names)) for x in (*given, c == 0)]
+                sums[3] = sums[3] > 0
                 part = (names ^ names >> 31) % len(keys)
                 order = np.argsort(part, kind="stable")
                 per = np.bincount(part, minlength=len(keys))
                 some = np.flatnonzero(per)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys[some]), pa.array(np.full(len(some), batch.column(0)[k].as_py(), dtype=np.int32))]
-                    + [_lists(x[order], per[some], kind) for x, kind in zip((names, *sums), (np.int64, float, float, float), strict=True)],
-                    names=["part", "shard", "v", "mass", "total", "left"],
+                    + [_lists(x[order], per[some], kind) for x, kind in zip((names, *sums), (np.int64, float, float, float, np.int16), strict=True)],
+                    names=["part", "shard", "v", "mass", "total", "left", "asked"],
                 )
 
     def whole(rows: list[list]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +349,11 @@ def history_table(pairs: DataFrame, model: Model, parts: list[int]) -> DataFrame
         names, at = np.unique(np.concatenate([x[1] for x in rows]), return_inverse=True)
         mass, total, left = (np.bincount(at, weights=np.concatenate([x[i] for x in rows])) for i in (2, 3, 4))
         backoff = np.where(total > 0, left / np.maximum(total, 1) / np.maximum(1 - mass, 1e-300), 1.0)
-        for (shard, v, *_), mine in zip(rows, np.split(at, np.cumsum(sizes)[:-1]), strict=True):
+        for (shard, v, *_, asked), mine in zip(rows, np.split(at, np.cumsum(sizes)[:-1]), strict=True):
+            v, mine = v[asked > 0], mine[asked > 0]
             one = np.array([len(v)])
+            if not len(v):
+                continue
             columns = [_lists(v, one, np.int64), _lists(total[mine], one, float), _lists(backoff[mine], one, float)]
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *columns], names=["shard", "history", "total", "backoff"])
 
@@ -353,39 +373,96 @@ def history_table(pairs: DataFrame, model: Model, parts: list[int]) -> DataFrame
     return asked.repartition(len(parts), "part").sortWithinPartitions("part").mapInArrow(answer, HISTORIES)
 
 
-def shard_sums(pairs: DataFrame, histories: DataFrame, model: Model, shards: int) -> DataFrame:
-    """Per shard and input batch one row of arrays: texts (places in the batch) and the shard's part of their sums."""
+def _sum_rows(batches: Iterator[pa.RecordBatch], read) -> Iterator[pa.RecordBatch]:
+    """SUMS rows of each run of rows of one shard. ``read(batch, k)`` gives None, or bases, part, doc, times, v_n of row k's
+    postings and a function that gives what the pairs of a slice add to the three sums."""
+    at, bases, totals = None, [], np.zeros(0)
+
+    def done() -> pa.RecordBatch:
+        used = [np.flatnonzero(x) for x in totals[3]]
+        lists = [_lists(np.concatenate(x), np.array([len(u) for u in used]), kind) for x, kind in ((used, np.int16), *(([t[u] for t, u in zip(total, used, strict=True)], kind) for total, kind in zip(totals[:3], (np.int32, float, float), strict=True)))]
+        return pa.RecordBatch.from_arrays([pa.array(bases), *lists], names=["base", "doc", "n_known", "base_score", "score"])
+
+    for batch in batches:
+        for k in range(batch.num_rows):
+            if (row := read(batch, k)) is None:
+                continue
+            own, part, doc, times, v_n, values = row
+            if at != (shard := batch.column(0)[k].as_py()):
+                if at is not None:
+                    yield done()
+                at, bases, totals = shard, own.copy(), np.zeros((4, len(own), 8192))
+            first = np.concatenate(([0], np.cumsum(v_n)))
+            for lo in range(0, len(v_n), 100_000):  # bounded temporary arrays
+                some, posted = slice(lo, lo + 100_000), slice(first[lo], first[min(lo + 100_000, len(v_n))])
+                place, inverse = np.unique(part[posted].astype(np.int64) << 13 | doc[posted], return_inverse=True)
+                for total, x in zip(totals, values(some), strict=False):
+                    total.reshape(-1)[place] += np.bincount(inverse, weights=times[posted] * np.repeat(x, v_n[some]), minlength=len(place))
+                totals[3].reshape(-1)[place] = 1
+    if at is not None:
+        yield done()
+
+
+def shard_sums(pairs: DataFrame, model: Model) -> DataFrame:
+    """SUMS rows: what all pairs of a shard give to the texts, without the histories of unseen pairs. No row is dealt again."""
+
+    def read(batch: pa.RecordBatch, k: int) -> tuple:
+        bases, word_c, c, v_n, part, doc, cnt = (x[k].values.to_numpy() for x in batch.columns[1:])
+
+        def values(some: slice) -> tuple:
+            return word_c[some] > 0, model.base(word_c[some]), model.pair(c[some], word_c[some])
+
+        return bases, part, doc, np.abs(cnt), v_n, values
+
+    return pairs.select("shard", "bases", "word_c", "c", "v_n", "batch", "doc", "cnt").mapInArrow(lambda batches: _sum_rows(batches, read), SUMS)
+
+
+UNSEEN = "shard int, bases array<long>, v array<long>, v_n array<int>, batch array<int>, doc array<short>, cnt array<int>"
+
+
+def unseen_pairs(pairs: DataFrame) -> DataFrame:
+    """UNSEEN rows: a shard's pairs that no training text has, with their postings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: list[list[np.ndarray]] = []  # of the shard whose pairs come next
         for batch in batches:
             for k in range(batch.num_rows):
-                if batch.column(9)[k].is_valid:
-                    known.append([c[k].values.to_numpy() for c in batch.columns[9:]])
-                    continue
-                bases, word_c, v, c, v_n, part, doc, cnt = (x[k].values.to_numpy() for x in batch.columns[1:9])
+                bases, v, c, v_n, part, doc, cnt = (x[k].values.to_numpy() for x in batch.columns[1:])
+                new, posted = c == 0, np.repeat(c == 0, v_n)
+                if new.any():
+                    lists = [(bases, np.int64), (v[new], np.int64), (v_n[new], np.int32), (part[posted], np.int32), (doc[posted], np.int16), (-cnt[posted], np.int32)]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(k, 1), *[_lists(x, np.array([len(x)]), kind) for x, kind in lists]], names=[x.split()[0] for x in UNSEEN.split(", ")]
+                    )
+
+    return pairs.select("shard", "bases", "v", "c", "v_n", "batch", "doc", "cnt").mapInArrow(run, UNSEEN)
+
+
+def unseen_sums(new: DataFrame, histories: DataFrame, shards: int) -> DataFrame:
+    """SUMS rows: what their histories give to the unseen pairs of a shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: list[list[np.ndarray]] = []  # of the shard whose pairs come next
+        found: list[np.ndarray] = []
+
+        def read(batch: pa.RecordBatch, k: int) -> tuple | None:
+            if batch.column(7)[k].is_valid:
+                if found:  # the next shard begins
+                    known.clear()
+                    found.clear()
+                known.append([c[k].values.to_numpy() for c in batch.columns[7:]])
+                return None
+            bases, v, v_n, part, doc, cnt = (x[k].values.to_numpy() for x in batch.columns[1:7])
+            if not found:
                 names, after, backoff = (np.concatenate(x) for x in zip(*known, strict=True))
                 order = np.argsort(names)
-                names, after, backoff, known = names[order], after[order], backoff[order], []
-                used, at = np.unique(part.astype(np.int64) << 13 | doc, return_inverse=True)
-                first = np.concatenate(([0], np.cumsum(v_n)))
-                sums = np.zeros((3, len(used)))
-                for lo in range(0, len(v), 100_000):  # bounded temporary arrays
-                    some = slice(lo, lo + 100_000)
-                    posted = slice(first[lo], first[min(lo + 100_000, len(v))])
-                    times, n, word = np.abs(cnt[posted]), v_n[some], word_c[some]
-                    own = np.searchsorted(names, v[some])
-                    for total, x in zip(sums, (word > 0, model.base(word), model.pair(after[own], backoff[own], c[some], word)), strict=True):
-                        total += np.bincount(at[posted], weights=times * np.repeat(x, n), minlength=len(used))
-                per = np.bincount(used >> 13, minlength=len(bases))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bases), _lists(used & 8191, per, np.int16), _lists(sums[0], per, np.int32), *[_lists(x, per, float) for x in sums[1:]]],
-                    names=["base", "doc", "n_known", "base_score", "score"],
-                )
+                found.extend((names[order], unseen(after, backoff)[order]))
+            given = found[1][np.searchsorted(found[0], v)]
+            return bases, part, doc, cnt, v_n, lambda some: (given[some] * 0, given[some] * 0, given[some])
+
+        yield from _sum_rows(batches, read)
 
-    picked = pairs.select("shard", "bases", "word_c", "v", "c", "v_n", "batch", "doc", "cnt")
-    left = picked.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in HISTORIES.split(", ")[1:])])
-    right = histories.select("shard", *[F.lit(None).cast(t).alias(c) for c, t in picked.dtypes[1:]], *histories.columns[1:])
+    left = new.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in HISTORIES.split(", ")[1:])])
+    right = histories.select("shard", *[F.lit(None).cast(t).alias(c) for c, t in new.dtypes[1:]], *histories.columns[1:])
     dealt = left.unionByName(right).repartition(shards, "shard").sortWithinPartitions("shard", F.col("history").isNull())
     return dealt.mapInArrow(run, SUMS)
 
@@ -452,7 +529,8 @@ def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hot:
     frequent, counts = top[:, 0].copy(), top[:, 1].copy()
 
     keyed = keyed_pairs(docs, held_out, frequent, key_per_partition(spark, shards))
-    table = materialise(spark, counted_pairs(keyed, frequent, counts, shards), "pairs")
+    with shuffles_dropped(spark):  # the dealt pairs are as large as the table
+        table = materialise(spark, counted_pairs(keyed, frequent, counts, shards), "pairs")
     pairs = table.where("shard >= 0")
     model.d2 = discounts(counts_of_counts(pairs))
     histories = history_table(pairs, model, key_per_partition(spark, parts))
@@ -460,5 +538,9 @@ def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hot:
     listed = table.where("shard < 0").select(
         F.col("bases")[0].alias("base"), F.col("word").alias("ids"), F.col("word_c").alias("none"), F.col("v").alias("out"), F.col("cnt").alias("size")
     )
-    scored = text_sums(shard_sums(pairs, histories, model, shards), listed, parts)
+    sums = shard_sums(pairs, model).unionByName(unseen_sums(unseen_pairs(pairs), histories, shards))
+    # rows of the table hold many postings, so a batch is one row
+    with shuffles_dropped(spark), session_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "1"):
+        sums = materialise(spark, sums, "sums")
+    scored = text_sums(sums, listed, parts)
     return scored.withColumn("train_tokens", F.lit(model.total).cast("long"))

@@ -10,10 +10,11 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ratelake.llm import block_naming, byte_bpe, chosen_path, fingerprints, html_text, katz, packing, queries, sharding, tokenised, toxicity, url_filter
-from ratelake.llm.common import crc_of_id
+from ratelake.llm.common import crc_of_id, materialise, shuffles_dropped
 
 SF = "/root/testdata/sf0.001"
 LONG = "lorem ipsum dolor sit amet " * 3000
@@ -333,6 +334,36 @@ def test_katz_keeps_every_word_as_a_history(spark):
             assert math.isclose(r.score, want, rel_tol=1e-9)
 
 
+def test_katz_answers_only_pairs_that_no_training_text_has(spark):
+    texts = [(k, f"a b c{k % 4} a b d{k % 3}") for k in range(24)] + [(100, "a b new a a b c1"), (101, None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    none = np.zeros(0, dtype=np.int64)
+    for out, postings in ((F.lit(False), 0), (F.col("doc_id") >= 100, 5)):  # b new, new a, a a, c1 end, start end
+        held_out = F.coalesce(out, F.lit(False))
+        table = katz.counted_pairs(katz.keyed_pairs(df, held_out, none, [0, 1, 2]), none, none, 3).where("shard >= 0").localCheckpoint()
+        cut = katz.counted_pairs(katz.keyed_pairs(df, held_out, none, [0, 1, 2]), none, none, 3, room=2).where("shard >= 0").collect()
+        whole = Counter((r.shard, *p) for r in table.collect() for p in zip(r.word_c, r.v, r.c, r.v_n, strict=True))
+        assert len(cut) > table.count() and Counter((r.shard, *p) for r in cut for p in zip(r.word_c, r.v, r.c, r.v_n, strict=True)) == whole
+        assert all(sum(r.v_n) == len(r.doc) for r in cut) and sum(len(r.doc) for r in cut) == sum(len(r.doc) for r in table.collect())
+        model = katz.Model(100, 9, katz.discounts(np.zeros(7)), 0.1, katz.discounts(np.zeros(7)))
+        new = katz.unseen_pairs(table).collect()
+        answers = katz.history_table(table, model, [0, 1]).collect()
+        assert sum(len(r.cnt) for r in new) == postings
+        assert sorted((r.shard, v) for r in answers for v in r.history) == sorted({(r.shard, v) for r in new for v in r.v})
+
+
+def test_katz_drops_the_shuffle_of_its_pairs(spark):
+    def files():
+        disk = spark._jsc.sc().env().blockManager().diskBlockManager()
+        return {str(f) for f in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in str(f)}
+
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, setting = files(), spark.conf.get(name)
+    with shuffles_dropped(spark):
+        kept = materialise(spark, spark.range(1000).repartition(3, "id"), "dealt")
+    assert not files() - before and kept.count() == 1000 and spark.conf.get(name) == setting
+
+
 def test_html():
     page = (
         "<html><head><title>T</title><script>var a='</p>';</script></head><body><nav><a href=x>Home</a></nav>"

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+_PUNCTUATION = frozenset(punctuation)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -86,18 +87,19 @@ class WordMemo:
         """Every text's words as their ids; each word is looked up once, and only new ones again."""
         if len(self.young) > self.limit:
             self.old, self.young = self.young, {"": b""}
-        found = [list(map(self.young.get, words)) for words in texts]
-        self._learn({w for words, known in zip(texts, found, strict=True) for w, ids in zip(words, known, strict=True) if ids is None})
-        young = self.young
-        return [
-            [young[w] if ids is None else ids for w, ids in zip(words, known, strict=True)] for words, known in zip(texts, found, strict=True)
-        ]
+        self._learn(set().union(*texts).difference(self.young))
+        ids_of = self.young.__getitem__
+        return [list(map(ids_of, words)) for words in texts]
 
     def _learn(self, words: set[str]) -> None:
-        young, unknown, joined = self.young, set(), []
+        young, old = self.young, self.old
+        if old:
+            known = [w for w in words if w in old]
+            young.update(zip(known, map(old.__getitem__, known), strict=True))
+            words = words.difference(known)
+        unknown, joined = set(), []
         for w in words:
-            stem = w.rstrip(punctuation)
-            if stem != w and stem.isalpha():  # letters, then only symbols: the tokenizer splits there
+            if w[-1] in _PUNCTUATION and (stem := w.rstrip(punctuation)).isalpha():  # letters, then only symbols: the tokenizer splits there
                 symbols = w[len(stem) :]
                 joined.append((w, stem, symbols))
                 if stem not in young:
@@ -106,8 +108,8 @@ class WordMemo:
                     unknown.add(symbols)
             else:
                 unknown.add(w)
-        known = [w for w in unknown if w in self.old]
-        young.update((w, self.old[w]) for w in known)
+        known = [w for w in unknown if w in old]
+        young.update((w, old[w]) for w in known)
         self._encode(list(unknown.difference(known)))
         young.update((w, young[a] + young[b]) for w, a, b in joined)
 
@@ -123,9 +125,12 @@ class WordMemo:
 
     def _encode(self, unknown: list[str]) -> None:
         if self.lean is not None:
-            letters = {w for w in unknown if w.isalpha() and _is_latin(w) and w == w.lower()}
-            self._encode_letters(list(letters))
-            unknown = [w for w in unknown if w not in letters]
+            letters, others = [], []
+            for w in unknown:
+                plain = w.isalpha() and (w.isascii() or _is_latin(w)) and w == w.lower()
+                (letters if plain else others).append(w)
+            self._encode_letters(letters)
+            unknown = others
         if self.mark is None:
             coded = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
             self.young.update(zip(unknown, coded, strict=True))

@@ -491,3 +491,12 @@ def test_words_of_letters_get_the_ids_of_the_whole_tokenizer():
             plain = memo.tokenizer.encode(w, add_special_tokens=False).ids
             assert np.frombuffer(ids, dtype="<u4").tolist() == plain, w
         assert other[0] == code[0] and other[1] == b"" and other[2].startswith(code[0])
+
+
+def test_words_of_the_older_generation_are_taken_as_they_are():
+    memo = tokenised.WordMemo(queries.tokenizer_path("word_bpe_49k.json"))
+    words = ["house", "house.", "a1b2", "", "don't"]
+    first = memo.codes([words])
+    memo.limit = 1  # the next call begins a new generation
+    assert memo.codes([words, [], ["new."]])[:2] == [first[0], []]
+    assert all(memo.young[w] is memo.old[w] for w in words if w)  # not put together again from stem and symbols

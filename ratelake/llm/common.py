@@ -17,17 +17,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(spark: SparkSession, df: DataFrame, name: str, rows: int | None = None, per_task: int = 50_000) -> DataFrame:
+def materialise(spark: SparkSession, df: DataFrame, name: str, rows: int | None = None, per_task: int = 50_000, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the cluster's shared ``spark.checkpoint.dir`` and read it back.
 
     Cuts the lineage like ``checkpoint()``, but computes the rows once and
     gives the planner the written size. ``rows`` says about how many there will be: then the last stage has one task (and
     file) per ``per_task`` of them, 16 at least, and never more than the shuffle before it made.
+    ``codec`` is the files' compression, if not the session's.
     """
     if rows is not None:
         df = df.coalesce(max(16, -(-rows // per_task)))
     path = os.path.join(ensure_checkpoint_dir(spark), f"llm-{uuid.uuid4().hex}", name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

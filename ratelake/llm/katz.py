@@ -14,7 +14,7 @@ and the unknown type. Counts up to 5 get Katz's discounts, larger ones lose 0.5,
 so every context leaves some mass. The history v is any word or the start mark,
 w any word; a history that no training text has leaves all to p(w).
 
-Tables, all in the shared checkpoint folder: ``unigrams`` (word hash, count) and
+Tables, all in the shared checkpoint folder: ``unigrams`` (word hash, count; the rare ones are only counted) and
 ``pairs`` (by word shard: word count, history, pair count, and the texts that
 hold the pair). A text's histories are its words and the start mark, and c(v) is
 the word's own training count (the start mark's: the end's). So what a text loses
@@ -41,7 +41,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import key_per_partition, materialise, session_setting, shuffle_partitions, shuffles_dropped
@@ -514,23 +514,25 @@ def train_and_score(spark: SparkSession, docs: DataFrame, held_out: Column, hot:
     parts = shuffle_partitions(spark)
     shards = parts * 5 // 4 + 1
     held_out = F.coalesce(held_out, F.lit(False))
-    unigrams = materialise(spark, unigram_counts(docs.where(~held_out)), "unigrams")
-    sizes = unigrams.groupBy(F.least("c", F.lit(LOW + 1)).alias("r")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("t")).collect()
-    n, total = np.zeros(LOW + 2), sum(r["t"] for r in sizes)
-    for r in sizes:
-        n[r["r"]] = r["n"]
-    exact = n.copy()  # the count LOW + 1 itself, for the last discount
-    exact[LOW + 1] = unigrams.where(F.col("c") == LOW + 1).count()
-    d1 = discounts(exact)
-    unknown = float(sum((1 - d1[r]) * r * n[r] for r in range(1, LOW + 1)) + TAIL * n[LOW + 1]) / total if total else 1.0
-    model = Model(int(total), int(n.sum()), d1, unknown)
+    # rare words are only counted while the others are written
+    seen = Observation("unigrams")
+    ranks = [F.count_if(F.col("c") == r).alias(f"n{r}") for r in range(1, LOW + 2)]
+    unigrams = unigram_counts(docs.where(~held_out)).observe(seen, F.sum("c").alias("total"), F.count(F.lit(1)).alias("types"), *ranks)
+    with shuffles_dropped(spark):
+        unigrams = materialise(spark, unigrams.where(F.col("c") > LOW), "unigrams")
+    total, types = seen.get["total"] or 0, seen.get["types"] or 0
+    n = np.array([0.0, *(seen.get[f"n{r}"] or 0 for r in range(1, LOW + 2))])
+    d1 = discounts(n)
+    common = types - float(n[1 : LOW + 1].sum())  # words of more than LOW occurrences
+    unknown = float(sum((1 - d1[r]) * r * n[r] for r in range(1, LOW + 1)) + TAIL * common) / total if total else 1.0
+    model = Model(int(total), int(types), d1, unknown)
     top = unigrams.where(F.col("c") * hot >= total).collect()  # at most `hot` rows
     top = np.array(sorted(tuple(r) for r in top), dtype=np.int64).reshape(-1, 2)
     frequent, counts = top[:, 0].copy(), top[:, 1].copy()
 
     keyed = keyed_pairs(docs, held_out, frequent, key_per_partition(spark, shards))
     with shuffles_dropped(spark):  # the dealt pairs are as large as the table
-        table = materialise(spark, counted_pairs(keyed, frequent, counts, shards), "pairs")
+        table = materialise(spark, counted_pairs(keyed, frequent, counts, shards), "pairs", codec="zstd")
     pairs = table.where("shard >= 0")
     model.d2 = discounts(counts_of_counts(pairs))
     histories = history_table(pairs, model, key_per_partition(spark, parts))

@@ -500,3 +500,21 @@ def test_words_of_the_older_generation_are_taken_as_they_are():
     memo.limit = 1  # the next call begins a new generation
     assert memo.codes([words, [], ["new."]])[:2] == [first[0], []]
     assert all(memo.young[w] is memo.old[w] for w in words if w)  # not put together again from stem and symbols
+
+
+def test_lm_score_writes_common_words_only_and_drops_its_shuffles(spark, monkeypatch):
+    setting, seen, real = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", {}, katz.materialise
+
+    def materialise(spark, df, name, *args, **kwargs):
+        seen[name] = (spark.conf.get(setting), made := real(spark, df, name, *args, **kwargs))
+        return made
+
+    monkeypatch.setattr(katz, "materialise", materialise)
+    docs = spark.createDataFrame([(k, "often " * 3 + f"rare{k}") for k in range(9)] + [(9, None)], "doc_id long, text string")
+    got = katz.train_and_score(spark, docs, F.col("doc_id") == 8).collect()
+    assert {dropped for dropped, _ in seen.values()} == {"true"}
+    assert sorted(r.c for r in seen["unigrams"][1].collect()) == [9, 24]  # the end mark and "often"; single words are only counted
+    n, v = 9 + 24 + 8, 10
+    base = lambda *counts: sum(math.log10((c + 0.1) / (n + 0.1 * (v + 1))) for c in counts)
+    assert {r.doc_id: round(r.base_score, 9) for r in got} == {k: round(x, 9) for k, x in {**dict.fromkeys(range(8), base(24, 24, 24, 1, 9)), 8: base(24, 24, 24, 0, 9), 9: base(9)}.items()}
+    assert {r.train_tokens for r in got} == {n}

@@ -91,12 +91,14 @@ def resample(rows: DataFrame, sets: DataFrame, threshold: float, limit: int) ->
     spark, level = rows.sparkSession, F.lit(1).alias("level")
     width = math.log((1 + 1e-6) / threshold)  # a little more, so that rounding parts no pair
     sizes = rows.select("key", "node").join(sets.select("node", F.floor(F.log(F.col("size").cast("double")) / width).alias("class")), "node")
-    sizes = sizes.select("key", "node", F.explode(F.array("class", F.col("class") - 1)).alias("class"))
-    classes = materialise(spark, sizes.select(F.xxhash64("key", "class").alias("key"), "node"), "sizes")
-    counts = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    counted = materialise(spark, classes.join(counts, "key"), "classes")
-    fitting = counted.where(F.col("n") <= limit).select("key", "node", F.lit(0).alias("band"), level)
-    nodes = counted.where(F.col("n") > limit).select("node").distinct()
+    sizes = materialise(spark, sizes, "sizes")
+    near = Window.partitionBy("key").orderBy("class")  # over the few classes of a bucket, not over its sets
+    counts = sizes.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.select("key", "class", F.sum("n").over(near.rangeBetween(0, 1)).alias("up"), F.sum("n").over(near.rangeBetween(-1, 0)).alias("down"))
+    counted = materialise(spark, sizes.join(counts, ["key", "class"]), "classes")
+    fits = F.array(*(F.when((F.col(n) > 1) & (F.col(n) <= limit), F.xxhash64("key", at)) for n, at in (("up", F.col("class")), ("down", F.col("class") - 1))))
+    fitting = counted.select(F.explode(F.array_compact(fits)).alias("key"), "node", F.lit(0).alias("band"), level)
+    nodes = counted.where(F.greatest("up", "down") > limit).select("node").distinct()
     split = band_rows(sets.join(nodes, "node"), 2, 17)
     return fitting.unionByName(materialise(spark, split.select("key", "node", "band", level), "split"))
 

@@ -411,14 +411,8 @@ def _with_comps(rows: DataFrame, comps: DataFrame | None) -> DataFrame:
     return rows.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
 
 
-def _open(rows: DataFrame, key: str) -> DataFrame:
-    """The rows (key, node, comp, ...) whose key has more than one component; for keys of any number of rows."""
-    keys = rows.groupBy(key).agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select(key)
-    return rows.join(keys, key, "left_semi")
-
-
 def _open_units(rows: DataFrame) -> DataFrame:
-    """The same for units, which are bounded."""
+    """The rows (unit, node, comp, ...) whose unit, which is bounded, has more than one component."""
     whole = Window.partitionBy("unit")
     marked = rows.withColumn("least", F.min("comp").over(whole)).withColumn("most", F.max("comp").over(whole))
     return marked.where("least < most").drop("least", "most")
@@ -427,10 +421,10 @@ def _open_units(rows: DataFrame) -> DataFrame:
 def _split_large(spark: SparkSession, large: DataFrame, comps: DataFrame, limit: int, depth: int) -> tuple[DataFrame, DataFrame]:
     """After their pivot: open large buckets (key, node, band, level) as units of bounded size, and the rows to split further."""
     most = large.count()
-    rows = materialise(spark, _open(_with_comps(large, bounded(comps)), "key"), "open", most)
+    rows = materialise(spark, _with_comps(large, bounded(comps)), "labelled", most)
     per_comp = rows.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = per_comp.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"))
-    main = main.select("key", "n", F.col("main.comp").alias("main"), (F.col("n") - F.col("main.n")).alias("others"))
+    main = main.select("key", "n", F.col("main.comp").alias("main"), (F.col("n") - F.col("main.n")).alias("others")).where("others > 0")
     rows = materialise(spark, rows.join(main, "key"), "counted", most)
     fits = (F.col("others") <= limit) | (F.col("level") >= depth)
     groups, blocks = F.ceil(F.col("others") / limit).cast("int"), F.ceil(F.col("n") / limit).cast("int")
@@ -460,7 +454,8 @@ def components(
     most = BANDS * n_sets  # about the rows of all buckets
 
     def by_size(buckets: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+        pivot = F.min_by("node", F.xxhash64("node")).alias("pivot")  # the same one in all bands that hold it
+        counts = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("sets"), pivot).where("sets > 1")
         buckets = materialise(spark, buckets.join(counts, "key"), name, most)
         return buckets.where(F.col("sets") <= limit).select(F.col("key").alias("unit"), "node", "band"), buckets.where(F.col("sets") > limit).drop("sets")
 
@@ -480,10 +475,8 @@ def components(
         if turn > 1:
             rows = rows.join(whole.hint("merge"), "node")
         given = materialise(spark, bucket_pairs(rows, parts, threshold, turn).distinct(), "given", most)
-        # the same pivot in all bands that hold it
         starred = large.where(F.col("band") < first) if turn == 0 else large
-        pivots = starred.groupBy("key").agg(F.min_by("node", F.xxhash64("node")).alias("pivot"))
-        starred = starred.join(pivots, "key").where("node <> pivot").select("key", "node", "pivot")
+        starred = starred.where("node <> pivot").select("key", "node", "pivot")
         if comps is not None:
             of_pivot = near_comps.select(F.col("node").alias("pivot"), F.col("comp").alias("pivot_comp"))
             starred = _with_comps(starred, near_comps).join(of_pivot, "pivot", "left").where(F.col("comp") != F.coalesce("pivot_comp", "pivot"))
@@ -509,7 +502,7 @@ def components(
         small = materialise(spark, small.join(truncated, "unit", "left_semi"), "small", most)
         more = False
         if not large.isEmpty():
-            units, rows = _split_large(spark, large, comps, limit, depth)
+            units, rows = _split_large(spark, large.drop("pivot"), comps, limit, depth)
             parted, large = by_size(further(rows, sets, whole), "further")
             small = materialise(spark, small.unionByName(units.withColumn("band", F.lit(0))).unionByName(parted), "small", most)
             more = not large.isEmpty()

@@ -294,3 +294,25 @@ def test_large_buckets_are_split_by_size_before_bands(spark):
         for a in range(60):  # sets of sizes that let them be linked are together, to the very threshold
             for b in range(a + 1, 60):
                 assert (a, b) in met or sizes[a] < 0.8 * sizes[b] or {a, b} <= large
+
+
+def test_size_classes_and_pivots_make_no_further_rows(spark, monkeypatch):
+    written, real = {}, chosen_path.materialise
+
+    def materialise(spark, df, name, *args, **kwargs):
+        written.setdefault(name, []).append((df._jdf.queryExecution().optimizedPlan().toString(), made := real(spark, df, name, *args, **kwargs)))
+        return made
+
+    monkeypatch.setattr(chosen_path, "materialise", materialise)
+    monkeypatch.setattr(hyperminhash, "materialise", materialise)
+    texts = [" ".join([f"common{j}" for j in range(30)] + [f"own{k}_{j}" for j in range(k % 23)]) for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in chosen_path.jaccard_join(spark, docs, limit=5).collect()}
+    sets = sets_of(texts, 5)
+    links = {a: {b for b in range(60) if sets[a] != sets[b] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])} for a in range(60)}
+    assert {a: n for a, (_, n) in got.items()} == {a: len({sets[b] for b in links[a]}) for a in range(60)}
+    assert any(large.count() for _, large in written["sizes"])
+    for (_, sizes), (_, classes) in zip(written["sizes"], written["classes"][: len(written["sizes"])], strict=True):
+        assert classes.count() == sizes.count()  # a set is counted in both of its size classes, but is one row
+        assert sizes.count() == sizes.select("key", "node").distinct().count()
+    assert all("min_by" not in plan for plan, _ in written["pairs"])  # the pivots come with the buckets

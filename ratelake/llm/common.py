@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,6 +43,27 @@ def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None
         spark.conf.set(name, before)
 
 
+def short_batches(spark: SparkSession):
+    """For jobs started inside whose rows hold whole sets: a task has few of them as Arrow and Python objects at once."""
+    return session_setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+
+
+_KEPT: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """In a task: what ``make`` gives, kept by the Python worker for the next tasks that ask for ``key``; of others it goes."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def drop_kept() -> None:
+    """In a task that keeps nothing: what the worker kept for other operators goes."""
+    _KEPT.clear()
+
+
 def shuffles_dropped(spark: SparkSession):
     """The shuffle files of a write inside go when it ends, not only when the driver collects its garbage."""
     return session_setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import _parse_datatype_string
 
-from ratelake.llm.common import bounded, join_groups, materialise, shuffle_partitions
+from ratelake.llm.common import bounded, drop_kept, join_groups, materialise, short_batches, shuffle_partitions
 
 BUCKET_BITS, MANTISSA_BITS, ROWS = 7, 10, 4
 BUCKETS = 1 << BUCKET_BITS
@@ -358,6 +358,7 @@ def per_text(make, schema: str, tokens_of):
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         memo = WordHashes()
         for whole in batches:
             for lo in range(0, whole.num_rows, 250):
@@ -474,7 +475,8 @@ def components(
             rows = rows.join(failed.groupBy("a").agg(F.collect_list("b").alias("failed")).withColumnRenamed("a", "node"), "node", "left")
         if turn > 1:
             rows = rows.join(whole.hint("merge"), "node")
-        given = materialise(spark, bucket_pairs(rows, parts, threshold, turn).distinct(), "given", most)
+        with short_batches(spark):
+            given = materialise(spark, bucket_pairs(rows, parts, threshold, turn).distinct(), "given", most)
         starred = large.where(F.col("band") < first) if turn == 0 else large
         starred = starred.where("node <> pivot").select("key", "node", "pivot")
         if comps is not None:
@@ -490,8 +492,10 @@ def components(
         if whole is None:
             nodes = given.where("a IS NOT NULL AND b IS NULL").select(F.col("a").alias("node")).unionByName(large.select("node"))
             nodes = nodes.unionByName(pairs.select(F.explode(F.array("a", "b")).alias("node"))).unionByName(small.join(truncated, "unit", "left_semi").select("node"))
-            whole = materialise(spark, fetch(sets.select("node", "digest").join(nodes.distinct(), "node")), "whole", n_sets, 2_000)
-        checked = materialise(spark, verify(pairs, whole, percent), "checked", pairs.count(), 2_000)
+            with short_batches(spark):
+                whole = materialise(spark, fetch(sets.select("node", "digest").join(nodes.distinct(), "node")), "whole", n_sets, 2_000)
+        with short_batches(spark):
+            checked = materialise(spark, verify(pairs, whole, percent), "checked", pairs.count(), 2_000)
         good, bad = checked.where("ok").select("a", "b"), checked.where("NOT ok").select("a", "b")
         good = good if turn < 2 else good.unionByName(found)
         failed = bad if failed is None else failed.unionByName(bad)

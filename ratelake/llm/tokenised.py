@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from ratelake.llm.common import kept
+
 _PUNCTUATION = frozenset(punctuation)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -150,13 +152,8 @@ class WordMemo:
                 self.young[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
 
 
-_MEMOS: dict[str, WordMemo] = {}
-
-
 def memo_for(path: str) -> WordMemo:
-    if path not in _MEMOS:
-        _MEMOS[path] = WordMemo(path)
-    return _MEMOS[path]
+    return kept(("words", path), lambda: WordMemo(path))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, end_id: int = 0) -> DataFrame:

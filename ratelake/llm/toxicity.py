@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratelake.llm.common import crc_of_id
+from ratelake.llm.common import crc_of_id, drop_kept
 
 # Words of abuse, one voter each.
 LEXICON = (
@@ -111,6 +111,7 @@ def moments(docs: DataFrame, voters: Voters) -> tuple[int, np.ndarray]:
     size = len(voters.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_kept()
         memo = Memo(voters.of_word)
         n, total = 0, np.zeros((size, size), dtype=np.int64)
         for batch in batches:
@@ -222,15 +223,17 @@ def sample_features(sample: DataFrame, voters: Voters) -> list:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(voters.of_word)
-        for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            words = [words_of(t) for t in texts]
-            fire = [voters.of_text(t, list(filter(None, map(memo.__getitem__, w)))) for t, w in zip(texts, words, strict=True)]
-            packed = pa.array([buckets_of(w).astype(np.int32).tobytes() for w in words], pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(fire, pa.list_(pa.int64())), packed, batch.column(2)],
-                names=["doc_id", "votes", "buckets", "toxic"],
-            )
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 250):  # the words of few texts are held at once
+                batch = whole.slice(lo, 250)
+                texts = [t or "" for t in batch.column(1).to_pylist()]
+                words = [words_of(t) for t in texts]
+                fire = [voters.of_text(t, list(filter(None, map(memo.__getitem__, w)))) for t, w in zip(texts, words, strict=True)]
+                packed = pa.array([buckets_of(w).astype(np.int32).tobytes() for w in words], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(fire, pa.list_(pa.int64())), packed, batch.column(2)],
+                    names=["doc_id", "votes", "buckets", "toxic"],
+                )
 
     found = sample.mapInArrow(run, "doc_id long, votes array<long>, buckets binary, toxic int")
     return sorted(found.collect(), key=lambda r: (r["doc_id"], bytes(r["buckets"])))

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ratelake.llm import chosen_path, hyperminhash, lexical, queries, whitening
+from ratelake.llm import chosen_path, common, hyperminhash, lexical, queries, whitening
 
 SF = "/root/testdata/sf0.001"
 UPPER = {c: c + 32 for c in range(65, 91)}
@@ -316,3 +316,23 @@ def test_size_classes_and_pivots_make_no_further_rows(spark, monkeypatch):
         assert classes.count() == sizes.count()  # a set is counted in both of its size classes, but is one row
         assert sizes.count() == sizes.select("key", "node").distinct().count()
     assert all("min_by" not in plan for plan, _ in written["pairs"])  # the pivots come with the buckets
+
+
+def test_whole_sets_come_in_short_batches_and_memos_of_others_go(spark, monkeypatch):
+    setting, seen, real = "spark.sql.execution.arrow.maxRecordsPerBatch", {}, hyperminhash.materialise
+
+    def materialise(spark, df, name, *args, **kwargs):
+        seen.setdefault(name, set()).add(spark.conf.get(setting))
+        return real(spark, df, name, *args, **kwargs)
+
+    monkeypatch.setattr(hyperminhash, "materialise", materialise)
+    before = spark.conf.get(setting)
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g h"), (3, "x y")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in hyperminhash.near_duplicates(spark, docs).collect()} == {1: 1, 2: 1, 3: 3}
+    assert seen["given"] == seen["whole"] == seen["checked"] == {"500"} and spark.conf.get(setting) == before
+    first = common.kept("a", object)
+    assert common.kept("a", object) is first
+    common.kept("b", object)
+    assert common.kept("a", object) is not first
+    common.drop_kept()
+    assert not common._KEPT

@@ -7,10 +7,12 @@ import os
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from ratelake.llm.common import kept
@@ -27,8 +29,12 @@ def _is_latin(text: str) -> bool:
     return True
 
 
-def split_words(text: str | None, special: list[str] | None = None) -> list[str]:
-    """Words between ASCII white space: word tokenizers never join across it, so words can be encoded one by one.
+def _is_lean(text: str) -> bool:
+    return (text.isascii() or _is_latin(text)) and text == text.lower()
+
+
+def spaced(text: str | None, special: list[str] | None = None) -> str:
+    """The text with a space for each ASCII white space: word tokenizers never join across it, so words can be encoded one by one.
 
     With ``special`` (the special tokens of a tokenizer that lower-cases), Latin-1 texts are lower-cased first, which
     there does the same, unless that would make a special token.
@@ -40,7 +46,7 @@ def split_words(text: str | None, special: list[str] | None = None) -> list[str]
     for space in "\n\t\r\x0b\x0c":
         if space in text:
             text = text.replace(space, " ")
-    return text.split(" ")
+    return text
 
 
 def _lean_form(tokenizer) -> tuple[object, np.ndarray] | None:  # noqa: ANN001 - tokenizers.Tokenizer
@@ -63,12 +69,18 @@ def _lean_form(tokenizer) -> tuple[object, np.ndarray] | None:  # noqa: ANN001 -
         or any(t["content"].isalpha() for t in spec["added_tokens"])
     ):
         return None
-    split["pretokenizers"][0] = {"type": "WhitespaceSplit"}
-    spec |= {"normalizer": None, "post_processor": None, "added_tokens": []}
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    same = {k: model[k] for k in ("dropout", "unk_token", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges") if model.get(k) is not None}
+    merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    # the memo asks for each word once, so the model's own cache would only cost time
+    lean = Tokenizer(models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=0, **same))
+    level = {k: split["pretokenizers"][1][k] for k in ("add_prefix_space", "trim_offsets", "use_regex")}
+    lean.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(**level)])
     vocabulary = tokenizer.get_vocab()
     ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
     ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-    return type(tokenizer).from_str(json.dumps(spec)), ends
+    return lean, ends
 
 
 class WordMemo:
@@ -93,14 +105,16 @@ class WordMemo:
         ids_of = self.young.__getitem__
         return [list(map(ids_of, words)) for words in texts]
 
+    def _not_old(self, words: set[str]) -> list[str]:
+        """The words that the older generation lacks; the others are taken over."""
+        some, found = list(words), list(map(self.old.get, words))
+        self.young.update((w, ids) for w, ids in zip(some, found, strict=True) if ids is not None)
+        return [w for w, ids in zip(some, found, strict=True) if ids is None]
+
     def _learn(self, words: set[str]) -> None:
-        young, old = self.young, self.old
-        if old:
-            known = [w for w in words if w in old]
-            young.update(zip(known, map(old.__getitem__, known), strict=True))
-            words = words.difference(known)
+        young = self.young
         unknown, joined = set(), []
-        for w in words:
+        for w in self._not_old(words):
             if w[-1] in _PUNCTUATION and (stem := w.rstrip(punctuation)).isalpha():  # letters, then only symbols: the tokenizer splits there
                 symbols = w[len(stem) :]
                 joined.append((w, stem, symbols))
@@ -110,15 +124,13 @@ class WordMemo:
                     unknown.add(symbols)
             else:
                 unknown.add(w)
-        known = [w for w in unknown if w in old]
-        young.update((w, old[w]) for w in known)
-        self._encode(list(unknown.difference(known)))
+        self._encode(self._not_old(unknown))
         young.update((w, young[a] + young[b]) for w, a, b in joined)
 
     def _encode_letters(self, words: list[str]) -> None:
         tokenizer, is_end = self.lean
-        for lo in range(0, len(words), 2000):
-            part = words[lo : lo + 2000]
+        for lo in range(0, len(words), 500):
+            part = words[lo : lo + 500]
             ids = np.array(tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
             raw, begin = ids.tobytes(), 0
             for w, end in zip(part, (np.flatnonzero(is_end[ids]) + 1).tolist(), strict=True):
@@ -127,12 +139,11 @@ class WordMemo:
 
     def _encode(self, unknown: list[str]) -> None:
         if self.lean is not None:
-            letters, others = [], []
-            for w in unknown:
-                plain = w.isalpha() and (w.isascii() or _is_latin(w)) and w == w.lower()
-                (letters if plain else others).append(w)
+            letters, unknown = [w for w in unknown if w.isalpha()], [w for w in unknown if not w.isalpha()]
+            if not _is_lean(" ".join(letters)):
+                unknown += [w for w in letters if not _is_lean(w)]
+                letters = list(filter(_is_lean, letters))
             self._encode_letters(letters)
-            unknown = others
         if self.mark is None:
             coded = [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)]
             self.young.update(zip(unknown, coded, strict=True))
@@ -152,6 +163,21 @@ class WordMemo:
                 self.young[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
 
 
+def _coded(texts: list[str], memo: WordMemo) -> list[bytes]:
+    """Every text's ids. Arrow splits the texts and numbers their words, so the memo is asked for each word once."""
+    split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    words = split.values.dictionary_encode()
+    code = memo.codes([words.dictionary.to_numpy(zero_copy_only=False).tolist()])[0]
+    size = np.fromiter(map(len, code), np.int64, len(code)) // 4
+    ids, first = np.frombuffer(b"".join(code), dtype="<u4"), np.cumsum(size) - size
+    word = words.indices.to_numpy()
+    n = size[word]
+    ends = np.concatenate(([0], np.cumsum(n)))
+    raw = ids[np.repeat(first[word] - ends[:-1], n) + np.arange(ends[-1])].tobytes()
+    bounds = (4 * ends[split.offsets.to_numpy()]).tolist()
+    return [raw[a:b] for a, b in pairwise(bounds)]
+
+
 def memo_for(path: str) -> WordMemo:
     return kept(("words", path), lambda: WordMemo(path))
 
@@ -171,10 +197,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int = 2048, e
             for lo in range(0, whole.num_rows, 1000):
                 batch = whole.slice(lo, 1000)
                 ids = batch.column(0).to_pylist()
-                words = [split_words(t, memo.special) for t in batch.column(1).to_pylist()]
+                texts = [spaced(t, memo.special) for t in batch.column(1).to_pylist()]
                 out: list[tuple] = []
-                for doc_id, code in zip(ids, memo.codes(words), strict=True):
-                    coded = b"".join(code) + end
+                for doc_id, coded in zip(ids, _coded(texts, memo), strict=True):
+                    coded += end
                     for k, at in enumerate(range(0, len(coded), width)):
                         part = coded[at : at + width]
                         out.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -502,6 +502,18 @@ def test_words_of_the_older_generation_are_taken_as_they_are():
     assert all(memo.young[w] is memo.old[w] for w in words if w)  # not put together again from stem and symbols
 
 
+def test_each_word_of_a_batch_is_looked_up_once():
+    memo = tokenised.WordMemo(queries.tokenizer_path("word_bpe_49k.json"))
+    asked, codes = [], memo.codes
+    memo.codes = lambda texts: (asked.extend(w for words in texts for w in words), codes(texts))[1]
+    texts = ["The house, the HOUSE.", "", " \t two  spaces\n", "Éé ελλάδα Ελλάδα the", "don't <|ENDoftext|> the", "x" * 5000, "the 中文 a1b2 the"]
+    got = tokenised._coded([tokenised.spaced(t, memo.special) for t in texts], memo)
+    assert len(asked) == len(set(asked)) and "the" in asked  # five times in the texts
+    for text, ids in zip(texts, got, strict=True):
+        assert np.frombuffer(ids, dtype="<u4").tolist() == memo.tokenizer.encode(text, add_special_tokens=False).ids, text
+    assert tokenised._coded(["", ""], memo) == [b"", b""]
+
+
 def test_lm_score_writes_common_words_only_and_drops_its_shuffles(spark, monkeypatch):
     setting, seen, real = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", {}, katz.materialise
 

@@ -50,7 +50,11 @@ LOW = 5  #: counts up to this get Good-Turing discounts
 TAIL = 0.5  #: what larger counts lose
 END = b""
 START = b" "  #: no token holds white space
-PAIRS = "shard int, base long, w array<long>, w_n array<int>, v array<long>, v_n array<int>, doc array<short>, cnt array<int>"
+RARE = 65_535  #: code of a word that has none of its own
+PAIRS = (
+    "shard int, base long, w array<short>, w_rare array<long>, w_n array<int>, v array<short>, v_rare array<long>,"
+    " v_n array<int>, doc array<short>, cnt array<int>"
+)
 PAIR_NAMES = [c.split()[0] for c in PAIRS.split(", ")]
 
 
@@ -157,8 +161,10 @@ def unseen(total: np.ndarray, backoff: np.ndarray) -> np.ndarray:
 def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards: list[int]) -> DataFrame:
     """Per input batch and shard one row of arrays: words, their histories, and the texts that hold the pair.
 
+    Words and histories are places in ``frequent`` (the first 65,535 of them, as 16 bits); those of the others are RARE, and
+    their hashes follow in the same order in ``w_rare`` and ``v_rare``.
     ``shards`` are the shards' keys. ``cnt`` is negative for held-out texts.
-    Rows with a negative shard list the batch's texts: w has the ids, v the
+    Rows with a negative shard list the batch's texts: w_rare has the ids, v_rare the
     held-out flags, cnt the numbers of tokens, doc whether the id is NULL.
     """
     keys = np.array(shards, dtype=np.int32)
@@ -179,6 +185,7 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                 at = np.searchsorted(frequent, h)
                 often = at < len(frequent)
                 often[often] = frequent[at[often]] == h[often]
+                code = np.append(np.where(often, np.minimum(at, RARE), RARE), RARE)
                 history = np.append(h, hashes[START])  # of local words, and of the start mark
                 v = np.concatenate(([len(h)], w[:-1]))
                 v[np.cumsum(size)[:-1]] = len(h)
@@ -187,8 +194,8 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                 first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
                 cnt = np.diff(np.append(first, len(key)))
                 key = key[first]
-                doc, v, w = key & 8191, history[key >> 13 & (1 << 25) - 1], key >> 38
-                spread = np.where(often[w], h[w] ^ (v * 0x9E3779B1), h[w])
+                doc, v, w = key & 8191, key >> 13 & (1 << 25) - 1, key >> 38
+                spread = np.where(often[w], h[w] ^ (history[v] * 0x9E3779B1), h[w])
                 shard = (spread ^ spread >> 29) % len(keys)
                 order = np.argsort(shard, kind="stable")
                 doc, v, w, shard, cnt = doc[order], v[order], w[order], shard[order], cnt[order]
@@ -197,6 +204,7 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                 new_v = new_w | np.concatenate(([True], v[1:] != v[:-1]))
                 pairs, words = np.flatnonzero(new_v), np.flatnonzero(new_w)
                 names = np.unique(shard)
+                wc, vc = code[w[words]], code[v[pairs]]
 
                 def per(starts: np.ndarray, s: np.ndarray = shard, n: np.ndarray = names) -> np.ndarray:
                     return np.bincount(np.searchsorted(n, s[starts]), minlength=len(n))
@@ -206,9 +214,11 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                     [
                         pa.array(keys[names]),
                         pa.array(np.full(len(names), base)),
-                        _lists(h[w[words]], per(words), np.int64),
+                        _lists(wc.astype(np.uint16).view(np.int16), per(words), np.int16),
+                        _lists(h[w[words[wc == RARE]]], per(words[wc == RARE]), np.int64),
                         _lists(np.diff(np.append(np.cumsum(new_v)[words] - 1, len(pairs))), per(words), np.int32),
-                        _lists(v[pairs], per(pairs), np.int64),
+                        _lists(vc.astype(np.uint16).view(np.int16), per(pairs), np.int16),
+                        _lists(history[v[pairs[vc == RARE]]], per(pairs[vc == RARE]), np.int64),
                         _lists(np.diff(np.append(pairs, len(w))), per(pairs), np.int32),
                         _lists(doc, per(every), np.int16),
                         _lists(cnt, per(every), np.int32),
@@ -218,7 +228,8 @@ def keyed_pairs(docs: DataFrame, held_out: Column, frequent: np.ndarray, shards:
                 one = np.array([len(rows)])
                 none = np.array(ids.is_null().to_numpy(zero_copy_only=False), dtype=np.int16)
                 plain = pc.fill_null(ids, 0).to_numpy().astype(np.int64)
-                flat = [(plain, np.int64), (size * 0, np.int32), (out, np.int64), (size * 0, np.int32), (none, np.int16), (size, np.int32)]
+                no, zero = (none, np.int16), (size * 0, np.int32)
+                flat = [no, (plain, np.int64), zero, no, (out, np.int64), zero, no, (size, np.int32)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([-1 - task], pa.int32()), pa.array([base]), *[_lists(x, one, k) for x, k in flat]], names=PAIR_NAMES
                 )
@@ -247,12 +258,19 @@ def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, pa
         lists = [_lists(np.asarray(x), np.array([len(x)]), k) for x, k in zip(cols, kinds, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), *lists], schema=kind)
 
+    def named(code: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        code = code.view(np.uint16)
+        out = np.empty(len(code), dtype=np.int64)
+        out[code == RARE] = rare
+        out[code != RARE] = frequent[code[code != RARE]]
+        return out
+
     def whole(shard: int, rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        base, w, w_n, v, v_n, doc, cnt = zip(*rows, strict=True)
+        base, w, w_rare, w_n, v, v_rare, v_n, doc, cnt = zip(*rows, strict=True)
         batch = np.repeat(np.arange(len(rows), dtype=np.int32), [len(d) for d in doc])
         v_n = np.concatenate(v_n)
-        h = np.repeat(np.repeat(np.concatenate(w), np.concatenate(w_n)), v_n)
-        v, doc, cnt = np.repeat(np.concatenate(v), v_n), np.concatenate(doc), np.concatenate(cnt)
+        h = np.repeat(np.repeat(named(np.concatenate(w), np.concatenate(w_rare)), np.concatenate(w_n)), v_n)
+        v, doc, cnt = np.repeat(named(np.concatenate(v), np.concatenate(v_rare)), v_n), np.concatenate(doc), np.concatenate(cnt)
         order = np.lexsort((v, h))
         h, v, batch, doc, cnt = h[order], v[order], batch[order], doc[order], cnt[order]
         new_w = np.concatenate(([True], h[1:] != h[:-1]))
@@ -278,7 +296,7 @@ def counted_pairs(keyed: DataFrame, frequent: np.ndarray, counts: np.ndarray, pa
             for k in range(batch.num_rows):
                 row = [batch.column(i)[k] for i in range(batch.num_columns)]
                 if row[0].as_py() < 0:
-                    ids, _, out, _, none, size = (x.values.to_numpy() for x in row[2:])
+                    _, ids, _, _, out, _, none, size = (x.values.to_numpy() for x in row[2:])
                     yield row_of(row[0].as_py(), [[row[1].as_py()], ids, none, out, [], [], [], [], size])
                     continue
                 if rows and row[0].as_py() != shard:

@@ -352,6 +352,26 @@ def test_katz_answers_only_pairs_that_no_training_text_has(spark):
         assert sorted((r.shard, v) for r in answers for v in r.history) == sorted({(r.shard, v) for r in new for v in r.v})
 
 
+def test_katz_deals_frequent_words_as_short_codes(spark):
+    texts = ["the cat the dog the cat", "the bird", None, "cat the the", "a the cat zebra the", "the"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    hashes = katz.Hashes()
+    some = np.array(sorted(hashes[w] for w in (b"the", b"cat", b"")), dtype=np.int64)
+    every = np.array(sorted(hashes[w] for t in texts for w in katz.words_of(t) + [b""]), dtype=np.int64)
+    found = []
+    for frequent in (some[:0], some, np.unique(every)):
+        keyed = katz.keyed_pairs(df, F.col("doc_id") == 4, frequent, [0, 1]).localCheckpoint()
+        for r in keyed.where("shard >= 0").collect():
+            for codes, rare in ((r.w, r.w_rare), (r.v, r.v_rare)):
+                assert len(rare) == codes.count(-1) and not set(rare) & set(frequent.tolist())  # -1: 65,535 in 16 bits
+        counts = np.array([sum((katz.words_of(t) + [b""]).count(w) for t in texts if t != texts[4] for w in [b"the", b"cat", b"", b"dog", b"bird", b"a", b"zebra"] if hashes[w] == h) for h in frequent.tolist()], dtype=np.int64)
+        rows = katz.counted_pairs(keyed, frequent, counts, 2).where("shard >= 0").collect()
+        found.append(sorted(x for r in rows for x in zip(r.v, r.word_c, r.c, r.v_n, strict=True)))
+    assert found[0] == found[1] == found[2]
+    pairs = {(v, w) for t in texts for v, w in zip([katz.START, *katz.words_of(t)], katz.words_of(t) + [b""], strict=True)}
+    assert len(found[0]) == len(pairs)
+
+
 def test_katz_drops_the_shuffle_of_its_pairs(spark):
     def files():
         disk = spark._jsc.sc().env().blockManager().diskBlockManager()
